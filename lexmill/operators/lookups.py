@@ -1,0 +1,10 @@
+"""Membership joins between inputs and outputs."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def not_yet_processed(inputs: DataFrame, done: DataFrame, on: str | list[str], force: bool = False) -> DataFrame:
+    """Inputs without an output; all of them if processing is forced."""
+    return inputs if force else inputs.join(done, on, "left_anti")

@@ -12,6 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lexmill.operators.scratch import materialized
+
 # Hash keys are hexadecimal text; four digits give 65,536 even buckets.
 BUCKET_DIGITS = 4
 # Small sides up to this many rows are sent to every task; larger ones join normally.
@@ -130,13 +132,13 @@ def with_ordered_rank(df: DataFrame, order: Sequence[str], out: str = "rank") ->
     """Add the exact 1-based rank in the order of the columns ``order``.
 
     Range-sorts the order columns alone, numbers each sorted partition, and
-    adds the sizes of the partitions before it.  The sorted keys are
-    checkpointed, since a second evaluation could cut the ranges elsewhere.
+    adds the sizes of the partitions before it.  The sorted keys are written
+    once, since a second evaluation could cut the ranges elsewhere.
     ``order`` must identify the rows.
     """
     keys = df.select(*order)
     position = F.monotonically_increasing_id()
-    sorted_keys = reliable_checkpoint(keys.orderBy(*order).withColumn("_pos", position))
+    sorted_keys = materialized(keys.orderBy(*order).withColumn("_pos", position))
     part, at = F.shiftright("_pos", 33), F.col("_pos").bitwiseAND((1 << 33) - 1)
     sizes = sorted_keys.groupBy(part.alias("_part")).agg(F.count("*").alias("_n"))
     # One row per partition of the sort.
@@ -148,17 +150,3 @@ def with_ordered_rank(df: DataFrame, order: Sequence[str], out: str = "rank") ->
         .select(*order, (at + F.col("_before") + 1).alias(out))
     )
     return df.join(ranks, list(order))
-
-
-def reliable_checkpoint(df: DataFrame) -> DataFrame:
-    """Checkpoint into the shared folder of ``spark.checkpoint.dir``.
-
-    A folder is set here only if the session names none (tests, local runs).
-    """
-    import tempfile
-
-    sc = df.sparkSession.sparkContext
-    if sc._jsc.sc().getCheckpointDir().isEmpty():
-        configured = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        sc.setCheckpointDir(configured or tempfile.mkdtemp(prefix="run-"))
-    return df.checkpoint()
