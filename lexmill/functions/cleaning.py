@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from lexmill.functions import lexicon as lx
 from lexmill.functions import patterns as rx
 from lexmill.functions import tokens
-from lexmill.functions.language import with_language
+from lexmill.functions.language import detect_language
 
 _EMAIL_HEAD = r"[\w.+-]"
 # Tried only where a run of address characters begins (or the last match ended),
@@ -148,30 +148,32 @@ def clean_minimal(text: Column | str) -> Column:
     return F.trim(rx.collapse_spaces(t))
 
 
-def with_clean_text(
-    df: DataFrame,
-    text: str = "text",
-    out: str = "clean_text",
-    deep: bool = False,
-    mode: str = "document",
-) -> DataFrame:
-    """Add the cleaned text (row-wise).
+def clean_text(text: Column | str, deep: bool = False, mode: str = "document") -> Column:
+    """The cleaned text.
 
     Deep cleaning adds special characters, noise and boilerplate lines, CJK
     phrases and document structure.
     """
-    _check(mode)
     if not deep:
-        return df.withColumn(out, clean_basic(text, mode))
-    lang, work = f"_{out}_lang", f"_{out}_work"
-    signature_chars = "".join(ch for code in lx.CJK_LANGUAGES for ch in lx.LANGUAGE_SIGNATURES[code])
-    head = F.substring(F.col(text), 1, 10_000)
-    # Only a text with a signature character of zh, ja or ko can be one of them.
-    staged_df = with_language(df, F.when(head.rlike(f"[{signature_chars}]"), head), out=lang)
-    cleaned = clean_special_chars(clean_basic(text, mode))
+        return clean_basic(text, mode)
+    t = rx.as_col(text)
+    cleaned = clean_special_chars(clean_basic(t, mode))
     cleaned = drop_boilerplate_lines(drop_noise_lines(cleaned, mode), mode)
-    code = F.col(f"{lang}.language")
-    cjk = F.when(code.isin(lx.CJK_LANGUAGES), clean_cjk(F.col(work), code)).otherwise(F.col(work))
-    # In document mode no line feed and no '#' is left, so structure rules cannot apply.
-    final = clean_structure(cjk) if mode == "lines" else cjk
-    return rx.staged(staged_df, [{work: cleaned}, {out: final}], keep=[out]).drop(lang)
+    signature_chars = "".join(ch for code in lx.CJK_LANGUAGES for ch in lx.LANGUAGE_SIGNATURES[code])
+
+    def finish(s: Column) -> Column:
+        # Only a text with a signature character of zh, ja or ko can be one of them.
+        code = F.when(s["head"].rlike(f"[{signature_chars}]"), detect_language(s["head"])["language"])
+        body = rx.bind({"code": code, "x": s["x"]}, lambda b: F.when(
+            b["code"].isin(lx.CJK_LANGUAGES), clean_cjk(b["x"], b["code"])).otherwise(b["x"]))
+        # In document mode no line feed and no '#' is left, so structure rules cannot apply.
+        return clean_structure(body) if mode == "lines" else body
+
+    return rx.bind({"x": cleaned, "head": F.substring(t, 1, 10_000)}, finish)
+
+
+def with_clean_text(
+    df: DataFrame, text: str = "text", out: str = "clean_text", deep: bool = False, mode: str = "document",
+) -> DataFrame:
+    """Add the cleaned text, evaluated once per row."""
+    return rx.add_once(df, {out: clean_text(text, deep, mode)})

@@ -9,107 +9,110 @@ from lexmill.functions import lexicon as lx
 from lexmill.functions import patterns as rx
 
 _LATIN = ["en", "es", "fr", "de"]
+_OTHER = [lang for lang in lx.LANGUAGE_SIGNATURES if lang not in _LATIN]
 _NON_LETTERS = "[" + rx.SPACE_SET + "".join("\\" + c if not c.isalnum() else c for c in lx.NON_LETTERS) + "]+"
 
 
-def _count_char(text: Column, ch: str) -> Column:
-    return F.length(text) - F.length(F.replace(text, F.lit(ch), F.lit("")))
+def _signature_scores(low: Column, n: Column, languages: list[str]) -> Column:
+    """Array of closeness scores to the signatures, each in [0, 1].
 
-
-def _signature_score(low: Column, n: Column, signature: dict[str, float]) -> Column:
-    """Closeness of the character shares to a signature, in [0, 1].
-
-    An absent character has share 0, hence closeness 0.
+    A score is the mean closeness of the character shares times the share of
+    signature characters that occur.  An absent character has share 0, hence
+    closeness 0.
     """
-    k = len(signature)
-    closeness = rx.total([
-        F.lit(1.0) - F.least(F.abs(_count_char(low, ch) / n * 100.0 - share) / share, F.lit(1.0))
-        for ch, share in signature.items()
+    signatures = [lx.LANGUAGE_SIGNATURES[lang] for lang in languages]
+    chars = sorted({ch for sig in signatures for ch in sig})
+    counts = F.transform(
+        rx.text_array(chars), lambda ch: F.length(low) - F.length(F.replace(low, ch, F.lit(""))))
+    table = F.array(*[
+        F.array(*[F.struct(F.lit(chars.index(ch)).alias("at"), F.lit(share).alias("share")) for ch, share in sig.items()])
+        for sig in signatures
     ])
-    present = rx.total([low.contains(ch).cast("int") for ch in signature])
-    return closeness / F.lit(float(k)) * (present / F.lit(float(k)))
 
+    def score(sig: Column, c: Column) -> Column:
+        k = F.size(sig).cast("double")
+        closeness = F.aggregate(sig, F.lit(0.0), lambda a, e: a + (
+            F.lit(1.0) - F.least(F.abs(F.get(c, e["at"]) / n * 100.0 - e["share"]) / e["share"], F.lit(1.0))))
+        present = F.size(F.filter(sig, lambda e: F.get(c, e["at"]) > 0))
+        return closeness / k * (present / k)
+
+    return rx.let(counts, lambda c: F.transform(table, lambda sig: score(sig, c)))
 
-def with_language(
-    df: DataFrame,
-    text: Column | str = "text",
-    out: str = "language",
-    min_length: int = 100,
-) -> DataFrame:
-    """Add ``out``: struct(language, confidence, all_scores).
+
+def detect_language(text: Column | str, min_length: int = 100) -> Column:
+    """struct(language, confidence, all_scores) of a text.
 
     Texts under ``min_length`` characters, or without letters, are ``unknown``.
-    Row-wise; pass ``substring(text, 1, n)`` to identify by a prefix.
+    Pass ``substring(text, 1, n)`` to identify by a prefix.
     """
-    t, low, n, other, best = (f"_{out}_{x}" for x in ("t", "low", "n", "other", "best"))
-    score = {lang: f"_{out}_{lang}" for lang in lx.LANGUAGE_SIGNATURES}
-    hits = {lang: f"_{out}_{lang}_script" for lang in lx.SCRIPT_OVERRIDES}
-
-    def scores() -> dict[str, Column]:
-        cols = {}
-        for lang, signature in lx.LANGUAGE_SIGNATURES.items():
-            s = _signature_score(F.col(low), F.col(n), signature)
-            # Only texts with characters beyond Latin letters pay for the other signatures.
-            gate = F.col(n) > 0 if lang in _LATIN else (F.col(n) > 0) & F.col(other)
-            cols[score[lang]] = F.when(gate, s).otherwise(F.lit(0.0))
-        for lang, script in lx.SCRIPT_OVERRIDES.items():
-            cols[hits[lang]] = F.when(F.col(other), rx.count_matches(F.col(t), script)).otherwise(F.lit(0))
-        return cols
-
-    overrides = [
-        (lang, (F.col(hits[lang]) > lx.SCRIPT_OVERRIDE_MIN) & (F.col(score[lang]) > 0))
-        for lang in lx.SCRIPT_OVERRIDES
-    ]
-    language = F.when(F.col(n) == 0, F.lit("unknown"))
-    for lang, hit in reversed(overrides):
-        language = language.when(hit, F.lit(lang))
-    language = language.when(F.col(best) <= 0, F.lit("unknown"))
-    for lang in lx.LANGUAGE_SIGNATURES:
-        language = language.when(F.col(score[lang]) == F.col(best), F.lit(lang))
-    boosted = [F.when(hit, F.col(score[lang]) + lx.SCRIPT_BONUS) for lang, hit in overrides]
-    result = F.struct(
-        language.alias("language"),
-        F.least(F.greatest(F.col(best), *boosted), F.lit(1.0)).alias("confidence"),
-        F.create_map(*[x for lang in score for x in (F.lit(lang), F.col(score[lang]))]).alias("all_scores"),
-    )
-    unknown = F.struct(
-        F.lit("unknown").alias("language"),
-        F.lit(0.0).alias("confidence"),
-        F.lit(None).cast("map<string,double>").alias("all_scores"),
-    )
-    is_short = F.coalesce(F.length(F.col(t)) < min_length, F.lit(True))
-    return rx.staged(
-        df,
-        [
-            {t: rx.as_col(text)},
-            {low: F.lower(F.col(t)), other: F.coalesce(F.col(t).rlike(r"[\x{0400}-\x{FFFF}]"), F.lit(False))},
-            {n: F.when(F.length(F.col(t)) >= min_length, F.length(F.regexp_replace(F.col(low), _NON_LETTERS, "")))
-                .otherwise(F.lit(0))},
-            scores(),
-            {best: F.greatest(*[F.col(c) for c in score.values()])},
-            {out: F.when(is_short | (F.col(n) == 0), unknown).otherwise(result)},
-        ],
-        keep=[out],
+    codes = _LATIN + _OTHER
+    scripts = list(lx.SCRIPT_OVERRIDES)
+
+    def result(language: Column, confidence: Column, scores: Column | None) -> Column:
+        named = F.lit(None).cast("map<string,double>") if scores is None else F.map_from_arrays(rx.text_array(codes), scores)
+        return F.struct(language.alias("language"), confidence.alias("confidence"), named.alias("all_scores"))
+
+    unknown = result(F.lit("unknown"), F.lit(0.0), None)
+
+    def decide(s: Column) -> Column:
+        scores, hits = s["scores"], s["hits"]
+        language = None
+        boosted = [F.array_max(scores)]
+        # Later scripts override earlier ones.
+        for code in reversed(scripts):
+            own = F.get(scores, F.lit(codes.index(code)))
+            hit = (F.get(hits, F.lit(scripts.index(code))) > lx.SCRIPT_OVERRIDE_MIN) & (own > 0)
+            language = F.when(hit, code) if language is None else language.when(hit, code)
+            boosted.append(F.when(hit, own + lx.SCRIPT_BONUS))
+        best = boosted[0]
+        language = language.when(best <= 0, "unknown").otherwise(
+            F.element_at(rx.text_array(codes), F.array_position(scores, best).cast("int")))
+        return result(language, F.least(F.greatest(*boosted), F.lit(1.0)), scores)
+
+    def scored(s: Column) -> Column:
+        # Only texts with characters beyond Latin letters pay for the other signatures.
+        others = F.when(s["other"], _signature_scores(s["low"], s["n"], _OTHER)).otherwise(
+            F.array_repeat(F.lit(0.0), len(_OTHER)))
+        hits = F.when(
+            s["other"],
+            F.transform(rx.text_array(list(lx.SCRIPT_OVERRIDES.values())), lambda r: F.regexp_count(s["t"], r)),
+        ).otherwise(F.array_repeat(F.lit(0), len(scripts)))
+        values = {"scores": F.concat(_signature_scores(s["low"], s["n"], _LATIN), others), "hits": hits}
+        return F.when(s["n"] > 0, rx.bind(values, decide)).otherwise(unknown)
+
+    def lettered(t: Column) -> Column:
+        return rx.bind(
+            {"t": t, "low": F.lower(t), "other": t.rlike(r"[\x{0400}-\x{FFFF}]"),
+             "n": F.length(F.regexp_replace(F.lower(t), _NON_LETTERS, ""))}, scored)
+
+    return rx.let(
+        F.coalesce(rx.as_col(text), F.lit("")),
+        lambda t: F.when(F.length(t) < min_length, unknown).otherwise(lettered(t)),
     )
 
 
+def with_language(df: DataFrame, text: Column | str = "text", out: str = "language", min_length: int = 100) -> DataFrame:
+    """Add ``out``: the language result struct, evaluated once per row."""
+    return rx.add_once(df, {out: detect_language(text, min_length)})
+
+
 def script_guess(text: Column | str) -> Column:
     """Language by script counts in the first 2000 characters, else ``en``."""
-    head = F.substring(rx.as_col(text), 1, 2000)
-    return (
+    return rx.let(F.substring(rx.as_col(text), 1, 2000), lambda head: (
         F.when(rx.count_matches(head, lx.SCRIPT_OVERRIDES["zh"]) > 100, "zh")
         .when(rx.count_matches(head, lx.SCRIPT_OVERRIDES["ja"]) > 50, "ja")
         .when(rx.count_matches(head, lx.SCRIPT_OVERRIDES["ko"]) > 50, "ko")
         .when(rx.count_matches(head, lx.CYRILLIC) > 50, "ru")
         .otherwise("en")
-    )
+    ))
 
 
 def primary_script(text: Column | str) -> Column:
     """Most frequent script in the first 1000 characters, above 10 hits; first wins ties."""
-    head = F.substring(rx.as_col(text), 1, 1000)
-    ranked = F.array_max(F.array(*[
-        F.struct(rx.count_matches(head, rule).alias("hits"), F.lit(-i).alias("rank"), F.lit(name).alias("name"))
-        for i, (name, rule) in enumerate(lx.PRIMARY_SCRIPTS.items())
-    ]))
-    return rx.let(ranked, lambda r: F.when(r["hits"] > 10, r["name"]).otherwise(F.lit("english")))
+    names, rules = list(lx.PRIMARY_SCRIPTS), list(lx.PRIMARY_SCRIPTS.values())
+    counts = rx.let(
+        F.substring(rx.as_col(text), 1, 1000),
+        lambda head: F.transform(rx.text_array(rules), lambda r: F.regexp_count(head, r)))
+    return rx.let(counts, lambda c: F.when(
+        F.array_max(c) > 10, F.element_at(rx.text_array(names), F.array_position(c, F.array_max(c)).cast("int")),
+    ).otherwise("english"))

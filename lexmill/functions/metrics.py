@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from lexmill.functions import lexicon as lx
 from lexmill.functions import patterns as rx
 from lexmill.functions import tokens
-from lexmill.functions.cleaning import with_clean_text
+from lexmill.functions.cleaning import clean_text
 
 TEXT_METRICS = [
     "length", "avg_word_length", "avg_sentence_length", "vocab_richness", "readability", "stopword_ratio",
@@ -37,41 +37,55 @@ def syllables(words: Column) -> Column:
     )
 
 
-def with_text_metrics(df: DataFrame, text: str = "text", language: Column | str = "language") -> DataFrame:
-    """Add length, word and sentence shape, readability and stop-word share.
+def text_metrics(text: Column | str, language: Column | str) -> Column:
+    """Struct of length, word and sentence shape, readability and stop-word share.
 
     English readability is the Flesch reading ease with vowel groups as
     syllables; other languages use a formula without syllables.  Blank texts
     get zeros.
     """
-    t, w, s, lang = F.col("_tm_t"), F.col("_tm_w"), F.col("_tm_s"), F.col("_tm_lang")
-    n = F.size(w)
-    c = {m: F.col(m) for m in TEXT_METRICS}
-    blank = F.coalesce(rx.strip(F.col(text)) == "", F.lit(True))
-    flesch = F.when(
-        n > 0,
-        206.835 - 1.015 * (n / F.greatest(F.lit(1), s)) - 84.6 * (syllables(w) / n),
-    ).otherwise(F.lit(0.0))
-    plain = 100 - F.least(F.lit(100.0), 4.71 * c["avg_word_length"] + 0.5 * c["avg_sentence_length"])
-    stop_count = None
-    for code, name in lx.STOP_WORD_LANGUAGES.items():
-        hits = _members(w, stop_words(name))
-        stop_count = F.when(lang == code, hits) if stop_count is None else stop_count.when(lang == code, hits)
-    per_word = lambda x: F.when(n > 0, x / n).otherwise(F.lit(0.0))
-    return rx.staged(df, [
-        {"_tm_t": F.when(blank, F.lit("")).otherwise(F.col(text)), "_tm_lang": rx.as_col(language)},
-        {"_tm_w": tokens.words(F.lower(t)),
-         "_tm_s": F.size(F.filter(F.split(t, "[.!?]+"), lambda x: rx.strip(x) != ""))},
-        {
-            "length": F.length(t),
-            "avg_word_length": per_word(F.length(F.array_join(w, ""))),
+    zeros = F.struct(*[F.lit(0 if m == "length" else 0.0).alias(m) for m in TEXT_METRICS])
+
+    def stats(s: Column) -> Column:
+        w, n, sentences, lang = s["w"], F.size(s["w"]), s["sentences"], s["lang"]
+        per_word = lambda x: F.when(n > 0, x / n).otherwise(F.lit(0.0))
+        stop_count = None
+        for code, name in lx.STOP_WORD_LANGUAGES.items():
+            hits = _members(w, stop_words(name))
+            stop_count = F.when(lang == code, hits) if stop_count is None else stop_count.when(lang == code, hits)
+        flesch = F.when(
+            n > 0, 206.835 - 1.015 * (n / F.greatest(F.lit(1), sentences)) - 84.6 * (syllables(w) / n),
+        ).otherwise(F.lit(0.0))
+        shape = {
+            "word": per_word(F.length(F.array_join(w, ""))),
             # Every word lies in exactly one sentence, so their counts add up to all words.
-            "avg_sentence_length": F.when(s > 0, n / s).otherwise(F.lit(0.0)),
-            "vocab_richness": per_word(F.size(F.array_distinct(w))),
-            "stopword_ratio": per_word(F.coalesce(stop_count, F.lit(0))),
-        },
-        {"readability": F.when(t == "", F.lit(0.0)).when(lang == "en", flesch).otherwise(plain)},
-    ], keep=TEXT_METRICS)
+            "sentence": F.when(sentences > 0, n / sentences).otherwise(F.lit(0.0)),
+        }
+        return rx.bind(shape, lambda a: F.struct(
+            F.length(s["t"]).alias("length"),
+            a["word"].alias("avg_word_length"),
+            a["sentence"].alias("avg_sentence_length"),
+            per_word(F.size(F.array_distinct(w))).alias("vocab_richness"),
+            F.when(lang == "en", flesch).otherwise(
+                100 - F.least(F.lit(100.0), 4.71 * a["word"] + 0.5 * a["sentence"])).alias("readability"),
+            per_word(F.coalesce(stop_count, F.lit(0))).alias("stopword_ratio"),
+        ))
+
+    def start(s: Column) -> Column:
+        values = {
+            "t": s["t"], "lang": s["lang"], "w": tokens.words(F.lower(s["t"])),
+            "sentences": F.size(F.filter(F.split(s["t"], "[.!?]+"), lambda x: rx.strip(x) != "")),
+        }
+        return F.when(rx.strip(s["t"]) != "", rx.bind(values, stats)).otherwise(zeros)
+
+    return rx.bind({"t": rx.as_col(text), "lang": rx.as_col(language)}, start)
+
+
+def with_text_metrics(df: DataFrame, text: str = "text", language: Column | str = "language") -> DataFrame:
+    """Add the text metrics, evaluated once per row."""
+    made = rx.add_once(df, {"_metrics": text_metrics(text, language)})
+    kept = [c for c in df.columns if c not in TEXT_METRICS]
+    return made.select(*[F.col(f"`{c}`") for c in kept], "_metrics.*")
 
 
 def noise_sample(text: Column | str) -> Column:
@@ -105,45 +119,70 @@ def big_text_sample(text: Column | str, small: int = 500_000, head: int = 100_00
     return F.when(n < small, F.substring(t, 1, head)).otherwise(windows)
 
 
-def with_noise_analysis(df: DataFrame, text: str = "text", full: bool = False, mode: str = "document") -> DataFrame:
-    """Add markup and noise ratios, sentence shape and expected cleaning effect.
+def noise_analysis(text: Column | str, full: bool = False, mode: str = "document") -> Column:
+    """Struct of markup and noise ratios, sentence shape and expected cleaning effect.
 
     The quick form estimates the reductions from the ratios; the full form
     cleans the first 2000 sample characters both ways.
     """
-    t, sample, head = F.col(text), F.col("_na_sample"), F.col("_na_head")
-    c = {m: F.col(m) for m in NOISE_METRICS}
     count_of = lambda s, ch: F.length(s) - F.length(F.replace(s, F.lit(ch), F.lit("")))
-    opened, opened_1000 = count_of(sample, "<"), count_of(F.substring(sample, 1, 1000), "<")
-    tags_1000 = rx.count_matches(F.substring(sample, 1, 1000), r"<[^>]+>")
-    tags = F.when(tags_1000 > 0, F.floor(opened * (tags_1000 / opened_1000))).otherwise(opened)
-    per_sample = lambda x, n: F.when(c["sample_length"] > 0, x / n).otherwise(F.lit(0.0))
-    reduced = lambda cleaned: F.when(
-        F.length(head) > 0, (1 - F.length(F.col(cleaned)) / F.length(head)) * 100).otherwise(F.lit(0.0))
-
-    df = df.withColumn("_na_sample", noise_sample(t)).withColumn("_na_head", F.substring(sample, 1, 2000))
-    if full:
-        df = with_clean_text(df, "_na_head", out="_na_regular", deep=False, mode=mode)
-        df = with_clean_text(df, "_na_head", out="_na_deep", deep=True, mode=mode)
-        reductions = {"regular_reduction": reduced("_na_regular"), "deep_reduction": reduced("_na_deep")}
-        late = {}
-    else:
-        reductions = {"regular_reduction": F.least(F.lit(80.0), c["html_ratio"] * 100 + c["noise_ratio"] * 50)}
-        late = {"deep_reduction": F.least(F.lit(90.0), c["regular_reduction"] * 1.3)}
-    result = rx.staged(df, [
-        {"text_length": F.length(t), "sample_length": F.length(sample),
-         "has_html": sample.contains("<") & sample.contains(">")},
-        {
-            "html_ratio": F.when(c["has_html"], per_sample(tags, c["sample_length"])).otherwise(F.lit(0.0)),
-            "noise_ratio": per_sample(
-                rx.count_matches(head, rf"[^\p{{L}}\p{{N}}{rx.SPACE_SET}]"), F.least(F.lit(2000), c["sample_length"])),
-            "sentence_count": F.greatest(F.lit(1), rx.count_matches(sample, r"[.!?]")),
-        },
-        {"avg_sentence_length": rx.count_matches(sample, r"\S+") / c["sentence_count"], **reductions},
-        late,
-        {"additional_reduction": c["deep_reduction"] - c["regular_reduction"]},
-    ], keep=NOISE_METRICS)
-    return result.drop("_na_sample", "_na_head", "_na_regular", "_na_deep")
+
+    def html_ratio(sample: Column, n: Column) -> Column:
+        opened = count_of(sample, "<")
+
+        def ratio(h: Column) -> Column:
+            tags = F.when(h["tags"] > 0, F.floor(opened * (h["tags"] / h["opened"]))).otherwise(opened)
+            return tags / n
+
+        head = F.substring(sample, 1, 1000)
+        marked = sample.contains("<") & sample.contains(">")
+        return F.when(marked, rx.bind(
+            {"tags": rx.count_matches(head, r"<[^>]+>"), "opened": count_of(head, "<")}, ratio)).otherwise(F.lit(0.0))
+
+    def reduced(head: Column, deep: bool) -> Column:
+        return F.when(F.length(head) > 0, (1 - F.length(clean_text(head, deep, mode)) / F.length(head)) * 100).otherwise(
+            F.lit(0.0))
+
+    def reductions(s: Column) -> Column:
+        if full:
+            regular, deep = reduced(s["head"], False), (lambda r: reduced(s["head"], True))
+        else:
+            regular = F.least(F.lit(80.0), s["html"] * 100 + s["noise"] * 50)
+            deep = lambda r: F.least(F.lit(90.0), r * 1.3)
+        return rx.let(regular, lambda r: rx.let(deep(r), lambda d: F.struct(
+            F.length(s["t"]).alias("text_length"),
+            F.length(s["sample"]).alias("sample_length"),
+            (s["sample"].contains("<") & s["sample"].contains(">")).alias("has_html"),
+            s["html"].alias("html_ratio"),
+            s["noise"].alias("noise_ratio"),
+            s["sentences"].alias("sentence_count"),
+            (rx.count_matches(s["sample"], r"\S+") / s["sentences"]).alias("avg_sentence_length"),
+            r.alias("regular_reduction"),
+            d.alias("deep_reduction"),
+            (d - r).alias("additional_reduction"),
+        )))
+
+    def measure(s: Column) -> Column:
+        n = F.length(s["sample"])
+        head = F.substring(s["sample"], 1, 2000)
+        symbols = rx.count_matches(head, rf"[^\p{{L}}\p{{N}}{rx.SPACE_SET}]")
+        return rx.bind({
+            "t": s["t"], "sample": s["sample"], "head": head,
+            "html": html_ratio(s["sample"], n),
+            "noise": F.when(n > 0, symbols / F.least(F.lit(2000), n)).otherwise(F.lit(0.0)),
+            "sentences": F.greatest(F.lit(1), rx.count_matches(s["sample"], r"[.!?]")),
+        }, reductions)
+
+    t = rx.as_col(text)
+    # Null texts have no analysis.
+    return rx.let(t, lambda x: F.when(x.isNotNull(), rx.bind({"t": x, "sample": noise_sample(x)}, measure)))
+
+
+def with_noise_analysis(df: DataFrame, text: str = "text", full: bool = False, mode: str = "document") -> DataFrame:
+    """Add the noise analysis columns, evaluated once per row."""
+    made = rx.add_once(df, {"_noise": noise_analysis(text, full, mode)})
+    kept = [c for c in df.columns if c not in NOISE_METRICS]
+    return made.select(*[F.col(f"`{c}`") for c in kept], "_noise.*")
 
 
 def sentence_length_score(avg: Column | str) -> Column:
@@ -151,21 +190,27 @@ def sentence_length_score(avg: Column | str) -> Column:
     return F.when(a < 50, F.least(F.lit(1.0), a / 20)).otherwise(1.0 - F.least(F.lit(1.0), (a - 50) / 100))
 
 
-def composite_score() -> Column:
-    """Weighted score of the noise analysis columns, in [0, 1]; 0 without an analysis."""
+def composite_score(analysis: Column | None = None) -> Column:
+    """Weighted score of a noise analysis, in [0, 1]; 0 without an analysis.
+
+    ``analysis`` is the struct; without it the analysis columns are read.
+    """
+    value = F.col if analysis is None else (lambda name: analysis[name])
     one = F.lit(1.0)
     terms = {
-        "text_length": F.least(one, F.col("text_length") / 10_000),
-        "regular_reduction": F.least(one, F.col("regular_reduction") / 100),
-        "deep_reduction": F.least(one, F.col("deep_reduction") / 100),
-        "sentence_length": sentence_length_score("avg_sentence_length"),
-        "html_cleanliness": 1.0 - F.least(one, F.col("html_ratio")),
-        "noise_level": 1.0 - F.least(one, F.col("noise_ratio") * 10),
+        "text_length": F.least(one, value("text_length") / 10_000),
+        "regular_reduction": F.least(one, value("regular_reduction") / 100),
+        "deep_reduction": F.least(one, value("deep_reduction") / 100),
+        "sentence_length": sentence_length_score(value("avg_sentence_length")),
+        "html_cleanliness": 1.0 - F.least(one, value("html_ratio")),
+        "noise_level": 1.0 - F.least(one, value("noise_ratio") * 10),
     }
     score = rx.total([terms[k] * w for k, w in lx.COMPOSITE_WEIGHTS.items()]) / sum(lx.COMPOSITE_WEIGHTS.values())
-    return F.coalesce(score, F.lit(0.0))
+    return F.when(value("text_length").isNotNull(), score).otherwise(F.lit(0.0))
 
 
-def needs_deep_cleaning() -> Column:
+def needs_deep_cleaning(analysis: Column | None = None) -> Column:
     """False if regular cleaning already removes much and deep cleaning adds little."""
-    return ~((F.col("deep_reduction") - F.col("regular_reduction") < 10) & (F.col("regular_reduction") > 30))
+    value = F.col if analysis is None else (lambda name: analysis[name])
+    enough = (value("deep_reduction") - value("regular_reduction") < 10) & (value("regular_reduction") > 30)
+    return F.coalesce(~enough, F.lit(True))

@@ -109,16 +109,48 @@ def let(value: Column, fn: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), fn), F.lit(0))
 
 
-def staged(df: DataFrame, stages: list[dict[str, Column]], keep: list[str]) -> DataFrame:
-    """Add columns stage by stage, then keep the input columns and ``keep``.
+def bind(values: dict[str, Column], fn: Callable[[Column], Column]) -> Column:
+    """Evaluate several values once; ``fn`` reads them as ``s["name"]``."""
+    return let(F.struct(*[v.alias(k) for k, v in values.items()]), fn)
 
-    Each stage is its own projection, so an expression that later stages use
-    several times is evaluated once per row.
+
+def add_once(df: DataFrame, values: dict[str, Column]) -> DataFrame:
+    """Add columns that later filters and projections reuse without evaluating again.
+
+    A predicate on an ordinary derived column is pushed below it, by copying
+    its expression.  Columns out of a generator are not copied, so costly text
+    work runs once per row.
     """
-    wanted = [c for c in df.columns if c not in keep] + keep
-    for stage in stages:
-        df = df.withColumns(stage)
-    return df.select(*[F.col(f"`{c}`") for c in wanted])
+    rest = [c for c in df.columns if c not in values]
+    return df.select(
+        *[F.col(f"`{c}`") for c in rest],
+        F.inline(F.array(F.struct(*[v.alias(k) for k, v in values.items()]))),
+    )
+
+
+def compiled(rules: list[str], **kw: bool) -> list[str]:
+    """Rules with their flags and classes, ready to be used as data."""
+    return [flags(**kw) + expand(r) for r in rules]
+
+
+def text_array(values: list[str]) -> Column:
+    return F.array(*[F.lit(v) for v in values]) if values else F.array().cast("array<string>")
+
+
+def rules_of(language: Column, per_language: dict[str, list[str]], **kw: bool) -> Column:
+    """The rules of the row's language as an array; null for a language without any."""
+    entries = [x for code, rs in per_language.items() for x in (F.lit(code), text_array(compiled(rs, **kw)))]
+    return F.try_element_at(F.create_map(*entries), language)
+
+
+def sum_matches(text: Column, rules: Column) -> Column:
+    """Sum of the match counts of an array of compiled rules; 0 for null."""
+    return F.coalesce(F.aggregate(rules, F.lit(0), lambda a, r: a + F.regexp_count(text, r)), F.lit(0))
+
+
+def rules_found(text: Column, rules: Column) -> Column:
+    """How many rules of an array are found at all; 0 for null."""
+    return F.coalesce(F.aggregate(rules, F.lit(0), lambda a, r: a + F.rlike(text, r).cast("int")), F.lit(0))
 
 
 def total(values: list[Column]) -> Column:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -10,16 +11,28 @@ from pyspark.sql import functions as F
 from lexmill.functions import lexicon as lx
 from lexmill.functions import patterns as rx
 from lexmill.functions import tokens
-from lexmill.functions.language import with_language
+from lexmill.functions.language import detect_language
 
 INDICATORS = list(lx.QUALITY_WEIGHTS)
 QUALITY_COLUMNS = [
     "length", "line_count", "word_count", "language", *INDICATORS, "quality_score", "quality_category",
 ]
 
+# What each output column is computed from.
+_NEEDS = {
+    "length": set(), "line_count": set(), "language": {"language"},
+    "word_count": {"words"}, "lexical_diversity": {"words"}, "top5_concentration": {"words"},
+    "avg_line_length": {"lines"}, "short_line_ratio": {"lines"}, "long_line_ratio": {"lines"},
+    "boilerplate_density": {"language", "boilerplate"}, "html_density": {"html"},
+    "question_density": {"language", "lines", "questions"}, "choice_density": {"language", "lines", "choices"},
+    "exam_content_likelihood": {"language", "lines", "questions", "choices"},
+}
+_NEEDS["quality_score"] = set().union(*(_NEEDS[c] for c in INDICATORS))
+_NEEDS["quality_category"] = _NEEDS["quality_score"]
+
 
 def _guard(rule: str) -> str:
-    """Longest literal run of a rule that every match must contain.
+    """Longest literal run that every match of a rule contains.
 
     Leaves out ``i`` and ``s``, the only ASCII letters with case variants that
     ``lower`` does not reach.
@@ -28,49 +41,48 @@ def _guard(rule: str) -> str:
     return max(re.findall(r"[a-hj-rt-z]+", literal), key=len)
 
 
-def _count_rules(text: Column, rules: list[str], **kw: bool) -> Column:
-    """Sum of the match counts of several rules, skipped if none is found."""
-    counts = rx.total([rx.count_matches(text, r, **kw) for r in rules])
-    return F.when(rx.matches(text, "|".join(f"(?:{r})" for r in rules), **kw), counts).otherwise(F.lit(0))
-
-
-def _by_language(language: Column, per_language: dict[str, Column], default: Column) -> Column:
-    """Value for the row's language; languages are exclusive, so one branch runs."""
-    chain = None
-    for code, value in per_language.items():
-        chain = F.when(language == code, value) if chain is None else chain.when(language == code, value)
-    return chain.otherwise(default)
-
-
 def boilerplate_matches(text: Column, low: Column, language: Column) -> Column:
     """Number of boilerplate phrases, common and of the language.
 
     A substring test on the lower-cased text spares most regular expressions.
     """
-    common = rx.total([
-        F.when(low.contains(_guard(r)), rx.count_matches(text, r, ignore_case=True)).otherwise(F.lit(0))
-        for r in lx.BOILERPLATE_COMMON
+    rules = F.array(*[
+        F.struct(F.lit(_guard(r)).alias("guard"), F.lit(c).alias("rule"))
+        for r, c in zip(lx.BOILERPLATE_COMMON, rx.compiled(lx.BOILERPLATE_COMMON, ignore_case=True))
     ])
-    own = _by_language(
-        language,
-        {code: _count_rules(text, rules, ignore_case=True) for code, rules in lx.BOILERPLATE_BY_LANGUAGE.items()},
-        F.lit(0),
-    )
-    return common + own
+    common = F.aggregate(rules, F.lit(0), lambda a, e: a + F.when(
+        F.contains(low, e["guard"]), F.regexp_count(text, e["rule"])).otherwise(F.lit(0)))
+    return common + rx.sum_matches(text, rx.rules_of(language, lx.BOILERPLATE_BY_LANGUAGE, ignore_case=True))
 
 
 def _structure_matches(text: Column, language: Column, common: list[str], own: dict[str, list[str]]) -> Column:
-    return _count_rules(text, common, multiline=True) + _by_language(
-        language, {code: _count_rules(text, rules, multiline=True) for code, rules in own.items()}, F.lit(0)
-    )
+    any_common = "|".join(f"(?:{r})" for r in common)
+    hits = F.when(
+        rx.matches(text, any_common, multiline=True),
+        rx.sum_matches(text, rx.text_array(rx.compiled(common, multiline=True))),
+    ).otherwise(F.lit(0))
+    return hits + rx.sum_matches(text, rx.rules_of(language, own, multiline=True))
+
+
+def question_matches(text: Column, language: Column) -> Column:
+    return _structure_matches(text, language, lx.QUESTION_COMMON, lx.QUESTION_BY_LANGUAGE)
+
+
+def choice_matches(text: Column, language: Column) -> Column:
+    return _structure_matches(text, language, lx.CHOICE_COMMON, lx.CHOICE_BY_LANGUAGE)
 
 
-def quality_score(c: dict[str, Column] | None = None) -> Column:
+def html_matches(text: Column) -> Column:
+    return rx.count_matches(text, r"</?[a-z]+>|&[a-z]+;", ignore_case=True)
+
+
+def quality_score(value: dict[str, Column]) -> Column:
     """Weighted sum of the indicators, in [0, 1]."""
-    c = c or {name: F.col(name) for name in INDICATORS}
-    length = c["avg_line_length"]
+    length = value["avg_line_length"]
     shaped = F.when(length.between(40, 200), F.lit(1.0) - F.abs(length - 120) / 120).otherwise(F.lit(0.2))
-    terms = [F.lit(w) * (shaped if name == "avg_line_length" else c[name]) for name, w in lx.QUALITY_WEIGHTS.items()]
+    terms = [
+        F.lit(w) * (shaped if name == "avg_line_length" else value[name]) for name, w in lx.QUALITY_WEIGHTS.items()
+    ]
     return F.greatest(F.lit(0.0), F.least(F.lit(1.0), rx.total([F.lit(lx.QUALITY_BASE), *terms])))
 
 
@@ -84,155 +96,229 @@ def quality_category(score: Column | str) -> Column:
     )
 
 
+def _word_stats(text: Column, low: Column) -> Column:
+    """struct(n, distinct, top5, spelled): word count, distinct words, top-5 sum, words as spelled."""
+    # lower() splits a word only at the dotted capital I; elsewhere both counts agree.
+    return rx.let(tokens.words(low), lambda w: rx.let(tokens.run_lengths(w), lambda c: F.struct(
+        F.size(w).alias("n"), F.size(c).alias("distinct"), tokens.top_sum(c).alias("top5"),
+        F.when(text.contains("\u0130"), F.size(tokens.words(text))).otherwise(F.size(w)).alias("spelled"),
+    )))
+
+
+def _line_stats(text: Column) -> Column:
+    """struct(n, chars, short, long) over the non-blank lines."""
+    full = F.filter(tokens.lines(text), lambda x: rx.strip(x) != "")
+    return rx.let(full, lambda f: rx.let(F.transform(f, lambda x: F.length(rx.strip(x))), lambda n: F.struct(
+        F.size(f).alias("n"),
+        tokens.array_sum(F.transform(f, F.length)).alias("chars"),
+        F.size(F.filter(n, lambda x: x < 40)).alias("short"),
+        F.size(F.filter(n, lambda x: x > 300)).alias("long"),
+    )))
+
+
+def quality(
+    text: Column | str, language: Column | str | None = None, columns: Sequence[str] = QUALITY_COLUMNS,
+) -> Column:
+    """Struct of quality columns of a text; only what they need is computed.
+
+    ``language`` is a column; without it a text is identified by its first 5000
+    characters.  Texts under 10 characters get score 0 and nulls.
+    """
+    columns = list(columns)
+    needs = set().union(*(_NEEDS[c] for c in columns))
+    types = {"language": "string", "quality_category": "string", "length": "int", "line_count": "int", "word_count": "int"}
+
+    def indicators(s: Column) -> dict[str, Column]:
+        t = s["t"]
+        n = F.length(t)
+        per = lambda hits, floor: F.least(F.lit(1.0), hits / floor)
+        v: dict[str, Column] = {"length": n, "line_count": F.size(tokens.lines(t))}
+        if "language" in needs:
+            v["language"] = s["language"]
+        if "words" in needs:
+            w = s["words"]
+            v["word_count"] = w["spelled"]
+            v["lexical_diversity"] = F.when(w["n"] > 0, w["distinct"] / w["n"]).otherwise(F.lit(0.0))
+            v["top5_concentration"] = F.when(w["n"] > 0, w["top5"] / w["n"]).otherwise(F.lit(1.0))
+        if "lines" in needs:
+            ln = s["lines"]
+            v["avg_line_length"] = F.when(ln["n"] > 0, ln["chars"] / ln["n"]).otherwise(F.lit(0.0))
+            v["short_line_ratio"] = F.when(ln["n"] > 0, ln["short"] / ln["n"]).otherwise(F.lit(1.0))
+            v["long_line_ratio"] = F.when(ln["n"] > 0, ln["long"] / ln["n"]).otherwise(F.lit(0.0))
+            per_line = F.greatest(F.lit(1), ln["n"])
+        if "boilerplate" in needs:
+            v["boilerplate_density"] = per(s["boilerplate"], F.greatest(F.lit(1.0), n / 1000))
+        if "html" in needs:
+            v["html_density"] = per(s["html"], F.greatest(F.lit(1.0), n / 100))
+        if "questions" in needs:
+            v["question_density"] = per(s["questions"], per_line)
+        if "choices" in needs:
+            v["choice_density"] = per(s["choices"], per_line)
+        if {"questions", "choices"} <= needs:
+            q, c, lines = s["questions"], s["choices"], s["lines"]["n"].cast("double")
+            v["exam_content_likelihood"] = F.when(
+                (q > 1) & (c > 1), per(q.cast("double") * c, lines * lines)).otherwise(F.lit(0.0))
+        return v
+
+    def finish(s: Column) -> Column:
+        v = indicators(s)
+        wants_score = {"quality_score", "quality_category"} & set(columns)
+        plain = {c: v[c] for c in (set(columns) | set(INDICATORS if wants_score else [])) & set(v)}
+
+        def scored(i: Column) -> Column:
+            score = quality_score({c: i[c] for c in INDICATORS}) if wants_score else F.lit(None)
+            return rx.let(score, lambda q: F.struct(*[
+                (q if c == "quality_score" else quality_category(q) if c == "quality_category" else i[c]).alias(c)
+                for c in columns
+            ]))
+
+        return rx.bind(plain, scored) if plain else scored(s)
+
+    def blocks(s: Column) -> Column:
+        t, low, lang = s["t"], s["low"], s["language"]
+        b: dict[str, Column] = {"t": t, "language": lang}
+        if "words" in needs:
+            b["words"] = _word_stats(t, low)
+        if "lines" in needs:
+            b["lines"] = _line_stats(t)
+        if "boilerplate" in needs:
+            b["boilerplate"] = boilerplate_matches(t, low, lang)
+        if "html" in needs:
+            b["html"] = html_matches(t)
+        if "questions" in needs:
+            b["questions"] = question_matches(t, lang)
+        if "choices" in needs:
+            b["choices"] = choice_matches(t, lang)
+        return rx.bind(b, finish)
+
+    def start(s: Column) -> Column:
+        t = s["t"]
+        if "language" not in needs:
+            lang = F.lit(None).cast("string")
+        elif language is None:
+            lang = detect_language(F.substring(t, 1, 5000))["language"]
+        else:
+            lang = s["given"]
+        low = F.lower(t) if needs & {"words", "boilerplate"} else F.lit(None).cast("string")
+        return rx.bind({"t": t, "low": low, "language": lang}, blocks)
+
+    empty = F.struct(*[
+        (F.lit(0.0) if c == "quality_score" else F.lit(None).cast(types.get(c, "double"))).alias(c) for c in columns
+    ])
+    given = F.lit(None).cast("string") if language is None else rx.as_col(language)
+    return rx.bind(
+        {"t": rx.as_col(text), "given": given}, lambda s: F.when(F.length(s["t"]) >= 10, start(s)).otherwise(empty))
+
+
 def with_quality(
     df: DataFrame,
     text: str = "text",
-    language: str | None = None,
+    language: Column | str | None = None,
     prefix: str = "",
+    columns: Sequence[str] = QUALITY_COLUMNS,
 ) -> DataFrame:
-    """Add the quality indicators, score and category.
+    """Add quality columns, evaluated once per row; see :func:`quality`.
 
-    ``language`` fixes the language; without it each text is identified by its
-    first 5000 characters.  Texts under 10 characters get score 0 and nulls.
-    ``prefix`` goes before every output column.  Unused indicators are pruned
-    by the optimizer.
+    ``prefix`` goes before every output column.
     """
-    names = {c: prefix + c for c in QUALITY_COLUMNS}
-    tmp = {x: f"_{prefix}q_{x}" for x in
-           ("t", "low", "words", "counts", "lang", "lines", "full", "n_full", "bp", "html", "q", "ch", "n")}
-    col = {k: F.col(v) for k, v in tmp.items()}
-    out = {k: F.col(v) for k, v in names.items()}
-    keep = [names[c] for c in QUALITY_COLUMNS]
-
-    scored = F.length(F.col(text)) >= 10
-    staged = df.withColumn(tmp["t"], F.when(scored, F.col(text)))
-    if language is None:
-        staged = with_language(staged, F.substring(col["t"], 1, 5000), out=tmp["lang"])
-        lang = F.col(f"{tmp['lang']}.language")
-    else:
-        staged = staged.withColumn(tmp["lang"], F.lit(language))
-        lang = col["lang"]
-
-    n_words = F.size(col["words"])
-    floor = lambda n: F.greatest(F.lit(1.0), n)
-    share = lambda hits, n: F.least(F.lit(1.0), hits / n)
-    full_or = lambda value, empty: F.when(col["n_full"] > 0, value).otherwise(F.lit(empty))
-    per_line = F.greatest(F.lit(1), col["n_full"])
-    # lower() splits a word only at the dotted capital I; elsewhere both counts agree.
-    word_count = F.when(col["t"].contains("\u0130"), F.size(tokens.words(col["t"]))).otherwise(n_words)
-
-    stages = [
-        {tmp["low"]: F.lower(col["t"]), names["language"]: F.when(col["t"].isNotNull(), lang),
-         tmp["lines"]: tokens.lines(col["t"]), tmp["n"]: F.length(col["t"])},
-        {tmp["words"]: tokens.words(col["low"]),
-         tmp["full"]: F.filter(col["lines"], lambda x: rx.strip(x) != "")},
-        {tmp["counts"]: tokens.run_lengths(col["words"]),
-         tmp["n_full"]: F.size(col["full"]),
-         tmp["bp"]: boilerplate_matches(col["t"], col["low"], out["language"]),
-         tmp["html"]: rx.count_matches(col["t"], r"</?[a-z]+>|&[a-z]+;", ignore_case=True),
-         tmp["q"]: _structure_matches(col["t"], out["language"], lx.QUESTION_COMMON, lx.QUESTION_BY_LANGUAGE),
-         tmp["ch"]: _structure_matches(col["t"], out["language"], lx.CHOICE_COMMON, lx.CHOICE_BY_LANGUAGE)},
-        {
-            names["length"]: col["n"],
-            names["line_count"]: F.size(F.when(col["t"].isNotNull(), col["lines"])),
-            names["word_count"]: word_count,
-            names["lexical_diversity"]: F.when(n_words > 0, F.size(col["counts"]) / n_words).otherwise(F.lit(0.0)),
-            names["top5_concentration"]: tokens.top_share(col["counts"], n_words),
-            names["avg_line_length"]: full_or(tokens.array_sum(F.transform(col["full"], F.length)) / col["n_full"], 0.0),
-            names["short_line_ratio"]: full_or(
-                F.size(F.filter(col["full"], lambda x: F.length(rx.strip(x)) < 40)) / col["n_full"], 1.0),
-            names["long_line_ratio"]: full_or(
-                F.size(F.filter(col["full"], lambda x: F.length(rx.strip(x)) > 300)) / col["n_full"], 0.0),
-            names["boilerplate_density"]: share(col["bp"], floor(col["n"] / 1000)),
-            names["html_density"]: share(col["html"], floor(col["n"] / 100)),
-            names["question_density"]: share(col["q"], per_line),
-            names["choice_density"]: share(col["ch"], per_line),
-            names["exam_content_likelihood"]: F.when(
-                (col["q"] > 1) & (col["ch"] > 1),
-                share(col["q"] * col["ch"], (col["n_full"] * col["n_full"]).cast("double")),
-            ).otherwise(F.lit(0.0)),
-        },
-        {names["quality_score"]: quality_score({c: out[c] for c in INDICATORS})},
-        {names["quality_category"]: F.when(col["t"].isNotNull(), quality_category(out["quality_score"]))},
-        # Short texts: score 0, no indicators.
-        {**{names[c]: F.when(col["t"].isNotNull(), out[c]) for c in QUALITY_COLUMNS if c != "quality_score"},
-         names["quality_score"]: F.when(col["t"].isNotNull(), out["quality_score"]).otherwise(F.lit(0.0))},
-    ]
-    return rx.staged(staged, stages, keep=keep).drop(tmp["t"], tmp["lang"])
+    names = {c: prefix + c for c in columns}
+    made = rx.add_once(df, {f"_{prefix}quality": quality(text, language, columns)})
+    kept = [c for c in df.columns if c not in names.values()]
+    return made.select(*[F.col(f"`{c}`") for c in kept], *[F.col(f"_{prefix}quality.{c}").alias(n) for c, n in names.items()])
+
+
+FILTER_COLUMNS = [
+    "exam_content_likelihood", "boilerplate_density", "lexical_diversity", "html_density", "quality_score",
+]
 
 
-def filter_reason(text: Column | str = "text", prefix: str = "") -> Column:
-    """Why a scored document is dropped; null if it is kept.  First rule wins."""
-    c = lambda name: F.col(prefix + name)
+def filter_reason(text: Column, q: Column) -> Column:
+    """Why a document with the quality struct ``q`` is dropped; null if it is kept.  First rule wins."""
     lim = lx.FILTER_THRESHOLDS
-    n = F.length(rx.as_col(text))
+    n = F.length(text)
     return (
         F.when(n.isNull() | (n < lim["min_length"]), "too_short")
-        .when(c("exam_content_likelihood") > lim["exam"], "exam_content")
-        .when(c("boilerplate_density") > lim["boilerplate"], "boilerplate")
-        .when((c("lexical_diversity") < lim["diversity"]) & (n > lim["diversity_min_length"]), "low_diversity")
-        .when(c("html_density") > lim["html"], "html_artifacts")
-        .when(c("quality_score") < lim["score"], "low_score")
+        .when(q["exam_content_likelihood"] > lim["exam"], "exam_content")
+        .when(q["boilerplate_density"] > lim["boilerplate"], "boilerplate")
+        .when((q["lexical_diversity"] < lim["diversity"]) & (n > lim["diversity_min_length"]), "low_diversity")
+        .when(q["html_density"] > lim["html"], "html_artifacts")
+        .when(q["quality_score"] < lim["score"], "low_score")
     )
 
 
-def with_paragraph_metrics(df: DataFrame, text: str = "text") -> DataFrame:
-    """Add paragraph_count, avg_paragraph_length, paragraph_repetition.
+PARAGRAPH_COLUMNS = ["paragraph_count", "avg_paragraph_length", "paragraph_repetition"]
 
-    Null where a text has no paragraph.
-    """
-    names = ["paragraph_count", "avg_paragraph_length", "paragraph_repetition"]
-    p, f = F.col("_pm_p"), F.col("_pm_f")
-    some = F.size(p) > 0
-    # Sum of (count - 1) over the fingerprints = all minus distinct.
-    repeats = (F.size(f) - F.size(F.array_distinct(f))) / F.greatest(F.lit(1), F.size(f) - 1)
-    return rx.staged(df, [
-        {"_pm_p": F.filter(F.split(F.col(text), "\n\n"), lambda x: rx.strip(x) != "")},
-        {"_pm_f": F.transform(F.filter(p, lambda x: F.length(x) >= 50), lambda x: F.lower(F.substring(x, 1, 50)))},
-        {
-            "paragraph_count": F.when(some, F.size(p)),
-            "avg_paragraph_length": F.when(some, tokens.array_sum(F.transform(p, F.length)) / F.size(p)),
-            "paragraph_repetition": F.when(some & (F.size(p) > 1) & (F.size(f) > 0), repeats)
-                .when(some, F.lit(0.0)),
-        },
-    ], keep=names)
+
+def paragraph_metrics(text: Column | str) -> Column:
+    """struct(paragraph_count, avg_paragraph_length, paragraph_repetition); nulls without a paragraph."""
+
+    def stats(p: Column) -> Column:
+        some = F.size(p) > 0
+        prints = F.transform(F.filter(p, lambda x: F.length(x) >= 50), lambda x: F.lower(F.substring(x, 1, 50)))
+
+        def repetition(f: Column) -> Column:
+            # Sum of (count - 1) over the fingerprints = all minus distinct.
+            share = (F.size(f) - F.size(F.array_distinct(f))) / F.greatest(F.lit(1), F.size(f) - 1)
+            return F.when(some & (F.size(p) > 1) & (F.size(f) > 0), share).when(some, F.lit(0.0))
+
+        return F.struct(
+            F.when(some, F.size(p)).alias("paragraph_count"),
+            F.when(some, tokens.array_sum(F.transform(p, F.length)) / F.size(p)).alias("avg_paragraph_length"),
+            rx.let(prints, repetition).alias("paragraph_repetition"),
+        )
+
+    return rx.let(F.filter(F.split(rx.as_col(text), "\n\n"), lambda x: rx.strip(x) != ""), stats)
+
+
+def with_paragraph_metrics(df: DataFrame, text: str = "text") -> DataFrame:
+    made = rx.add_once(df, {"_pm": paragraph_metrics(text)})
+    return made.select("*", "_pm.*").drop("_pm")
 
 
 ISSUE_COLUMNS = ["exam_content", "excessive_boilerplate", "excessive_formatting", "machine_generated", "highly_repetitive"]
 
 
-def _phrases_found(text: Column, phrases: list[str], weight: int = 1) -> Column:
-    found = rx.total([rx.matches(text, p, ignore_case=True).cast("int") for p in phrases])
-    any_hit = rx.matches(text, "|".join(phrases), ignore_case=True)
-    return F.when(any_hit, found * weight).otherwise(F.lit(0))
-
-
-def with_issue_flags(df: DataFrame, text: str = "text", language: str = "language") -> DataFrame:
-    """Add five issue flags and ``should_filter``, their disjunction."""
-    t, lang = F.col(text), F.col(language)
-    own_exam = {code: _phrases_found(t, ps) for code, ps in lx.EXAM_PHRASES.items()}
-    # English phrases count for every language, and so twice for English.
-    exam = _by_language(lang, own_exam, F.lit(0)) + _phrases_found(t, lx.EXAM_PHRASES["en"])
-    own_bp = {code: _phrases_found(t, ps) for code, ps in lx.ISSUE_BOILERPLATE.items() if code != "common"}
-    boilerplate = _by_language(lang, own_bp, F.lit(0)) + _phrases_found(t, lx.ISSUE_BOILERPLATE["common"])
-    formatting = rx.total([rx.count_matches(t, r, ignore_case=True) for r in lx.FORMATTING_RULES])
-    lens, words, mean = F.col("_is_lens"), F.col("_is_words"), F.col("_is_mean")
-    n = F.size(lens)
-    deviation = F.sqrt(
-        F.aggregate(lens, F.lit(0.0), lambda a, x: a + (x - mean) * (x - mean)) / n
-    )
-    flags = {
-        # Three option marks anywhere are the same as mark, anything, mark, anything, mark.
-        "exam_content": (exam >= 2) | (rx.count_matches(t, r"[A-D]\.") >= 3),
-        "excessive_boilerplate": boilerplate >= 3,
-        "excessive_formatting": formatting > F.length(t) * 0.02,
-        "machine_generated": (n > 5) & (mean > 20) & (deviation < mean * 0.3),
-        "highly_repetitive": (F.size(words) > 50) & (F.size(F.array_distinct(words)) / F.size(words) < 0.3),
-    }
-    return rx.staged(df, [
-        {"_is_words": tokens.words(F.lower(t)),
-         "_is_lens": F.transform(F.split(t, "[.!?。！？]+", -1), F.length)},
-        {"_is_mean": tokens.array_sum(lens) / n},
-        flags,
-        {"should_filter": rx.any_of([F.col(c) for c in ISSUE_COLUMNS])},
-    ], keep=[*ISSUE_COLUMNS, "should_filter"])
+def issue_flags(text: Column | str, language: Column | str) -> Column:
+    """Struct of five issue flags and ``should_filter``, their disjunction."""
+
+    def phrases(t: Column, lang: Column, table: dict[str, list[str]], common: str) -> Column:
+        shared = rx.text_array(rx.compiled(table[common], ignore_case=True))
+        own = {code: ps for code, ps in table.items() if code != "common"}
+        return rx.rules_found(t, shared) + rx.rules_found(t, rx.rules_of(lang, own, ignore_case=True))
+
+    def uneven(lens: Column) -> Column:
+        """False where sentence lengths vary little around a mean above 20."""
+        n = F.size(lens)
+
+        def by_mean(mean: Column) -> Column:
+            squares = F.aggregate(lens, F.lit(0.0), lambda a, x: a + (x - mean) * (x - mean))
+            return (n > 5) & (mean > 20) & (F.sqrt(squares / n) < mean * 0.3)
+
+        return rx.let(tokens.array_sum(lens) / n, by_mean)
+
+    def flags(s: Column) -> Column:
+        t, lang = s["t"], s["lang"]
+        formatting = rx.sum_matches(t, rx.text_array(rx.compiled(lx.FORMATTING_RULES, ignore_case=True)))
+        lens = F.transform(F.split(t, "[.!?。！？]+", -1), F.length)
+        repetitive = rx.let(tokens.words(F.lower(t)), lambda w: (F.size(w) > 50) & (
+            F.size(F.array_distinct(w)) / F.size(w) < 0.3))
+        return F.struct(
+            # English phrases count for every language, and so twice for English.  Three option
+            # marks anywhere are the same as mark, anything, mark, anything, mark.
+            ((phrases(t, lang, lx.EXAM_PHRASES, "en") >= 2) | (rx.count_matches(t, r"[A-D]\.") >= 3)).alias("exam_content"),
+            (phrases(t, lang, lx.ISSUE_BOILERPLATE, "common") >= 3).alias("excessive_boilerplate"),
+            (formatting > F.length(t) * 0.02).alias("excessive_formatting"),
+            rx.let(lens, uneven).alias("machine_generated"),
+            repetitive.alias("highly_repetitive"),
+        )
+
+    def with_verdict(f: Column) -> Column:
+        return F.struct(*[f[c].alias(c) for c in ISSUE_COLUMNS], rx.any_of([f[c] for c in ISSUE_COLUMNS]).alias("should_filter"))
+
+    return rx.let(rx.bind({"t": rx.as_col(text), "lang": rx.as_col(language)}, flags), with_verdict)
+
+
+def with_issue_flags(df: DataFrame, text: str = "text", language: Column | str = "language") -> DataFrame:
+    """Add the issue flags and ``should_filter``, evaluated once per row."""
+    made = rx.add_once(df, {"_issues": issue_flags(text, language)})
+    return made.select("*", "_issues.*").drop("_issues")

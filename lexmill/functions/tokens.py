@@ -40,10 +40,9 @@ def run_lengths(values: Column) -> Column:
     )
 
 
-def top_share(counts: Column, n_words: Column, k: int = 5) -> Column:
-    """Share of the ``k`` most frequent words; 1 for no words."""
-    top = F.aggregate(F.slice(F.sort_array(counts, asc=False), 1, k), F.lit(0), lambda a, x: a + x)
-    return F.when(n_words > 0, top / n_words).otherwise(F.lit(1.0))
+def top_sum(counts: Column, k: int = 5) -> Column:
+    """Sum of the ``k`` largest counts."""
+    return F.aggregate(F.slice(F.sort_array(counts, asc=False), 1, k), F.lit(0), lambda a, x: a + x)
 
 
 def array_sum(values: Column) -> Column:

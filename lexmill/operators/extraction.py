@@ -7,9 +7,13 @@ from pyspark.sql import functions as F
 
 from lexmill.functions import html as h
 from lexmill.functions import lexicon as lx
+from lexmill.functions import patterns as rx
 from lexmill.functions.decoding import declared_charset, decode_best_effort
 from lexmill.operators.ranking import small_side
 
+# Up to this many topics are tested one by one on each text.
+FEW_TOPICS = 1000
+
 
 def with_extracted_text(
     df: DataFrame,
@@ -32,26 +36,28 @@ def with_extracted_text(
         early = F.when(~h.is_text_media_type(F.coalesce(F.col(content_type), F.lit(""))), "media_type")
     too_small = F.coalesce(F.octet_length(raw) < lx.MIN_PAYLOAD_BYTES, F.lit(True))
     # Undecodable bytes are skipped when looking for markers.
-    sniffed = F.translate(F.make_valid_utf8(raw.cast("string")), "�", "") if binary else raw
+    sniffed = F.translate(F.make_valid_utf8(raw.cast("string")), "\ufffd", "") if binary else raw
     early = F.coalesce(early, F.when(too_small, "too_small"), F.when(~h.is_probably_html(sniffed), "not_html"))
 
-    df = df.withColumn("_early", early).withColumn("_raw", F.when(F.col("_early").isNull(), raw))
+    df = rx.add_once(df, {"_early": early})
+    accepted = F.when(F.col("_early").isNull(), raw)
     if binary:
         header = F.col(content_type) if content_type is not None else F.lit("")
-        df = df.withColumn("_charset", declared_charset(F.coalesce(header, F.lit("")), F.col("_raw")))
-        df = df.withColumn("_html", decode_best_effort("_raw", "_charset"))
+        charset = declared_charset(F.coalesce(header, F.lit("")), accepted)
+        df = rx.add_once(df, {"_charset": charset})
+        page = decode_best_effort(accepted, F.col("_charset"))
     else:
-        df = df.withColumn("_html", F.col("_raw"))
-    df = df.withColumn("_text", h.html_to_text("_html"))
+        page = accepted
+    df = rx.add_once(df, {"_text": h.html_to_text(page)})
     reason = F.coalesce(
         F.col("_early"),
         F.when(F.col("_text").isNull(), "not_decodable"),
         F.when(~h.has_document_length("_text"), "length"),
         F.when(~h.matches_topics("_text", url, topics, domains), "off_topic"),
     )
-    df = df.withColumn("reject_reason", reason)
+    df = rx.add_once(df, {"reject_reason": reason})
     df = df.withColumn(out, F.when(F.col("reject_reason").isNull(), F.col("_text")))
-    return df.drop("_early", "_raw", "_charset", "_html", "_text")
+    return df.drop("_early", "_charset", "_text")
 
 
 def pages_to_documents(df: DataFrame, **options) -> DataFrame:
@@ -80,21 +86,29 @@ def observe_extraction(extracted: DataFrame, name: str = "extraction") -> DataFr
 def match_topic_table(df: DataFrame, topics: DataFrame, key: str, text: str, topic: str = "topic") -> DataFrame:
     """Rows whose text contains any topic of a table, ignoring case.
 
-    Equi-join on a short gram: a text that contains a topic contains its first
-    (up to) three characters.  Grams are taken per text once, so neither a
-    nested-loop join nor a bound on the topic list is needed.
+    A few topics are tested row by row.  More are found by an equi-join on a
+    short gram: a text that contains a topic contains its first (up to) three
+    characters.  So no nested-loop join and no bound on the topics is needed.
     """
     wanted = topics.select(F.lower(topic).alias("_topic")).where(F.col("_topic") != "").distinct()
+    few = wanted.limit(FEW_TOPICS + 1).collect()
+    if len(few) <= FEW_TOPICS:
+        listed = rx.text_array([r["_topic"] for r in few])
+        return df.where(rx.let(F.lower(text), lambda low: F.exists(listed, lambda t: F.contains(low, t))))
     wanted = wanted.withColumn("_gram", F.substring("_topic", 1, 3))
 
-    def grams(low: Column, size: int) -> Column:
-        at = F.sequence(F.lit(1), F.greatest(F.lit(1), F.length(low) - (size - 1)))
-        return F.array_distinct(F.transform(at, lambda i: F.substring(low, i, F.lit(size))))
+    def grams(low: Column) -> Column:
+        def of_chars(c: Column) -> Column:
+            at = lambda i: F.coalesce(F.get(c, i), F.lit(""))
+            pairs = F.transform(c, lambda x, i: F.concat(x, at(i + 1)))
+            triples = F.transform(c, lambda x, i: F.concat(x, at(i + 1), at(i + 2)))
+            return F.array_distinct(F.concat(c, pairs, triples))
+
+        return rx.let(F.regexp_extract_all(low, F.lit("(?s)."), F.lit(0)), of_chars)
 
     # Only identities travel with the grams; the text joins again for the candidates.
     per_text = df.select(F.col(key).alias("_key"), F.lower(text).alias("_low"))
-    all_grams = F.concat(*[grams(F.col("_low"), s) for s in (1, 2, 3)])
-    exploded = per_text.select("_key", F.explode(F.array_distinct(all_grams)).alias("_gram"))
+    exploded = per_text.select("_key", F.explode(grams(F.col("_low"))).alias("_gram"))
     candidates = exploded.join(small_side(wanted), "_gram").select("_key", "_topic")
     hits = per_text.join(candidates, "_key").where(F.col("_low").contains(F.col("_topic"))).select("_key").distinct()
     return df.join(hits, F.col(key) == F.col("_key"), "left_semi")

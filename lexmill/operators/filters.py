@@ -9,17 +9,17 @@ from lexmill.functions import lexicon as lx
 from lexmill.functions import patterns as rx
 from lexmill.functions import tokens
 from lexmill.functions.language import primary_script
-from lexmill.functions.quality import QUALITY_COLUMNS, filter_reason, with_quality
+from lexmill.functions.quality import FILTER_COLUMNS, filter_reason, quality
 
 
-def with_filter_reason(df: DataFrame, text: str = "text", language: str | None = None) -> DataFrame:
-    """Add ``filter_reason``; null means the document is kept."""
-    prefix = "_fr_"
-    scored = with_quality(df, text, language=language, prefix=prefix)
-    return scored.withColumn("filter_reason", filter_reason(text, prefix)).drop(*[prefix + c for c in QUALITY_COLUMNS])
+def with_filter_reason(df: DataFrame, text: str = "text", language: Column | str | None = None) -> DataFrame:
+    """Add ``filter_reason``, evaluated once per row; null means the document is kept."""
+    reason = rx.bind(
+        {"t": F.col(text), "q": quality(text, language, FILTER_COLUMNS)}, lambda s: filter_reason(s["t"], s["q"]))
+    return rx.add_once(df, {"filter_reason": reason})
 
 
-def keep_good_quality(df: DataFrame, text: str = "text", language: str | None = None) -> DataFrame:
+def keep_good_quality(df: DataFrame, text: str = "text", language: Column | str | None = None) -> DataFrame:
     """Documents that no quality rule drops."""
     return with_filter_reason(df, text, language).where(F.col("filter_reason").isNull()).drop("filter_reason")
 
@@ -44,54 +44,47 @@ def remove_remnants(text: Column | str) -> Column:
     return F.array_join(F.filter(F.transform(tokens.lines(cleaned), rx.strip), keep), "\n")
 
 
-def _looks_like_exam(text: Column, script: Column) -> Column:
+def _looks_like_exam(text: Column) -> Column:
+    def rules(name: str) -> Column:
+        return rx.text_array(rx.compiled(lx.PATTERN_FILTER_EXAM[name], ignore_case=True))
+
     any_script = [
         rx.count_matches(text, r, ignore_case=True, multiline=True) >= 3 for r in lx.PATTERN_FILTER_EXAM_ANY_SCRIPT
     ]
-
-    def two_of(rules: list[str]) -> Column:
-        return rx.total([rx.matches(text, r, ignore_case=True).cast("int") for r in rules]) >= 2
-
-    rules = lx.PATTERN_FILTER_EXAM
-    by_script = (
-        F.when(script == "chinese", two_of(rules["chinese"]))
-        .when(script == "japanese", two_of(rules["japanese"]))
-        .otherwise(two_of(rules["english"]))
-    )
-    return rx.any_of(any_script) | by_script
+    own_rules = rx.let(primary_script(text), lambda script: F.when(script == "chinese", rules("chinese"))
+                       .when(script == "japanese", rules("japanese")).otherwise(rules("english")))
+    return rx.any_of(any_script) | (rx.rules_found(text, own_rules) >= 2)
 
 
 def _looks_like_boilerplate(text: Column) -> Column:
     strong = [r for r, s in lx.PATTERN_FILTER_BOILERPLATE if s]
-    weak = [r for r, s in lx.PATTERN_FILTER_BOILERPLATE if not s]
-    n_weak = rx.total([rx.matches(text, r, ignore_case=True).cast("int") for r in weak])
+    weak = rx.compiled([r for r, s in lx.PATTERN_FILTER_BOILERPLATE if not s], ignore_case=True)
     return rx.matches(text, "|".join(f"(?:{r})" for r in strong), ignore_case=True) | (
-        n_weak >= lx.PATTERN_FILTER_WEAK_LIMIT)
+        rx.rules_found(text, rx.text_array(weak)) >= lx.PATTERN_FILTER_WEAK_LIMIT)
 
 
-def with_pattern_filter(df: DataFrame, text: str = "text", out: str = "clean_text") -> DataFrame:
+def pattern_filtered(text: Column | str) -> Column:
     """Multilingual pattern filter for multi-line text.
 
-    Adds ``out``: the text without remnants, white space collapsed, or null
-    where the document is dropped.
+    The text without remnants, white space collapsed; null where the document
+    is dropped.
     """
-    t, words, body = F.col(text), F.col("_pf_words"), F.col("_pf_body")
-    n = F.size(words)
-    repetitive = (n > 30) & (F.size(F.array_distinct(words)) / n < 0.2)
-    keep = (
-        (F.length(t) >= 50)
-        & ~_looks_like_exam(t, F.col("_pf_script"))
-        & ~_looks_like_boilerplate(t)
-    )
-    flat = F.trim(rx.collapse_spaces(F.col("_pf_body")))
-    return rx.staged(df, [
-        {"_pf_script": primary_script(t)},
-        {"_pf_keep": F.coalesce(keep, F.lit(False))},
-        {"_pf_words": F.when(F.col("_pf_keep"), tokens.words(F.lower(t)))},
-        {"_pf_body": F.when(F.col("_pf_keep") & ~repetitive, remove_remnants(t))},
-        {"_pf_flat": F.when(F.size(F.split(body, "\n")) >= 3, flat)},
-        {out: F.when(F.length("_pf_flat") >= 50, F.col("_pf_flat"))},
-    ], keep=[out])
+    def repetitive(t: Column) -> Column:
+        return rx.let(tokens.words(F.lower(t)), lambda w: (F.size(w) > 30) & (
+            F.size(F.array_distinct(w)) / F.size(w) < 0.2))
+
+    def enough_text(body: Column) -> Column:
+        flat = F.when(F.size(F.split(body, "\n")) >= 3, F.trim(rx.collapse_spaces(body)))
+        return rx.let(flat, lambda x: F.when(F.length(x) >= 50, x))
+
+    return rx.let(rx.as_col(text), lambda t: F.when(
+        (F.length(t) >= 50) & ~_looks_like_exam(t) & ~_looks_like_boilerplate(t) & ~repetitive(t),
+        rx.let(remove_remnants(t), enough_text)))
+
+
+def with_pattern_filter(df: DataFrame, text: str = "text", out: str = "clean_text") -> DataFrame:
+    """Add the pattern-filtered text, evaluated once per row."""
+    return rx.add_once(df, {out: pattern_filtered(text)})
 
 
 def pattern_filter(df: DataFrame, text: str = "text") -> DataFrame:

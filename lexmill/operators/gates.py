@@ -6,9 +6,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lexmill.functions import lexicon as lx
-from lexmill.functions.cleaning import clean_basic, clean_cjk, with_clean_text
-from lexmill.functions.metrics import NOISE_METRICS, composite_score, needs_deep_cleaning, with_noise_analysis
-from lexmill.functions.quality import QUALITY_COLUMNS, with_quality
+from lexmill.functions import patterns as rx
+from lexmill.functions.cleaning import clean_basic, clean_cjk, clean_text
+from lexmill.functions.metrics import composite_score, needs_deep_cleaning, noise_analysis
+from lexmill.functions.quality import quality
 
 
 def clean_by_quality(df: DataFrame, text: str = "text", out: str = "clean_text", mode: str = "document") -> DataFrame:
@@ -17,22 +18,18 @@ def clean_by_quality(df: DataFrame, text: str = "text", out: str = "clean_text",
     Adds the cleaned text, ``cleaning_applied``, ``quality_before``,
     ``quality_after`` and ``quality_improvement``.
     """
-    df = with_quality(df, text, prefix="_b_")
-    high = F.col("_b_quality_score") >= lx.QUALITY_THRESHOLDS["high"]
-    df = df.withColumn("_deep_in", F.when(~high, F.col(text)))
-    df = with_clean_text(df, "_deep_in", out="_deep", deep=True, mode=mode)
-    language = F.col("_b_language")
-    deep = F.when(language.isin(lx.CJK_LANGUAGES), clean_cjk("_deep", language)).otherwise(F.col("_deep"))
-    df = df.withColumn(out, F.when(high, clean_basic(text, mode)).otherwise(deep))
-    df = with_quality(df, out, prefix="_a_")
-    before, after = F.col("_b_quality_score"), F.col("_a_quality_score")
-    df = df.withColumns({
+    before = rx.add_once(df, {"_before": quality(text, columns=["language", "quality_score"])})
+    language, score = F.col("_before.language"), F.col("_before.quality_score")
+    high = score >= lx.QUALITY_THRESHOLDS["high"]
+    deep = rx.bind({"x": clean_text(text, True, mode), "lang": language}, lambda s: F.when(
+        s["lang"].isin(lx.CJK_LANGUAGES), clean_cjk(s["x"], s["lang"])).otherwise(s["x"]))
+    cleaned = rx.add_once(before, {out: F.when(high, clean_basic(text, mode)).otherwise(deep)})
+    after = rx.add_once(cleaned, {"quality_after": quality(out, columns=["quality_score"])["quality_score"]})
+    return after.withColumns({
         "cleaning_applied": F.when(high, "minimal").otherwise("deep"),
-        "quality_before": before,
-        "quality_after": after,
-        "quality_improvement": after - before,
-    })
-    return df.drop("_deep_in", "_deep", *[p + c for p in ("_a_", "_b_") for c in QUALITY_COLUMNS])
+        "quality_before": score,
+        "quality_improvement": F.col("quality_after") - score,
+    }).drop("_before")
 
 
 def clean_from_analysis(df: DataFrame, text: str = "text", out: str = "clean_text", mode: str = "document") -> DataFrame:
@@ -40,11 +37,9 @@ def clean_from_analysis(df: DataFrame, text: str = "text", out: str = "clean_tex
 
     Adds ``out`` and ``deep_cleaned``.
     """
-    df = df.withColumn("deep_cleaned", F.coalesce(needs_deep_cleaning(), F.lit(True)))
-    df = df.withColumn("_deep_in", F.when(F.col("deep_cleaned"), F.col(text)))
-    df = with_clean_text(df, "_deep_in", out="_deep", deep=True, mode=mode)
-    cleaned = F.when(F.col("deep_cleaned"), F.col("_deep")).otherwise(clean_basic(text, mode))
-    return df.withColumn(out, cleaned).drop("_deep_in", "_deep")
+    df = df.withColumn("deep_cleaned", needs_deep_cleaning())
+    return rx.add_once(df, {
+        out: F.when(F.col("deep_cleaned"), clean_text(text, True, mode)).otherwise(clean_basic(text, mode))})
 
 
 def clean_if_better(
@@ -55,12 +50,12 @@ def clean_if_better(
     Adds ``out``, ``score_before``, ``score_after`` (null where not cleaned) and
     ``was_cleaned``.
     """
-    df = with_noise_analysis(df, text, full=True, mode=mode).withColumn("score_before", composite_score())
-    df = df.withColumn("_try", F.when(F.col("score_before") < threshold, F.col(text)))
-    df = clean_from_analysis(df, "_try", out="_cleaned", mode=mode).drop(*NOISE_METRICS, "deep_cleaned")
-    df = with_noise_analysis(df, "_cleaned", full=True, mode=mode)
-    df = df.withColumn("score_after", F.when(F.col("_try").isNotNull(), composite_score())).drop(*NOISE_METRICS)
-    better = F.coalesce(F.col("score_after") > F.col("score_before"), F.lit(False))
-    df = df.withColumn("was_cleaned", better)
-    return df.withColumn(out, F.when(F.col("was_cleaned"), F.col("_cleaned")).otherwise(F.col(text))).drop(
-        "_try", "_cleaned")
+    df = rx.add_once(df, {"_noise": noise_analysis(text, True, mode)})
+    df = df.withColumn("score_before", composite_score(F.col("_noise")))
+    tried = F.when(F.col("score_before") < threshold, F.when(
+        needs_deep_cleaning(F.col("_noise")), clean_text(text, True, mode)).otherwise(clean_basic(text, mode)))
+    df = rx.add_once(df, {"_cleaned": tried}).drop("_noise")
+    after = F.when(F.col("_cleaned").isNotNull(), rx.let(noise_analysis("_cleaned", True, mode), composite_score))
+    df = rx.add_once(df, {"score_after": after})
+    df = df.withColumn("was_cleaned", F.coalesce(F.col("score_after") > F.col("score_before"), F.lit(False)))
+    return df.withColumn(out, F.when(F.col("was_cleaned"), F.col("_cleaned")).otherwise(F.col(text))).drop("_cleaned")

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from lexmill.functions import patterns as rx
 from lexmill.operators.sampling import alternating_labels, bounded_sample
 from lexmill.operators.scratch import materialized
-from lexmill.operators.vocabulary import tfidf, tfidf_vectors
+from lexmill.operators.vocabulary import tfidf_vectors
 
 HIDDEN_UNITS = 64
 
@@ -194,8 +194,8 @@ def pseudo_labels(df: DataFrame, key: str = "id", text: str = "text", seed: int
         return alternating_labels(df, key, out)
     cut = df.select(key, F.substring(text, 1, 10_000).alias(text))
     drawn = materialized(bounded_sample(df.select(key, text), key, text, seed=seed))
-    vectors = materialized(tfidf_vectors(tfidf(cut, key, text, fit=drawn), key))
+    vectors = materialized(tfidf_vectors(cut, key, text, fit=drawn))
     sample = vectors.join(drawn.select(key), key, "left_semi")
     labels = cluster_labels(vectors, sample, max_clusters=min(5, n // 10), seed=seed, out=out).select(key, out)
-    # A text without any of the terms gets cluster 0.
-    return df.join(labels, key, "left").withColumn(out, F.coalesce(out, F.lit(0)))
+    # Every text has a vector, if only of zeros.
+    return df.join(labels, key)

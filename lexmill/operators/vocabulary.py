@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.ml.feature import StopWordsRemover
+from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer, StopWordsRemover
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -90,41 +91,55 @@ def tfidf_tokens(text: Column | str, stop_words: list[str] | None = None) -> Col
         tokens.words(F.lower(rx.as_col(text))), lambda w: (F.length(w) >= 2) & ~w.isin(listed))
 
 
+def tfidf_features(
+    df: DataFrame, key: str = "id", text: str = "text", max_features: int = 1000, stop_words: list[str] | None = None,
+) -> DataFrame:
+    """(term, idf) of the most frequent terms; equal counts in alphabetical order.
+
+    idf = ln((1 + n) / (1 + df)) + 1.
+    """
+    terms = df.select(key, F.explode(tfidf_tokens(text, stop_words)).alias("term"))
+    stats = (
+        terms.groupBy(key, "term").agg(F.count("*").alias("tf"))
+        .groupBy("term").agg(F.sum("tf").alias("total"), F.count("*").alias("df"))
+    )
+    top = stats.orderBy(F.col("total").desc(), "term").limit(max_features)
+    n = df.agg(F.count("*").alias("n")).scalar()
+    return top.select("term", (F.log((n + F.lit(1)) / (F.col("df") + F.lit(1))) + F.lit(1.0)).alias("idf"))
+
+
 def tfidf(
     df: DataFrame, key: str = "id", text: str = "text", max_features: int = 1000, stop_words: list[str] | None = None,
     fit: DataFrame | None = None,
 ) -> DataFrame:
-    """(key, term, weight): smooth idf, unit length per text, the most frequent terms only.
+    """(key, term, weight): tf * idf, scaled to unit length per text.
 
-    weight = tf * (ln((1 + n) / (1 + df)) + 1), divided by the text's norm.
-    Term choice: highest total count, then alphabetical.  Terms and idf come
-    from ``fit`` if given, else from ``df``.
+    Terms and idf come from ``fit`` if given, else from ``df``.
     """
-    def counted(texts: DataFrame) -> DataFrame:
-        terms = texts.select(key, F.explode(tfidf_tokens(text, stop_words)).alias("term"))
-        return terms.groupBy(key, "term").agg(F.count("*").alias("tf"))
-
-    term_counts = counted(df)
-    stats = (term_counts if fit is None else counted(fit)).groupBy("term").agg(F.sum("tf").alias("total"), F.count("*").alias("df"))
-    features = stats.orderBy(F.col("total").desc(), "term").limit(max_features)
-    n = (df if fit is None else fit).agg(F.count("*").alias("n")).scalar()
-    idf = F.log((n + F.lit(1)) / (F.col("df") + F.lit(1))) + F.lit(1.0)
-    side = small_side(features.select("term", idf.alias("idf")))
-    raw = term_counts.join(side, "term").withColumn("raw", F.col("tf") * F.col("idf"))
-    # The norm is at most max_features terms of one text.
+    features = small_side(tfidf_features(df if fit is None else fit, key, text, max_features, stop_words))
+    terms = df.select(key, F.explode(tfidf_tokens(text, stop_words)).alias("term"))
+    # The chosen terms are a small side: other words go before anything is shuffled.
+    counts = terms.join(features, "term").groupBy(key, "term", "idf").agg(F.count("*").alias("tf"))
+    raw = counts.withColumn("raw", F.col("tf") * F.col("idf"))
+    # The norm is over at most max_features terms of one text.
     norm = F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(Window.partitionBy(key)))
     return raw.select(key, "term", (F.col("raw") / norm).alias("weight"))
 
 
-def tfidf_vectors(weights: DataFrame, key: str = "id") -> DataFrame:
-    """Sparse vectors of the weights, terms in alphabetical order: (key, features)."""
-    from pyspark.ml.functions import array_to_vector
+def tfidf_vectors(
+    df: DataFrame, key: str = "id", text: str = "text", max_features: int = 1000, stop_words: list[str] | None = None,
+    fit: DataFrame | None = None, out: str = "features",
+) -> DataFrame:
+    """(key, out): the same weights as sparse vectors, terms in alphabetical order.
 
-    terms = weights.select("term").distinct()
-    index = terms.select("term", (F.row_number().over(Window.partitionBy(F.lit(0)).orderBy("term")) - 1).alias("i"))
-    size = terms.agg(F.count("*").alias("n")).scalar()
-    placed = weights.join(small_side(index), "term")
-    maps = placed.groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("i", "weight"))).alias("m"))
-    dense = F.transform(
-        F.sequence(F.lit(0), size.cast("int") - 1), lambda i: F.coalesce(F.try_element_at("m", i), F.lit(0.0)))
-    return maps.select(key, array_to_vector(dense).alias("features"))
+    Row-wise once the (at most ``max_features``) terms are known.
+    """
+    chosen = tfidf_features(df if fit is None else fit, key, text, max_features, stop_words).orderBy("term").collect()
+    if not chosen:
+        raise ValueError("no term left to build vectors from")
+    tokens_of = df.select(key, tfidf_tokens(text, stop_words).alias("_tokens"))
+    counted = CountVectorizerModel.from_vocabulary(
+        [r["term"] for r in chosen], inputCol="_tokens", outputCol="_tf").transform(tokens_of)
+    weighted = ElementwiseProduct(
+        scalingVec=Vectors.dense([r["idf"] for r in chosen]), inputCol="_tf", outputCol="_raw").transform(counted)
+    return Normalizer(p=2.0, inputCol="_raw", outputCol=out).transform(weighted).select(key, out)
