@@ -1,0 +1,17 @@
+"""Stop-word lists as packaged with Spark ML, read without a session."""
+
+from __future__ import annotations
+
+import glob
+import os
+import zipfile
+from functools import cache
+
+import pyspark
+
+
+@cache
+def packaged_stop_words(language: str) -> tuple[str, ...]:
+    jar = glob.glob(os.path.join(os.path.dirname(pyspark.__file__), "jars", "spark-mllib_*.jar"))[0]
+    with zipfile.ZipFile(jar) as z:
+        return tuple(z.read(f"org/apache/spark/ml/feature/stopwords/{language}.txt").decode("utf-8").split("\n"))
