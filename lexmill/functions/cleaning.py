@@ -40,7 +40,8 @@ def clean_basic(text: Column | str, mode: str = "document") -> Column:
     """Collapse white space; drop URLs, entities and lines of up to 5 characters."""
     _check(mode)
     t = rx.collapse_spaces(text) if mode == "document" else F.regexp_replace(rx.as_col(text), f"[{rx.BLANK_SET}]+", " ")
-    t = rx.replace_chain(t, [(r"https?://\S+", ""), (r"www\.\S+", ""), (r"&[a-z]+;", " ")])
+    for mark, rule, by in [("http", r"https?://\S+", ""), ("www.", r"www\.\S+", ""), ("&", r"&[a-z]+;", " ")]:
+        t = rx.replace_if(t, mark, rule, by)
     if mode == "document":
         return rx.let(t, lambda x: F.when(F.length(F.trim(x)) > 5, x).otherwise(F.lit("")))
     return F.array_join(F.filter(tokens.lines(t), lambda x: F.length(rx.strip(x)) > 5), "\n")
@@ -48,9 +49,9 @@ def clean_basic(text: Column | str, mode: str = "document") -> Column:
 
 def clean_special_chars(text: Column | str) -> Column:
     """Drop e-mail addresses, special characters and repeated punctuation."""
-    return rx.replace_chain(text, [
-        (_EMAIL, ""),
-        (r"[^\w\s.,!?;:'\"-]", " "),
+    return rx.replace_chain(rx.replace_if(text, "@", _EMAIL), [
+        # Everything but words, white space and punctuation; ASCII letters are dismissed first.
+        (r"[[^a-zA-Z ]&&[^\w\s.,!?;:'\"-]]", " "),
         (r"([.,!?;:])\1+", "$1"),
         (r" +", " "),
     ])
@@ -60,8 +61,8 @@ def _is_content_line(line: Column) -> Column:
     n = F.length(line)
     shouting = line.rlike(r"\p{Lu}") & ~line.rlike(r"[\p{Ll}\p{Lt}]") & (n > 10)
     numeric = rx.count_matches(line, r"\d") > n * 0.5
-    option = rx.matches(line, r"^[A-D][\s.、:：]+")
-    numbered = rx.matches(line, r"^\d+[\s.、:：]+") & (n < 30)
+    option = rx.starts_with(line, r"[A-D][\s.、:：]+")
+    numbered = (n < 30) & rx.starts_with(line, r"\d+[\s.、:：]+")
     term = rx.any_of([line.contains(t) for t in lx.NOISE_TERMS])
     return ~(shouting | numeric | option | numbered | term)
 
@@ -73,8 +74,8 @@ def drop_noise_lines(text: Column | str, mode: str = "lines") -> Column:
 
 
 def _is_boilerplate_line(line: Column) -> Column:
-    heads = "^(?:" + "|".join(lx.BOILERPLATE_LINE_HEADS) + ")"
-    return rx.matches(line, heads, ignore_case=True) | rx.matches(line, lx.BOILERPLATE_LINE_TAIL)
+    return rx.starts_with(line, "|".join(lx.BOILERPLATE_LINE_HEADS), ignore_case=True) | (
+        line.endswith("]") & rx.matches(line, lx.BOILERPLATE_LINE_TAIL))
 
 
 def _is_substantial_line(line: Column) -> Column:
@@ -163,7 +164,8 @@ def clean_text(text: Column | str, deep: bool = False, mode: str = "document") -
 
     def finish(s: Column) -> Column:
         # Only a text with a signature character of zh, ja or ko can be one of them.
-        code = F.when(s["head"].rlike(f"[{signature_chars}]"), detect_language(s["head"])["language"])
+        # The range dismisses other scripts at once.
+        code = F.when(s["head"].rlike(rf"[\x{{3040}}-\x{{D7A3}}&&[{signature_chars}]]"), detect_language(s["head"])["language"])
         body = rx.bind({"code": code, "x": s["x"]}, lambda b: F.when(
             b["code"].isin(lx.CJK_LANGUAGES), clean_cjk(b["x"], b["code"])).otherwise(b["x"]))
         # In document mode no line feed and no '#' is left, so structure rules cannot apply.

@@ -10,7 +10,7 @@ from lexmill.functions import patterns as rx
 
 _LATIN = ["en", "es", "fr", "de"]
 _OTHER = [lang for lang in lx.LANGUAGE_SIGNATURES if lang not in _LATIN]
-_NON_LETTERS = "[" + rx.SPACE_SET + "".join("\\" + c if not c.isalnum() else c for c in lx.NON_LETTERS) + "]+"
+_NON_LETTERS = "[[^a-z]&&[" + rx.SPACE_SET + "".join("\\" + c if not c.isalnum() else c for c in lx.NON_LETTERS) + "]]+"
 
 
 def _signature_scores(low: Column, n: Column, languages: list[str]) -> Column:
@@ -22,12 +22,12 @@ def _signature_scores(low: Column, n: Column, languages: list[str]) -> Column:
     """
     signatures = [lx.LANGUAGE_SIGNATURES[lang] for lang in languages]
     chars = sorted({ch for sig in signatures for ch in sig})
-    counts = F.transform(
-        rx.text_array(chars), lambda ch: F.length(low) - F.length(F.replace(low, ch, F.lit(""))))
-    table = F.array(*[
-        F.array(*[F.struct(F.lit(chars.index(ch)).alias("at"), F.lit(share).alias("share")) for ch, share in sig.items()])
-        for sig in signatures
-    ])
+    # Byte lengths are known without a scan.
+    counts = F.transform(rx.text_array(chars), lambda ch: (
+        F.octet_length(low) - F.octet_length(F.replace(low, ch, F.lit("")))) / F.octet_length(ch))
+    table = F.expr("array(" + ", ".join(
+        "array(" + ", ".join(f"named_struct('at', {chars.index(ch)}, 'share', {share}D)" for ch, share in sig.items()) + ")"
+        for sig in signatures) + ")")
 
     def score(sig: Column, c: Column) -> Column:
         k = F.size(sig).cast("double")
@@ -81,9 +81,9 @@ def detect_language(text: Column | str, min_length: int = 100) -> Column:
         return F.when(s["n"] > 0, rx.bind(values, decide)).otherwise(unknown)
 
     def lettered(t: Column) -> Column:
-        return rx.bind(
-            {"t": t, "low": F.lower(t), "other": t.rlike(r"[\x{0400}-\x{FFFF}]"),
-             "n": F.length(F.regexp_replace(F.lower(t), _NON_LETTERS, ""))}, scored)
+        return rx.let(F.lower(t), lambda low: rx.bind(
+            {"t": t, "low": low, "other": t.rlike(r"[\x{0400}-\x{FFFF}]"),
+             "n": F.length(F.regexp_replace(low, _NON_LETTERS, ""))}, scored))
 
     return rx.let(
         F.coalesce(rx.as_col(text), F.lit("")),

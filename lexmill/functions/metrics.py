@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import cache
+
 from pyspark.ml.feature import StopWordsRemover
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -20,20 +22,16 @@ NOISE_METRICS = [
 ]
 
 
-def stop_words(language_name: str) -> list[str]:
+@cache
+def stop_words(language_name: str) -> tuple[str, ...]:
     """Spark's stop-word list of a language given by its English name."""
-    return list(StopWordsRemover.loadDefaultStopWords(language_name))
-
-
-def _members(values: Column, listed: list[str]) -> Column:
-    """How many array elements are in the list (a hash lookup each)."""
-    return F.size(F.filter(values, lambda x: x.isin(listed)))
+    return tuple(StopWordsRemover.loadDefaultStopWords(language_name))
 
 
 def syllables(words: Column) -> Column:
     """Vowel groups per word, at least one each, summed over the words."""
     return tokens.array_sum(
-        F.transform(words, lambda w: F.greatest(F.lit(1), F.regexp_count(w, F.lit("[aeiouy]+"))).cast("long"))
+        F.transform(words, lambda w: F.greatest(F.lit(1), F.regexp_count(w, F.lit("[aeiouy]+"))))
     )
 
 
@@ -51,7 +49,7 @@ def text_metrics(text: Column | str, language: Column | str) -> Column:
         per_word = lambda x: F.when(n > 0, x / n).otherwise(F.lit(0.0))
         stop_count = None
         for code, name in lx.STOP_WORD_LANGUAGES.items():
-            hits = _members(w, stop_words(name))
+            hits = rx.count_members(w, stop_words(name))
             stop_count = F.when(lang == code, hits) if stop_count is None else stop_count.when(lang == code, hits)
         flesch = F.when(
             n > 0, 206.835 - 1.015 * (n / F.greatest(F.lit(1), sentences)) - 84.6 * (syllables(w) / n),
@@ -165,7 +163,7 @@ def noise_analysis(text: Column | str, full: bool = False, mode: str = "document
     def measure(s: Column) -> Column:
         n = F.length(s["sample"])
         head = F.substring(s["sample"], 1, 2000)
-        symbols = rx.count_matches(head, rf"[^\p{{L}}\p{{N}}{rx.SPACE_SET}]")
+        symbols = rx.count_matches(head, rx.SYMBOL)
         return rx.bind({
             "t": s["t"], "sample": s["sample"], "head": head,
             "html": html_ratio(s["sample"], n),

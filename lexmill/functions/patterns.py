@@ -8,24 +8,28 @@ short classes and expanded here.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-from functools import reduce
+import re
+from collections.abc import Callable, Iterable
+from functools import cache, reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Bodies of character classes (to be used inside [...]).
-SPACE_SET = r"\s\x0B\x1C-\x1F\x{85}\p{Z}"
+# Character classes to be used inside [...].  White space is intersected with
+# two plain ranges first, so that ordinary letters are dismissed at once.
+SPACE_SET = r"[\x00-\x20\x{85}-\x{3000}&&[\s\x0B\x1C-\x1F\x{85}\p{Z}]]"
 WORD_SET = r"\p{L}\p{N}_"
 DIGIT_SET = r"\p{Nd}"
 # White space other than the line feed.
-BLANK_SET = r"\t\x0B\f\r\x1C-\x1F \x{85}\p{Zs}\x{2028}\x{2029}"
+BLANK_SET = r"[\x00-\x20\x{85}-\x{3000}&&[\t\x0B\f\r\x1C-\x1F \x{85}\p{Zs}\x{2028}\x{2029}]]"
 
 SPACE = f"[{SPACE_SET}]"
 NON_SPACE = f"[^{SPACE_SET}]"
 WORD = f"[{WORD_SET}]"
+NON_WORD = f"[[^a-zA-Z]&&[^{WORD_SET}]]"
 DIGIT = f"[{DIGIT_SET}]"
-ALNUM = r"[\p{L}\p{N}]"
+# Neither letter, digit nor white space.
+SYMBOL = rf"[[^a-zA-Z ]&&[^\p{{L}}\p{{N}}{SPACE_SET}]]"
 
 # Every white-space code point, for trim().
 WHITESPACE_CHARS = (
@@ -81,6 +85,20 @@ def count_matches(text: Column | str, rule: str, **kw: bool) -> Column:
     return F.regexp_count(as_col(text), F.lit(flags(**kw) + expand(rule)))
 
 
+def starts_with(text: Column | str, rule: str, **kw: bool) -> Column:
+    """True where the rule matches at the beginning.
+
+    The empty alternative ends the search there instead of trying the rule at
+    every later position.  The rule must not match the empty text.
+    """
+    return F.regexp_extract(as_col(text), f"{flags(**kw)}^(?:({expand(rule)})|)", 1) != ""
+
+
+def replace_if(text: Column | str, mark: str, rule: str, by: str = "") -> Column:
+    """Replace a rule whose matches all contain ``mark``; other texts are only searched for it."""
+    return let(as_col(text), lambda t: F.when(t.contains(mark), replace_all(t, rule, by)).otherwise(t))
+
+
 def replace_all(text: Column | str, rule: str, by: str = "", **kw: bool) -> Column:
     return F.regexp_replace(as_col(text), flags(**kw) + expand(rule), by)
 
@@ -133,14 +151,92 @@ def compiled(rules: list[str], **kw: bool) -> list[str]:
     return [flags(**kw) + expand(r) for r in rules]
 
 
-def text_array(values: list[str]) -> Column:
-    return F.array(*[F.lit(v) for v in values]) if values else F.array().cast("array<string>")
+def sql_text(value: str) -> str:
+    """A SQL string literal."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def sql_array(values: Iterable[str]) -> str:
+    return "array(" + ", ".join(sql_text(v) for v in values) + ")"
+
+
+@cache
+def _text_array(values: tuple[str, ...]) -> str:
+    return sql_array(values) if values else "cast(array() as array<string>)"
+
+
+def text_array(values: Iterable[str]) -> Column:
+    """Constant array of strings (one parsed literal instead of many small columns)."""
+    return F.expr(_text_array(tuple(values)))
+
+
+def count_members(values: Column, listed: Iterable[str]) -> Column:
+    """How many elements of an array are in a constant list (a hash lookup each)."""
+    members = ", ".join(sql_text(v) for v in listed)
+    return F.size(F.call_function("filter", values, F.expr(f"x -> x IN ({members})")))
+
+
+# Letters with case variants that lower() does not map back to them.
+_LOOSE_LETTERS = set("is") | set("вдостъѣ")
+
+
+def guard(rule: str) -> str:
+    """Longest literal run that the lower-cased text of every match contains; may be empty."""
+    literal = re.sub(r"\\.[+*?]?", " ", re.split(r"[(\[|]", rule)[0]).lower()
+    runs = "".join(ch if ch.isalpha() and ch not in _LOOSE_LETTERS else " " for ch in literal).split()
+    return max(runs, key=len, default="")
+
+
+def _guarded(rules: list[str]) -> str:
+    return "array(" + ", ".join(
+        f"named_struct('guard', {sql_text(guard(r))}, 'rule', {sql_text(c)})"
+        for r, c in zip(rules, compiled(rules, ignore_case=True))) + ")"
+
+
+def guarded_rules(rules: list[str]) -> Column:
+    """Case-insensitive rules, each with a substring every match contains in lower case."""
+    return F.expr(_guarded(rules))
+
+
+def guarded_rules_of(language: Column, per_language: dict[str, list[str]]) -> Column:
+    """The guarded rules of the row's language; null for a language without any."""
+    entries = [f"{sql_text(code)}, {_guarded(rs)}" for code, rs in per_language.items()]
+    return F.try_element_at(F.expr(f"map({', '.join(entries)})"), language)
+
+
+def sum_guarded(text: Column, low: Column, rules: Column, once: bool = False) -> Column:
+    """Sum of the match counts of guarded rules (or how many are found at all); 0 for null.
+
+    A substring test on the lower-cased text spares most regular expressions.
+    """
+    def hits(e: Column) -> Column:
+        return F.rlike(text, e["rule"]).cast("int") if once else F.regexp_count(text, e["rule"])
+
+    return F.coalesce(F.aggregate(rules, F.lit(0), lambda a, e: a + F.when(
+        F.contains(low, e["guard"]), hits(e)).otherwise(F.lit(0))), F.lit(0))
+
+
+def _line_rules(rules: list[str]) -> str:
+    heads = "|".join(r.removeprefix("^") for r in rules)
+    anchored = all(r.startswith("^") for r in rules)
+    any_rule = f"^(?:{heads})" if anchored else "|".join(f"(?:{r})" for r in rules)
+    return (f"named_struct('any', {sql_text(compiled([any_rule], multiline=True)[0])}, "
+            f"'rules', {sql_array(compiled(rules, multiline=True))})")
+
+
+def line_rules(rules: list[str]) -> Column:
+    """Multi-line rules with one rule that tells whether any of them matches."""
+    return F.expr(_line_rules(rules))
+
+
+def line_rules_of(language: Column, per_language: dict[str, list[str]]) -> Column:
+    entries = [f"{sql_text(code)}, {_line_rules(rs)}" for code, rs in per_language.items()]
+    return F.try_element_at(F.expr(f"map({', '.join(entries)})"), language)
 
 
-def rules_of(language: Column, per_language: dict[str, list[str]], **kw: bool) -> Column:
-    """The rules of the row's language as an array; null for a language without any."""
-    entries = [x for code, rs in per_language.items() for x in (F.lit(code), text_array(compiled(rs, **kw)))]
-    return F.try_element_at(F.create_map(*entries), language)
+def sum_line_rules(text: Column, rules: Column) -> Column:
+    """Sum of the match counts of line rules; 0 for null."""
+    return F.when(F.rlike(text, rules["any"]), sum_matches(text, rules["rules"])).otherwise(F.lit(0))
 
 
 def sum_matches(text: Column, rules: Column) -> Column:

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -31,37 +30,14 @@ _NEEDS["quality_score"] = set().union(*(_NEEDS[c] for c in INDICATORS))
 _NEEDS["quality_category"] = _NEEDS["quality_score"]
 
 
-def _guard(rule: str) -> str:
-    """Longest literal run that every match of a rule contains.
-
-    Leaves out ``i`` and ``s``, the only ASCII letters with case variants that
-    ``lower`` does not reach.
-    """
-    literal = re.sub(r"\\.\+?", " ", rule.split("(")[0])
-    return max(re.findall(r"[a-hj-rt-z]+", literal), key=len)
-
-
 def boilerplate_matches(text: Column, low: Column, language: Column) -> Column:
-    """Number of boilerplate phrases, common and of the language.
-
-    A substring test on the lower-cased text spares most regular expressions.
-    """
-    rules = F.array(*[
-        F.struct(F.lit(_guard(r)).alias("guard"), F.lit(c).alias("rule"))
-        for r, c in zip(lx.BOILERPLATE_COMMON, rx.compiled(lx.BOILERPLATE_COMMON, ignore_case=True))
-    ])
-    common = F.aggregate(rules, F.lit(0), lambda a, e: a + F.when(
-        F.contains(low, e["guard"]), F.regexp_count(text, e["rule"])).otherwise(F.lit(0)))
-    return common + rx.sum_matches(text, rx.rules_of(language, lx.BOILERPLATE_BY_LANGUAGE, ignore_case=True))
+    """Number of boilerplate phrases, common and of the language."""
+    own = rx.guarded_rules_of(language, lx.BOILERPLATE_BY_LANGUAGE)
+    return rx.sum_guarded(text, low, rx.guarded_rules(lx.BOILERPLATE_COMMON)) + rx.sum_guarded(text, low, own)
 
 
 def _structure_matches(text: Column, language: Column, common: list[str], own: dict[str, list[str]]) -> Column:
-    any_common = "|".join(f"(?:{r})" for r in common)
-    hits = F.when(
-        rx.matches(text, any_common, multiline=True),
-        rx.sum_matches(text, rx.text_array(rx.compiled(common, multiline=True))),
-    ).otherwise(F.lit(0))
-    return hits + rx.sum_matches(text, rx.rules_of(language, own, multiline=True))
+    return rx.sum_line_rules(text, rx.line_rules(common)) + rx.sum_line_rules(text, rx.line_rules_of(language, own))
 
 
 def question_matches(text: Column, language: Column) -> Column:
@@ -73,7 +49,9 @@ def choice_matches(text: Column, language: Column) -> Column:
 
 
 def html_matches(text: Column) -> Column:
-    return rx.count_matches(text, r"</?[a-z]+>|&[a-z]+;", ignore_case=True)
+    return F.when(
+        text.contains("<") | text.contains("&"), rx.count_matches(text, r"</?[a-z]+>|&[a-z]+;", ignore_case=True),
+    ).otherwise(F.lit(0))
 
 
 def quality_score(value: dict[str, Column]) -> Column:
@@ -281,10 +259,10 @@ ISSUE_COLUMNS = ["exam_content", "excessive_boilerplate", "excessive_formatting"
 def issue_flags(text: Column | str, language: Column | str) -> Column:
     """Struct of five issue flags and ``should_filter``, their disjunction."""
 
-    def phrases(t: Column, lang: Column, table: dict[str, list[str]], common: str) -> Column:
-        shared = rx.text_array(rx.compiled(table[common], ignore_case=True))
-        own = {code: ps for code, ps in table.items() if code != "common"}
-        return rx.rules_found(t, shared) + rx.rules_found(t, rx.rules_of(lang, own, ignore_case=True))
+    def phrases(s: Column, table: dict[str, list[str]], common: str) -> Column:
+        own = rx.guarded_rules_of(s["lang"], {code: ps for code, ps in table.items() if code != "common"})
+        shared = rx.guarded_rules(table[common])
+        return rx.sum_guarded(s["t"], s["low"], shared, once=True) + rx.sum_guarded(s["t"], s["low"], own, once=True)
 
     def uneven(lens: Column) -> Column:
         """False where sentence lengths vary little around a mean above 20."""
@@ -297,16 +275,19 @@ def issue_flags(text: Column | str, language: Column | str) -> Column:
         return rx.let(tokens.array_sum(lens) / n, by_mean)
 
     def flags(s: Column) -> Column:
-        t, lang = s["t"], s["lang"]
-        formatting = rx.sum_matches(t, rx.text_array(rx.compiled(lx.FORMATTING_RULES, ignore_case=True)))
+        t = s["t"]
+        formatting = rx.total([
+            F.when(t.contains(mark), rx.count_matches(t, r, ignore_case=True)).otherwise(F.lit(0))
+            for mark, r in zip("<&[", lx.FORMATTING_RULES)
+        ])
         lens = F.transform(F.split(t, "[.!?。！？]+", -1), F.length)
-        repetitive = rx.let(tokens.words(F.lower(t)), lambda w: (F.size(w) > 50) & (
+        repetitive = rx.let(tokens.words(s["low"]), lambda w: (F.size(w) > 50) & (
             F.size(F.array_distinct(w)) / F.size(w) < 0.3))
         return F.struct(
             # English phrases count for every language, and so twice for English.  Three option
             # marks anywhere are the same as mark, anything, mark, anything, mark.
-            ((phrases(t, lang, lx.EXAM_PHRASES, "en") >= 2) | (rx.count_matches(t, r"[A-D]\.") >= 3)).alias("exam_content"),
-            (phrases(t, lang, lx.ISSUE_BOILERPLATE, "common") >= 3).alias("excessive_boilerplate"),
+            ((phrases(s, lx.EXAM_PHRASES, "en") >= 2) | (rx.count_matches(t, r"[A-D]\.") >= 3)).alias("exam_content"),
+            (phrases(s, lx.ISSUE_BOILERPLATE, "common") >= 3).alias("excessive_boilerplate"),
             (formatting > F.length(t) * 0.02).alias("excessive_formatting"),
             rx.let(lens, uneven).alias("machine_generated"),
             repetitive.alias("highly_repetitive"),
@@ -315,7 +296,8 @@ def issue_flags(text: Column | str, language: Column | str) -> Column:
     def with_verdict(f: Column) -> Column:
         return F.struct(*[f[c].alias(c) for c in ISSUE_COLUMNS], rx.any_of([f[c] for c in ISSUE_COLUMNS]).alias("should_filter"))
 
-    return rx.let(rx.bind({"t": rx.as_col(text), "lang": rx.as_col(language)}, flags), with_verdict)
+    return rx.let(
+        rx.bind({"t": rx.as_col(text), "low": F.lower(text), "lang": rx.as_col(language)}, flags), with_verdict)
 
 
 def with_issue_flags(df: DataFrame, text: str = "text", language: Column | str = "language") -> DataFrame:

@@ -10,7 +10,7 @@ from lexmill.functions import patterns as rx
 
 def words(low: Column | str) -> Column:
     """Maximal runs of word characters; pass lower-cased text for word forms."""
-    return F.array_remove(F.split(rx.as_col(low), f"[^{rx.WORD_SET}]+"), "")
+    return F.array_remove(F.split(rx.as_col(low), rx.NON_WORD + "+"), "")
 
 
 def whitespace_tokens(text: Column | str) -> Column:

@@ -94,7 +94,7 @@ def line_profile(df: DataFrame, by: list[str] | None = None, text: str = "text")
         F.sum(F.when(full, n)).alias("line_count"),
         weigh(F.length(line)).alias("_chars"),
         weigh(F.size(tokens.whitespace_tokens(line))).alias("_words"),
-        weigh(F.regexp_count(line, F.lit(rf"[^\p{{L}}\p{{N}}{rx.SPACE_SET}]"))).alias("_symbols"),
+        weigh(F.regexp_count(line, F.lit(rx.SYMBOL))).alias("_symbols"),
         F.count_if(full).alias("_distinct"),
         F.coalesce(F.sum(F.when(~full, n)), F.lit(0)).alias("_empty"),
         weigh(malformed.cast("int")).alias("_malformed"),
