@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks import sqltext as s
-from checks.registry import query, r6, table, texts
+from checks.registry import pages, query, r6, table, texts
 from lexmill.functions import cleaning as c
 from lexmill.functions import lexicon as lx
 from lexmill.functions.metrics import composite_score, with_noise_analysis
@@ -22,7 +22,7 @@ def clean_basic(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(f"SELECT page_id, {s.clean_basic('html')} AS text FROM pages")
 def clean_basic_pages(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "pages").select("page_id", c.clean_basic("html").alias("text"))
+    return pages(spark, sf).select("page_id", c.clean_basic("html").alias("text"))
 
 
 @query(f"SELECT doc_id, {s.clean_basic_lines('text')} AS text FROM documents")
@@ -42,7 +42,7 @@ def clean_deep_document(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(f"SELECT page_id, {s.clean_deep('html')} AS text FROM pages")
 def clean_deep_pages(spark: SparkSession, sf: str) -> DataFrame:
-    return c.with_clean_text(table(spark, sf, "pages"), "html", deep=True).select(
+    return c.with_clean_text(pages(spark, sf), "html", deep=True).select(
         "page_id", F.col("clean_text").alias("text"))
 
 
@@ -130,7 +130,7 @@ def clean_structure(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(f"SELECT page_id, trim({s.subs('html', ('<[^>]+>', ' '), ('&[a-z]+;', ' '), (chr(92) + 's+', ' '))}) AS text FROM pages")
 def clean_minimal(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "pages").select("page_id", c.clean_minimal("html").alias("text"))
+    return pages(spark, sf).select("page_id", c.clean_minimal("html").alias("text"))
 
 
 # CJK phrases put into the documents, so that every rule of a language can fire.
@@ -162,7 +162,7 @@ SELECT page_id, array_to_string(list_filter([{s.strip('l')} for l in string_spli
   lambda l: l <> '' AND len(regexp_extract_all(l, '[^\\p{{L}}\\p{{N}}\\s\\x0B\\x1C-\\x1F\\x{{85}}\\p{{Z}}]')) / length(l)::DOUBLE <= 0.3
    AND NOT ({" OR ".join(s.found("l", r, "i") for r, _ in lx.PATTERN_FILTER_BOILERPLATE)})), chr(10)) AS text FROM x""")
 def remove_remnants(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "pages").select("page_id", remnants("html").alias("text"))
+    return pages(spark, sf).select("page_id", remnants("html").alias("text"))
 
 
 # --- decisions ----------------------------------------------------------------
@@ -221,7 +221,7 @@ _NEEDS_DEEP = "NOT (deep_reduction - regular_reduction < 10 AND regular_reductio
 @query(f"""{_CHOICE} SELECT page_id, {_NEEDS_DEEP} AS deep_cleaned, CASE WHEN {_NEEDS_DEEP} THEN {s.clean_deep('html')}
   ELSE {s.clean_basic('html')} END AS clean_text FROM pages JOIN n ON n.key = page_id""")
 def clean_choice(spark: SparkSession, sf: str) -> DataFrame:
-    analysed = with_noise_analysis(table(spark, sf, "pages"), "html")
+    analysed = with_noise_analysis(pages(spark, sf), "html")
     return clean_from_analysis(analysed, "html").select("page_id", "deep_cleaned", "clean_text")
 
 
@@ -233,8 +233,8 @@ SELECT t.key AS page_id, round(t.score, 6) AS score_before, round(a.score, 6) AS
   coalesce(a.score > t.score, false) AS was_cleaned, CASE WHEN a.score > t.score THEN c ELSE html END AS clean_text
 FROM t LEFT JOIN a ON a.key = t.key JOIN pages ON page_id = t.key""")
 def clean_if_better(spark: SparkSession, sf: str) -> DataFrame:
-    pages = table(spark, sf, "pages").select("page_id", "html")
-    return if_better(pages, "html").select(
+    web = pages(spark, sf).select("page_id", "html")
+    return if_better(web, "html").select(
         "page_id", r6("score_before"), r6("score_after"), "was_cleaned", "clean_text")
 
 
@@ -259,7 +259,7 @@ def noise_sample(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(f"WITH {noise_cte('n', 'pages', 'page_id', 'html', True)} {_noise_select('page_id')}")
 def noise_full_pages(spark: SparkSession, sf: str) -> DataFrame:
-    return with_noise_analysis(table(spark, sf, "pages"), "html", full=True).select(
+    return with_noise_analysis(pages(spark, sf), "html", full=True).select(
         "page_id", *_noise_columns(), r6(composite_score(), "score"))
 
 

@@ -176,7 +176,7 @@ def length_filters(spark: SparkSession, sf: str) -> DataFrame:
         "doc_id", min_length("text").alias("long_enough"), not_blank("text").alias("not_blank"))
 
 
-@query("SELECT lang, count(*) AS n, sum(length(text)) AS chars FROM documents GROUP BY lang")
+@query("SELECT lang, count(*) AS n, sum(length(text))::BIGINT AS chars FROM documents GROUP BY lang")
 def corpus_summary(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents").select("lang", F.length("text").cast("long").alias("length"))
     per_language = sinks.summary(docs, "lang").select(F.explode("languages").alias("lang", "n"))

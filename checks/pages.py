@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks import sqltext as s
-from checks.registry import query, r6, table
+from checks.registry import pages, query, r6, table
 from lexmill.functions.html import html_to_text, is_probably_html, matches_topics
 from lexmill.functions.quality import INDICATORS, with_quality
 from lexmill.operators.extraction import (
@@ -21,19 +21,19 @@ TOPICS, DOMAINS = ["Ereau", "with the"], ["Example.ORG"]
 
 @query(f"SELECT page_id, {s.found('html', '<!DOCTYPE' + chr(92) + 's+html|<html|<head|<body|<div|<p>|<a' + chr(92) + 's+href', 'i')} AS is_html FROM pages")
 def html_sniff(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "pages").select("page_id", is_probably_html("html").alias("is_html"))
+    return pages(spark, sf).select("page_id", is_probably_html("html").alias("is_html"))
 
 
 @query(f"SELECT page_id, {s.html_text('html')} AS text FROM pages")
 def html_to_text_pages(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "pages").select("page_id", html_to_text("html").alias("text"))
+    return pages(spark, sf).select("page_id", html_to_text("html").alias("text"))
 
 
 @query(f"""SELECT page_id, contains(lower(url), 'example.org') OR contains(lower(x), 'ereau') OR contains(lower(x), 'with the') AS matched
 FROM (SELECT page_id, url, {s.html_text('html')} AS x FROM pages)""")
 def topic_domain_match(spark: SparkSession, sf: str) -> DataFrame:
-    pages = table(spark, sf, "pages").select("page_id", "url", html_to_text("html").alias("text"))
-    return pages.select("page_id", matches_topics("text", "url", TOPICS, DOMAINS).alias("matched"))
+    web = pages(spark, sf).select("page_id", "url", html_to_text("html").alias("text"))
+    return web.select("page_id", matches_topics("text", "url", TOPICS, DOMAINS).alias("matched"))
 
 
 _OUTCOME = f"""SELECT page_id, url, x AS text, CASE
@@ -48,14 +48,14 @@ _OUTCOME = f"""SELECT page_id, url, x AS text, CASE
 @query(f"SELECT outcome, count(*) AS n FROM ({_OUTCOME}) GROUP BY outcome")
 def page_extract_report(spark: SparkSession, sf: str) -> DataFrame:
     extracted = with_extracted_text(
-        table(spark, sf, "pages"), content="html", content_type=None, topics=TOPICS, domains=DOMAINS)
+        pages(spark, sf), content="html", content_type=None, topics=TOPICS, domains=DOMAINS)
     return extraction_report(extracted)
 
 
 @query(f"SELECT page_id, url, text FROM ({_OUTCOME}) WHERE outcome = 'extracted'")
 def page_documents(spark: SparkSession, sf: str) -> DataFrame:
     return pages_to_documents(
-        table(spark, sf, "pages"), content="html", content_type=None, topics=TOPICS, domains=DOMAINS)
+        pages(spark, sf), content="html", content_type=None, topics=TOPICS, domains=DOMAINS)
 
 
 # Payloads in two encodings, with the charset in the header or not at all.
@@ -65,7 +65,7 @@ _PAYLOAD = """CASE page_id % 2 WHEN 1 THEN regexp_replace(html, '[^\\x00-\\xFF]'
 @query(f"SELECT page_id, {s.html_text('p')} AS text FROM (SELECT page_id, {_PAYLOAD} AS p FROM pages)")
 def decoded_payloads(spark: SparkSession, sf: str) -> DataFrame:
     latin1 = F.col("page_id") % 2 == 1
-    records = table(spark, sf, "pages").select(
+    records = pages(spark, sf).select(
         "page_id", "url",
         F.when(latin1, F.lit('text/html; charset="iso-8859-1"')).otherwise(F.lit("text/html")).alias("content_type"),
         F.when(latin1, F.encode(F.regexp_replace("html", r"[^\x00-\xFF]", "?"), "ISO-8859-1"))
@@ -80,12 +80,12 @@ SELECT page_id FROM x WHERE EXISTS (SELECT 1 FROM topics WHERE topic <> '' AND c
 def topic_table_match(spark: SparkSession, sf: str) -> DataFrame:
     topics = table(spark, sf, "benchmark").select(
         F.regexp_extract(F.lower("text"), "[a-z]{7,}", 0).alias("topic"))
-    pages = table(spark, sf, "pages").select("page_id", html_to_text("html").alias("text"))
-    return match_topic_table(pages, topics, "page_id", "text").select("page_id")
+    web = pages(spark, sf).select("page_id", html_to_text("html").alias("text"))
+    return match_topic_table(web, topics, "page_id", "text").select("page_id")
 
 
 @query(f"""WITH px AS (SELECT page_id, {s.html_text('html')} AS x FROM pages), {s.quality_cte('px', 'page_id', 'x', 'en')}
 SELECT key AS page_id, {", ".join(f"round({c}, 6) AS {c}" for c in [*INDICATORS, "quality_score"])} FROM quality""")
 def page_quality(spark: SparkSession, sf: str) -> DataFrame:
-    pages = table(spark, sf, "pages").select("page_id", html_to_text("html").alias("text"))
-    return with_quality(pages, language=F.lit("en")).select("page_id", *[r6(c) for c in [*INDICATORS, "quality_score"]])
+    web = pages(spark, sf).select("page_id", html_to_text("html").alias("text"))
+    return with_quality(web, language=F.lit("en")).select("page_id", *[r6(c) for c in [*INDICATORS, "quality_score"]])

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks import sqltext as s
-from checks.registry import as_long, query, r6, table, texts
+from checks.registry import as_long, pages, query, r6, table, texts
 from lexmill.functions import lexicon as lx
 from lexmill.functions.language import primary_script, script_guess, with_language
 from lexmill.functions.quality import (
@@ -65,7 +65,7 @@ def html_density(spark: SparkSession, sf: str) -> DataFrame:
 @query(f"""SELECT page_id, round(least(1.0, {s.hits('html', '</?[a-z]+>|&[a-z]+;', 'i')} / greatest(1.0, length(html) / 100::DOUBLE)), 6)
   AS html_density FROM pages""")
 def html_density_pages(spark: SparkSession, sf: str) -> DataFrame:
-    return with_quality(table(spark, sf, "pages"), "html", language=F.lit("en"), columns=["html_density"]).select("page_id", r6("html_density"))
+    return with_quality(pages(spark, sf), "html", language=F.lit("en"), columns=["html_density"]).select("page_id", r6("html_density"))
 
 
 @query(_rounded("question_density", "choice_density", "exam_content_likelihood"))

@@ -133,14 +133,23 @@ def dense_scores(
     reaches the tasks as one scalar per layer, so vectors are scored where they
     are: no shuffle and no Python.
     """
-    df = df.withColumn(out, F.transform(F.col(features), lambda v: v.cast("double")))
-    for layer, kind in enumerate(activations):
-        units = layer_matrix(weights, biases, layer).scalar()
-        df = df.withColumn("_units", units)
-        z = F.transform("_units", lambda u: F.aggregate(
-            F.zip_with(u["w"], F.col(out), lambda w, v: w * v), F.lit(0.0), lambda a, v: a + v) + u["b"])
-        df = df.withColumn("_z", z).withColumn(out, activation(kind, F.col("_z"))).drop("_units", "_z")
-    return df
+    models = {f"_layer{i}": layer_matrix(weights, biases, i).scalar() for i in range(len(activations))}
+    df = df.withColumns(models)
+
+    def dense(x: Column, units: Column) -> Column:
+        return F.transform(units, lambda u: F.aggregate(
+            F.zip_with(u["w"], x, lambda w, v: w * v), F.lit(0.0), lambda a, v: a + v) + u["b"])
+
+    def from_layer(i: int, s: Column) -> Column:
+        if i == len(activations):
+            return s["x"]
+        rest = {f"_layer{j}": s[f"_layer{j}"] for j in range(i + 1, len(activations))}
+        z = dense(s["x"], s[f"_layer{i}"])
+        return rx.let(z, lambda v: rx.bind({"x": activation(activations[i], v), **rest}, lambda t: from_layer(i + 1, t)))
+
+    # Every layer's input is bound once, not evaluated again per unit.
+    start = {"x": F.transform(F.col(features), lambda v: v.cast("double")), **{m: F.col(m) for m in models}}
+    return df.withColumn(out, rx.bind(start, lambda s: from_layer(0, s))).drop(*models)
 
 
 # --- embeddings --------------------------------------------------------------
@@ -155,7 +164,8 @@ def embedding_projection(
     values = projected.select(key, vector_to_array("_p").alias("_p"))
     means = values.select(*[F.avg(F.col("_p")[i]).alias(f"m{i}") for i in range(components)])
     centre = means.select(F.array(*means.columns).alias("m")).scalar()
-    return values.select(key, F.zip_with("_p", centre, lambda p, m: p - m).alias("projection"))
+    centred = F.zip_with("_p", "_m", lambda p, m: p - m)
+    return values.withColumn("_m", centre).select(key, centred.alias("projection"))
 
 
 # --- pseudo labels -----------------------------------------------------------

@@ -78,28 +78,39 @@ def line_profile(df: DataFrame, by: list[str] | None = None, text: str = "text")
 
     Non-blank lines, their mean length and words, distinct words, and the
     ratios of symbols, duplicate, empty and malformed lines (under 3 characters,
-    or more ``[`` than ``]``).  Lines and words are distributed before anything
-    distinct is counted, so a large group is not gathered in one task.
+    or more ``[`` than ``]``).  Lines and words are distributed by value before
+    anything distinct is counted, so a large group is not gathered in one task.
     """
     by = by or []
     count_of = lambda s, ch: F.length(s) - F.length(F.replace(s, F.lit(ch), F.lit("")))
-    all_lines = df.select(*by, F.explode(tokens.lines(text)).alias("_raw")).select(*by, rx.strip("_raw").alias("_line"))
-    line, n = F.col("_line"), F.col("_times")
-    # Equal lines are counted once each; every statistic weights them by their number.
-    distinct = all_lines.groupBy(*by, "_line").agg(F.count("*").alias("_times"))
+    line = F.col("_line")
     full = line != ""
-    weigh = lambda x: F.sum(F.when(full, x * n))
     malformed = (F.length(line) < 3) | (count_of(line, "[") > count_of(line, "]"))
-    stats = distinct.groupBy(*by).agg(
-        F.sum(F.when(full, n)).alias("line_count"),
-        weigh(F.length(line)).alias("_chars"),
-        weigh(F.size(tokens.whitespace_tokens(line))).alias("_words"),
-        weigh(F.regexp_count(line, F.lit(rx.SYMBOL))).alias("_symbols"),
-        F.count_if(full).alias("_distinct"),
-        F.coalesce(F.sum(F.when(~full, n)), F.lit(0)).alias("_empty"),
-        weigh(malformed.cast("int")).alias("_malformed"),
+    only_full = lambda x: F.when(full, x)
+    per_line = (
+        df.select(*by, F.explode(tokens.lines(text)).alias("_raw")).select(*by, rx.strip("_raw").alias("_line"))
+        .select(
+            *by,
+            only_full(line).alias("_line"),
+            only_full(F.length(line)).alias("_length"),
+            only_full(F.regexp_count(line, F.lit(rx.NON_SPACE + "+"))).alias("_spelled"),
+            only_full(F.regexp_count(line, F.lit(rx.SYMBOL))).alias("_marks"),
+            only_full(malformed.cast("int")).alias("_bad"),
+        )
     )
-    words = distinct.select(*by, F.explode(F.array_remove(F.split("_line", rx.SPACE + "+"), "")).alias("_word")).distinct()
+    # The distinct count shuffles by (group, line); the sums ride along as partial sums.
+    stats = per_line.groupBy(*by).agg(
+        F.count("_line").alias("line_count"),
+        F.sum("_length").alias("_chars"),
+        F.sum("_spelled").alias("_words"),
+        F.sum("_marks").alias("_symbols"),
+        F.sum("_bad").alias("_malformed"),
+        (F.count("*") - F.count("_line")).alias("_empty"),
+        F.count_distinct("_line").alias("_distinct"),
+    )
+    # Words do not cross lines; repeats inside a text go before the shuffle.
+    spelled = F.array_distinct(F.array_remove(F.split(text, rx.SPACE + "+"), ""))
+    words = df.select(*by, F.explode(spelled).alias("_word")).distinct()
     vocabulary = words.groupBy(*by).agg(F.count("*").alias("vocabulary_size"))
     lines = F.col("line_count")
     stats = stats.where(lines > 0)

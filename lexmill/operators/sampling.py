@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lexmill.functions import patterns as rx
 from lexmill.operators.ranking import (
     hash_order_key,
     small_side,
@@ -133,10 +134,14 @@ def weighted_labels(
     table = cumulative.agg(F.sort_array(F.collect_list(F.struct("_upto", "_label"))).alias("t"))
     draw = F.conv(F.substring(hash_order_key(seed, key), 1, 8), 16, 10).cast("long")
     with_table = df.withColumn("_t", table.scalar())
-    total = F.element_at("_t", -1)["_upto"]
-    # u < upto / total, kept in integers.
-    hit = F.filter("_t", lambda e: draw * total < e["_upto"] * (1 << 32))
-    return with_table.withColumn(out, F.get(hit, F.lit(0))["_label"]).drop("_t")
+
+    def covering(s: Column) -> Column:
+        # u < upto / total, kept in integers.
+        return F.get(F.filter(s["t"], lambda e: s["goal"] < e["_upto"] * (1 << 32)), F.lit(0))["_label"]
+
+    goal = draw * F.element_at("_t", -1)["_upto"]
+    label_of = rx.bind({"t": F.col("_t"), "goal": goal}, covering)
+    return with_table.withColumn(out, label_of).drop("_t")
 
 
 def label_index(labels: DataFrame, label: str = "label", out: str = "label_idx") -> DataFrame:

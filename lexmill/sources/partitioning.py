@@ -1,0 +1,32 @@
+"""Input parallelism."""
+
+from __future__ import annotations
+
+from functools import cache
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+# Text rules are CPU-bound; below this many bytes per core a file is worth spreading.
+SMALL_BYTES_PER_CORE = 16 * 1024 * 1024
+
+
+@cache
+def _input_bytes(spark: SparkSession, path: str) -> int:
+    """Size of a file or folder from its listing; nothing is read."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    return files.agg(F.coalesce(F.sum("length"), F.lit(0)).alias("n")).first()["n"]
+
+
+def spread_small_input(df: DataFrame, path: str, key: str) -> DataFrame:
+    """Spread an input over the cores if it is too small to fill them by itself.
+
+    A small Parquet file often holds a single row group and so a single task.
+    Inputs of usual size already have a split per core and stay as they are:
+    no shuffle is added to a large job.
+    """
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    if _input_bytes(spark, path) >= cores * SMALL_BYTES_PER_CORE:
+        return df
+    return df.repartition(cores, key)
