@@ -173,7 +173,7 @@ _DEEP = f"dp AS (SELECT doc_id, {s.clean_deep('text')} AS c FROM documents)"
 @query(f"""WITH b AS (WITH {s.quality_cte('documents', 'doc_id', 'text')} SELECT key, quality_score FROM quality), {_DEEP},
 a AS (WITH {s.quality_cte('dp', 'doc_id', 'c')} SELECT key, quality_score FROM quality)
 SELECT b.key AS doc_id, dp.c AS clean_text, 'deep' AS cleaning_applied, round(b.quality_score, 6) AS quality_before,
-  round(a.quality_score, 6) AS quality_after, round(a.quality_score - b.quality_score, 6) AS quality_improvement
+  round(a.quality_score, 6) AS quality_after, round(a.quality_score - b.quality_score, 6) + 0.0 AS quality_improvement
 FROM b JOIN dp ON dp.doc_id = b.key JOIN a ON a.key = b.key""")
 def clean_by_quality(spark: SparkSession, sf: str) -> DataFrame:
     out = by_quality(texts(spark, sf))
@@ -244,7 +244,7 @@ _NOISE_INT = {"text_length", "sample_length", "sentence_count"}
 
 
 def _noise_select(key: str) -> str:
-    cols = [f"{c}::BIGINT AS {c}" if c in _NOISE_INT else c if c == "has_html" else f"round({c}, 6) AS {c}" for c in _NOISE]
+    cols = [f"{c}::BIGINT AS {c}" if c in _NOISE_INT else c if c == "has_html" else f"round({c}, 6) + 0.0 AS {c}" for c in _NOISE]
     return f"SELECT key AS {key}, {', '.join(cols)}, round(score, 6) AS score FROM n"
 
 

@@ -12,6 +12,7 @@ from lexmill.functions import lexicon as lx
 from lexmill.functions.language import with_language
 from lexmill.functions.metrics import TEXT_METRICS, big_text_sample, with_text_metrics
 from lexmill.operators import reports
+from lexmill.operators.scratch import materialized
 
 # Languages of the data; the other lists are never consulted here.
 _STOP = "(CASE language " + " ".join(
@@ -77,7 +78,7 @@ def length_histogram(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(f"WITH {_M}, {_histogram_sql('metrics', 'readability')}")
 def readability_histogram(spark: SparkSession, sf: str) -> DataFrame:
-    return reports.histogram(_measured(spark, sf), "readability").select(
+    return reports.histogram(materialized(_measured(spark, sf)), "readability").select(
         "bin", F.round("lower", 4).alias("lower"), F.round("upper", 4).alias("upper"), "n")
 
 

@@ -128,8 +128,8 @@ def with_hash_rank(
     return joined.withColumn(out, F.col("_at") + F.col("_before")).drop("_key", "_bucket", "_at", "_before")
 
 
-def with_ordered_rank(df: DataFrame, order: Sequence[str], out: str = "rank") -> DataFrame:
-    """Add the exact 1-based rank in the order of the columns ``order``.
+def ordered_ranks(df: DataFrame, order: Sequence[str], out: str = "rank") -> DataFrame:
+    """(order columns, rank): the exact 1-based rank in the order of the columns.
 
     Range-sorts the order columns alone, numbers each sorted partition, and
     adds the sizes of the partitions before it.  The sorted keys are written
@@ -144,9 +144,13 @@ def with_ordered_rank(df: DataFrame, order: Sequence[str], out: str = "rank") ->
     # One row per partition of the sort.
     upto = Window.partitionBy(F.lit(0)).orderBy("_part").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     starts = sizes.select("_part", (F.sum("_n").over(upto) - F.col("_n")).alias("_before"))
-    ranks = (
+    return (
         sorted_keys.withColumn("_part", part)
         .join(small_side(starts), "_part")
         .select(*order, (at + F.col("_before") + 1).alias(out))
     )
-    return df.join(ranks, list(order))
+
+
+def with_ordered_rank(df: DataFrame, order: Sequence[str], out: str = "rank") -> DataFrame:
+    """Add the exact 1-based rank in the order of the columns, which identify the rows."""
+    return df.join(ordered_ranks(df, order, out), list(order))

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from lexmill.functions import patterns as rx
 from lexmill.operators.ranking import (
     hash_order_key,
+    ordered_ranks,
     small_side,
     with_first_k,
     with_hash_rank,
@@ -97,9 +98,11 @@ def balance_classes(df: DataFrame, label: str, key: str = "id", seed: int = 42)
 
 def head_tail_split(df: DataFrame, order: str = "id", ratio: float = 0.8, out: str = "split") -> DataFrame:
     """The first ``floor(n * ratio)`` rows in the given order are ``train``."""
+    ranks = ordered_ranks(df, [order], "_rank")
     quota = df.agg(F.floor(F.count("*") * F.lit(ratio)).alias("k")).select("k").scalar()
-    ranked = with_ordered_rank(df, [order], "_rank")
-    return ranked.withColumn(out, F.when(F.col("_rank") <= quota, "train").otherwise("test")).drop("_rank")
+    # The last train key reaches the rows as a scalar; texts are not shuffled.
+    last = ranks.where(F.col("_rank") == quota).select(order).scalar()
+    return df.withColumn(out, F.when(F.col(order) <= last, "train").otherwise("test"))
 
 
 def mini_batches(df: DataFrame, batch_size: int, order: str = "id", out: str = "batch") -> DataFrame:
