@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,6 +17,8 @@ from lexmill.operators.extraction import (
     pages_to_documents,
     with_extracted_text,
 )
+from lexmill.operators.scratch import shared_folder
+from lexmill.sources.warc import read_warc
 
 TOPICS, DOMAINS = ["Ereau", "with the"], ["Example.ORG"]
 
@@ -74,6 +78,41 @@ def decoded_payloads(spark: SparkSession, sf: str) -> DataFrame:
     return pages_to_documents(records).select("page_id", "text")
 
 
+def _write_archives(df: DataFrame, folder: str) -> int:
+    """Write (url, html) rows as gzipped archives, one per partition; returns their number."""
+
+    def write(batches):
+        import gzip
+        import os
+        import uuid
+
+        import pandas as pd
+
+        os.makedirs(folder, exist_ok=True)
+        members = []
+        for batch in batches:
+            for url, html in zip(batch["url"], batch["html"]):
+                body = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=UTF-8\r\n\r\n" + html.encode()
+                for kind, block in (("request", b"GET / HTTP/1.1\r\n\r\n"), ("response", body)):
+                    head = f"WARC/1.0\r\nWARC-Type: {kind}\r\nWARC-Target-URI: {url}\r\nContent-Length: {len(block)}\r\n\r\n"
+                    members.append(gzip.compress(head.encode() + block + b"\r\n\r\n"))
+        if members:
+            path = f"{folder}/{uuid.uuid4().hex}.warc.gz"
+            with open(path, "wb") as f:
+                f.writelines(members)
+            yield pd.DataFrame({"path": [path]})
+
+    return df.mapInPandas(write, "path string").count()
+
+
+# The pages as archives: every page is a request and a response record.
+@query("SELECT url, 'text/html; charset=utf-8' AS content_type, html AS text FROM pages")
+def warc_pages(spark: SparkSession, sf: str) -> DataFrame:
+    folder = f"{shared_folder(spark)}/{uuid.uuid4().hex}".removeprefix("file:")
+    _write_archives(pages(spark, sf).select("url", "html"), folder)
+    return read_warc(spark, folder).select("url", "content_type", F.col("content").cast("string").alias("text"))
+
+
 @query(f"""WITH topics AS (SELECT DISTINCT regexp_extract(lower(text), '[a-z]{{7,}}') AS topic FROM benchmark),
 x AS (SELECT page_id, lower({s.html_text('html')}) AS t FROM pages)
 SELECT page_id FROM x WHERE EXISTS (SELECT 1 FROM topics WHERE topic <> '' AND contains(t, topic))""")

@@ -24,9 +24,15 @@ class ArchiveFile(InputPartition):
         self.path = path
 
 
+def _plain(path: str) -> str:
+    """Local URIs as plain paths."""
+    return "/" + path.removeprefix("file:").lstrip("/") if path.startswith("file:") else path
+
+
 def _filesystem(path: str):
     from pyarrow import fs
 
+    path = _plain(path)
     if "://" in path:
         return fs.FileSystem.from_uri(path)
     return fs.LocalFileSystem(), path
@@ -35,6 +41,7 @@ def _filesystem(path: str):
 def _list_archives(path: str, pattern: str, recursive: bool) -> list[str]:
     from pyarrow import fs
 
+    path = _plain(path)
     filesystem, root = _filesystem(path)
     scheme = path.split("://")[0] + "://" if "://" in path else ""
     info = filesystem.get_file_info(root)
