@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer, StopWordsRemover
+from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 from lexmill.functions import lexicon as lx
 from lexmill.functions import patterns as rx
 from lexmill.functions import tokens
+from lexmill.functions.metrics import stop_words as packaged_stop_words
 from lexmill.operators.ranking import small_side
 
 
@@ -85,24 +87,28 @@ def unknown_rate(df: DataFrame, vocabulary: DataFrame, text: str = "text") -> Da
 
 def tfidf_tokens(text: Column | str, stop_words: list[str] | None = None) -> Column:
     """Words of two or more characters, lower-cased, without stop words."""
-    listed = StopWordsRemover.loadDefaultStopWords("english") if stop_words is None else stop_words
-    listed = list(listed)
-    return F.filter(
-        tokens.words(F.lower(rx.as_col(text))), lambda w: (F.length(w) >= 2) & ~w.isin(listed))
+    listed = packaged_stop_words("english") if stop_words is None else stop_words
+    members = ", ".join(rx.sql_text(w) for w in listed)
+    kept = "length(x) >= 2" + (f" AND x NOT IN ({members})" if members else "")
+    return F.call_function("filter", tokens.words(F.lower(rx.as_col(text))), F.expr(f"x -> {kept}"))
 
 
 def tfidf_features(
-    df: DataFrame, key: str = "id", text: str = "text", max_features: int = 1000, stop_words: list[str] | None = None,
+    df: DataFrame, text: str = "text", max_features: int = 1000, stop_words: list[str] | None = None,
 ) -> DataFrame:
     """(term, idf) of the most frequent terms; equal counts in alphabetical order.
 
-    idf = ln((1 + n) / (1 + df)) + 1.
+    idf = ln((1 + n) / (1 + df)) + 1.  Occurrences and distinct terms per text
+    are counted in one pass; only per-term sums are shuffled.
     """
-    terms = df.select(key, F.explode(tfidf_tokens(text, stop_words)).alias("term"))
-    stats = (
-        terms.groupBy(key, "term").agg(F.count("*").alias("tf"))
-        .groupBy("term").agg(F.sum("tf").alias("total"), F.count("*").alias("df"))
-    )
+    def marks(w: Column) -> Column:
+        def entry(total: int, texts: int):
+            return lambda t: F.struct(t.alias("term"), F.lit(total).alias("total"), F.lit(texts).alias("df"))
+
+        return F.concat(F.transform(w, entry(1, 0)), F.transform(F.array_distinct(w), entry(0, 1)))
+
+    entries = df.select(F.inline(rx.let(tfidf_tokens(text, stop_words), marks)))
+    stats = entries.groupBy("term").agg(F.sum("total").alias("total"), F.sum("df").alias("df"))
     top = stats.orderBy(F.col("total").desc(), "term").limit(max_features)
     n = df.agg(F.count("*").alias("n")).scalar()
     return top.select("term", (F.log((n + F.lit(1)) / (F.col("df") + F.lit(1))) + F.lit(1.0)).alias("idf"))
@@ -116,14 +122,31 @@ def tfidf(
 
     Terms and idf come from ``fit`` if given, else from ``df``.
     """
-    features = small_side(tfidf_features(df if fit is None else fit, key, text, max_features, stop_words))
-    terms = df.select(key, F.explode(tfidf_tokens(text, stop_words)).alias("term"))
-    # The chosen terms are a small side: other words go before anything is shuffled.
-    counts = terms.join(features, "term").groupBy(key, "term", "idf").agg(F.count("*").alias("tf"))
-    raw = counts.withColumn("raw", F.col("tf") * F.col("idf"))
-    # The norm is over at most max_features terms of one text.
-    norm = F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(Window.partitionBy(key)))
-    return raw.select(key, "term", (F.col("raw") / norm).alias("weight"))
+    chosen = _chosen_terms(df if fit is None else fit, text, max_features, stop_words)
+    if not chosen:
+        return df.select(key, F.lit("").alias("term"), F.lit(0.0).alias("weight")).limit(0)
+    vectors = _vectors(df, key, text, stop_words, chosen, "_v").select(key, vector_to_array("_v").alias("_w"))
+    terms = rx.text_array([t for t, _ in chosen])
+    pairs = F.filter(F.arrays_zip(terms.alias("term"), F.col("_w").alias("weight")), lambda e: e["weight"] > 0)
+    return vectors.select(key, F.inline(pairs))
+
+
+def _chosen_terms(
+    fit: DataFrame, text: str, max_features: int, stop_words: list[str] | None,
+) -> list[tuple[str, float]]:
+    """The (at most ``max_features``) terms with their idf, in alphabetical order."""
+    return sorted((r["term"], r["idf"]) for r in tfidf_features(fit, text, max_features, stop_words).collect())
+
+
+def _vectors(
+    df: DataFrame, key: str, text: str, stop_words: list[str] | None, chosen: list[tuple[str, float]], out: str,
+) -> DataFrame:
+    counted = CountVectorizerModel.from_vocabulary(
+        [t for t, _ in chosen], inputCol="_tokens", outputCol="_tf",
+    ).transform(df.select(key, tfidf_tokens(text, stop_words).alias("_tokens")))
+    weighted = ElementwiseProduct(
+        scalingVec=Vectors.dense([idf for _, idf in chosen]), inputCol="_tf", outputCol="_raw").transform(counted)
+    return Normalizer(p=2.0, inputCol="_raw", outputCol=out).transform(weighted).select(key, out)
 
 
 def tfidf_vectors(
@@ -134,12 +157,7 @@ def tfidf_vectors(
 
     Row-wise once the (at most ``max_features``) terms are known.
     """
-    chosen = tfidf_features(df if fit is None else fit, key, text, max_features, stop_words).orderBy("term").collect()
+    chosen = _chosen_terms(df if fit is None else fit, text, max_features, stop_words)
     if not chosen:
         raise ValueError("no term left to build vectors from")
-    tokens_of = df.select(key, tfidf_tokens(text, stop_words).alias("_tokens"))
-    counted = CountVectorizerModel.from_vocabulary(
-        [r["term"] for r in chosen], inputCol="_tokens", outputCol="_tf").transform(tokens_of)
-    weighted = ElementwiseProduct(
-        scalingVec=Vectors.dense([r["idf"] for r in chosen]), inputCol="_tf", outputCol="_raw").transform(counted)
-    return Normalizer(p=2.0, inputCol="_raw", outputCol=out).transform(weighted).select(key, out)
+    return _vectors(df, key, text, stop_words, chosen, out)

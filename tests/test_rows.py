@@ -224,3 +224,33 @@ def test_split_shuffles_no_text(spark, sf):
     split = sp.ratio_split(spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text"), "doc_id")
     main = plan_of(split).split("Subqueries")[0]
     assert "Window" not in main.split("Subquery")[0]
+
+
+def test_saved_parts_come_back(spark, tmp_path):
+    from lexmill.plans.jobs import corpus_quality_report
+    from lexmill.functions.quality import with_quality
+    from lexmill.sources.sinks import write_clean_corpus, write_dataset
+    from lexmill.sources.text import read_dataset
+
+    docs = spark.createDataFrame(
+        [(i, "spam offer win money now" if i % 2 else "meeting agenda for monday", i % 2) for i in range(20)],
+        "id long, text string, label_idx int")
+    vocab = v.build_vocabulary(docs)
+    v.write_vocabulary(vocab, str(tmp_path / "vocab"))
+    assert sorted(map(str, v.read_vocabulary(spark, str(tmp_path / "vocab")).collect())) == sorted(map(str, vocab.collect()))
+    model = m.train_text_classifier(docs, 2, features=64, max_iter=20)
+    m.save_model(model, str(tmp_path / "model"))
+    scored = m.predict(m.load_model(str(tmp_path / "model")), docs)
+    assert m.evaluate(scored).first()["accuracy"] == 1.0
+    write_dataset(sp.ratio_split(docs), str(tmp_path / "ds"), text="text")
+    assert read_dataset(spark, str(tmp_path / "ds/data")).where("split = 'train'").count() == 16
+    write_clean_corpus(docs.withColumn("source", F.lit("s")), str(tmp_path / "clean"), "source", "text")
+    assert spark.read.text(str(tmp_path / "clean/source=s")).count() == 20
+    report = {r["category"]: r["n"] for r in corpus_quality_report(docs).collect()}
+    assert report["all"] == 20
+    line = reports.file_report(with_quality(docs.withColumn("filename", F.lit("f")))).first()
+    assert line["filename"] == "f" and line["length"] > 0
+
+
+def test_tfidf_without_terms(spark):
+    assert v.tfidf(spark.createDataFrame([(1, "a b the")], "id int, text string")).count() == 0
