@@ -7,16 +7,16 @@ from pyspark.sql import functions as F
 
 from checks import sqltext as s
 from checks.registry import as_long, query, r6, table, texts
-from checks.stopwords import packaged_stop_words
 from lexmill.functions import lexicon as lx
 from lexmill.functions.language import with_language
 from lexmill.functions.metrics import TEXT_METRICS, big_text_sample, with_text_metrics
+from lexmill.functions.stopwords import STOP_WORDS
 from lexmill.operators import reports
 from lexmill.operators.scratch import materialized
 
 # Languages of the data; the other lists are never consulted here.
 _STOP = "(CASE language " + " ".join(
-    f"WHEN '{c}' THEN len(list_filter(w, lambda x: x IN ({', '.join(s.lit(x) for x in packaged_stop_words(lx.STOP_WORD_LANGUAGES[c]))})))"
+    f"WHEN '{c}' THEN len(list_filter(w, lambda x: x IN ({', '.join(s.lit(x) for x in STOP_WORDS[lx.STOP_WORD_LANGUAGES[c]])})))"
     for c in ("en", "es", "fr", "de")) + " ELSE 0 END)"
 
 # Words per sentence are counted sentence by sentence here.

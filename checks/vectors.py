@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from checks import sqltext as s
 from checks.registry import query, r6, table, texts
-from checks.stopwords import packaged_stop_words
+from lexmill.functions.stopwords import STOP_WORDS
 from lexmill.functions.tokens import whitespace_tokens
 from lexmill.operators import vocabulary as v
 from lexmill.plans.jobs import prepare_sequences as prepare
@@ -73,7 +73,7 @@ def prepare_sequences(spark: SparkSession, sf: str) -> DataFrame:
     return both[0].unionByName(both[1]).select("split", "doc_id", F.array_join("sequence", " ").alias("sequence"))
 
 
-_STOPPED = ", ".join(s.lit(w) for w in packaged_stop_words("english"))
+_STOPPED = ", ".join(s.lit(w) for w in STOP_WORDS["english"])
 _TFIDF = f"""WITH w AS (SELECT doc_id, word, count(*) AS tf FROM (
    SELECT doc_id, unnest(regexp_extract_all(lower(text), '{s.W}+')) AS word FROM documents)
    WHERE length(word) >= 2 AND word NOT IN ({_STOPPED}) GROUP BY ALL),

@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-from functools import cache
-
-from pyspark.ml.feature import StopWordsRemover
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -12,6 +9,7 @@ from lexmill.functions import lexicon as lx
 from lexmill.functions import patterns as rx
 from lexmill.functions import tokens
 from lexmill.functions.cleaning import clean_text
+from lexmill.functions.stopwords import STOP_WORDS
 
 TEXT_METRICS = [
     "length", "avg_word_length", "avg_sentence_length", "vocab_richness", "readability", "stopword_ratio",
@@ -22,12 +20,6 @@ NOISE_METRICS = [
 ]
 
 
-@cache
-def stop_words(language_name: str) -> tuple[str, ...]:
-    """Spark's stop-word list of a language given by its English name."""
-    return tuple(StopWordsRemover.loadDefaultStopWords(language_name))
-
-
 def syllables(words: Column) -> Column:
     """Vowel groups per word, at least one each, summed over the words."""
     return tokens.array_sum(
@@ -49,7 +41,7 @@ def text_metrics(text: Column | str, language: Column | str) -> Column:
         per_word = lambda x: F.when(n > 0, x / n).otherwise(F.lit(0.0))
         stop_count = None
         for code, name in lx.STOP_WORD_LANGUAGES.items():
-            hits = rx.count_members(w, stop_words(name))
+            hits = rx.count_members(w, STOP_WORDS[name])
             stop_count = F.when(lang == code, hits) if stop_count is None else stop_count.when(lang == code, hits)
         flesch = F.when(
             n > 0, 206.835 - 1.015 * (n / F.greatest(F.lit(1), sentences)) - 84.6 * (syllables(w) / n),

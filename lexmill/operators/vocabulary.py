@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from lexmill.functions import lexicon as lx
 from lexmill.functions import patterns as rx
 from lexmill.functions import tokens
-from lexmill.functions.metrics import stop_words as packaged_stop_words
+from lexmill.functions.stopwords import STOP_WORDS
 from lexmill.operators.ranking import small_side
 
 
@@ -87,7 +87,7 @@ def unknown_rate(df: DataFrame, vocabulary: DataFrame, text: str = "text") -> Da
 
 def tfidf_tokens(text: Column | str, stop_words: list[str] | None = None) -> Column:
     """Words of two or more characters, lower-cased, without stop words."""
-    listed = packaged_stop_words("english") if stop_words is None else stop_words
+    listed = STOP_WORDS["english"] if stop_words is None else stop_words
     members = ", ".join(rx.sql_text(w) for w in listed)
     kept = "length(x) >= 2" + (f" AND x NOT IN ({members})" if members else "")
     return F.call_function("filter", tokens.words(F.lower(rx.as_col(text))), F.expr(f"x -> {kept}"))
