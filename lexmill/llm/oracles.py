@@ -48,4 +48,20 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(p.n, 0)::BIGINT AS n_hit, coa
  sha256(coalesce(items, '')) AS items_sha256, coalesce(p.n, 0) > 0 AND 20 * coalesce(p.n, 0) >= len(w) AS contaminated
 FROM d LEFT JOIN p USING (r) LEFT JOIN t USING (r)"""
 
-SQL = {"op1_url_filter": _OP1, "op5_decontamination": _OP5}
+# Levels are filled source by source, as in the operator; positions use the closed form of a straight line.
+_OP9 = r"""WITH d AS (SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size FROM documents),
+k AS (SELECT *, md5('42:' || coalesce(doc_id::VARCHAR, '') || ':' || size) AS key FROM d),
+s AS (SELECT source, sum(size)::BIGINT AS source_size, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS place FROM d GROUP BY source),
+w AS (SELECT *, [3.0::DOUBLE, 1.0::DOUBLE, 2.0::DOUBLE][(place % 3 + 1)::INT] AS weight, 2.0::DOUBLE * source_size AS cap FROM s),
+v AS (SELECT *, (1.5::DOUBLE * sum(source_size) OVER () - coalesce(sum(cap) OVER (ORDER BY cap / weight, place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+  / sum(weight) OVER (ORDER BY cap / weight, place ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level FROM w),
+c AS (SELECT arg_min(level, (cap / weight, place)) FILTER (level * weight <= cap) AS level FROM v),
+t AS (SELECT source, source_size, place, CASE WHEN v.level * weight <= cap THEN least(cap, c.level * weight) ELSE cap END AS target FROM v, c),
+p AS (SELECT k.*, source_size, target, place, (sum(size) OVER (PARTITION BY k.source ORDER BY key ROWS UNBOUNDED PRECEDING) - size)::BIGINT AS start
+ FROM k JOIN t ON k.source IS NOT DISTINCT FROM t.source),
+q AS (SELECT *, greatest(0, least(size, round(target)::BIGINT - start)) + greatest(0, least(size, round(target)::BIGINT - start - source_size)) AS taken,
+ start / target AS x, CASE place % 3 WHEN 0 THEN 0.0::DOUBLE WHEN 1 THEN 0.5::DOUBLE ELSE -0.5::DOUBLE END AS a FROM p)
+SELECT doc_id, size, source_size, target, taken::BIGINT AS taken,
+ CASE WHEN taken > 0 THEN round(2 * x / ((1 - a) + sqrt(greatest(0.0::DOUBLE, (1 - a) * (1 - a) + 4 * a * x))), 9) END AS position FROM q"""
+
+SQL = {"op9_source_mixing": _OP9, "op1_url_filter": _OP1, "op5_decontamination": _OP5}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexmill.llm import decontaminate, simhash, token_counts, url_filter
+from lexmill.llm import decontaminate, mixing, simhash, token_counts, url_filter
 from lexmill.llm import oracles
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -48,3 +48,9 @@ def op5_decontamination(spark: SparkSession, sf: str) -> DataFrame:
     return found.select(
         "doc_id", "c.n_words", "c.n_hit", "c.n_items", decontaminate.items_digest("c.items").alias("items_sha256"),
         "c.contaminated")
+
+
+@_query
+def op9_source_mixing(spark: SparkSession, sf: str) -> DataFrame:
+    return mixing.mix(_table(spark, sf, "documents").select("doc_id", "text", "source")).select(
+        "doc_id", "size", "source_size", "target", "taken", F.round("position", 9).alias("position"))
