@@ -64,4 +64,48 @@ q AS (SELECT *, greatest(0, least(size, round(target)::BIGINT - start)) + greate
 SELECT doc_id, size, source_size, target, taken::BIGINT AS taken,
  CASE WHEN taken > 0 THEN round(2 * x / ((1 - a) + sqrt(greatest(0.0::DOUBLE, (1 - a) * (1 - a) + 4 * a * x))), 9) END AS position FROM q"""
 
-SQL = {"op9_source_mixing": _OP9, "op1_url_filter": _OP1, "op5_decontamination": _OP5}
+_SECRET_KINDS = [
+    ("assign", r"""(?i)(password|passwd|secret|token|api_?key)["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)""", 2, 6),
+    ("access", "AKIA[A-Z0-9]+", 0, 20), ("hex", "[0-9a-f]+", 0, 24),
+    ("pem", "-----BEGIN [A-Z ]*PRIVATE KEY-----", 0, 1), ("github", "gh[pousr]_[A-Za-z0-9]+", 0, 40),
+    ("slack", "xox[abprs]-[A-Za-z0-9-]+", 0, 15)]
+
+
+def _span_rows(kind: str, pattern: str, group: int, least: int, nth: int) -> str:
+    """Places of the matches of one kind: what precedes them is split off and added up."""
+    return f"""SELECT r, {nth} AS nth, '{kind}' AS kind, e - len(m) AS b, e FROM (
+ SELECT r, m, g, sum(len(p) + len(m)) OVER (PARTITION BY r ORDER BY i) AS e FROM (
+  SELECT r, unnest(m) AS m, unnest(g) AS g, unnest(p[:len(m)]) AS p, generate_subscripts(m, 1) AS i FROM (
+   SELECT r, regexp_extract_all(t, '{pattern}') AS m, regexp_extract_all(t, '{pattern}', {group}) AS g, regexp_split_to_array(t, '{pattern}') AS p FROM d)))
+ WHERE len(g) >= {least}"""
+
+
+_OP6 = f"""WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
+s AS ({" UNION ALL ".join(_span_rows(*k, n) for n, k in enumerate(_SECRET_KINDS))}),
+a AS (SELECT r, count(*) FILTER (nth = 0) AS n_assign, count(*) FILTER (nth = 1) AS n_access, count(*) FILTER (nth = 2) AS n_hex,
+ string_agg(kind || ':' || b::BIGINT || ':' || e::BIGINT, ',' ORDER BY b, nth) FILTER (nth < 3) AS base,
+ string_agg(kind || ':' || b::BIGINT || ':' || e::BIGINT, ',' ORDER BY b, nth) AS spans FROM s GROUP BY r)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+ sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans FROM d LEFT JOIN a USING (r)"""
+
+_OP7 = r"""WITH d AS (SELECT row_number() OVER () AS r, doc_id, source, coalesce(text, '') AS t,
+ regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+l AS (SELECT r, source, t, x, i, len(regexp_extract_all(x, '[^\x20\x09-\x0D]+')) AS n,
+ lower(trim(regexp_replace(x, '[\x20\x09-\x0D]+', ' ', 'g'))) AS k
+ FROM (SELECT r, source, t, unnest(string_split(t, chr(10))) AS x, generate_subscripts(string_split(t, chr(10)), 1) AS i FROM d)),
+f AS (SELECT * FROM l WHERE n > 0),
+dup AS (SELECT r, count(*) - count(DISTINCT x) AS n_dup_lines FROM f GROUP BY r),
+win AS (SELECT r, j, array_to_string(w[j:j + 7], ' ') AS s FROM (SELECT r, w, unnest(range(1, len(w) - 6)) AS j FROM d WHERE len(w) >= 8)),
+rep AS (SELECT r, count(DISTINCT x) AS n_repeat_words FROM (SELECT r, unnest(range(j, j + 8)) AS x FROM win
+ JOIN (SELECT r, s FROM win GROUP BY r, s HAVING count(*) > 1) USING (r, s)) GROUP BY r),
+frq AS (SELECT source, k FROM f GROUP BY source, k HAVING count(DISTINCT t) >= 20 AND 100 * count(DISTINCT t) > 5 * (
+ SELECT count(DISTINCT t) FROM d WHERE d.source IS NOT DISTINCT FROM f.source)),
+rem AS (SELECT r, sum(n)::BIGINT AS n_removed FROM f JOIN frq ON f.source IS NOT DISTINCT FROM frq.source AND f.k = frq.k GROUP BY r),
+m AS (SELECT doc_id, len(w)::BIGINT AS n_words, length(regexp_replace(t, '[\x20\x09-\x0D]+', '', 'g'))::BIGINT AS word_chars,
+ len(regexp_extract_all(t, '[#*$%&|<>]'))::BIGINT AS n_symbols, coalesce(n_dup_lines, 0)::BIGINT AS n_dup_lines,
+ coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words, coalesce(n_removed, 0) AS n_removed
+ FROM d LEFT JOIN dup USING (r) LEFT JOIN rep USING (r) LEFT JOIN rem USING (r)),
+b AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM m)
+SELECT *, NOT base_failed AND NOT (n_removed > 0 AND (2 * n_removed > n_words OR n_words - n_removed < 20)) AS kept FROM b"""
+
+SQL = {"op6_secret_scan": _OP6, "op7_quality_rules": _OP7, "op9_source_mixing": _OP9, "op1_url_filter": _OP1, "op5_decontamination": _OP5}

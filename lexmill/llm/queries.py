@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexmill.llm import decontaminate, mixing, simhash, token_counts, url_filter
+from lexmill.llm import decontaminate, mixing, quality_rules, secrets, simhash, token_counts, url_filter
 from lexmill.llm import oracles
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -50,6 +50,17 @@ def op5_decontamination(spark: SparkSession, sf: str) -> DataFrame:
         "c.contaminated")
 
 
+@_query
+def op6_secret_scan(spark: SparkSession, sf: str) -> DataFrame:
+    found = secrets.find_secrets(_table(spark, sf, "documents").select("doc_id", "text"))
+    return found.select("doc_id", *secrets.secret_digests("secrets"))
+
+
+@_query
+def op7_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
+    return quality_rules.quality_verdicts(_table(spark, sf, "documents").select("doc_id", "source", "text"))
+
+
 @_query
 def op9_source_mixing(spark: SparkSession, sf: str) -> DataFrame:
     return mixing.mix(_table(spark, sf, "documents").select("doc_id", "text", "source")).select(
