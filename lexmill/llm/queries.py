@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexmill.llm import decontaminate, mixing, quality_rules, secrets, simhash, token_counts, url_filter
+from lexmill.llm import decontaminate, mixing, pii, quality_rules, secrets, simhash, token_counts, url_filter
 from lexmill.llm import oracles
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -65,3 +65,9 @@ def op7_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
 def op9_source_mixing(spark: SparkSession, sf: str) -> DataFrame:
     return mixing.mix(_table(spark, sf, "documents").select("doc_id", "text", "source")).select(
         "doc_id", "size", "source_size", "target", "taken", F.round("position", 9).alias("position"))
+
+
+@_query
+def op10_pii(spark: SparkSession, sf: str) -> DataFrame:
+    found = pii.find_personal_data(_table(spark, sf, "documents").select("doc_id", "text"))
+    return found.select("doc_id", *pii.pii_digests("base", "spans"))

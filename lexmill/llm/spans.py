@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from lexmill.llm.words import let
 
 _STEP = 256
+#: Characters of context that a span carries.
+BEFORE = 64
 
 
 def _total(lengths: Column, first: Column, n: Column | int) -> Column:
@@ -32,30 +34,28 @@ def running_starts(lengths: Column) -> Column:
 
 
 def match_spans(text: Column, pattern: str, group: int | None = None) -> Column:
-    """array(struct(start, stop, value)) of all matches: code points from 0, ``value`` is the match or a group.
+    """array(struct(start, stop, value, before)) of all matches: code points from 0.
 
-    The pieces between matches and the matches themselves alternate, so their lengths
-    add up to the places.  The pattern must not match the empty string.
+    ``value`` is the match or a group of it, ``before`` the last BEFORE characters
+    between it and the previous match. The pieces between matches and the matches
+    themselves alternate, so their lengths add up to the places.  The pattern must not match the empty string.
     """
 
     def spans(found: Column) -> Column:
-        between = F.transform(F.split(text, pattern, -1), lambda x: F.length(x))
         values = found if group is None else F.regexp_extract_all(text, F.lit(pattern), F.lit(group))
-
-        def place(found_lengths: Column) -> Column:
-            whole = F.zip_with(
-                F.slice(between, 1, F.size(found)), found_lengths, lambda a, b: F.struct(a.alias("gap"), b.alias("n")))
-            return let(whole, lambda w: F.zip_with(
-                w, running_starts(F.transform(w, lambda p: p["gap"] + p["n"])), lambda p, s: F.struct(
-                    (s + p["gap"]).alias("start"), (s + p["gap"] + p["n"]).alias("stop"))))
-
-        placed = place(F.transform(found, lambda x: F.length(x)))
-        return F.zip_with(placed, values, lambda p, v: F.struct(p["start"].alias("start"), p["stop"].alias("stop"), v.alias("value")))
+        pieces = F.zip_with(
+            F.slice(F.split(text, pattern, -1), 1, F.size(found)), found,
+            lambda a, b: F.struct(F.length(a).alias("gap"), F.length(b).alias("n"), F.right(a, F.lit(BEFORE)).alias("before")))
+        placed = let(pieces, lambda w: F.zip_with(
+            w, running_starts(F.transform(w, lambda p: p["gap"] + p["n"])), lambda p, s: F.struct(
+                (s + p["gap"]).alias("start"), (s + p["gap"] + p["n"]).alias("stop"), p["before"].alias("before"))))
+        return F.zip_with(placed, values, lambda p, v: F.struct(
+            p["start"].alias("start"), p["stop"].alias("stop"), v.alias("value"), p["before"].alias("before")))
 
     return let(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), spans)
 
 
-SPAN = "array<struct<start:int,stop:int,value:string>>"
+SPAN = "array<struct<start:int,stop:int,value:string,before:string>>"
 
 
 def no_spans() -> Column:
