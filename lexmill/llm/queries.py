@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexmill.llm import decontaminate, mixing, pii, quality_rules, secrets, simhash, token_counts, url_filter
+from lexmill.llm import decontaminate, mixing, pii, quality_rules, secrets, simhash, suffixes, token_counts, url_filter
 from lexmill.llm import oracles
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -34,6 +34,11 @@ def op2_simhash_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return simhash.near_duplicates(_table(spark, sf, "documents").select("doc_id", "text"))
 
 
+@_query
+def op3_suffix_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return suffixes.find_repeats(_table(spark, sf, "documents").select("doc_id", "text")).drop("spans")
+
+
 @_query
 def op4_token_counts(spark: SparkSession, sf: str) -> DataFrame:
     vocabulary = token_counts.Vocabulary.from_file(token_counts.DEFAULT_VOCABULARY)
