@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexmill.llm import decontaminate, mixing, pii, quality_rules, secrets, simhash, suffixes, token_counts, url_filter
+from lexmill.llm import decontaminate, mixing, pii, quality_rules, secrets, simhash, suffixes, token_counts, url_filter, wrappers
 from lexmill.llm import oracles
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -66,6 +66,11 @@ def op7_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
     return quality_rules.quality_verdicts(_table(spark, sf, "documents").select("doc_id", "source", "text"))
 
 
+@_query
+def op8_html_extraction(spark: SparkSession, sf: str) -> DataFrame:
+    return wrappers.extract_articles(_table(spark, sf, "pages"))
+
+
 @_query
 def op9_source_mixing(spark: SparkSession, sf: str) -> DataFrame:
     return mixing.mix(_table(spark, sf, "documents").select("doc_id", "text", "source")).select(

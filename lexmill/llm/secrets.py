@@ -217,8 +217,18 @@ def _count(spans: Column, nth: int) -> Column:
     return F.size(F.filter(spans, lambda s: s["nth"] == nth)).cast("long")
 
 
-def redact_secrets(docs: DataFrame, text: str = "text", rules: Sequence[SecretRule] = PRODUCTION_RULES) -> DataFrame:
-    """The documents with every secret replaced by ``[kind]``; columns stay as they are."""
+def redact_secrets(
+    docs: DataFrame, text: str = "text", rules: Sequence[SecretRule] = PRODUCTION_RULES, length: str | None = None,
+) -> DataFrame:
+    """The documents with every secret replaced by ``[kind]``; columns stay as they are.
+
+    A column ``length`` is set anew where the text changed.
+    """
     found = find_secrets(docs, text, rules, "_secrets")
+    changed = F.size("_secrets") > 0
     cleaned = redact(F.col(text), F.col("_secrets"), lambda kind: F.concat(F.lit("["), kind, F.lit("]")))
-    return found.withColumn(text, cleaned).select(*docs.columns)
+    done = found.withColumn(text, cleaned)
+    if length is not None:
+        kind = docs.schema[length].dataType
+        done = done.withColumn(length, F.when(changed, F.length(text).cast(kind)).otherwise(F.col(length)))
+    return done.select(*docs.columns)
