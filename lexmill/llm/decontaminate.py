@@ -10,6 +10,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lexmill.llm.words import ROW, whole_rows
+
 #: Every byte that is no word byte becomes a blank: words are digits, a-z and all of U+0080 and above.
 _WORD_BYTES = bytes(b if chr(b) in "0123456789abcdefghijklmnopqrstuvwxyz" or b >= 0x80 else 0x20 for b in range(256))
 #: Words of items that one automaton may hold; more items go to further automata, one after another.
@@ -221,16 +223,16 @@ def find_contamination(
     Null and empty texts have no words and no hits; items without words never
     occur; a repeated item counts once; an item with a null key is matched but
     not listed.  An empty document table gives no rows, an empty item table no
-    hits.  Items beyond ``block_words`` words are matched by several automata, one
+    hits.  An existing column ``out`` is replaced, other columns stay.  Items beyond ``block_words`` words are matched by several automata, one
     after another, over the same rows without moving them.
     """
     if window < 1:
         raise ValueError("window must be at least 1")
-    found = docs
+    found = whole_rows(docs.drop(out), F.col(text).alias("_text"))
     names = []
     for n, block in enumerate(_blocks(items, item_key, item_text, block_words)):
         names.append(f"_contamination_{n}")
-        found = found.withColumn(names[-1], _match(F.col(text), block, window))
+        found = found.withColumn(names[-1], _match(F.col("_text"), block, window))
     first = F.col(names[0])
     if len(names) == 1:
         runs, keys = first["runs"], first["items"]
@@ -242,7 +244,7 @@ def find_contamination(
         first["n_words"].alias("n_words"), n_hit.alias("n_hit"), F.size(keys).cast("long").alias("n_items"),
         keys.alias("items"), runs.alias("runs"),
         ((n_hit > 0) & (n_hit * min_share[1] >= first["n_words"] * min_share[0])).alias("contaminated"))
-    return found.withColumn(out, summary).drop(*names)
+    return found.select(ROW, summary.alias(out)).select(f"{ROW}.*", out)
 
 
 def remove_runs(text: Column | str, runs: Column | str) -> Column:
@@ -278,10 +280,13 @@ def decontaminate(
 
     Columns stay as they are.  Options are those of ``find_contamination``.
     """
-    found = find_contamination(docs, items, text, out="_found", **options)
-    kept = found.where(~F.col("_found.contaminated"))
+    name = "_found"
+    while name in docs.columns:
+        name += "_"
+    found = find_contamination(docs, items, text, out=name, **options)
+    kept = found.where(~F.col(name)["contaminated"])
     if max_run is not None:
-        long_runs = F.filter("_found.runs", lambda r: r["stop"] - r["start"] > max_run)
+        long_runs = F.filter(F.col(name)["runs"], lambda r: r["stop"] - r["start"] > max_run)
         kept = kept.withColumn(text, F.when(F.size(long_runs) > 0, remove_runs(text, long_runs)).otherwise(F.col(text)))
     return kept.select(*docs.columns)
 

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lexmill.llm.words import BLANK, column, let, words
+from lexmill.llm.words import BLANK, ROW, column, let, whole_rows, words
 
 WORD = r"[^\x20\x09-\x0D]"
 SYMBOLS = r"[#*$%&|<>]+"
@@ -155,15 +155,17 @@ def keep_good(
     """The documents that pass, columns as they are; with ``remove_lines`` without their boilerplate lines."""
     identity = _row_key(F.col(host), F.col(key), F.col(text))
     names = ["_k1", "_k2"]
-    passing = docs.withColumn("_m", text_measures(text, limits))
-    passing = passing.where(~F.col("_m.base_failed")).select(*docs.columns, *identity, F.col("_m.n_words").alias("_n"))
+    measured = whole_rows(docs, *identity, text_measures(text, limits).alias("_m"))
+    passing = measured.where(~F.col("_m.base_failed")).select(ROW, *names, F.col("_m.n_words").alias("_n"))
     lost = boilerplate(docs, key, host, text, limits)
     if not remove_lines:
         counts = docs.select(*identity, F.size(words(text)).cast("long").alias("_n")).join(lost, names)
         depleted = counts.where(_depleted(F.col("_n"), F.col("n_removed"), limits)).select(*names).distinct()
-        return passing.join(depleted, names, "left_anti").select(*docs.columns)
+        return passing.join(depleted, names, "left_anti").select(f"{ROW}.*")
     joined = passing.join(lost, names, "left").where(
         F.col("n_removed").isNull() | ~_depleted(F.col("_n"), F.col("n_removed"), limits))
     gone = F.map_from_arrays(F.transform("places", lambda p: p["at"]), F.transform("places", lambda p: F.lit(True)))
-    left = F.array_join(F.filter(F.split(text, "\n"), lambda x, i: ~F.map_contains_key(gone, i)), "\n")
-    return joined.withColumn(text, F.when(F.col("places").isNull(), F.col(text)).otherwise(left)).select(*docs.columns)
+    body = F.col(ROW)[text]
+    left = F.array_join(F.filter(F.split(body, "\n"), lambda x, i: ~F.map_contains_key(gone, i)), "\n")
+    cleaned = F.when(F.col("places").isNull(), body).otherwise(left)
+    return joined.select(F.col(ROW).withField(text, cleaned).alias(ROW)).select(f"{ROW}.*")

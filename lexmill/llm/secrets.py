@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexmill.llm.spans import SPAN, joined, label, match_spans, no_spans, redact
-from lexmill.llm.words import column
+from lexmill.llm.words import ROW, column, whole_rows
 
 #: Alternatives that a query may have, strings that a set may hold and trigrams of one alternative; more are
 #: given up, which makes the query weaker but never wrong.
@@ -190,10 +190,10 @@ def find_secrets(
     """
     if len(rules) > 60:
         raise ValueError("at most 60 rules")
-    named = docs.drop(out).withColumn("_text_key", F.xxhash64(text))
+    named = whole_rows(docs.drop(out), F.xxhash64(text).alias("_text_key"))
     listed = candidates(docs, text, rules)
     joined_docs = named.join(listed, "_text_key", "left")
-    body = F.coalesce(F.col(text), F.lit(""))
+    body = F.coalesce(F.col(ROW)[text], F.lit(""))
     parts = []
     for n, rule in enumerate(rules):
         if trigram_query(rule.pattern) is None:
@@ -201,7 +201,7 @@ def find_secrets(
         else:
             chosen = F.coalesce(F.col("_rules"), F.lit(0)).bitwiseAND(F.lit(1 << n)) != 0
         parts.append(label(F.when(chosen, _rule_spans(body, rule)).otherwise(no_spans().cast(SPAN)), rule.kind, n))
-    return joined_docs.withColumn(out, F.array_sort(F.concat(*parts))).drop("_text_key", "_rules")
+    return joined_docs.select(ROW, F.array_sort(F.concat(*parts)).alias(out)).select(f"{ROW}.*", out)
 
 
 def secret_digests(spans: Column | str, rules: Sequence[SecretRule] = PRODUCTION_RULES) -> list[Column]:
@@ -224,9 +224,12 @@ def redact_secrets(
 
     A column ``length`` is set anew where the text changed.
     """
-    found = find_secrets(docs, text, rules, "_secrets")
-    changed = F.size("_secrets") > 0
-    cleaned = redact(F.col(text), F.col("_secrets"), lambda kind: F.concat(F.lit("["), kind, F.lit("]")))
+    name = "_secrets"
+    while name in docs.columns:
+        name += "_"
+    found = find_secrets(docs, text, rules, name)
+    changed = F.size(name) > 0
+    cleaned = redact(F.col(text), F.col(name), lambda kind: F.concat(F.lit("["), kind, F.lit("]")))
     done = found.withColumn(text, cleaned)
     if length is not None:
         kind = docs.schema[length].dataType

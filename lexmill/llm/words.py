@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: A word is anything between these characters.
@@ -27,3 +27,11 @@ def word_count(text: Column | str) -> Column:
 def let(value: Column, body) -> Column:
     """Evaluate ``value`` once and use it in ``body(value)`` several times."""
     return F.transform(F.array(value), body)[0]
+
+
+ROW = "_row"
+
+
+def whole_rows(df: DataFrame, *columns: Column) -> DataFrame:
+    """The rows as one struct ``ROW``, so that no name of theirs clashes with the columns added."""
+    return df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias(ROW), *columns)
