@@ -144,7 +144,7 @@ def _cjk_case(lang: str) -> str:
 _PHRASES = ("点击查看 A. ", " 登录 & 注册 [12] 答案解析 ", " ログイン 登録 ", " 로그인 가입 ", " 欢迎来到 x 网站 ")
 
 
-@query(f"""WITH d AS (SELECT doc_id, '{_PHRASES[0]}' || left(text, 200) || '{_PHRASES[1]}' || doc_id || '{_PHRASES[2]}' || '{_PHRASES[3]}' || '{_PHRASES[4]}' AS t,
+@query(f"""WITH d AS (SELECT doc_id, '{_PHRASES[0]}' || text || '{_PHRASES[1]}' || doc_id || '{_PHRASES[2]}' || '{_PHRASES[3]}' || '{_PHRASES[4]}' AS t,
   CASE doc_id % 4 WHEN 0 THEN 'zh' WHEN 1 THEN 'ja' WHEN 2 THEN 'ko' ELSE 'en' END AS language FROM documents)
 SELECT doc_id, language, CASE language WHEN 'zh' THEN {_cjk_case('zh')} WHEN 'ja' THEN {_cjk_case('ja')}
   WHEN 'ko' THEN {_cjk_case('ko')} ELSE {_cjk_case('en')} END AS text FROM d""")
@@ -152,7 +152,7 @@ def clean_cjk(spark: SparkSession, sf: str) -> DataFrame:
     n = F.col("doc_id")
     language = F.when(n % 4 == 0, "zh").when(n % 4 == 1, "ja").when(n % 4 == 2, "ko").otherwise("en")
     mixed = F.concat(
-        F.lit(_PHRASES[0]), F.left("text", F.lit(200)), F.lit(_PHRASES[1]), n.cast("string"), *[F.lit(p) for p in _PHRASES[2:]])
+        F.lit(_PHRASES[0]), F.col("text"), F.lit(_PHRASES[1]), n.cast("string"), *[F.lit(p) for p in _PHRASES[2:]])
     docs = texts(spark, sf).select("doc_id", language.alias("language"), mixed.alias("text"))
     return docs.select("doc_id", "language", c.clean_cjk("text", "language").alias("text"))
 
@@ -181,12 +181,15 @@ def clean_by_quality(spark: SparkSession, sf: str) -> DataFrame:
         "doc_id", "clean_text", "cleaning_applied", r6("quality_before"), r6("quality_after"), r6("quality_improvement"))
 
 
-def noise_cte(name: str, source: str, key: str, text: str, full: bool) -> str:
-    """CTEs ending in ``name(key, …)``: the sampled noise analysis of a relation."""
+def noise_cte(name: str, source: str, key: str, text: str, full: bool, sampled: bool = False) -> str:
+    """CTEs ending in ``name(key, …)``: the noise analysis of a relation."""
     p = name
     sample = f"""CASE WHEN length({text}) <= 10000 THEN {text} ELSE left({text}, 3333)
       || substr({text}, length({text}) // 2 - 1666 + 1, 3333) || right({text}, 3334) END"""
-    head, first = "left(sample, 2000)", "left(sample, 1000)"
+    if not sampled:
+        sample = text
+    head, first = ("left(sample, 2000)", "left(sample, 1000)") if sampled else ("sample", "sample")
+    within = "least(2000, length(sample))" if sampled else "length(sample)"
     if full:
         reduced = lambda x: f"CASE WHEN length({head}) > 0 THEN (1 - length({x})::DOUBLE / length({head})) * 100 ELSE 0.0 END"
         regular, deep = reduced("basic"), reduced("deep")
@@ -200,7 +203,7 @@ def noise_cte(name: str, source: str, key: str, text: str, full: bool) -> str:
      (CASE WHEN {s.hits(first, '<[^>]+>')} > 0 THEN floor({s.hits('sample', '<')} * ({s.hits(first, '<[^>]+>')} / {s.hits(first, '<')}::DOUBLE))
       ELSE {s.hits('sample', '<')} END) / length(sample)::DOUBLE ELSE 0.0 END AS html_ratio,
    CASE WHEN length(sample) > 0 THEN len(regexp_extract_all({head}, '[^\\p{{L}}\\p{{N}}\\s\\x0B\\x1C-\\x1F\\x{{85}}\\p{{Z}}]'))
-     / least(2000, length(sample))::DOUBLE ELSE 0.0 END AS noise_ratio,
+     / {within}::DOUBLE ELSE 0.0 END AS noise_ratio,
    greatest(1, {s.hits('sample', '[.!?]')}) AS sentence_count,
    {s.hits('sample', chr(92) + 'S+')} / greatest(1, {s.hits('sample', '[.!?]')})::DOUBLE AS avg_sentence_length,
    {f"{s.clean_basic(head)} AS basic, {s.clean_deep(head)} AS deep, sample" if full else "sample"} FROM {p}_s),
@@ -252,8 +255,14 @@ def _noise_columns() -> list:
     return [F.col(x).cast("long").alias(x) if x in _NOISE_INT else F.col(x) if x == "has_html" else r6(x) for x in _NOISE]
 
 
-@query(f"WITH {noise_cte('n', 'documents', 'doc_id', 'text', False)} {_noise_select('doc_id')}")
+# The sampled form, asked for by name.
+@query(f"WITH {noise_cte('n', 'documents', 'doc_id', 'text', False, sampled=True)} {_noise_select('doc_id')}")
 def noise_sample(spark: SparkSession, sf: str) -> DataFrame:
+    return with_noise_analysis(texts(spark, sf), sampled=True).select("doc_id", *_noise_columns(), r6(composite_score(), "score"))
+
+
+@query(f"WITH {noise_cte('n', 'documents', 'doc_id', 'text', False)} {_noise_select('doc_id')}")
+def noise_whole(spark: SparkSession, sf: str) -> DataFrame:
     return with_noise_analysis(texts(spark, sf)).select("doc_id", *_noise_columns(), r6(composite_score(), "score"))
 
 

@@ -182,3 +182,35 @@ def corpus_summary(spark: SparkSession, sf: str) -> DataFrame:
     per_language = sinks.summary(docs, "lang").select(F.explode("languages").alias("lang", "n"))
     chars = docs.groupBy("lang").agg(F.sum("length").alias("chars"))
     return per_language.join(chars, "lang").select("lang", "n", "chars")
+
+
+# Labels and keys with nulls: a null label is a class, a null key a row.
+_NULLS = """(SELECT doc_id, CASE WHEN doc_id % 5 = 0 THEN NULL ELSE doc_id % 3 END AS label FROM documents)"""
+
+
+def _null_labels(spark: SparkSession, sf: str) -> DataFrame:
+    label = F.when(F.col("doc_id") % 5 != 0, F.col("doc_id") % 3)
+    return table(spark, sf, "documents").select("doc_id", label.alias("label"))
+
+
+@query(f"""WITH r AS (SELECT label, row_number() OVER (PARTITION BY label ORDER BY md5('42:' || doc_id), doc_id) AS i FROM {_NULLS}),
+m AS (SELECT min(n) AS n FROM (SELECT count(*) AS n FROM {_NULLS} GROUP BY label))
+SELECT label, count(*) AS n FROM r, m WHERE i <= m.n GROUP BY label""")
+def balance_null_class(spark: SparkSession, sf: str) -> DataFrame:
+    return sampling.balance_classes(_null_labels(spark, sf), "label", "doc_id").groupBy("label").agg(F.count("*").alias("n"))
+
+
+@query(f"""WITH c AS (SELECT label, count(*) AS n FROM {_NULLS} GROUP BY label), t AS (SELECT sum(n) AS a, sum(n) - ceil(sum(n) * 0.2) AS d FROM c),
+w AS (SELECT label, n, floor(d * n / a) AS k, d * n - floor(d * n / a) * a AS rest, d FROM c, t),
+q AS (SELECT label, n, k + CASE WHEN row_number() OVER (ORDER BY rest DESC, label NULLS FIRST) <= d - sum(k) OVER () THEN 1 ELSE 0 END AS k FROM w)
+SELECT label, 'train' AS split, k::BIGINT AS n FROM q UNION ALL SELECT label, 'test', (n - k)::BIGINT FROM q""")
+def stratified_null_label(spark: SparkSession, sf: str) -> DataFrame:
+    split = sampling.stratified_split(_null_labels(spark, sf), "label", "doc_id")
+    return split.groupBy("label", "split").agg(F.count("*").alias("n"))
+
+
+@query("""SELECT b AS batch, count(*) AS n FROM (SELECT (row_number() OVER (ORDER BY k NULLS FIRST) - 1) // 32 AS b
+FROM (SELECT DISTINCT CASE WHEN doc_id > 0 THEN doc_id END AS k FROM documents)) GROUP BY b""")
+def batches_null_key(spark: SparkSession, sf: str) -> DataFrame:
+    keys = table(spark, sf, "documents").select(F.when(F.col("doc_id") > 0, F.col("doc_id")).alias("k"))
+    return sampling.mini_batches(keys, 32, "k").groupBy("batch").agg(F.count("*").alias("n"))

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks.registry import query, r6, table, texts, vectors
 from lexmill.operators import models as m
 from lexmill.operators import reports, sampling
+from lexmill.operators.scratch import materialized, new_folder
 from lexmill.operators.vocabulary import build_vocabulary
+from lexmill.plans import jobs
 
 _HIDDEN, _OUT, _IN = 16, 4, 64
 
@@ -87,47 +89,89 @@ def _labelled(spark: SparkSession, sf: str) -> DataFrame:
     return texts(spark, sf).join(labels, "doc_id")
 
 
-# Iterative estimators: no SQL form.
-@query()
+# Iterative estimators: the results state what SQL can check, whatever the solver finds.
+
+
+def _assigned(labelled: DataFrame, k: int) -> DataFrame:
+    """One row: rows, rows with a label in 0..k-1, whether several labels occur."""
+    return labelled.agg(
+        F.count("*").alias("n"), F.count_if(F.col("label").between(0, k - 1)).alias("assigned"),
+        (F.count_distinct("label") > 1).alias("several"))
+
+
+@query("SELECT count(*) AS n, count(*) AS assigned, true AS several FROM embeddings")
 def kmeans_profile(spark: SparkSession, sf: str) -> DataFrame:
     from pyspark.ml.functions import array_to_vector
 
     points = vectors(spark, sf).select(
         "vec_id", array_to_vector(F.transform("embedding", lambda x: x.cast("double"))).alias("features"))
-    return m.cluster_labels(points, points).groupBy("label").agg(F.count("*").alias("n"))
+    return _assigned(m.cluster_labels(points), 5)
 
 
-@query()
+@query("SELECT count(*) AS n, count(*) AS assigned, true AS several FROM documents")
 def text_pseudo_labels(spark: SparkSession, sf: str) -> DataFrame:
-    labelled = m.pseudo_labels(texts(spark, sf), "doc_id")
-    return labelled.groupBy("label").agg(F.count("*").alias("n"))
+    return _assigned(m.pseudo_labels(texts(spark, sf), "doc_id"), 5)
 
 
-@query()
+# Projected values are centred, and the first component varies most.
+@query("""SELECT count(*) AS n, true AS centred, true AS in_order FROM embeddings
+WHERE vec_id IN (SELECT doc_id FROM labels)""")
 def embedding_projection(spark: SparkSession, sf: str) -> DataFrame:
     doubles = vectors(spark, sf).select(
         "vec_id", F.transform("embedding", lambda x: x.cast("double")).alias("embedding"))
     wanted = table(spark, sf, "labels").select(F.col("doc_id").alias("vec_id"))
     projected = m.embedding_projection(doubles, wanted, "vec_id", "embedding")
-    # The sign of a component is arbitrary.
-    square: Column = F.transform("projection", lambda x: F.round(x * x, 6))
-    return projected.select("vec_id", square[0].alias("first"), square[1].alias("second"))
+    first, second = F.col("projection")[0], F.col("projection")[1]
+    return projected.agg(
+        F.count("*").alias("n"), (F.greatest(F.abs(F.avg(first)), F.abs(F.avg(second))) < 1e-9).alias("centred"),
+        (F.var_pop(first) >= F.var_pop(second)).alias("in_order"))
 
 
-@query()
-def classifier_eval(spark: SparkSession, sf: str) -> DataFrame:
-    split = sampling.stratified_split(_labelled(spark, sf), "label", "doc_id")
+def _judged(scored: DataFrame, classes: int) -> DataFrame:
+    """One row: rows, rows whose probabilities sum to 1 and whose class is the largest, whether the scores are in range."""
+    total = F.aggregate("probabilities", F.lit(0.0), lambda s, p: s + p)
+    sound = (F.abs(total - 1) < 1e-6) & F.col("class_index").between(0, classes - 1) & (
+        F.col("confidence") == F.array_max("probabilities"))
+    result = m.evaluate(scored).select(((F.col("accuracy").between(0, 1)) & (F.col("loss") >= 0)).alias("ok"))
+    return scored.agg(F.count("*").alias("n"), F.count_if(sound).alias("sound")).withColumn("in_range", result.scalar())
+
+
+_LABELLED = "SELECT quality FROM labels JOIN documents USING (doc_id)"
+_HELD_OUT = f"SELECT ceil(count(*) * 0.2)::BIGINT AS n, ceil(count(*) * 0.2)::BIGINT AS sound, true AS in_range FROM ({_LABELLED})"
+
+
+def _split_by_label(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    split = materialized(sampling.stratified_split(_labelled(spark, sf), "label", "doc_id"))
     train, test = (split.where(F.col("split") == side) for side in ("train", "test"))
-    index = sampling.label_index(train)
+    return train, test, materialized(sampling.label_index(train))
+
+
+@query(_HELD_OUT)
+def classifier_eval(spark: SparkSession, sf: str) -> DataFrame:
+    train, test, index = _split_by_label(spark, sf)
     model = m.train_text_classifier(sampling.encode_labels(train, index), 2, features=256, max_iter=15)
-    scored = m.predict(model, sampling.encode_labels(test, index, unseen="skip"))
-    return m.evaluate(scored).select("n", F.round("loss", 3).alias("loss"), F.round("accuracy", 3).alias("accuracy"))
+    return _judged(m.predict(model, sampling.encode_labels(test, index, unseen="skip")), 2)
 
 
-@query()
+# Chosen on a validation part of the training rows, judged on rows held out from both.
+@query(_HELD_OUT)
 def classifier_selection(spark: SparkSession, sf: str) -> DataFrame:
-    index = sampling.label_index(_labelled(spark, sf))
-    train = sampling.encode_labels(_labelled(spark, sf), index)
-    best = m.select_text_classifier(train, 2, iterations=(2, 8), features=256, kind="logistic")
-    scored = m.predict(best.bestModel, train)
-    return m.evaluate(scored).select("n", F.round("accuracy", 3).alias("accuracy"))
+    train, test, index = _split_by_label(spark, sf)
+    best = m.select_text_classifier(
+        sampling.encode_labels(train, index), 2, iterations=(2, 8), features=256, kind="logistic")
+    return _judged(m.predict(best.bestModel, sampling.encode_labels(test, index, unseen="skip")), 2)
+
+
+# From saved model, label table and texts to classes with their probabilities.
+@query("SELECT count(*) AS n, count(*) AS sound, count(*) AS named FROM documents")
+def predict_texts(spark: SparkSession, sf: str) -> DataFrame:
+    train, _, index = _split_by_label(spark, sf)
+    folder = new_folder(spark)
+    model = m.train_text_classifier(sampling.encode_labels(train, index), 2, features=256, max_iter=8, kind="logistic")
+    m.save_model(model, f"{folder}/model")
+    index.write.parquet(f"{folder}/labels")
+    found = jobs.predict_texts(texts(spark, sf), f"{folder}/model", f"{folder}/labels")
+    total = F.aggregate("probabilities", F.lit(0.0), lambda s, p: s + p)
+    return found.agg(
+        F.count("*").alias("n"), F.count_if((F.abs(total - 1) < 1e-6) & (F.col("confidence") >= 0.5)).alias("sound"),
+        F.count_if(F.col("class").isin("0", "1")).alias("named"))

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,7 +15,7 @@ from lexmill.operators.extraction import (
     pages_to_documents,
     with_extracted_text,
 )
-from lexmill.operators.scratch import shared_folder
+from lexmill.operators.scratch import new_folder
 from lexmill.sources.warc import read_warc
 
 TOPICS, DOMAINS = ["Ereau", "with the"], ["Example.ORG"]
@@ -43,7 +41,7 @@ def topic_domain_match(spark: SparkSession, sf: str) -> DataFrame:
 _OUTCOME = f"""SELECT page_id, url, x AS text, CASE
     WHEN octet_length(encode(html)) < 50 THEN 'too_small'
     WHEN NOT {s.found('html', '<!DOCTYPE' + chr(92) + 's+html|<html|<head|<body|<div|<p>|<a' + chr(92) + 's+href', 'i')} THEN 'not_html'
-    WHEN NOT (length({s.strip('x')}) > 10 AND length({s.strip('x')}) < 1000000) THEN 'length'
+    WHEN NOT length({s.strip('x')}) > 10 THEN 'length'
     WHEN NOT (contains(lower(url), 'example.org') OR contains(lower(x), 'ereau') OR contains(lower(x), 'with the')) THEN 'off_topic'
     ELSE 'extracted' END AS outcome
   FROM (SELECT *, {s.html_text('html')} AS x FROM pages)"""
@@ -78,41 +76,45 @@ def decoded_payloads(spark: SparkSession, sf: str) -> DataFrame:
     return pages_to_documents(records).select("page_id", "text")
 
 
-def _write_archives(df: DataFrame, folder: str) -> int:
-    """Write (url, html) rows as gzipped archives, one per partition; returns their number."""
-
-    def write(batches):
-        import gzip
-        import os
-        import uuid
-
-        import pandas as pd
+def _write_archives(df: DataFrame, folder: str) -> None:
+    """Write (url, html) as gzipped archives: a request, a response and a damaged record for each row.
 
-        os.makedirs(folder, exist_ok=True)
-        members = []
-        for batch in batches:
-            for url, html in zip(batch["url"], batch["html"]):
-                body = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=UTF-8\r\n\r\n" + html.encode()
-                for kind, block in (("request", b"GET / HTTP/1.1\r\n\r\n"), ("response", body)):
-                    head = f"WARC/1.0\r\nWARC-Type: {kind}\r\nWARC-Target-URI: {url}\r\nContent-Length: {len(block)}\r\n\r\n"
-                    members.append(gzip.compress(head.encode() + block + b"\r\n\r\n"))
-        if members:
-            path = f"{folder}/{uuid.uuid4().hex}.warc.gz"
-            with open(path, "wb") as f:
-                f.writelines(members)
-            yield pd.DataFrame({"path": [path]})
+    Spark writes the files, so they lie where all executors see them; only their names change.
+    """
+    def record(kind: str, block, length=None):
+        size = F.octet_length(block).cast("string") if length is None else F.lit(length)
+        return F.concat(
+            F.lit(f"WARC/1.0\r\nWARC-Type: {kind}\r\nWARC-Target-URI: "), "url", F.lit("\r\nContent-Length: "), size,
+            F.lit("\r\n\r\n"), block, F.lit("\r\n\r\n"))
 
-    return df.mapInPandas(write, "path string").count()
+    page = F.concat(F.lit("HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=UTF-8\r\n\r\n"), "html")
+    parts = [record("request", F.lit("GET / HTTP/1.1\r\n\r\n")), record("response", page), record("response", F.lit("damaged"), "x")]
+    df.select(F.concat(*parts)).write.option("compression", "gzip").text(folder)
+    spark = df.sparkSession
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    fs = path(folder).getFileSystem(spark._jsc.hadoopConfiguration())
+    for status in fs.listStatus(path(folder)):
+        name = status.getPath().getName()
+        if name.endswith(".txt.gz"):
+            fs.rename(status.getPath(), path(f"{folder}/{name.removesuffix('.txt.gz')}.warc.gz"))
 
 
-# The pages as archives: every page is a request and a response record.
+# The pages as archives and back: damaged records are passed over.
 @query("SELECT url, 'text/html; charset=utf-8' AS content_type, html AS text FROM pages")
 def warc_pages(spark: SparkSession, sf: str) -> DataFrame:
-    folder = f"{shared_folder(spark)}/{uuid.uuid4().hex}".removeprefix("file:")
+    folder = new_folder(spark)
     _write_archives(pages(spark, sf).select("url", "html"), folder)
     return read_warc(spark, folder).select("url", "content_type", F.col("content").cast("string").alias("text"))
 
 
+@query("SELECT 'bad content length: x' AS error, count(*) AS n FROM pages")
+def warc_errors(spark: SparkSession, sf: str) -> DataFrame:
+    folder = new_folder(spark)
+    _write_archives(pages(spark, sf).select("url", "html"), folder)
+    records = read_warc(spark, folder, errors=True)
+    return records.where("error is not null").groupBy("error").agg(F.count("*").alias("n"))
+
+
 @query(f"""WITH topics AS (SELECT DISTINCT regexp_extract(lower(text), '[a-z]{{7,}}') AS topic FROM benchmark),
 x AS (SELECT page_id, lower({s.html_text('html')}) AS t FROM pages)
 SELECT page_id FROM x WHERE EXISTS (SELECT 1 FROM topics WHERE topic <> '' AND contains(t, topic))""")
@@ -120,7 +122,22 @@ def topic_table_match(spark: SparkSession, sf: str) -> DataFrame:
     topics = table(spark, sf, "benchmark").select(
         F.regexp_extract(F.lower("text"), "[a-z]{7,}", 0).alias("topic"))
     web = pages(spark, sf).select("page_id", html_to_text("html").alias("text"))
-    return match_topic_table(web, topics, "page_id", "text").select("page_id")
+    return match_topic_table(web, topics).select("page_id")
+
+
+# Every word of seven letters or more of the benchmark, with nulls and repeated rows in both tables.
+@query(f"""WITH topics AS (SELECT DISTINCT unnest(regexp_extract_all(lower(text), '[a-z]{{7,}}')) AS topic FROM benchmark),
+x AS (SELECT page_id, lower({s.html_text('html')}) AS t FROM pages),
+hit AS (SELECT page_id FROM x WHERE EXISTS (SELECT 1 FROM topics WHERE contains(t, topic)))
+SELECT CASE WHEN page_id % 7 <> 0 THEN page_id END AS page_id, copy FROM hit, range(2) AS r(copy)""")
+def topic_table_match_many(spark: SparkSession, sf: str) -> DataFrame:
+    words = table(spark, sf, "benchmark").select(
+        F.explode(F.regexp_extract_all(F.lower("text"), F.lit("[a-z]{7,}"), F.lit(0))).alias("topic"))
+    topics = words.union(words).union(words.select(F.lit(None).cast("string")))
+    web = pages(spark, sf).select(
+        F.when(F.col("page_id") % 7 != 0, F.col("page_id")).alias("page_id"), html_to_text("html").alias("text"),
+        F.explode(F.array(F.lit(0).cast("long"), F.lit(1).cast("long"))).alias("copy"))
+    return match_topic_table(web, topics).select("page_id", "copy")
 
 
 @query(f"""WITH px AS (SELECT page_id, {s.html_text('html')} AS x FROM pages), {s.quality_cte('px', 'page_id', 'x', 'en')}

@@ -81,7 +81,7 @@ def quality_score(spark: SparkSession, sf: str) -> DataFrame:
 @query(f"""{_Q} SELECT coalesce(c, 'all') AS category, count(*) AS n, round(avg(quality_score), 6) AS avg_score
 FROM (SELECT coalesce(quality_category, 'very_low') AS c, quality_score FROM quality) GROUP BY ROLLUP (c)""")
 def quality_category_report(spark: SparkSession, sf: str) -> DataFrame:
-    return quality_report(with_quality(texts(spark, sf))).select("category", "n", r6("avg_score"))
+    return quality_report(with_quality(texts(spark, sf), columns=["quality_score", "quality_category"])).select("category", "n", r6("avg_score"))
 
 
 @query(f"{_Q} SELECT key AS doc_id, {s.FILTER_REASON} AS filter_reason FROM quality")
@@ -138,12 +138,12 @@ def _in_scripts(docs: DataFrame) -> DataFrame:
   WHEN {s.hits('h', '[' + chr(92) + 'x{3040}-' + chr(92) + 'x{30FF}]')} > 50 THEN 'ja'
   WHEN {s.hits('h', '[' + chr(92) + 'x{AC00}-' + chr(92) + 'x{D7A3}]')} > 50 THEN 'ko'
   WHEN {s.hits('h', '[' + chr(92) + 'x{0400}-' + chr(92) + 'x{04FF}]')} > 50 THEN 'ru' ELSE 'en' END AS language
-FROM (SELECT doc_id, left({_script_case('text')}, 2000) AS h FROM documents)""")
+FROM (SELECT doc_id, {_script_case('text')} AS h FROM documents)""")
 def script_guess_documents(spark: SparkSession, sf: str) -> DataFrame:
     return _in_scripts(texts(spark, sf)).select("doc_id", script_guess("text").alias("language"))
 
 
-@query(f"""WITH h AS (SELECT doc_id, left({_script_case('text')}, 1000) AS h FROM documents),
+@query(f"""WITH h AS (SELECT doc_id, {_script_case('text')} AS h FROM documents),
 c AS (SELECT doc_id, 1 AS r, 'chinese' AS script, {s.hits('h', '[' + chr(92) + 'x{4E00}-' + chr(92) + 'x{9FFF}]')} AS n FROM h
  UNION ALL SELECT doc_id, 2, 'japanese', {s.hits('h', '[' + chr(92) + 'x{3040}-' + chr(92) + 'x{30FF}]')} FROM h
  UNION ALL SELECT doc_id, 3, 'korean', {s.hits('h', '[' + chr(92) + 'x{AC00}-' + chr(92) + 'x{D7A3}]')} FROM h
@@ -184,7 +184,7 @@ _BOIL = "CASE " + " ".join(
     f"WHEN language = '{c}' THEN {_any(r)}" for c, r in lx.ISSUE_BOILERPLATE.items() if c != "common") + " ELSE 0 END"
 
 
-@query(f"""WITH {s.language_cte('documents', 'doc_id', 'left(text, 5000)')},
+@query(f"""WITH {s.language_cte('documents', 'doc_id', 'text')},
 d AS (SELECT doc_id, text AS t, language, length(text) AS n FROM documents JOIN lang ON k = doc_id),
 sent AS (SELECT doc_id, count(*) AS ns, avg(length(x)) AS mu, stddev_pop(length(x)) AS sd
          FROM (SELECT doc_id, unnest(regexp_split_to_array(t, '[.!?。！？]+')) AS x FROM d) GROUP BY doc_id),
@@ -198,7 +198,7 @@ f AS (SELECT d.doc_id,
  FROM d JOIN sent ON sent.doc_id = d.doc_id JOIN w ON w.doc_id = d.doc_id)
 SELECT *, exam_content OR excessive_boilerplate OR excessive_formatting OR machine_generated OR highly_repetitive AS should_filter FROM f""")
 def issue_flags(spark: SparkSession, sf: str) -> DataFrame:
-    tagged = with_language(texts(spark, sf), F.substring("text", 1, 5000), out="lang")
+    tagged = with_language(texts(spark, sf), out="lang")
     tagged = tagged.withColumn("language", F.col("lang.language"))
     return with_issue_flags(tagged).select("doc_id", *ISSUE_COLUMNS, "should_filter")
 

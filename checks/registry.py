@@ -7,8 +7,6 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexmill.sources.partitioning import spread_small_input
-
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -30,16 +28,15 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
 
 
 def texts(spark: SparkSession, sf: str) -> DataFrame:
-    docs = table(spark, sf, "documents").select("doc_id", "text")
-    return spread_small_input(docs, f"{sf}/documents.parquet", "doc_id")
+    return table(spark, sf, "documents").select("doc_id", "text")
 
 
 def pages(spark: SparkSession, sf: str) -> DataFrame:
-    return spread_small_input(table(spark, sf, "pages"), f"{sf}/pages.parquet", "page_id")
+    return table(spark, sf, "pages")
 
 
 def vectors(spark: SparkSession, sf: str) -> DataFrame:
-    return spread_small_input(table(spark, sf, "embeddings"), f"{sf}/embeddings.parquet", "vec_id")
+    return table(spark, sf, "embeddings")
 
 
 def r6(c: Column | str, alias: str | None = None) -> Column:

@@ -111,7 +111,7 @@ def _per_language(lang: str, parts: dict[str, str]) -> str:
 
 def quality_cte(source: str, key: str, text: str, language: str | None = None) -> str:
     """CTEs ending in ``quality(key, text, …)`` over a relation; short texts have score 0."""
-    lang = language_cte(source, key, f"left({text}, 5000)") if language is None else \
+    lang = language_cte(source, key, text) if language is None else \
         f"lang AS (SELECT {key} AS k, {lit(language)} AS language FROM {source})"
     bp = _summed("t", lx.BOILERPLATE_COMMON, "i") + " + " + _per_language(
         "language", {c: _summed("t", r, "i") for c, r in lx.BOILERPLATE_BY_LANGUAGE.items()})

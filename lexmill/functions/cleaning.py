@@ -149,11 +149,14 @@ def clean_minimal(text: Column | str) -> Column:
     return F.trim(rx.collapse_spaces(t))
 
 
-def clean_text(text: Column | str, deep: bool = False, mode: str = "document") -> Column:
+def clean_text(
+    text: Column | str, deep: bool = False, mode: str = "document", language_chars: int | None = None,
+) -> Column:
     """The cleaned text.
 
     Deep cleaning adds special characters, noise and boilerplate lines, CJK
-    phrases and document structure.
+    phrases and document structure.  The language is that of the whole text, or of
+    its first ``language_chars`` characters if given.
     """
     if not deep:
         return clean_basic(text, mode)
@@ -171,7 +174,7 @@ def clean_text(text: Column | str, deep: bool = False, mode: str = "document") -
         # In document mode no line feed and no '#' is left, so structure rules cannot apply.
         return clean_structure(body) if mode == "lines" else body
 
-    return rx.bind({"x": cleaned, "head": F.substring(t, 1, 10_000)}, finish)
+    return rx.bind({"x": cleaned, "head": t if language_chars is None else F.substring(t, 1, language_chars)}, finish)
 
 
 def with_clean_text(

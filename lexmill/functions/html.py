@@ -39,9 +39,11 @@ def html_to_text(html: Column | str) -> Column:
     return strip_control_chars(F.trim(rx.collapse_spaces(no_tags)))
 
 
-def has_document_length(text: Column | str) -> Column:
+def has_document_length(text: Column | str, max_chars: int | None = None) -> Column:
+    """More than ten characters; with ``max_chars`` no more than that."""
     n = F.length(rx.strip(text))
-    return n.between(lx.MIN_TEXT_CHARS, lx.MAX_TEXT_CHARS)
+    long_enough = n >= lx.MIN_TEXT_CHARS
+    return long_enough if max_chars is None else long_enough & (n <= max_chars)
 
 
 def matches_topics(

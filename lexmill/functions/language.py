@@ -96,9 +96,13 @@ def with_language(df: DataFrame, text: Column | str = "text", out: str = "langua
     return rx.add_once(df, {out: detect_language(text, min_length)})
 
 
-def script_guess(text: Column | str) -> Column:
-    """Language by script counts in the first 2000 characters, else ``en``."""
-    return rx.let(F.substring(rx.as_col(text), 1, 2000), lambda head: (
+def _head(text: Column | str, chars: int | None) -> Column:
+    return rx.as_col(text) if chars is None else F.substring(rx.as_col(text), 1, chars)
+
+
+def script_guess(text: Column | str, chars: int | None = None) -> Column:
+    """Language by script counts, else ``en``; in the first ``chars`` characters if given."""
+    return rx.let(_head(text, chars), lambda head: (
         F.when(rx.count_matches(head, lx.SCRIPT_OVERRIDES["zh"]) > 100, "zh")
         .when(rx.count_matches(head, lx.SCRIPT_OVERRIDES["ja"]) > 50, "ja")
         .when(rx.count_matches(head, lx.SCRIPT_OVERRIDES["ko"]) > 50, "ko")
@@ -107,11 +111,11 @@ def script_guess(text: Column | str) -> Column:
     ))
 
 
-def primary_script(text: Column | str) -> Column:
-    """Most frequent script in the first 1000 characters, above 10 hits; first wins ties."""
+def primary_script(text: Column | str, chars: int | None = None) -> Column:
+    """Most frequent script, above 10 hits; first wins ties; in the first ``chars`` characters if given."""
     names, rules = list(lx.PRIMARY_SCRIPTS), list(lx.PRIMARY_SCRIPTS.values())
     counts = rx.let(
-        F.substring(rx.as_col(text), 1, 1000),
+        _head(text, chars),
         lambda head: F.transform(rx.text_array(rules), lambda r: F.regexp_count(head, r)))
     return rx.let(counts, lambda c: F.when(
         F.array_max(c) > 10, F.element_at(rx.text_array(names), F.array_position(c, F.array_max(c)).cast("int")),

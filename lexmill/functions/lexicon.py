@@ -15,7 +15,6 @@ NON_CONTENT_TAGS = ["script", "style", "noscript", "iframe", "head", "footer", "
 TEXT_MEDIA_TYPES = ["text/html", "text/plain", "text/xml", "application/xhtml"]
 MIN_PAYLOAD_BYTES = 50
 MIN_TEXT_CHARS = 11
-MAX_TEXT_CHARS = 999_999
 
 # --- fixed values: encodings tried in order ----------------------------------
 ENCODINGS = [

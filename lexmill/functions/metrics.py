@@ -109,11 +109,13 @@ def big_text_sample(text: Column | str, small: int = 500_000, head: int = 100_00
     return F.when(n < small, F.substring(t, 1, head)).otherwise(windows)
 
 
-def noise_analysis(text: Column | str, full: bool = False, mode: str = "document") -> Column:
+def noise_analysis(text: Column | str, full: bool = False, mode: str = "document", sampled: bool = False) -> Column:
     """Struct of markup and noise ratios, sentence shape and expected cleaning effect.
 
     The quick form estimates the reductions from the ratios; the full form
-    cleans the first 2000 sample characters both ways.
+    cleans the text both ways.  With ``sampled`` a long text is judged by its
+    ``noise_sample``, of which the first 1000 characters are searched for tags and
+    the first 2000 for symbols and by cleaning.
     """
     count_of = lambda s, ch: F.length(s) - F.length(F.replace(s, F.lit(ch), F.lit("")))
 
@@ -124,7 +126,7 @@ def noise_analysis(text: Column | str, full: bool = False, mode: str = "document
             tags = F.when(h["tags"] > 0, F.floor(opened * (h["tags"] / h["opened"]))).otherwise(opened)
             return tags / n
 
-        head = F.substring(sample, 1, 1000)
+        head = F.substring(sample, 1, 1000) if sampled else sample
         marked = sample.contains("<") & sample.contains(">")
         return F.when(marked, rx.bind(
             {"tags": rx.count_matches(head, r"<[^>]+>"), "opened": count_of(head, "<")}, ratio)).otherwise(F.lit(0.0))
@@ -154,23 +156,25 @@ def noise_analysis(text: Column | str, full: bool = False, mode: str = "document
 
     def measure(s: Column) -> Column:
         n = F.length(s["sample"])
-        head = F.substring(s["sample"], 1, 2000)
+        head = F.substring(s["sample"], 1, 2000) if sampled else s["sample"]
         symbols = rx.count_matches(head, rx.SYMBOL)
         return rx.bind({
             "t": s["t"], "sample": s["sample"], "head": head,
             "html": html_ratio(s["sample"], n),
-            "noise": F.when(n > 0, symbols / F.least(F.lit(2000), n)).otherwise(F.lit(0.0)),
+            "noise": F.when(n > 0, symbols / (F.least(F.lit(2000), n) if sampled else n)).otherwise(F.lit(0.0)),
             "sentences": F.greatest(F.lit(1), rx.count_matches(s["sample"], r"[.!?]")),
         }, reductions)
 
     t = rx.as_col(text)
     # Null texts have no analysis.
-    return rx.let(t, lambda x: F.when(x.isNotNull(), rx.bind({"t": x, "sample": noise_sample(x)}, measure)))
+    return rx.let(t, lambda x: F.when(x.isNotNull(), rx.bind({"t": x, "sample": noise_sample(x) if sampled else x}, measure)))
 
 
-def with_noise_analysis(df: DataFrame, text: str = "text", full: bool = False, mode: str = "document") -> DataFrame:
+def with_noise_analysis(
+    df: DataFrame, text: str = "text", full: bool = False, mode: str = "document", sampled: bool = False,
+) -> DataFrame:
     """Add the noise analysis columns, evaluated once per row."""
-    made = rx.add_once(df, {"_noise": noise_analysis(text, full, mode)})
+    made = rx.add_once(df, {"_noise": noise_analysis(text, full, mode, sampled)})
     kept = [c for c in df.columns if c not in NOISE_METRICS]
     return made.select(*[F.col(f"`{c}`") for c in kept], "_noise.*")
 

@@ -96,11 +96,12 @@ def _line_stats(text: Column) -> Column:
 
 def quality(
     text: Column | str, language: Column | str | None = None, columns: Sequence[str] = QUALITY_COLUMNS,
+    language_chars: int | None = None,
 ) -> Column:
     """Struct of quality columns of a text; only what they need is computed.
 
-    ``language`` is a column; without it a text is identified by its first 5000
-    characters.  Texts under 10 characters get score 0 and nulls.
+    ``language`` is a column; without it a text is identified, by its first
+    ``language_chars`` characters only if that is given.  Texts under 10 characters get score 0 and nulls.
     """
     columns = list(columns)
     needs = set().union(*(_NEEDS[c] for c in columns))
@@ -174,7 +175,7 @@ def quality(
         if "language" not in needs:
             lang = F.lit(None).cast("string")
         elif language is None:
-            lang = detect_language(F.substring(t, 1, 5000))["language"]
+            lang = detect_language(t if language_chars is None else F.substring(t, 1, language_chars))["language"]
         else:
             lang = s["given"]
         low = F.lower(t) if needs & {"words", "boilerplate"} else F.lit(None).cast("string")

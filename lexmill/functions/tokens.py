@@ -40,6 +40,20 @@ def run_lengths(values: Column) -> Column:
     )
 
 
+def counted(values: Column) -> Column:
+    """array(struct(value, n)): each distinct value with its multiplicity, in value order.
+
+    Nulls are left out.  Sorted once; a run ends where the next value differs.
+    """
+    def runs(s: Column) -> Column:
+        last = F.filter(F.sequence(F.lit(1), F.size(s)), lambda i: ~F.coalesce(F.get(s, i) == F.get(s, i - 1), F.lit(False)))
+        return rx.let(last, lambda e: F.transform(e, lambda end, i: F.struct(
+            F.get(s, end - 1).alias("value"), (end - F.coalesce(F.get(e, i - 1), F.lit(0))).alias("n"))))
+
+    none = F.array().cast("array<struct<value:string,n:int>>")
+    return rx.let(F.sort_array(F.array_compact(values)), lambda s: F.when(F.size(s) > 0, runs(s)).otherwise(none))
+
+
 def top_sum(counts: Column, k: int = 5) -> Column:
     """Sum of the ``k`` largest counts."""
     return F.aggregate(F.slice(F.sort_array(counts, asc=False), 1, k), F.lit(0), lambda a, x: a + x)

@@ -2,17 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lexmill.functions import html as h
 from lexmill.functions import lexicon as lx
 from lexmill.functions import patterns as rx
 from lexmill.functions.decoding import declared_charset, decode_best_effort
-from lexmill.operators.ranking import small_side
-
-# Up to this many topics are tested one by one on each text.
-FEW_TOPICS = 1000
 
 
 def with_extracted_text(
@@ -23,9 +19,12 @@ def with_extracted_text(
     topics: list[str] | None = None,
     domains: list[str] | None = None,
     out: str = "text",
+    max_chars: int | None = None,
 ) -> DataFrame:
     """Add ``out`` and ``reject_reason``; the text is null where a page is rejected.
 
+    ``max_chars`` rejects longer texts; by default none is too long.
+
     ``content`` is binary (web records, decoded here) or already text.  Cheap
     tests null out a payload before it reaches decoding and extraction.
     """
@@ -52,7 +51,7 @@ def with_extracted_text(
     reason = F.coalesce(
         F.col("_early"),
         F.when(F.col("_text").isNull(), "not_decodable"),
-        F.when(~h.has_document_length("_text"), "length"),
+        F.when(~h.has_document_length("_text", max_chars), "length"),
         F.when(~h.matches_topics("_text", url, topics, domains), "off_topic"),
     )
     df = rx.add_once(df, {"reject_reason": reason})
@@ -83,32 +82,17 @@ def observe_extraction(extracted: DataFrame, name: str = "extraction") -> DataFr
     )
 
 
-def match_topic_table(df: DataFrame, topics: DataFrame, key: str, text: str, topic: str = "topic") -> DataFrame:
+def match_topic_table(df: DataFrame, topics: DataFrame, text: str = "text", topic: str = "topic") -> DataFrame:
     """Rows whose text contains any topic of a table, ignoring case.
 
-    A few topics are tested row by row.  More are found by an equi-join on a
-    short gram: a text that contains a topic contains its first (up to) three
-    characters.  So no nested-loop join and no bound on the topics is needed.
+    The topics are a query set: their distinct texts reach the tasks as one scalar
+    value when the query runs, and each text is tested where it is.  So rows need no
+    identity, none is moved or repeated, and the answer is the same for few topics
+    and many.  Null and empty topics and null texts match nothing.  The work is texts
+    times topics up to the first hit; the topics must fit in a task's memory.
     """
-    wanted = topics.select(F.lower(topic).alias("_topic")).where(F.col("_topic") != "").distinct()
-    few = wanted.limit(FEW_TOPICS + 1).collect()
-    if len(few) <= FEW_TOPICS:
-        listed = rx.text_array([r["_topic"] for r in few])
-        return df.where(rx.let(F.lower(text), lambda low: F.exists(listed, lambda t: F.contains(low, t))))
-    wanted = wanted.withColumn("_gram", F.substring("_topic", 1, 3))
-
-    def grams(low: Column) -> Column:
-        def of_chars(c: Column) -> Column:
-            at = lambda i: F.coalesce(F.get(c, i), F.lit(""))
-            pairs = F.transform(c, lambda x, i: F.concat(x, at(i + 1)))
-            triples = F.transform(c, lambda x, i: F.concat(x, at(i + 1), at(i + 2)))
-            return F.array_distinct(F.concat(c, pairs, triples))
-
-        return rx.let(F.regexp_extract_all(low, F.lit("(?s)."), F.lit(0)), of_chars)
-
-    # Only identities travel with the grams; the text joins again for the candidates.
-    per_text = df.select(F.col(key).alias("_key"), F.lower(text).alias("_low"))
-    exploded = per_text.select("_key", F.explode(grams(F.col("_low"))).alias("_gram"))
-    candidates = exploded.join(small_side(wanted), "_gram").select("_key", "_topic")
-    hits = per_text.join(candidates, "_key").where(F.col("_low").contains(F.col("_topic"))).select("_key").distinct()
-    return df.join(hits, F.col(key) == F.col("_key"), "left_semi")
+    wanted = topics.select(F.lower(topic).alias("_topic")).where(F.col("_topic") != "")
+    listed = wanted.agg(F.sort_array(F.collect_set("_topic")).alias("t")).scalar()
+    found = rx.bind(
+        {"low": F.lower(text), "topics": F.col("_topics")}, lambda s: F.exists(s["topics"], lambda t: F.contains(s["low"], t)))
+    return df.withColumn("_topics", listed).where(F.coalesce(found, F.lit(False))).drop("_topics")

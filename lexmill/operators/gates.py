@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from lexmill.functions import lexicon as lx
 from lexmill.functions import patterns as rx
 from lexmill.functions.cleaning import clean_basic, clean_cjk, clean_text
-from lexmill.functions.metrics import composite_score, needs_deep_cleaning, noise_analysis
+from lexmill.functions.metrics import composite_score, needs_deep_cleaning, noise_analysis, with_noise_analysis
 from lexmill.functions.quality import quality
 
 
@@ -59,3 +59,11 @@ def clean_if_better(
     df = rx.add_once(df, {"score_after": after})
     df = df.withColumn("was_cleaned", F.coalesce(F.col("score_after") > F.col("score_before"), F.lit(False)))
     return df.withColumn(out, F.when(F.col("was_cleaned"), F.col("_cleaned")).otherwise(F.col(text))).drop("_cleaned")
+
+
+def mean_analysis(df: DataFrame, text: str = "text", mode: str = "document") -> DataFrame:
+    """One row: mean score and whether basic cleaning is enough by the mean reductions."""
+    analysed = with_noise_analysis(df.select(text), text, mode=mode)
+    regular, deep = F.avg("regular_reduction"), F.avg("deep_reduction")
+    return analysed.withColumn("_score", composite_score()).agg(
+        F.avg("_score").alias("score"), F.coalesce((deep - regular < 10) & (regular > 30), F.lit(False)).alias("basic_is_enough"))

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexmill.functions import patterns as rx
-from lexmill.operators.sampling import alternating_labels, bounded_sample
+from lexmill.operators.ranking import join_on
 from lexmill.operators.scratch import materialized
 from lexmill.operators.vocabulary import tfidf_vectors
 
@@ -171,18 +171,18 @@ def embedding_projection(
 # --- pseudo labels -----------------------------------------------------------
 
 def cluster_labels(
-    df: DataFrame, sample: DataFrame, features: str = "features", max_clusters: int = 5, seed: int = 42,
-    out: str = "label",
+    df: DataFrame, features: str = "features", max_clusters: int = 5, seed: int = 42, out: str = "label",
 ) -> DataFrame:
     """KMeans labels with the number of clusters (2..max) of the best silhouette.
 
-    Fits on ``sample`` and assigns every row of ``df``.
+    Fits on all rows, which are written once for the repeated passes.
     """
+    df = materialized(df)
     evaluator = ClusteringEvaluator(featuresCol=features, predictionCol=out, distanceMeasure="squaredEuclidean")
     best, best_score = None, -1.0
     for k in range(2, max_clusters + 1):
-        model = KMeans(k=k, seed=seed, featuresCol=features, predictionCol=out).fit(sample)
-        assigned = model.transform(sample)
+        model = KMeans(k=k, seed=seed, featuresCol=features, predictionCol=out).fit(df)
+        assigned = model.transform(df)
         if assigned.select(out).distinct().limit(2).count() < 2:
             continue
         score = evaluator.evaluate(assigned)
@@ -193,19 +193,13 @@ def cluster_labels(
     return best.transform(df)
 
 
-def pseudo_labels(df: DataFrame, key: str = "id", text: str = "text", seed: int = 42, out: str = "label") -> DataFrame:
-    """Labels for unlabelled texts: TF-IDF clusters, or 0/1 in turn under 20 texts.
+def pseudo_labels(
+    df: DataFrame, key: str = "id", text: str = "text", max_clusters: int = 5, seed: int = 42, out: str = "label",
+) -> DataFrame:
+    """Labels for unlabelled texts: clusters of the TF-IDF vectors of all whole texts.
 
-    Terms and clusters are chosen on a bounded sample of texts, cut to a bounded
-    length; every text is assigned.
+    The number of clusters is the best of 2..``max_clusters`` by silhouette.
     """
-    n = df.count()
-    if n < 20:
-        return alternating_labels(df, key, out)
-    cut = df.select(key, F.substring(text, 1, 10_000).alias(text))
-    drawn = materialized(bounded_sample(df.select(key, text), key, text, seed=seed))
-    vectors = materialized(tfidf_vectors(cut, key, text, fit=drawn))
-    sample = vectors.join(drawn.select(key), key, "left_semi")
-    labels = cluster_labels(vectors, sample, max_clusters=min(5, n // 10), seed=seed, out=out).select(key, out)
+    labels = cluster_labels(tfidf_vectors(df, key, text), max_clusters=max_clusters, seed=seed, out=out).select(key, out)
     # Every text has a vector, if only of zeros.
-    return df.join(labels, key)
+    return join_on(df, labels, [key])

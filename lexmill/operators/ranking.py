@@ -16,8 +16,6 @@ from lexmill.operators.scratch import materialized
 
 # Hash keys are hexadecimal text; four digits give 65,536 even buckets.
 BUCKET_DIGITS = 4
-# Small sides up to this many rows are sent to every task; larger ones join normally.
-BROADCAST_ROWS = 100_000
 
 
 def hash_order_key(seed: int, *ids: Column | str) -> Column:
@@ -26,16 +24,16 @@ def hash_order_key(seed: int, *ids: Column | str) -> Column:
     return F.md5(F.concat_ws(":", F.lit(str(seed)), *[p.cast("string") for p in parts]).cast("binary"))
 
 
-def small_side(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """Mark a join side for broadcast if it is proven to have at most ``limit`` rows.
+def join_on(left: DataFrame, right: DataFrame, names: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join on equal columns where null equals null; the columns of ``left`` stay.
 
-    The rows are fetched up to the bound; beyond it the side stays as it is
-    and Spark plans a shuffled join.
+    Whether the right side is sent to every task is left to adaptive execution,
+    which decides by its bytes.
     """
-    rows = df.limit(limit + 1).collect()
-    if len(rows) > limit:
-        return df
-    return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
+    other = {n: f"_other_{n}" for n in names}
+    renamed = right.withColumnsRenamed(other)
+    match = [F.col(n).eqNullSafe(F.col(o)) for n, o in other.items()]
+    return left.join(renamed, match, how).drop(*other.values())
 
 
 def _bucket_offsets(keys: DataFrame, groups: Sequence[str]) -> DataFrame:
@@ -65,13 +63,13 @@ def kth_keys(
     keys = keys.withColumn("_bucket", F.substring("_key", 1, BUCKET_DIGITS))
     offsets = _bucket_offsets(keys, groups)
     if groups:
-        hit = offsets.join(quotas, list(groups))
+        hit = join_on(offsets, quotas, groups)
     else:
         hit = offsets.withColumn("k", quotas.select("k").scalar())
     hit = hit.where((F.col("_before") < F.col("k")) & (F.col("k") <= F.col("_before") + F.col("_n")))
     hit = hit.select(*groups, "_bucket", (F.col("k") - F.col("_before")).alias("_rest"))
     if groups:
-        inside = keys.join(small_side(hit), [*groups, "_bucket"])
+        inside = join_on(keys, hit, [*groups, "_bucket"])
     else:
         inside = keys.where(F.col("_bucket") == hit.select("_bucket").scalar())
         inside = inside.withColumn("_rest", hit.select("_rest").scalar())
@@ -101,11 +99,8 @@ def with_first_k(
     here = F.struct(key.alias("key"), F.col(tie).alias("tie"))
     if not groups:
         return df.withColumn(out, F.coalesce(here <= cuts.select("cut").scalar(), F.lit(False)))
-    names = {g: f"_cut_{g}" for g in groups}
-    side = small_side(cuts.select(*[F.col(g).alias(a) for g, a in names.items()], F.col("cut").alias("_cut")))
-    match = [F.col(g).eqNullSafe(F.col(a)) for g, a in names.items()]
-    joined = df.join(side, match, "left")
-    return joined.withColumn(out, F.coalesce(here <= F.col("_cut"), F.lit(False))).drop("_cut", *names.values())
+    joined = join_on(df, cuts.withColumnRenamed("cut", "_cut"), groups, "left")
+    return joined.withColumn(out, F.coalesce(here <= F.col("_cut"), F.lit(False))).drop("_cut")
 
 
 def with_hash_rank(
@@ -124,7 +119,7 @@ def with_hash_rank(
     offsets = _bucket_offsets(keyed.select(*groups, "_bucket"), groups).drop("_n")
     inside = Window.partitionBy(*groups, "_bucket").orderBy("_key", tie)
     ranked = keyed.withColumn("_at", F.row_number().over(inside))
-    joined = ranked.join(offsets, [*groups, "_bucket"])
+    joined = join_on(ranked, offsets, [*groups, "_bucket"])
     return joined.withColumn(out, F.col("_at") + F.col("_before")).drop("_key", "_bucket", "_at", "_before")
 
 
@@ -146,11 +141,11 @@ def ordered_ranks(df: DataFrame, order: Sequence[str], out: str = "rank") -> Dat
     starts = sizes.select("_part", (F.sum("_n").over(upto) - F.col("_n")).alias("_before"))
     return (
         sorted_keys.withColumn("_part", part)
-        .join(small_side(starts), "_part")
+        .join(starts, "_part")
         .select(*order, (at + F.col("_before") + 1).alias(out))
     )
 
 
 def with_ordered_rank(df: DataFrame, order: Sequence[str], out: str = "rank") -> DataFrame:
     """Add the exact 1-based rank in the order of the columns, which identify the rows."""
-    return df.join(ordered_ranks(df, order, out), list(order))
+    return join_on(df, ordered_ranks(df, order, out), order)

@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from lexmill.functions import patterns as rx
 from lexmill.operators.ranking import (
     hash_order_key,
+    join_on,
     ordered_ranks,
-    small_side,
     with_first_k,
     with_hash_rank,
     with_ordered_rank,
@@ -160,7 +160,7 @@ def encode_labels(
     """Attach class indices.  ``unseen``: ``error``, ``skip`` or ``keep`` (null index)."""
     if unseen not in ("error", "skip", "keep"):
         raise ValueError(f"unseen must be 'error', 'skip' or 'keep', not {unseen!r}")
-    joined = df.join(small_side(mapping), label, "inner" if unseen == "skip" else "left")
+    joined = join_on(df, mapping, [label], "inner" if unseen == "skip" else "left")
     if unseen == "error":
         missing = F.concat(F.lit("label without an index: "), F.col(label).cast("string"))
         joined = joined.withColumn(idx, F.coalesce(F.col(idx), F.raise_error(missing).cast("long")))
@@ -172,6 +172,6 @@ def decode_labels(
     out: str = "class",
 ) -> DataFrame:
     """Class index -> label; an index without a label stays itself."""
-    side = small_side(mapping.select(F.col(idx).alias("_i"), F.col(label).cast("string").alias("_l")))
+    side = mapping.select(F.col(idx).alias("_i"), F.col(label).cast("string").alias("_l"))
     joined = df.join(side, F.col(index) == F.col("_i"), "left")
     return joined.withColumn(out, F.coalesce("_l", F.col(index).cast("string"))).drop("_i", "_l")

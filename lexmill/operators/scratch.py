@@ -7,18 +7,31 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+_written: list[str] = []
+
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``.
+    """The folder named by ``spark.checkpoint.dir``, which all executors share.
 
-    Only where the session names none (tests, local runs) a folder is set here.
+    Only a session on one machine (tests, local runs) may leave it unset and gets a
+    folder of its own; on a cluster that is an error, since executors would write to
+    their own disks and later reads would miss rows.
     """
     sc = spark.sparkContext
     folder = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="run-"))
-        folder = sc.getCheckpointDir()
-    return folder
+    if folder:
+        return folder
+    if not (sc.master == "local" or sc.master.startswith("local[")):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+    sc.setCheckpointDir(tempfile.mkdtemp(prefix="run-"))
+    return sc.getCheckpointDir()
+
+
+def new_folder(spark: SparkSession) -> str:
+    """A path in the shared folder that nothing uses yet; ``drop_scratch`` removes it."""
+    path = f"{shared_folder(spark)}/{uuid.uuid4().hex}"
+    _written.append(path)
+    return path
 
 
 def materialized(df: DataFrame) -> DataFrame:
@@ -27,6 +40,19 @@ def materialized(df: DataFrame) -> DataFrame:
     Later passes then read only the columns they need instead of repeating the
     work, and a lost executor costs no recomputation.
     """
-    path = f"{shared_folder(df.sparkSession)}/{uuid.uuid4().hex}"
+    path = new_folder(df.sparkSession)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def drop_scratch(spark: SparkSession) -> int:
+    """Remove what this process has put in the shared folder; returns the number of folders.
+
+    Call it when no result that was built on them is needed any more.
+    """
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    removed = 0
+    while _written:
+        path = jvm.org.apache.hadoop.fs.Path(_written.pop())
+        removed += bool(path.getFileSystem(conf).delete(path, True))
+    return removed

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer
-from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -12,7 +11,9 @@ from lexmill.functions import lexicon as lx
 from lexmill.functions import patterns as rx
 from lexmill.functions import tokens
 from lexmill.functions.stopwords import STOP_WORDS
-from lexmill.operators.ranking import small_side
+
+# A vocabulary travels as so many small maps, each searched in a few steps.
+BUCKETS = 1024
 
 
 def word_counts(df: DataFrame, text: str = "text") -> DataFrame:
@@ -59,25 +60,38 @@ def first_tokens(text: Column | str, length: int) -> Column:
 def texts_to_sequences(
     df: DataFrame, vocabulary: DataFrame, key: str = "id", text: str = "text", length: int | None = lx.MAX_SEQUENCE,
 ) -> DataFrame:
-    """(key, sequence): word indices, 1 for unknown words, padded to ``length``.
+    """(key, sequence): word indices, 1 for unknown words, padded to ``length``; a row per text.
 
-    ``length=None`` keeps all tokens unpadded.  The vocabulary is a small side
-    of the join.  Only identities, positions and indices are shuffled.
+    ``length=None`` keeps all tokens unpadded; null texts have none.  The vocabulary,
+    whose size is a parameter and does not grow with the texts, reaches the tasks as
+    one scalar value, so texts are turned into sequences where they are: no shuffle.
     """
     words = tokens.whitespace_tokens(text) if length is None else first_tokens(text, length)
-    placed = df.select(F.col(key), F.posexplode_outer(words).alias("pos", "word"))
-    side = small_side(vocabulary.where(F.col("idx") > 1).select("word", "idx"))
-    indexed = placed.join(side, "word", "left")
-    entry = F.when(F.col("word").isNotNull(), F.struct("pos", F.coalesce("idx", F.lit(1).cast("long")).alias("idx")))
-    ordered = indexed.groupBy(key).agg(F.sort_array(F.collect_list(entry)).alias("_s"))
-    sequence = F.transform("_s", lambda e: e["idx"])
-    return ordered.select(key, (sequence if length is None else pad(sequence, length)).alias("sequence"))
+    known = vocabulary.where(F.col("idx") > 1)
+    df = df.withColumn("_maps", bucket_maps(known, "word", "idx").scalar())
+    unknown = F.lit(1).cast("long")
+    sequence = rx.bind({"w": F.coalesce(words, F.array().cast("array<string>")), "maps": F.col("_maps")}, lambda s: F.transform(
+        s["w"], lambda x: F.coalesce(look_up(s["maps"], x), unknown)))
+    return df.select(key, (sequence if length is None else pad(sequence, length)).alias("sequence"))
+
+
+def bucket_maps(table: DataFrame, key: str, value: str) -> DataFrame:
+    """One row: an array of BUCKETS maps key -> value, a key in the map of its hash."""
+    entries = table.groupBy(F.pmod(F.xxhash64(key), F.lit(BUCKETS)).cast("int").alias("bucket")).agg(
+        F.map_from_entries(F.collect_list(F.struct(key, value))).alias("m"))
+    filled = entries.agg(F.map_from_entries(F.collect_list(F.struct("bucket", "m"))).alias("all"))
+    return filled.select(F.transform(F.sequence(F.lit(0), F.lit(BUCKETS - 1)), lambda b: F.try_element_at("all", b)).alias("maps"))
+
+
+def look_up(maps: Column, key: Column) -> Column:
+    """Value of a key in ``bucket_maps``, null if it has none."""
+    return F.try_element_at(F.get(maps, F.pmod(F.xxhash64(key), F.lit(BUCKETS)).cast("int")), key)
 
 
 def unknown_rate(df: DataFrame, vocabulary: DataFrame, text: str = "text") -> DataFrame:
     """One row: tokens, unknown tokens and their share."""
     counts = word_counts(df, text)
-    known = small_side(vocabulary.where(F.col("idx") > 1).select("word", "idx"))
+    known = vocabulary.where(F.col("idx") > 1).select("word", "idx")
     joined = counts.join(known, "word", "left")
     return joined.agg(
         F.sum("n").alias("tokens"),
@@ -98,17 +112,11 @@ def tfidf_features(
 ) -> DataFrame:
     """(term, idf) of the most frequent terms; equal counts in alphabetical order.
 
-    idf = ln((1 + n) / (1 + df)) + 1.  Occurrences and distinct terms per text
-    are counted in one pass; only per-term sums are shuffled.
+    idf = ln((1 + n) / (1 + df)) + 1.  A text gives one row per distinct term; only
+    per-term sums are shuffled.
     """
-    def marks(w: Column) -> Column:
-        def entry(total: int, texts: int):
-            return lambda t: F.struct(t.alias("term"), F.lit(total).alias("total"), F.lit(texts).alias("df"))
-
-        return F.concat(F.transform(w, entry(1, 0)), F.transform(F.array_distinct(w), entry(0, 1)))
-
-    entries = df.select(F.inline(rx.let(tfidf_tokens(text, stop_words), marks)))
-    stats = entries.groupBy("term").agg(F.sum("total").alias("total"), F.sum("df").alias("df"))
+    entries = df.select(F.inline(tokens.counted(tfidf_tokens(text, stop_words))))
+    stats = entries.groupBy(F.col("value").alias("term")).agg(F.sum("n").alias("total"), F.count("*").alias("df"))
     top = stats.orderBy(F.col("total").desc(), "term").limit(max_features)
     n = df.agg(F.count("*").alias("n")).scalar()
     return top.select("term", (F.log((n + F.lit(1)) / (F.col("df") + F.lit(1))) + F.lit(1.0)).alias("idf"))
@@ -120,15 +128,24 @@ def tfidf(
 ) -> DataFrame:
     """(key, term, weight): tf * idf, scaled to unit length per text.
 
-    Terms and idf come from ``fit`` if given, else from ``df``.
+    Terms and idf come from ``fit`` if given, else from ``df``; at most
+    ``max_features`` terms reach the tasks as one scalar value, and the weights of a
+    text are computed where it is.
     """
-    chosen = _chosen_terms(df if fit is None else fit, text, max_features, stop_words)
-    if not chosen:
-        return df.select(key, F.lit("").alias("term"), F.lit(0.0).alias("weight")).limit(0)
-    vectors = _vectors(df, key, text, stop_words, chosen, "_v").select(key, vector_to_array("_v").alias("_w"))
-    terms = rx.text_array([t for t, _ in chosen])
-    pairs = F.filter(F.arrays_zip(terms.alias("term"), F.col("_w").alias("weight")), lambda e: e["weight"] > 0)
-    return vectors.select(key, F.inline(pairs))
+    idf = bucket_maps(tfidf_features(df if fit is None else fit, text, max_features, stop_words), "term", "idf").scalar()
+    df = df.withColumn("_idf", idf)
+
+    def weights(s: Column) -> Column:
+        raw = F.transform(s["terms"], lambda e: F.struct(
+            e["value"].alias("term"), (e["n"] * look_up(s["idf"], e["value"])).alias("weight")))
+        return rx.let(F.filter(raw, lambda e: e["weight"].isNotNull()), scaled)
+
+    def scaled(found: Column) -> Column:
+        norm = F.sqrt(F.aggregate(found, F.lit(0.0), lambda a, e: a + e["weight"] * e["weight"]))
+        return rx.let(norm, lambda n: F.transform(found, lambda e: F.struct(e["term"].alias("term"), (e["weight"] / n).alias("weight"))))
+
+    entries = rx.bind({"terms": tokens.counted(tfidf_tokens(text, stop_words)), "idf": F.col("_idf")}, weights)
+    return df.select(key, F.inline(entries))
 
 
 def _chosen_terms(

@@ -13,16 +13,17 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexmill.functions.cleaning import with_clean_text
+from lexmill.functions import patterns as rx
+from lexmill.functions.cleaning import clean_text, with_clean_text
 from lexmill.functions.language import with_language
 from lexmill.functions.metrics import with_text_metrics
 from lexmill.functions.quality import with_issue_flags, with_quality
 from lexmill.operators.extraction import pages_to_documents
 from lexmill.operators.filters import keep_good_quality, min_length
-from lexmill.operators.gates import clean_if_better
-from lexmill.operators.models import evaluate, predict, save_model, train_text_classifier
+from lexmill.operators.gates import clean_if_better, mean_analysis
+from lexmill.operators.models import evaluate, load_model, predict, save_model, train_text_classifier
 from lexmill.operators.reports import quality_report
-from lexmill.operators.sampling import encode_labels, label_index, random_split, ratio_split
+from lexmill.operators.sampling import decode_labels, encode_labels, label_index, random_split, ratio_split
 from lexmill.operators.scratch import materialized
 from lexmill.operators.vocabulary import build_vocabulary, texts_to_sequences
 from lexmill.sources import sinks
@@ -158,3 +159,32 @@ def train_on_clean_text(
         labels.write.parquet(f"{output}/labels")
         evaluation.write.json(f"{output}/evaluation")
     return TrainedClassifier(model, labels, evaluation)
+
+
+def predict_texts(df: DataFrame, model_path: str, labels_path: str, text: str = "text") -> DataFrame:
+    """Add class, class_index, confidence and probabilities from a saved model and its label table."""
+    spark = df.sparkSession
+    scored = predict(load_model(model_path), df)
+    return decode_labels(scored, spark.read.parquet(labels_path))
+
+
+def clean_corpus_if_better(
+    split: DataFrame, text: str = "text", threshold: float = 0.7, out: str = "clean_text", mode: str = "document",
+) -> DataFrame:
+    """One cleaning decision for a whole corpus, taken on its train part.
+
+    If the mean score of the train part is under ``threshold``, train and test are
+    cleaned, deeply unless the mean reductions say that basic cleaning does; all
+    results are kept if the mean score of the train part rises, else none.  Adds ``out``
+    and ``was_cleaned``.  The decisions are scalars of the plan; texts stay where they are.
+    """
+    train = split.where(F.col("split") == "train")
+    before = materialized(mean_analysis(train, text, mode))
+    deep = before.select(~F.col("basic_is_enough")).scalar()
+    tried = F.when(deep, clean_text(text, True, mode)).otherwise(clean_text(text, False, mode))
+    cleaned = materialized(rx.add_once(split, {"_cleaned": tried}))
+    after = mean_analysis(cleaned.where(F.col("split") == "train"), "_cleaned", mode).select("score").scalar()
+    score = before.select("score").scalar()
+    better = F.coalesce((score < threshold) & (after > score), F.lit(False))
+    judged = cleaned.withColumn("was_cleaned", better)
+    return judged.withColumn(out, F.when(F.col("was_cleaned"), F.col("_cleaned")).otherwise(F.col(text))).drop("_cleaned")

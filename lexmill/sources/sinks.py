@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexmill.operators.ranking import small_side, with_ordered_rank
+from lexmill.operators.ranking import with_ordered_rank
 from lexmill.sources.text import DOCUMENT_RULER
 
 
@@ -30,7 +30,7 @@ def numbered_documents(
     one very large source does not end up in one task.
     """
     ranked = with_ordered_rank(df.select(source, order, text), [source, order], "_rank")
-    first = small_side(ranked.groupBy(source).agg(F.min("_rank").alias("_first")))
+    first = ranked.groupBy(source).agg(F.min("_rank").alias("_first"))
     suffix = f"_sample{max_records}" if max_records else ""
     numbered = ranked.join(first, source).withColumn("number", F.col("_rank") - F.col("_first") + 1)
     return numbered.select(

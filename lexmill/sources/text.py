@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lexmill.functions import patterns as rx
-from lexmill.operators.ranking import small_side, with_ordered_rank
+from lexmill.operators.ranking import with_ordered_rank
 
 DOCUMENT_RULER = "-" * 80
 LABEL_RULE = r"_class_(\d+)(?:_|\.|$)"
@@ -53,7 +53,7 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
     # One row per file block (128 MB by default).
     upto = Window.partitionBy("_path").orderBy("_block").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     starts = blocks.select("_path", "_block", "_first", (F.sum("_n").over(upto) - F.col("_n")).alias("_before"))
-    numbered = raw.join(small_side(starts), ["_path", "_block"])
+    numbered = raw.join(starts, ["_path", "_block"])
     return numbered.select(
         "filename", (F.col("_id") - F.col("_first") + F.col("_before")).alias("line_no"), "text")
 

@@ -15,7 +15,9 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
-WARC_SCHEMA = "warc_file string, record_no long, url string, content_type string, content binary"
+WARC_SCHEMA = "warc_file string, record_no long, url string, content_type string, content binary, error string"
+# Rows and bytes of payload that are passed on together.
+BATCH_ROWS, BATCH_BYTES = 1000, 16 << 20
 EXTENSIONS = (".warc", ".warc.gz")
 
 
@@ -72,15 +74,29 @@ def _headers(stream) -> dict[str, str]:
             found.setdefault(name.strip().lower(), value.strip())
 
 
-def _records(stream) -> Iterator[tuple[dict[str, str], bytes]]:
-    """Every record of an uncompressed archive stream: (headers, block)."""
-    while True:
-        line = stream.readline()
-        if not line:
-            return
-        if line.startswith(b"WARC/"):
+def _records(stream) -> Iterator[tuple[dict[str, str], bytes, str | None]]:
+    """Every record of an uncompressed archive stream: (headers, block, error).
+
+    After a bad record reading goes on at the next one; a stream that ends in the
+    middle or cannot be decompressed further gives an error and ends.
+    """
+    head: dict[str, str] = {}
+    try:
+        while True:
+            line = stream.readline()
+            if not line:
+                return
+            if not line.startswith(b"WARC/"):
+                continue
             head = _headers(stream)
-            yield head, stream.read(int(head.get("content-length", 0)))
+            length = head.get("content-length", "0")
+            if not length.isdecimal():
+                yield head, b"", f"bad content length: {length}"
+                continue
+            block = stream.read(int(length))
+            yield head, block, None if len(block) == int(length) else "record is cut off"
+    except (EOFError, OSError, zlib.error) as e:
+        yield head, b"", f"archive is damaged: {type(e).__name__}"
 
 
 def _unchunk(body: bytes) -> bytes:
@@ -127,7 +143,23 @@ class WarcReader(DataSourceReader):
     def partitions(self) -> list[InputPartition]:
         return [ArchiveFile(p) for p in _list_archives(self.path, self.pattern, self.recursive)]
 
-    def read(self, partition: ArchiveFile) -> Iterator[tuple]:
+    def read(self, partition: ArchiveFile) -> Iterator:
+        """Arrow batches of bounded size."""
+        import pyarrow as pa
+
+        names = ["warc_file", "record_no", "url", "content_type", "content", "error"]
+        kinds = [pa.string(), pa.int64(), pa.string(), pa.string(), pa.binary(), pa.string()]
+        rows, size = [], 0
+        for row in self._rows(partition):
+            rows.append(row)
+            size += len(row[4] or b"")
+            if len(rows) >= BATCH_ROWS or size >= BATCH_BYTES:
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
+                rows, size = [], 0
+        if rows:
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
+
+    def _rows(self, partition: ArchiveFile) -> Iterator[tuple]:
         filesystem, name = _filesystem(partition.path)
         with filesystem.open_input_stream(name, compression=None) as raw:
             stream = gzip.GzipFile(fileobj=raw) if name.lower().endswith(".gz") else raw
@@ -135,15 +167,18 @@ class WarcReader(DataSourceReader):
                 import io
 
                 stream = io.BufferedReader(raw)
-            for number, (head, block) in enumerate(_records(stream), start=1):
+            for number, (head, block, error) in enumerate(_records(stream), start=1):
                 if self.max_records and number > self.max_records:
                     return
+                if error is not None:
+                    yield partition.path, number, head.get("warc-target-uri", ""), None, None, error
+                    continue
                 if head.get("warc-type") != "response":
                     continue
                 payload = _http_payload(block)
                 if payload is not None:
                     content_type, body = payload
-                    yield partition.path, number, head.get("warc-target-uri", ""), content_type, body
+                    yield partition.path, number, head.get("warc-target-uri", ""), content_type, body, None
 
 
 class WarcDataSource(DataSource):
@@ -169,8 +204,13 @@ def read_warc(
     pattern: str = "*",
     recursive: bool = False,
     max_records: int | None = None,
+    errors: bool = False,
 ) -> DataFrame:
-    """HTTP responses of the archives under ``path``."""
+    """HTTP responses of the archives under ``path``.
+
+    Bad records are passed over; with ``errors`` they are rows too, with the column
+    ``error`` and without a payload.
+    """
     import sys
 
     from pyspark import cloudpickle
@@ -182,4 +222,5 @@ def read_warc(
     reader = reader.option("recursiveFileLookup", str(recursive).lower())
     if max_records:
         reader = reader.option("maxRecords", str(max_records))
-    return reader.load(path)
+    records = reader.load(path)
+    return records if errors else records.where("error is null").drop("error")

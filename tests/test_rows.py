@@ -2,12 +2,15 @@
 
 import hashlib
 import math
+import re
 from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
 
+from lexmill.functions.language import primary_script, script_guess
 from lexmill.functions.metrics import big_text_sample, noise_analysis, text_metrics
+from lexmill.functions.quality import quality
 from lexmill.operators import models as m
 from lexmill.operators import ranking, reports
 from lexmill.operators import sampling as sp
@@ -66,15 +69,14 @@ def test_ranks(skewed):
     assert ordered == {i: i + 1 for i in range(1000)}
 
 
-def test_small_side_bound(spark):
-    big = spark.range(1000)
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        within = plan_of(big.join(ranking.small_side(spark.range(10), 10), "id"))
-        beyond = plan_of(big.join(ranking.small_side(spark.range(11), 10), "id"))
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    assert "BroadcastHashJoin" in within and "BroadcastHashJoin" not in beyond
+def test_null_keys_and_labels_lose_no_row(spark):
+    rows = [(None, None)] + [(i, None if i % 3 == 0 else i % 2) for i in range(9)]
+    df = spark.createDataFrame(rows, "id long, label long")
+    assert sp.mini_batches(df, 4).groupBy("batch").count().orderBy("batch").collect()[2]["count"] == 2
+    assert sp.alternating_labels(df.drop("label")).count() == 10
+    parts = Counter((r["label"], r["split"]) for r in sp.stratified_split(df, "label", test_size=0.5).collect())
+    assert sum(parts.values()) == 10 and parts[None, "train"] == 2
+    assert Counter(r["label"] for r in sp.balance_classes(df, "label").collect()) == {None: 3, 0: 3, 1: 3}
 
 
 def test_samples(skewed, spark):
@@ -112,15 +114,13 @@ def test_sequences(spark):
     assert whole == {1: [2, 3, 2, 1], 2: [], 3: [2, 1, 1, 1, 2, 1]}
 
 
-def test_topic_table_both_ways(spark, monkeypatch):
-    docs = spark.createDataFrame([(1, "Deep WATER"), (2, "ox"), (3, "été"), (4, "")], "id int, text string")
-    topics = spark.createDataFrame([("water",), ("x",), ("ÉT",), ("",)], "topic string")
-    import lexmill.operators.extraction as e
-
-    few = {r["id"] for r in match_topic_table(docs, topics, "id", "text").collect()}
-    monkeypatch.setattr(e, "FEW_TOPICS", 0)
-    many = {r["id"] for r in match_topic_table(docs, topics, "id", "text").collect()}
-    assert few == many == {1, 2, 3}
+def test_topic_table(spark):
+    docs = spark.createDataFrame([(1, "Deep WATER"), (None, "ox"), (3, "été"), (4, ""), (5, None), (1, "Deep WATER")], "id int, text string")
+    topics = spark.createDataFrame([("water",), ("x",), ("ÉT",), ("",), (None,), ("x",)], "topic string")
+    many = topics.union(spark.range(3000).selectExpr("concat('topic', id)"))
+    for table in (topics, many):
+        assert sorted(r["id"] or 0 for r in match_topic_table(docs, table).collect()) == [0, 1, 1, 3]
+    assert match_topic_table(docs, topics.limit(0)).count() == 0
 
 
 def test_metrics_and_noise(values):
@@ -128,13 +128,27 @@ def test_metrics_and_noise(values):
     assert got[0]["avg_sentence_length"] == 1.5 and got[0]["avg_word_length"] == 11 / 3
     assert tuple(got[1]) == (0, 0.0, 0.0, 0.0, 0.0, 0.0)
     text = "<p>a b</p> c. " * 2000
-    noise = values(noise_analysis, [text, ""])
+    whole, = values(noise_analysis, [text])
+    assert (whole["sample_length"], whole["html_ratio"]) == (len(text), len(re.findall("<[^>]+>", text)) / len(text))
+    noise = values(lambda x: noise_analysis(x, sampled=True), [text, ""])
     assert (noise[0]["text_length"], noise[0]["sample_length"], noise[0]["has_html"]) == (len(text), 10_000, True)
     sample = text[:3333] + text[len(text) // 2 - 1666:][:3333] + text[-3334:]
     assert noise[0]["html_ratio"] == sample.count("<") / 10_000
     assert (noise[1]["html_ratio"], noise[1]["sentence_count"], noise[1]["deep_reduction"]) == (0.0, 1, 0.0)
 
 
+def test_the_end_of_a_long_text_counts(values):
+    english = "The people of the town were there and they had their own houses near the river. " * 400
+    cyrillic = "Люди города жили там и имели свои дома у реки. " * 4000
+    both = english + cyrillic
+    assert values(script_guess, [both]) == ["ru"] and values(lambda t: script_guess(t, 2000), [both]) == ["en"]
+    assert values(primary_script, [both]) == ["cyrillic"] and values(lambda t: primary_script(t, 1000), [both]) == ["english"]
+    found = values(lambda t: quality(t, columns=["language"])["language"], [both])
+    assert found == ["ru"] and values(lambda t: quality(t, columns=["language"], language_chars=5000)["language"], [both]) != ["ru"]
+    marked = english + "<b>&nbsp;</b>" * 3000
+    assert values(lambda t: noise_analysis(t)["html_ratio"], [marked])[0] > 0.05
+
+
 def test_big_text_sample(values):
     text = "".join(f"line {i}\n" for i in range(1000))
     n, z = len(text), 50
@@ -183,8 +197,6 @@ def test_evaluate_clips(spark):
 
 
 def test_pseudo_labels(spark):
-    few = spark.createDataFrame([(i, "t") for i in range(5)], "id long, text string")
-    assert [r["label"] for r in m.pseudo_labels(few).orderBy("id").collect()] == [0, 1, 0, 1, 0]
     many = spark.createDataFrame(
         [(i, "apple banana cherry" if i % 2 else "engine wheel brake") for i in range(40)], "id long, text string")
     labels = {r["id"]: r["label"] for r in m.pseudo_labels(many).collect()}

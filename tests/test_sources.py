@@ -12,7 +12,6 @@ from lexmill.operators.extraction import extraction_report, observe_extraction,
 from lexmill.plans import jobs
 from lexmill.sources import crawl, sinks
 from lexmill.sources import text as tx
-from lexmill.sources.partitioning import spread_small_input
 from lexmill.sources.warc import read_warc
 from lexmill.streaming.incremental import process_new_pages
 
@@ -220,14 +219,6 @@ def test_stream_equals_batch(spark, sf, tmp_path):
     assert sorted(streamed.collect()) == sorted(batch.collect()) and streamed.count() > first
 
 
-def test_spread_small_input(spark, sf):
-    path = f"{sf}/documents.parquet"
-    docs = spark.read.parquet(path)
-    assert spread_small_input(docs, path, "doc_id").rdd.getNumPartitions() >= 1
-    assert sorted(r[0] for r in spread_small_input(docs, path, "doc_id").select("doc_id").collect()) == sorted(
-        r[0] for r in docs.select("doc_id").collect())
-
-
 def test_pages_to_documents_topics(spark, sf):
     pages = spark.read.parquet(f"{sf}/pages.parquet")
     every = pages_to_documents(pages, content="html", content_type=None).count()
