@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexmill.llm.components import connected_components
+from lexmill.llm.words import ROW, whole_rows
 from lexmill.operators.scratch import materialized
 
 SEED = 42
@@ -24,7 +25,6 @@ MAX_GROUPS = 4096
 #: Children of an index node, and fingerprints looked up at a time.
 FANOUT = 8
 LOOKUPS = 512
-_ALL = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
 def fingerprint_of(text: str | None, shingle_words: int = SHINGLE_WORDS) -> int:
@@ -98,8 +98,8 @@ class GrayIndex:
     def of_fingerprints(cls, fingerprints: np.ndarray) -> GrayIndex:
         return cls(fingerprints, fingerprints)
 
-    def search(self, queries: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
-        """(query, leaf) numbers of all leaves whose shared bits differ in ``radius`` at most."""
+    def search(self, queries: np.ndarray, radius: int, fixed: np.uint64 = np.uint64(0)) -> tuple[np.ndarray, np.ndarray]:
+        """(query, leaf) numbers of all leaves whose shared bits differ in ``radius`` at most, and in none of ``fixed``."""
         at = np.arange(len(queries))
         node = np.zeros(len(queries), np.int64)
         apart = np.zeros(len(queries), np.uint8)
@@ -108,8 +108,9 @@ class GrayIndex:
                 child = (node[:, None] * FANOUT + np.arange(FANOUT)).ravel()
                 there = child < len(pattern)
                 at, apart, node = np.repeat(at, FANOUT)[there], np.repeat(apart, FANOUT)[there], child[there]
-            apart = apart + np.bitwise_count((queries[at] ^ pattern[node]) & fresh[node])
-            near = apart <= radius
+            other = (queries[at] ^ pattern[node]) & fresh[node]
+            apart = apart + np.bitwise_count(other)
+            near = (apart <= radius) & (other & fixed == 0)
             at, node, apart = at[near], node[near], apart[near]
         return at, node
 
@@ -132,50 +133,57 @@ def _unite(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
         np.minimum.at(label, np.maximum(ra, rb), np.minimum(ra, rb))
 
 
-def _links_of_group(members: np.ndarray, index: GrayIndex, radius: int) -> np.ndarray:
+def _links_of_group(members: np.ndarray, index: GrayIndex, radius: int, fixed: np.uint64) -> np.ndarray:
     """First member of each member's set after all links inside the group, found by looking up each member."""
     label = np.arange(len(members))
     for a in range(0, len(members), LOOKUPS):
-        at, leaf = index.search(members[a:a + LOOKUPS], radius)
+        at, leaf = index.search(members[a:a + LOOKUPS], radius, fixed)
         at = at + a
         later = at < leaf
         _unite(label, at[later], leaf[later])
     return _roots(label, label)
 
 
-def _homes(upper: GrayIndex, radius: int):
-    """Send a fingerprint to its own group and to the later groups that may hold a neighbour."""
+def _visits(first_blocks: np.ndarray, every: np.ndarray, mask: np.ndarray, width: int, radius: int):
+    """Send a fingerprint to its own group, and to later groups that begin with its block and may hold a neighbour."""
 
     def send(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            fps = batch["fp"].to_numpy().view(np.uint64)
-            own = batch["grp"].to_numpy()
-            yield pd.DataFrame({"home": own, "guest": False, "fp": fps.view(np.int64)})
-            for a in range(0, len(fps), LOOKUPS):
-                at, leaf = upper.search(fps[a:a + LOOKUPS], radius)
-                later = leaf > own[a:a + LOOKUPS][at]
-                yield pd.DataFrame({"home": leaf[later].astype(np.int32), "guest": True, "fp": fps[a:a + LOOKUPS][at[later]].view(np.int64)})
+            fps, own = batch["fp"].to_numpy().view(np.uint64), batch["grp"].to_numpy()
+            yield pd.DataFrame({"home": own, "guest": False, "fp": fps.view(np.int64), "turn": batch["turn"]})
+            block = _turn_block(batch["turn"].to_numpy(), fps, width)
+            last = np.searchsorted(first_blocks, block, "right")
+            at, home = np.arange(len(fps)), own + 1
+            while len(at := at[home[at] < last[at]]):
+                h = home[at]
+                near = (first_blocks[h] == block[at]) & (np.bitwise_count((fps[at] ^ every[h]) & mask[h]) <= radius)
+                yield pd.DataFrame({
+                    "home": h[near].astype(np.int32), "guest": True, "fp": fps[at[near]].view(np.int64), "turn": batch["turn"].to_numpy()[at[near]]})
+                home[at] += 1
 
     return send
 
 
-def _match_groups(radius: int):
+def _match_groups(radius: int, width: int):
     """Rows sorted by (home, guest): index the members of a home, then look up its guests batch by batch."""
+    fixed = ~np.uint64((1 << 64 - width) - 1)
 
-    def links(a: np.ndarray, b: np.ndarray) -> pd.DataFrame:
-        return pd.DataFrame({"a": a.view(np.int64), "b": b.view(np.int64)})
+    def links(a: np.ndarray, b: np.ndarray, turn: int) -> pd.DataFrame:
+        left, right = np.uint64(64 - turn), np.uint64(turn)
+        back = lambda x: (x << left | x >> right) if turn else x
+        return pd.DataFrame({"a": back(a).view(np.int64), "b": back(b).view(np.int64)})
 
     def match(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        home, parts, members, index, root = None, [], None, None, None
+        home, turn, parts, members, index, root = None, 0, [], None, None, None
 
         def finish() -> tuple[np.ndarray, GrayIndex, np.ndarray]:
             found = np.concatenate(parts)
             tree = GrayIndex.of_fingerprints(found)
-            return found, tree, _links_of_group(found, tree, radius)
+            return found, tree, _links_of_group(found, tree, radius, fixed)
 
         for batch in batches:
             fps = batch["fp"].to_numpy().view(np.uint64)
-            homes, guests = batch["home"].to_numpy(), batch["guest"].to_numpy()
+            homes, guests, turns = batch["home"].to_numpy(), batch["guest"].to_numpy(), batch["turn"].to_numpy()
             cuts = np.flatnonzero((homes[1:] != homes[:-1]) | (guests[1:] != guests[:-1])) + 1
             for a, b in zip([0, *cuts], [*cuts, len(fps)], strict=True):
                 if a == b:
@@ -183,52 +191,84 @@ def _match_groups(radius: int):
                 if homes[a] != home:
                     if parts and index is None:
                         members, index, root = finish()
-                        yield links(members, members[root])
-                    home, parts, index = homes[a], [], None
+                        yield links(members, members[root], turn)
+                    home, turn, parts, index = homes[a], int(turns[a]), [], None
                 if not guests[a]:
                     parts.append(fps[a:b])
                     continue
                 if index is None:
                     members, index, root = finish()
-                    yield links(members, members[root])
+                    yield links(members, members[root], turn)
                 for c in range(a, b, LOOKUPS):
                     some = fps[c:min(b, c + LOOKUPS)]
-                    at, leaf = index.search(some, radius)
+                    at, leaf = index.search(some, radius, fixed)
                     pairs = np.unique(np.stack([at, root[leaf]]), axis=1)
-                    yield links(some[pairs[0]], members[pairs[1]])
+                    yield links(some[pairs[0]], members[pairs[1]], turn)
         if parts and index is None:
             members, index, root = finish()
-            yield links(members, members[root])
+            yield links(members, members[root], turn)
 
     return match
 
 
+def _turned(fp: Column, turn: Column) -> Column:
+    """Bits turned to the left, so that another block leads."""
+    whole = fp
+    for bit in (1, 2, 4, 8, 16, 32):
+        moved = F.shiftleft(whole, bit).bitwiseOR(F.shiftrightunsigned(whole, 64 - bit))
+        whole = F.when(turn.bitwiseAND(F.lit(bit)) != 0, moved).otherwise(whole)
+    return whole
+
+
+def _turn_block(turn: np.ndarray, fps: np.ndarray, width: int) -> np.ndarray:
+    """Number of (turn, leading block) that sorts as rows do: by turn, then by Gray rank."""
+    rank = fps.copy()
+    for shift in (1, 2, 4, 8, 16, 32):
+        rank ^= rank >> np.uint64(shift)
+    return (turn.astype(np.uint64) << np.uint64(width)) | (rank >> np.uint64(64 - width))
+
+
 def fingerprint_links(fingerprints: DataFrame, max_bits: int = MAX_BITS, group_size: int = GROUP_SIZE) -> DataFrame:
     """(a, b): links that connect distinct fingerprints (column ``fp``) whenever a chain of neighbours does.
 
-    Neighbours differ in ``max_bits`` bits or fewer.  Fingerprints are range-sorted by
-    Gray rank into groups of about ``group_size``; each group is an upper node with
-    the bits that its members share.  A fingerprint visits its own group and those
-    later groups whose shared bits it nearly has; there a tree over the members is
-    searched.  Within a group only links to the smallest member of a set are
+    Neighbours differ in ``max_bits`` bits or fewer, so of ``max_bits + 1`` blocks of bits
+    they share one whole.  For each block the fingerprints are turned until it leads
+    and range-sorted by Gray rank into groups of about ``group_size``: neighbours are
+    then in one group, or in groups that a crowded block runs through.  Each group is
+    an upper node with the bits that its members share; a fingerprint visits its own
+    group and later ones that begin with its block and whose shared bits it nearly has.
+    There a tree over the members is searched.  Rows grow with the fingerprints, whatever
+    their number.  Within a group only links to the smallest member of a set are
     returned, so a dense cloud gives one link per fingerprint and group, not all pairs.
     """
+    spark = fingerprints.sparkSession
+    if max_bits < 1:
+        return spark.createDataFrame([], "a long, b long")
+    blocks = max_bits + 1
+    width = 64 // blocks
+    turns = [64 * n // blocks for n in range(blocks)]
     n = fingerprints.count()
-    groups = min(MAX_GROUPS, max(1, -(-n // group_size)))
-    ranked = fingerprints.select("fp", gray_rank("fp").alias("rank")).repartitionByRange(groups, "rank")
+    groups = min(MAX_GROUPS, max(1, -(-n * blocks // group_size)))
+    turned = fingerprints.select("fp", F.explode(F.array(*[F.lit(t) for t in turns])).alias("turn"))
+    turned = turned.select("turn", _turned(F.col("fp"), F.col("turn")).alias("fp"))
+    ranked = turned.withColumn("rank", gray_rank("fp")).repartitionByRange(groups, "turn", "rank")
     # Written once: a repeated range sort could cut the groups elsewhere.
-    grouped = materialized(ranked.sortWithinPartitions("rank").select("fp", F.spark_partition_id().alias("part")))
-    # One row per group, MAX_GROUPS at most, in Gray order.
-    nodes = grouped.groupBy("part").agg(F.bit_and("fp").alias("every"), F.bit_or("fp").alias("some")).orderBy("part").toPandas()
-    spark = fingerprints.sparkSession
+    grouped = materialized(ranked.sortWithinPartitions("turn", "rank").select("fp", "turn", F.spark_partition_id().alias("part")))
+    # One row per group and turn, MAX_GROUPS and a few at most, in the order of the sort.
+    nodes = grouped.groupBy("turn", "part").agg(
+        F.bit_and("fp").alias("every"), F.bit_or("fp").alias("some"), F.min(gray_rank("fp")).alias("rank"),
+    ).orderBy("turn", "part").toPandas()
     if not len(nodes):
         return spark.createDataFrame([], "a long, b long")
-    numbers = spark.createDataFrame([(int(p), i) for i, p in enumerate(nodes["part"])], "part int, grp int")
-    upper = GrayIndex(nodes["every"].to_numpy().view(np.uint64), nodes["some"].to_numpy().view(np.uint64))
-    visits = grouped.join(F.broadcast(numbers), "part").select("grp", "fp").mapInPandas(
-        _homes(upper, max_bits), "home int, guest boolean, fp long")
+    numbers = spark.createDataFrame(
+        [(int(t), int(p), i) for i, (t, p) in enumerate(zip(nodes["turn"], nodes["part"], strict=True))], "turn int, part int, grp int")
+    every, some = (nodes[c].to_numpy().view(np.uint64) for c in ("every", "some"))
+    first_rank = nodes["rank"].to_numpy().view(np.uint64) ^ np.uint64(1 << 63)
+    first_blocks = (nodes["turn"].to_numpy().astype(np.uint64) << np.uint64(width)) | (first_rank >> np.uint64(64 - width))
+    visits = grouped.join(F.broadcast(numbers), ["turn", "part"]).select("grp", "fp", "turn").mapInPandas(
+        _visits(first_blocks, every, ~(every ^ some), width, max_bits), "home int, guest boolean, fp long, turn int")
     dealt = visits.repartition(len(nodes), "home").sortWithinPartitions("home", "guest", gray_rank("fp"))
-    return dealt.mapInPandas(_match_groups(max_bits), "a long, b long").where("a <> b")
+    return dealt.mapInPandas(_match_groups(max_bits, width), "a long, b long").where("a <> b").distinct()
 
 
 def near_duplicates(
@@ -267,8 +307,8 @@ def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", **options
     identity = F.struct(
         F.col(key).isNull().alias("unknown"), F.col(key).alias("id"),
         F.when(F.col(key).isNull(), F.xxhash64(text)).alias("text"))
-    named = docs.withColumn(name, F.to_json(identity))
+    named = whole_rows(docs, F.to_json(identity).alias(name))
     ordered = docs.select(identity.alias("k"), text)
     found = near_duplicates(ordered, "k", text, **options)
     winners = found.where("k = component_id").select(F.to_json("k").alias(name)).distinct()
-    return named.join(winners, name).dropDuplicates([name]).select(*docs.columns)
+    return named.join(winners, name).dropDuplicates([name]).select(f"{ROW}.*")
