@@ -10,7 +10,7 @@ from checks.registry import query, table, texts
 from lexmill.functions import patterns as rx
 from lexmill.operators import reports, sampling
 from lexmill.operators.filters import min_length, not_blank
-from lexmill.operators.lookups import not_yet_processed
+from lexmill.sources.sinks import not_yet_processed
 from lexmill.sources import sinks
 from lexmill.sources.text import concat_splits as concat
 from lexmill.sources.text import integer_label, split_documents, split_label

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from lexmill.functions import patterns as rx
 from lexmill.functions import tokens
 from lexmill.functions.metrics import TEXT_METRICS, composite_score, sentence_length_score
+from lexmill.operators.ranking import join_on
 
 
 def quality_report(scored: DataFrame) -> DataFrame:
@@ -91,22 +92,23 @@ def line_profile(df: DataFrame, by: list[str] | None = None, text: str = "text")
         df.select(*by, F.explode(tokens.lines(text)).alias("_raw")).select(*by, rx.strip("_raw").alias("_line"))
         .select(
             *by,
-            only_full(line).alias("_line"),
+            # A 128-bit digest stands for the line; lines themselves do not travel.
+            only_full(F.struct(F.xxhash64(line).alias("a"), F.xxhash64(F.lit(1), line).alias("b"))).alias("_digest"),
             only_full(F.length(line)).alias("_length"),
             only_full(F.regexp_count(line, F.lit(rx.NON_SPACE + "+"))).alias("_spelled"),
             only_full(F.regexp_count(line, F.lit(rx.SYMBOL))).alias("_marks"),
             only_full(malformed.cast("int")).alias("_bad"),
         )
     )
-    # The distinct count shuffles by (group, line); the sums ride along as partial sums.
+    # The distinct count shuffles by (group, digest); the sums ride along as partial sums.
     stats = per_line.groupBy(*by).agg(
-        F.count("_line").alias("line_count"),
+        F.count("_length").alias("line_count"),
         F.sum("_length").alias("_chars"),
         F.sum("_spelled").alias("_words"),
         F.sum("_marks").alias("_symbols"),
         F.sum("_bad").alias("_malformed"),
-        (F.count("*") - F.count("_line")).alias("_empty"),
-        F.count_distinct("_line").alias("_distinct"),
+        (F.count("*") - F.count("_length")).alias("_empty"),
+        F.count_distinct("_digest").alias("_distinct"),
     )
     # Words do not cross lines; repeats inside a text go before the shuffle.
     spelled = F.array_distinct(F.array_remove(F.split(text, rx.SPACE + "+"), ""))
@@ -115,7 +117,7 @@ def line_profile(df: DataFrame, by: list[str] | None = None, text: str = "text")
     lines = F.col("line_count")
     stats = stats.where(lines > 0)
     if by:
-        stats = stats.join(vocabulary, by)
+        stats = join_on(stats, vocabulary, by)
     else:
         stats = stats.withColumn("vocabulary_size", vocabulary.select("vocabulary_size").scalar())
     return stats.select(

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexmill.operators.ranking import with_ordered_rank
+from lexmill.operators.ranking import join_on, with_ordered_rank
 from lexmill.sources.text import DOCUMENT_RULER
 
 
@@ -32,7 +32,7 @@ def numbered_documents(
     ranked = with_ordered_rank(df.select(source, order, text), [source, order], "_rank")
     first = ranked.groupBy(source).agg(F.min("_rank").alias("_first"))
     suffix = f"_sample{max_records}" if max_records else ""
-    numbered = ranked.join(first, source).withColumn("number", F.col("_rank") - F.col("_first") + 1)
+    numbered = join_on(ranked, first, [source]).withColumn("number", F.col("_rank") - F.col("_first") + 1)
     return numbered.select(
         F.concat(archive_stem(F.col(source)), F.lit(suffix)).alias("output"),
         "number",
@@ -100,8 +100,19 @@ def read_catalogue(spark: SparkSession, path: str, name: str = "name") -> DataFr
     return spark.read.text(path).select(F.col("value").alias(name)).distinct()
 
 
+def not_yet_processed(inputs: DataFrame, done: DataFrame, on: str | list[str], force: bool = False) -> DataFrame:
+    """Inputs without an output; all of them if processing is forced."""
+    return inputs if force else inputs.join(done, on, "left_anti")
+
+
 def write_clean_corpus(df: DataFrame, path: str, source: str, text: str = "clean_text") -> None:
-    """Cleaned texts as one folder per source, mirroring the input layout."""
-    df.select(F.col(source).alias("source"), F.col(text).alias("value")).write.partitionBy("source").text(path)
+    """Cleaned texts, one folder ``source=<input>`` for each input file or source.
+
+    Rows are dealt out by source first, so a source has a few files however many
+    tasks cleaned it, and a large one is still split.
+    """
+    texts = df.select(F.col(source).alias("source"), F.col(text).alias("value"))
+    dealt = texts.repartitionByRange("source", F.xxhash64("value")).sortWithinPartitions("source")
+    dealt.write.partitionBy("source").text(path)
 
 

@@ -33,7 +33,8 @@ def read_delimited_documents(spark: SparkSession, path: str, min_length: int = 1
     """Documents between rulers of 80 dashes; Spark splits large files at the rulers."""
     docs = spark.read.text(path, lineSep=DOCUMENT_RULER)
     docs = docs.select(
-        F.col("_metadata.file_name").alias("filename"), rx.strip(F.make_valid_utf8("value")).alias("text"))
+        F.col("_metadata.file_name").alias("filename"), F.col("_metadata.file_path").alias("path"),
+        rx.strip(F.make_valid_utf8("value")).alias("text"))
     return docs.where(F.length("text") > min_length)
 
 

@@ -193,7 +193,7 @@ def test_catalogue_and_incremental(spark, tmp_path):
     names = spark.createDataFrame([("a",), ("b",)], "name string")
     sinks.write_catalogue(names, path)
     sinks.write_catalogue(names.limit(1), path)
-    from lexmill.operators.lookups import not_yet_processed
+    from lexmill.sources.sinks import not_yet_processed
 
     inputs = spark.createDataFrame([("b",), ("c",)], "name string")
     done = sinks.read_catalogue(spark, path)
