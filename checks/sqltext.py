@@ -192,19 +192,8 @@ def content_line(line: str) -> str:
       OR ({found(line, "^" + chr(92) + "d+[" + chr(92) + "s.、:：]+")} AND length({line}) < 30) OR {terms})"""
 
 
-_BOILERPLATE_LINES = [
-    r"^\s*(Home|Menu|Navigation|首页|菜单|导航)\s*[\|»>]\s*.*$", r"^\s*Copyright © \d{4}.*$", r"^\s*版权所有.*$",
-    r"^\s*All Rights Reserved.*$", r"^\s*备案号.*ICP.*$", r"^\s*\d+ (comments|评论)$",
-    r"^\s*(Share|Tweet|Like|分享).*$", r"^\s*(Search|搜索).*$", r"^\s*(Username|Password|用户名|密码).*$",
-    r"^\s*(Login|Register|登录|注册).*$", r"^\s*(上一题|下一题|previous|next).*$", r"^\s*点击.*查看答案.*$",
-    r"^\s*目录.*$", r".*\[\s*\d+\s*\]$", r"^[A-D][\s.、:：]+.*$", r"^\s*\d+[\s.、:：]+[A-D][\s.、:：]+.*$",
-    r"^\s*(单项选择题|多项选择题|判断题).*$", r"^\s*(参考答案|正确答案|答案解析).*$", r"^\s*\(答案[:：\s]+[A-D]\).*$",
-    r"^\s*(网站首页|网站导航|联系我们).*$", r"^\s*在线考试题库网.*$", r"^\s*欢迎来到.*$",
-]
-
-
 def boilerplate_line(line: str) -> str:
-    return "(" + " OR ".join(found(line, r, "i") for r in _BOILERPLATE_LINES) + ")"
+    return "(" + " OR ".join(found(line, r, "i") for r in lx.BOILERPLATE_LINE_RULES) + ")"
 
 
 def substantial_line(line: str) -> str:

@@ -73,9 +73,14 @@ def drop_noise_lines(text: Column | str, mode: str = "lines") -> Column:
     return _keep_lines(rx.as_col(text), _is_content_line, mode)
 
 
+# A rule that may end in anything is satisfied by its head; the others are searched at the end of a line.
+_LINE_HEADS = [r.removeprefix("^").removesuffix(".*$") for r in lx.BOILERPLATE_LINE_RULES if r.startswith("^")]
+_LINE_TAILS = [r.removeprefix(".*") for r in lx.BOILERPLATE_LINE_RULES if not r.startswith("^")]
+
+
 def _is_boilerplate_line(line: Column) -> Column:
-    return rx.starts_with(line, "|".join(lx.BOILERPLATE_LINE_HEADS), ignore_case=True) | (
-        line.endswith("]") & rx.matches(line, lx.BOILERPLATE_LINE_TAIL))
+    return rx.starts_with(line, "|".join(_LINE_HEADS), ignore_case=True) | (
+        line.endswith("]") & rx.matches(line, "|".join(_LINE_TAILS)))
 
 
 def _is_substantial_line(line: Column) -> Column:

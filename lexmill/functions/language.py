@@ -75,7 +75,7 @@ def detect_language(text: Column | str, min_length: int = 100) -> Column:
             F.array_repeat(F.lit(0.0), len(_OTHER)))
         hits = F.when(
             s["other"],
-            F.transform(rx.text_array(list(lx.SCRIPT_OVERRIDES.values())), lambda r: F.regexp_count(s["t"], r)),
+            F.array(*[F.regexp_count(s["t"], F.lit(r)) for r in lx.SCRIPT_OVERRIDES.values()]),
         ).otherwise(F.array_repeat(F.lit(0), len(scripts)))
         values = {"scores": F.concat(_signature_scores(s["low"], s["n"], _LATIN), others), "hits": hits}
         return F.when(s["n"] > 0, rx.bind(values, decide)).otherwise(unknown)
@@ -114,9 +114,7 @@ def script_guess(text: Column | str, chars: int | None = None) -> Column:
 def primary_script(text: Column | str, chars: int | None = None) -> Column:
     """Most frequent script, above 10 hits; first wins ties; in the first ``chars`` characters if given."""
     names, rules = list(lx.PRIMARY_SCRIPTS), list(lx.PRIMARY_SCRIPTS.values())
-    counts = rx.let(
-        _head(text, chars),
-        lambda head: F.transform(rx.text_array(rules), lambda r: F.regexp_count(head, r)))
+    counts = rx.let(_head(text, chars), lambda head: F.array(*[F.regexp_count(head, F.lit(r)) for r in rules]))
     return rx.let(counts, lambda c: F.when(
         F.array_max(c) > 10, F.element_at(rx.text_array(names), F.array_position(c, F.array_max(c)).cast("int")),
     ).otherwise("english"))

@@ -161,31 +161,31 @@ FORMATTING_RULES = [r"<[^>]+>", r"&[a-z]+;", r"\[/?[a-z]+\]"]
 
 # --- fixed values: deep cleaning ---------------------------------------------
 NOISE_TERMS = ["点击查看答案", "上一题", "下一题", "目录", "登录", "注册", "版权所有"]
-# Rules for one stripped line.  Anchored rules are satisfied by their head.
-BOILERPLATE_LINE_HEADS = [
-    r"\s*(Home|Menu|Navigation|首页|菜单|导航)\s*[\|»>]\s*",
-    r"\s*Copyright © \d{4}",
-    r"\s*版权所有",
-    r"\s*All Rights Reserved",
-    r"\s*备案号.*ICP",
-    r"\s*\d+ (comments|评论)$",
-    r"\s*(Share|Tweet|Like|分享)",
-    r"\s*(Search|搜索)",
-    r"\s*(Username|Password|用户名|密码)",
-    r"\s*(Login|Register|登录|注册)",
-    r"\s*(上一题|下一题|previous|next)",
-    r"\s*点击.*查看答案",
-    r"\s*目录",
-    r"[A-D][\s.、:：]+",
-    r"\s*\d+[\s.、:：]+[A-D][\s.、:：]+",
-    r"\s*(单项选择题|多项选择题|判断题)",
-    r"\s*(参考答案|正确答案|答案解析)",
-    r"\s*\(答案[:：\s]+[A-D]\)",
-    r"\s*(网站首页|网站导航|联系我们)",
-    r"\s*在线考试题库网",
-    r"\s*欢迎来到",
+# Rules for one stripped line.
+BOILERPLATE_LINE_RULES = [
+    r"^\s*(Home|Menu|Navigation|首页|菜单|导航)\s*[\|»>]\s*.*$",
+    r"^\s*Copyright © \d{4}.*$",
+    r"^\s*版权所有.*$",
+    r"^\s*All Rights Reserved.*$",
+    r"^\s*备案号.*ICP.*$",
+    r"^\s*\d+ (comments|评论)$",
+    r"^\s*(Share|Tweet|Like|分享).*$",
+    r"^\s*(Search|搜索).*$",
+    r"^\s*(Username|Password|用户名|密码).*$",
+    r"^\s*(Login|Register|登录|注册).*$",
+    r"^\s*(上一题|下一题|previous|next).*$",
+    r"^\s*点击.*查看答案.*$",
+    r"^\s*目录.*$",
+    r".*\[\s*\d+\s*\]$",
+    r"^[A-D][\s.、:：]+.*$",
+    r"^\s*\d+[\s.、:：]+[A-D][\s.、:：]+.*$",
+    r"^\s*(单项选择题|多项选择题|判断题).*$",
+    r"^\s*(参考答案|正确答案|答案解析).*$",
+    r"^\s*\(答案[:：\s]+[A-D]\).*$",
+    r"^\s*(网站首页|网站导航|联系我们).*$",
+    r"^\s*在线考试题库网.*$",
+    r"^\s*欢迎来到.*$",
 ]
-BOILERPLATE_LINE_TAIL = r"\[\s*\d+\s*\]$"
 HIGH_BOILERPLATE_RATIO = 0.5
 CJK_STEPS = {
     "zh": [

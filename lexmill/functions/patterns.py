@@ -244,9 +244,14 @@ def sum_matches(text: Column, rules: Column) -> Column:
     return F.coalesce(F.aggregate(rules, F.lit(0), lambda a, r: a + F.regexp_count(text, r)), F.lit(0))
 
 
-def rules_found(text: Column, rules: Column) -> Column:
-    """How many rules of an array are found at all; 0 for null."""
-    return F.coalesce(F.aggregate(rules, F.lit(0), lambda a, r: a + F.rlike(text, r).cast("int")), F.lit(0))
+def rules_found(text: Column, rules: list[str]) -> Column:
+    """How many compiled rules are found at all.  Each is a literal, compiled once and not per row."""
+    return total([text.rlike(r).cast("int") for r in rules])
+
+
+def any_rule(rules: list[str]) -> str:
+    """One compiled multi-line rule that matches where any of the rules does."""
+    return compiled(["|".join(f"(?:{r})" for r in rules)], multiline=True)[0]
 
 
 def total(values: list[Column]) -> Column:

@@ -45,22 +45,22 @@ def remove_remnants(text: Column | str) -> Column:
 
 
 def _looks_like_exam(text: Column) -> Column:
-    def rules(name: str) -> Column:
-        return rx.text_array(rx.compiled(lx.PATTERN_FILTER_EXAM[name], ignore_case=True))
+    def found(name: str) -> Column:
+        return rx.rules_found(text, rx.compiled(lx.PATTERN_FILTER_EXAM[name], ignore_case=True))
 
     any_script = [
         rx.count_matches(text, r, ignore_case=True, multiline=True) >= 3 for r in lx.PATTERN_FILTER_EXAM_ANY_SCRIPT
     ]
-    own_rules = rx.let(primary_script(text), lambda script: F.when(script == "chinese", rules("chinese"))
-                       .when(script == "japanese", rules("japanese")).otherwise(rules("english")))
-    return rx.any_of(any_script) | (rx.rules_found(text, own_rules) >= 2)
+    own = rx.let(primary_script(text), lambda script: F.when(script == "chinese", found("chinese"))
+                 .when(script == "japanese", found("japanese")).otherwise(found("english")))
+    return rx.any_of(any_script) | (own >= 2)
 
 
 def _looks_like_boilerplate(text: Column) -> Column:
     strong = [r for r, s in lx.PATTERN_FILTER_BOILERPLATE if s]
     weak = rx.compiled([r for r, s in lx.PATTERN_FILTER_BOILERPLATE if not s], ignore_case=True)
     return rx.matches(text, "|".join(f"(?:{r})" for r in strong), ignore_case=True) | (
-        rx.rules_found(text, rx.text_array(weak)) >= lx.PATTERN_FILTER_WEAK_LIMIT)
+        rx.rules_found(text, weak) >= lx.PATTERN_FILTER_WEAK_LIMIT)
 
 
 def pattern_filtered(text: Column | str) -> Column:
