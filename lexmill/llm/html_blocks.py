@@ -23,7 +23,7 @@ DROPPED_WORDS = frozenset(
     "ad ads adbox adsense advert adverts advertisement advertising banner sponsor sponsored promo promotion nav navbar navigation menu "
     "breadcrumb breadcrumbs sidebar sidebars widget widgets footer masthead topbar toolbar cookie cookies consent gdpr notice notices "
     "alert modal popup overlay newsletter subscribe subscription signup login share sharing social related recommended recommendations "
-    "comment comments commentlist disqus replies reply pagination pager copyright disclaimer search searchbox outbrain taboola".split())
+    "comment comments commentlist disqus replies reply pagination pager copyright disclaimer search searchbox outbrain taboola skip skiplink teaser teasers trending feedback signin".split())
 #: A header is the page's unless it is part of the article.
 HEADER_WORDS = frozenset("header head".split())
 ARTICLE_WORDS = frozenset("article entry post content main story".split())
