@@ -33,8 +33,8 @@ CLOSED_BY = {
     "p": BLOCK_TAGS - {"html", "body"}, "li": frozenset(("li",)), "dt": frozenset(("dt", "dd")), "dd": frozenset(("dt", "dd")),
     "tr": frozenset(("tr",)), "td": frozenset(("td", "th", "tr")), "th": frozenset(("td", "th", "tr")), "option": frozenset(("option",))}
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*+)>|<[!?/][^>]*>", re.S)
-_ATTRIBUTE = re.compile(r"([a-zA-Z_:-]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))|\b(hidden)\b")
+_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([A-Za-z][^\s/<>]*+)((?:\"[^\"]*\"|'[^']*'|[^'\"<>])*+)>|<[!?/][^>]*>", re.S)
+_ATTRIBUTE = re.compile(r"(?<![a-zA-Z_:-])([a-zA-Z_:-]++)\s*+=\s*+(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))")
 _WORD = re.compile(r"[a-z]+|[A-Z][a-z]*|[A-Z]+")
 _RAW_END = {t: re.compile(rf"</{t}\s*>", re.I) for t in RAW_TAGS}
 #: White space of HTML and the no-break space that references give.
@@ -148,7 +148,7 @@ def page_blocks(html: str | None) -> list[Block]:
         if tag in VOID_TAGS:
             continue
         top = stack[-1]
-        attributes = {a.lower(): x or y or z for a, x, y, z, h in _ATTRIBUTE.findall(m[3]) if a} if m[3] else {}
+        attributes = {a.lower(): x or y or z for a, x, y, z in _ATTRIBUTE.findall(m[3])} if m[3] else {}
         if m[3] and " hidden" in m[3] and re.search(r"\shidden(?=[\s/>]|$)", re.sub(r"\"[^\"]*\"|'[^']*'", "", m[3])):
             attributes["hidden"] = ""
         words = _words(attributes.get("class", "") + " " + attributes.get("id", "")) if attributes else set()

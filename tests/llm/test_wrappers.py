@@ -30,6 +30,7 @@ def test_page_without_article_and_odd_pages():
     assert plain("<div><p>real text</p><p><a href=x>only a link</a></p></div>") == "real text"
     assert plain('<main class="sidebar"><p hidden>x</p><p>y</p></main>') == "y"
     assert plain("<p " + "a " * 20_000 + "'") != 1 and plain("<div>" * 5_000 + "deep" + "</div>" * 5_000) == "deep"
+    assert plain("<p>" + "<a " * 200_000).startswith("<a <a") and plain("<p " + "a" * 300_000 + "><i " + "b" * 300_000 + ">x") == "x"
     assert plain("<article>" + "<p>w</p>" * 30_000 + "</article>").count("\n") == 29_999
 
 
