@@ -76,6 +76,16 @@ def decoded_payloads(spark: SparkSession, sf: str) -> DataFrame:
     return pages_to_documents(records).select("page_id", "text")
 
 
+# The charset in the meta tag alone, and payloads that are no text by their media type.
+@query(f"""SELECT page_id, {s.html_text('p')} AS text FROM (SELECT page_id, regexp_replace(html, '[^\\x00-\\xFF]', '?', 'g') AS p FROM pages WHERE page_id % 3 <> 0)""")
+def decoded_by_meta_tag(spark: SparkSession, sf: str) -> DataFrame:
+    latin = F.regexp_replace(F.regexp_replace("html", r"[^\x00-\xFF]", "?"), '<meta charset="utf-8">', '<meta charset="iso-8859-1">')
+    records = pages(spark, sf).select(
+        "page_id", "url", F.when(F.col("page_id") % 3 == 0, "image/png").otherwise("text/html").alias("content_type"),
+        F.encode(latin, "ISO-8859-1").alias("content"))
+    return pages_to_documents(records).select("page_id", "text")
+
+
 def _write_archives(df: DataFrame, folder: str) -> None:
     """Write (url, html) as gzipped archives: a request, a response and a damaged record for each row.
 

@@ -9,6 +9,7 @@ from checks import sqltext as s
 from checks.registry import query, table, texts
 from lexmill.operators.sampling import ratio_split
 from lexmill.operators.scratch import new_folder
+from lexmill.operators.vocabulary import build_vocabulary, read_vocabulary, write_vocabulary
 from lexmill.sources import sinks
 from lexmill.sources import text as tx
 
@@ -78,3 +79,36 @@ def side_label_files(spark: SparkSession, sf: str) -> DataFrame:
     zipped = tx.read_texts_with_label_file(spark, f"{folder}/texts", f"{folder}/labels")
     return zipped.groupBy(tx.integer_label("label").alias("label")).agg(
         F.count("*").alias("n"), F.sum(F.regexp_extract("text", "[0-9]+", 0).cast("long")).alias("ids"))
+
+
+# A catalogue of processed names on disk decides what is left to do.
+@query("SELECT doc_id FROM documents WHERE doc_id % 5 >= 2")
+def catalogue_files(spark: SparkSession, sf: str) -> DataFrame:
+    folder = new_folder(spark)
+    names = table(spark, sf, "documents").select("doc_id", F.concat(F.lit("doc-"), F.col("doc_id").cast("string")).alias("name"))
+    for part in (0, 1):
+        sinks.write_catalogue(names.where(F.col("doc_id") % 5 == part), folder)
+    return sinks.not_yet_processed(names, sinks.read_catalogue(spark, folder), "name").select("doc_id")
+
+
+@query("""SELECT count(*) AS n, sum(idx)::BIGINT AS indices, sum(n)::BIGINT AS words FROM (
+ SELECT row_number() OVER (ORDER BY n DESC, w) + 1 AS idx, n FROM (SELECT w, count(*) AS n FROM (
+  SELECT unnest(regexp_extract_all(lower(text), '[^\\s\\x0B\\x1C-\\x1F\\x{85}\\p{Z}]+')) AS w FROM documents) GROUP BY w ORDER BY n DESC, w LIMIT 1998)
+ UNION ALL SELECT 0, NULL UNION ALL SELECT 1, NULL)""")
+def vocabulary_files(spark: SparkSession, sf: str) -> DataFrame:
+    folder = new_folder(spark)
+    write_vocabulary(build_vocabulary(texts(spark, sf), max_size=2000), folder)
+    return read_vocabulary(spark, folder).agg(F.count("*").alias("n"), F.sum("idx").alias("indices"), F.sum("n").alias("words"))
+
+
+# Metrics as CSV and their summary as JSON.
+@query("SELECT lang AS language, count(*) AS n, (SELECT count(*) FROM documents) AS total_texts, sum(n_chars)::BIGINT AS chars FROM documents GROUP BY lang")
+def metrics_files(spark: SparkSession, sf: str) -> DataFrame:
+    folder = new_folder(spark)
+    metrics = table(spark, sf, "documents").select("doc_id", F.col("lang").alias("language"), F.length("text").alias("length"))
+    sinks.write_metrics_csv(metrics, f"{folder}/metrics")
+    sinks.write_summary(metrics, f"{folder}/summary")
+    rows = spark.read.csv(f"{folder}/metrics", header=True, schema="doc_id long, language string, length long")
+    summary = spark.read.schema("total_texts long, languages map<string,long>").json(f"{folder}/summary")
+    counted = summary.select("total_texts", F.explode("languages").alias("language", "n"))
+    return rows.groupBy("language").agg(F.sum("length").alias("chars")).join(counted, "language").select("language", "n", "total_texts", "chars")
