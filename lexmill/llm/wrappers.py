@@ -146,7 +146,8 @@ def _infer(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             held[host] = align(held.get(host, Wrapper()), page_wrapper(page_blocks(html)))
             if len(held) > HELD_HOSTS:
                 yield out()
-    yield out()
+    if held:
+        yield out()
 
 
 def _merge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -160,8 +161,9 @@ def _merge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                     done.append((host, wrapper.to_json()))
                 host, wrapper = h, Wrapper()
             wrapper = align(wrapper, Wrapper.from_json(text))
-        yield pd.DataFrame(done, columns=["host", "wrapper"])
-        done = []
+        if done:
+            yield pd.DataFrame(done, columns=["host", "wrapper"])
+            done = []
     if wrapper.pages:
         yield pd.DataFrame([(host, wrapper.to_json())], columns=["host", "wrapper"])
 
@@ -203,6 +205,8 @@ class Extractor:
 def _extract(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     known: dict[str, Extractor] = {}
     for batch in batches:
+        if not len(batch):
+            continue
         texts = []
         for html, wrapper in zip(batch["html"], batch["wrapper"], strict=True):
             blocks = page_blocks(html)

@@ -66,4 +66,5 @@ def test_template_of_a_host_is_dropped_but_copies_are_kept(spark):
     assert {got[100 + i][0].text for i in range(5)} == {"same\neverywhere"}
     assert {got[200 + i][0].text for i in range(5)} == {"same"}
     assert got[300][0].text == "" and got[None][0].text == "alone" and [x.n_chars for x in got[301]] == [0, 0]
+    assert len(extract_articles(df.repartition(60)).collect()) == len(rows)
     assert extract_articles(df.limit(0)).count() == 0
