@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from lexmill.llm.html_blocks import DROPPED, PLAIN, REGION, Block, page_blocks
 from lexmill.llm.url_filter import url_host
+from lexmill.operators.scratch import materialized
 
 #: Longest group of blocks that is tried as a repetition.
 GROUP = 6
@@ -234,7 +235,8 @@ def extract_articles(pages: DataFrame, key: str = "page_id", url: str = "url", h
     columns are ignored.
     """
     named = pages.select(F.col(key).alias("key"), F.col(url).alias("url"), F.col(html).alias("html"), url_host(url).alias("host"))
-    wrappers = infer_wrappers(pages, url, html)
+    # Written first: their size is then known, and if it is small the pages need not move to meet them.
+    wrappers = materialized(infer_wrappers(pages, url, html))
     joined = named.join(wrappers, "host", "left").select("key", "url", "html", "wrapper")
     kind = dict(joined.dtypes)["key"]
     done = joined.mapInPandas(_extract, f"key {kind}, url string, text string, n_chars long")
