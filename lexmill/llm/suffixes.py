@@ -121,17 +121,40 @@ def _windows(body: bytes, length: int) -> list[int]:
     return [digest(body[i:i + length]) for i in range(len(body) - length + 1)]
 
 
+_WANTED = ("head", "print", "hull", "n", "big", "place", "first", "stop")
+
+
 def _surroundings(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Cut the wanted stretches out of each text."""
+    """Cut the wanted stretches out of each text; the lists of a text are parallel arrays."""
     for batch in batches:
+        parts: dict[str, list] = {c: [] for c in (*_WANTED, "k1", "k2")}
+        bodies: list[bytes] = []
+        size = 0
+
+        def frame(parts=parts, bodies=bodies) -> pd.DataFrame:
+            c = {name: np.concatenate(values) for name, values in parts.items()}
+            return pd.DataFrame({
+                "head": c["head"], "print": c["print"], "hull": c["hull"], "single": c["n"] == 1, "big": c["big"].astype(bool),
+                "k1": c["k1"], "k2": c["k2"], "place": c["place"], "first": c["first"], "body": bodies})
+
         for row in batch.itertuples(index=False):
             raw = zstandard.decompress(row.packed)
-            wanted = row.wanted
-            yield pd.DataFrame({
-                "head": [w["head"] for w in wanted], "print": [w["print"] for w in wanted], "hull": [w["hull"] for w in wanted],
-                "single": [w["n"] == 1 for w in wanted], "big": [w["big"] for w in wanted],
-                "k1": row.k1, "k2": row.k2, "place": [w["place"] for w in wanted], "first": [w["first"] for w in wanted],
-                "body": [raw[w["first"]:w["stop"]] for w in wanted]})
+            for name in _WANTED:
+                parts[name].append(np.asarray(getattr(row, f"w_{name}")))
+            n = len(row.w_first)
+            parts["k1"].append(np.full(n, row.k1, np.int64))
+            parts["k2"].append(np.full(n, row.k2, np.int64))
+            cuts = [raw[i:j] for i, j in zip(row.w_first.tolist(), row.w_stop.tolist(), strict=True)]
+            bodies += cuts
+            size += sum(map(len, cuts))
+            if size > CHUNK:
+                yield frame()
+                for values in parts.values():
+                    values.clear()
+                bodies.clear()
+                size = 0
+        if bodies:
+            yield frame()
 
 
 _SURROUNDED = "head long, print long, hull long, single boolean, big boolean, k1 long, k2 long, place int, first int, body binary"
@@ -176,7 +199,8 @@ def _compare_groups(length: int):
                         out = []
                 group.append(row)
         out += marks(group)
-        yield pd.DataFrame(out, columns=["k1", "k2", "first", "last"])
+        if out:
+            yield pd.DataFrame(out, columns=["k1", "k2", "first", "last"])
 
     return compare
 
@@ -214,7 +238,8 @@ def repeated_windows(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, ba
     wanted = classes.join(several, suffix).select(
         "one.k1", "one.k2", F.struct("head", "print", "hull", "n", (F.col("classes") > GROUP_LIMIT).alias("big"), "one.place", "one.first", (F.col("one.last") + length).alias("stop")).alias("w"))
     lists = wanted.groupBy("k1", "k2").agg(F.collect_list("w").alias("wanted"))
-    cut = materialized(docs.select("k1", "k2", "packed").join(lists, ["k1", "k2"]).mapInPandas(_surroundings, _SURROUNDED))
+    columns = lists.select("k1", "k2", *[F.col(f"wanted.{c}").alias(f"w_{c}") for c in _WANTED])
+    cut = materialized(docs.select("k1", "k2", "packed").join(columns, ["k1", "k2"]).mapInPandas(_surroundings, _SURROUNDED))
     near = cut.where("not big").drop("big").repartition(*suffix).sortWithinPartitions(*suffix).mapInPandas(_compare_groups(length), _MARKS)
     rows = cut.where("big").drop("big").dropDuplicates([*suffix, "hull"]).mapInPandas(
         _window_rows(length), "head long, print long, apart int, window long, single boolean, k1 long, k2 long, first int, last int")
@@ -228,11 +253,14 @@ def _cut_spans(length: int):
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
+            if not len(batch):
+                continue
             out = []
-            for packed, marks in zip(batch["packed"], batch["marks"], strict=True):
+            for packed, firsts, lasts in zip(batch["packed"], batch["firsts"], batch["lasts"], strict=True):
                 raw = zstandard.decompress(packed)
                 spans: list[list[int]] = []
-                for first, last in sorted((m["first"], m["last"]) for m in (marks if marks is not None else ())):
+                marks = () if firsts is None else sorted(zip(firsts.tolist(), lasts.tolist(), strict=True))
+                for first, last in marks:
                     if spans and first <= spans[-1][1]:
                         spans[-1][1] = max(spans[-1][1], last + length)
                     else:
@@ -277,7 +305,8 @@ def find_repeats(
     packed = named.withColumn("packed", _packed("text"))
     marks = repeated_windows(packed, length, gram, batches)
     lists = marks.groupBy("k1", "k2").agg(F.collect_set(F.struct("first", "last")).alias("marks"))
-    joined = packed.select("key", "k1", "k2", "packed").join(lists, ["k1", "k2"], "left").select("key", "packed", "marks")
+    joined = packed.select("key", "k1", "k2", "packed").join(lists, ["k1", "k2"], "left").select(
+        "key", "packed", F.col("marks.first").alias("firsts"), F.col("marks.last").alias("lasts"))
     kind = dict(joined.dtypes)["key"]
     done = joined.mapInPandas(
         _cut_spans(length),
