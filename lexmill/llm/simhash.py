@@ -293,7 +293,8 @@ def near_duplicates(
     least = linked.groupBy("component").agg(F.min("least").alias("c"))
     classes = distinct.join(
         linked.select("fp", "component").join(least, "component").select("fp", "c"), "fp", "left")
-    classes = classes.select("fp", F.coalesce("c", "least").alias("component_id"))
+    # Written, so that both sides of the last join are dealt out by fingerprint and a crowded one can be split.
+    classes = materialized(classes.select("fp", F.coalesce("c", "least").alias("component_id")))
     return marked.join(classes, "fp").select(F.col("k").alias(key), as_hex("fp").alias("fingerprint"), "component_id")
 
 
