@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from lexmill.llm.spans import SPAN, joined, label, match_spans, no_spans, redact
 from lexmill.llm.words import ROW, column, whole_rows
+from lexmill.operators.scratch import materialized
 
 #: Alternatives that a query may have, strings that a set may hold and trigrams of one alternative; more are
 #: given up, which makes the query weaker but never wrong.
@@ -191,7 +192,8 @@ def find_secrets(
     if len(rules) > 60:
         raise ValueError("at most 60 rules")
     named = whole_rows(docs.drop(out), F.xxhash64(text).alias("_text_key"))
-    listed = candidates(docs, text, rules)
+    # Written first: their size is then known, and if it is small the texts need not move to meet them.
+    listed = materialized(candidates(docs, text, rules))
     joined_docs = named.join(listed, "_text_key", "left")
     body = F.coalesce(F.col(ROW)[text], F.lit(""))
     parts = []
