@@ -135,20 +135,20 @@ def mix(
     order_key = F.md5(F.concat_ws(":", F.lit(str(seed)), F.coalesce(F.col(key).cast("string"), F.lit("")), F.col("_mix_size").cast("string")))
     rows = docs.drop(*[c for c in out if c in docs.columns and c != size])
     rows = rows.withColumn("_mix_size", measured).withColumn("_mix_key", order_key)
-    rows = rows.withColumn("_mix_bucket", F.substring("_mix_key", 1, BUCKET_DIGITS))
-    counted = rows.groupBy(F.col(source).alias("_mix_source"), F.col("_mix_bucket").alias("_mix_b")).agg(F.sum("_mix_size").alias("n"))
+    # A name for the source that is never null, so that window and join deal the rows out alike, once.
+    group = F.coalesce(F.concat(F.lit("="), F.col(source).cast("string")), F.lit(""))
+    rows = rows.withColumn("_mix_bucket", F.substring("_mix_key", 1, BUCKET_DIGITS)).withColumn("_mix_group", group)
+    counted = rows.groupBy(F.col(source).alias("_mix_source"), "_mix_group", "_mix_bucket").agg(F.sum("_mix_size").alias("n"))
     targets = source_targets(counted, "_mix_source", "n", weights, share)
     # At most 16 ** BUCKET_DIGITS rows per source, however many documents.
-    upto = Window.partitionBy("_mix_source").orderBy("_mix_b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    upto = Window.partitionBy("_mix_group").orderBy("_mix_bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     starts = counted.withColumn("_mix_before", F.sum("n").over(upto) - F.col("n")).drop("n")
     starts = starts.join(
         targets, F.col("_mix_source").eqNullSafe(F.col("source"))
-    ).select("_mix_source", "_mix_b", "_mix_before", F.col("source_size").alias("_mix_total"), F.col("target").alias("_mix_target"), F.col("place").alias("_mix_place"))
-    inside = Window.partitionBy(source, "_mix_bucket").orderBy("_mix_key").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ).select("_mix_group", "_mix_bucket", "_mix_before", F.col("source_size").alias("_mix_total"), F.col("target").alias("_mix_target"), F.col("place").alias("_mix_place"))
+    inside = Window.partitionBy("_mix_group", "_mix_bucket").orderBy("_mix_key").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     taped = rows.withColumn("_mix_at", F.sum("_mix_size").over(inside) - F.col("_mix_size"))
-    joined = taped.join(
-        starts, F.col(source).eqNullSafe(F.col("_mix_source")) & (F.col("_mix_bucket") == F.col("_mix_b"))
-    ).withColumn("_mix_start", F.col("_mix_at") + F.col("_mix_before"))
+    joined = taped.join(starts, ["_mix_group", "_mix_bucket"]).withColumn("_mix_start", F.col("_mix_at") + F.col("_mix_before"))
     n, total, target, start = (F.col(f"_mix_{c}") for c in ("size", "total", "target", "start"))
     goal = F.round(target).cast("long")
     reading = lambda turn: F.greatest(F.lit(0), F.least(n, goal - start - turn * total))
