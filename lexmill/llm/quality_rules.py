@@ -7,7 +7,9 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lexmill.functions.patterns import add_once
 from lexmill.llm.words import BLANK, ROW, column, let, whole_rows, words
+from lexmill.operators.scratch import materialized
 
 WORD = r"[^\x20\x09-\x0D]"
 SYMBOLS = r"[#*$%&|<>]+"
@@ -155,12 +157,14 @@ def keep_good(
     """The documents that pass, columns as they are; with ``remove_lines`` without their boilerplate lines."""
     identity = _row_key(F.col(host), F.col(key), F.col(text))
     names = ["_k1", "_k2"]
-    measured = whole_rows(docs, *identity, text_measures(text, limits).alias("_m"))
+    # A predicate on an ordinary column would be pushed down by copying its whole expression.
+    measured = add_once(whole_rows(docs, *identity), {"_m": text_measures(F.col(ROW)[text], limits)})
     passing = measured.where(~F.col("_m.base_failed")).select(ROW, *names, F.col("_m.n_words").alias("_n"))
     lost = boilerplate(docs, key, host, text, limits)
     if not remove_lines:
         counts = docs.select(*identity, F.size(words(text)).cast("long").alias("_n")).join(lost, names)
-        depleted = counts.where(_depleted(F.col("_n"), F.col("n_removed"), limits)).select(*names).distinct()
+        # Written first: their size is then known, and if it is small the texts need not move to meet them.
+        depleted = materialized(counts.where(_depleted(F.col("_n"), F.col("n_removed"), limits)).select(*names).distinct())
         return passing.join(depleted, names, "left_anti").select(f"{ROW}.*")
     joined = passing.join(lost, names, "left").where(
         F.col("n_removed").isNull() | ~_depleted(F.col("_n"), F.col("n_removed"), limits))
