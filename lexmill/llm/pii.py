@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lexmill.llm.spans import SPAN, joined, label, match_spans, no_spans, redact
+from lexmill.llm.spans import BEFORE, SPAN, joined, label, match_spans, no_spans, redact, running_starts
 from lexmill.llm.words import column, let, words
 from lexmill.operators.scratch import materialized
 
@@ -20,6 +20,9 @@ IP_PARTS = r"^(?:0*(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[0-9]{1,2})(?:\.|$)){4}$"
 #: Words with a digit: what contexts may reveal.
 CANDIDATE = r"(?<![^\x20\x09-\x0D])(?=[^\x20\x09-\x0D0-9]*+[0-9])[^\x20\x09-\x0D]++"
 LAST_WORD = r"([^\x20\x09-\x0D]+)[\x20\x09-\x0D]*$"
+#: A blank and a whole word at the end of what stands before a match, and what separates identifiers of a list.
+WHOLE_WORD = r"[\x20\x09-\x0D][^\x20\x09-\x0D]++[\x20\x09-\x0D]*+$"
+SEPARATOR = r"[\x20\x09-\x0D,;/|&]+$"
 KINDS = ("email", "ip", "card", "phone")
 CONTEXT = "context"
 _LABELLED = "array<struct<start:int,nth:int,stop:int,kind:string>>"
@@ -52,6 +55,24 @@ def _card(value: Column) -> Column:
     return let(_digits(value), lambda d: F.when(F.length(d).between(16, 19), _luhn(d)).otherwise(F.lit(False)))
 
 
+def _with_words_before(spans: Column) -> Column:
+    """All matches of a pattern in a text, ``before`` being its last BEFORE characters, earlier matches included.
+
+    A gap that has no whole word is filled up from the matches before it; each has a
+    character at least, so that BEFORE of them are enough.
+    """
+
+    def filled(x: Column) -> Column:
+        ends = F.transform(x, lambda s: F.right(F.concat(s["before"], s["value"]), F.lit(BEFORE)))
+        return let(ends, lambda e: F.transform(x, lambda s, i: F.struct(
+            s["start"].alias("start"), s["stop"].alias("stop"), s["value"].alias("value"),
+            F.when((i == 0) | (F.length(s["before"]) >= BEFORE) | s["before"].rlike(WHOLE_WORD), s["before"]).otherwise(F.right(
+                F.concat(F.array_join(F.slice(e, F.greatest(i - BEFORE + 1, F.lit(1)), F.least(i, F.lit(BEFORE))), ""), s["before"]),
+                F.lit(BEFORE))).alias("before"))))
+
+    return let(spans, filled)
+
+
 def seed_spans(text: Column) -> list[Column]:
     """Spans of the four kinds in a text that is not null; failing matches are dropped."""
     checks = (
@@ -62,7 +83,7 @@ def seed_spans(text: Column) -> list[Column]:
     )
     found = []
     for pattern, guard, good in checks:
-        spans = match_spans(text, pattern)
+        spans = _with_words_before(match_spans(text, pattern))
         found.append(F.when(guard, F.filter(spans, good) if good else spans).otherwise(no_spans().cast(SPAN)))
     return found
 
@@ -77,10 +98,24 @@ def _context(span: Column) -> Column:
 
 
 def _uses(seeds: Column, candidates: Column) -> Column:
+    """Uses of contexts; an identifier that follows another one in a list has the context of the first."""
     use = lambda seed: lambda s: F.struct(
-        _context(s).alias("pattern"), F.lower(s["value"]).alias("instance"), F.lit(seed).alias("seed"),
-        s["start"].alias("start"), s["stop"].alias("stop"))
-    return F.concat(F.transform(seeds, use(True)), F.transform(candidates, use(False)))
+        s["stop"].alias("stop"), s["start"].alias("start"), _context(s).alias("pattern"), F.lower(s["value"]).alias("instance"),
+        F.lit(seed).alias("seed"), (s["start"] - F.length(F.regexp_extract(s["before"], SEPARATOR, 0))).alias("apart"))
+
+    def inherited(x: Column) -> Column:
+        follows = lambda s, i: (i > 0) & F.coalesce(F.get(x, i - 1)["stop"].between(s["apart"], s["start"]), F.lit(False))
+        first = F.transform(x, lambda s, i: F.when(follows(s, i), 0).otherwise(1))
+
+        def named(f: Column) -> Column:
+            leaders = F.transform(F.filter(x, lambda s, i: F.get(f, i) == 1), lambda s: s["pattern"])
+            return let(leaders, lambda p: let(running_starts(f), lambda r: F.transform(x, lambda s, i: F.struct(
+                F.get(p, F.get(r, i) + F.get(f, i) - 1).alias("pattern"), s["instance"].alias("instance"), s["seed"].alias("seed"),
+                (F.get(f, i) == 1).alias("direct"), s["start"].alias("start"), s["stop"].alias("stop")))))
+
+        return let(first, named)
+
+    return let(F.array_sort(F.concat(F.transform(seeds, use(True)), F.transform(candidates, use(False)))), inherited)
 
 
 def _observe(docs: DataFrame, key: str, text: str, settings: Bootstrap) -> DataFrame:
@@ -91,7 +126,7 @@ def _observe(docs: DataFrame, key: str, text: str, settings: Bootstrap) -> DataF
 
     def unseen(all_seeds: Column) -> Column:
         """Identifier-like words that no seed overlaps."""
-        tokens = F.when(F.col("_t").rlike("[0-9]"), match_spans(F.col("_t"), CANDIDATE)).otherwise(no_spans().cast(SPAN))
+        tokens = F.when(F.col("_t").rlike("[0-9]"), _with_words_before(match_spans(F.col("_t"), CANDIDATE))).otherwise(no_spans().cast(SPAN))
         long_enough = F.filter(tokens, lambda s: F.length(_digits(s["value"])) >= settings.digits)
         return F.filter(long_enough, lambda s: ~F.exists(
             all_seeds, lambda b: (b["start"] < s["stop"]) & (s["start"] < b["stop"])))
@@ -118,8 +153,8 @@ def trusted_contexts(observed: DataFrame, docs: DataFrame, text: str, settings:
     """
     occurrences = observed.select(F.inline("uses")).where("pattern <> ''")
     edges = materialized(occurrences.groupBy("pattern", "instance").agg(
-        F.count("*").alias("n"), F.max("seed").alias("seed")))
-    own = edges.groupBy("pattern").agg(F.sum("n").alias("own"), F.count("*").alias("instances"))
+        F.count_if("direct").alias("n"), F.max("seed").alias("seed")))
+    own = edges.groupBy("pattern").agg(F.sum("n").alias("own"), F.count_if(F.col("n") > 0).alias("instances"))
     promising = own.where(F.col("instances") >= settings.support)
     totals = _word_uses(docs, text, promising.select("pattern"))
     patterns = materialized(promising.join(totals, "pattern", "left").select(
@@ -128,7 +163,7 @@ def trusted_contexts(observed: DataFrame, docs: DataFrame, text: str, settings:
     trusted = live.where("seed").select("instance").distinct()
     for _ in range(settings.rounds):
         scores = live.join(trusted, "instance").groupBy("pattern").agg(
-            (F.sum("n") / F.first("uses")).alias("confidence"), F.count("*").alias("support"))
+            (F.sum("n") / F.first("uses")).alias("confidence"), F.count_if(F.col("n") > 0).alias("support"))
         good = materialized(scores.where(
             (F.col("confidence") >= settings.confidence) & (F.col("support") >= settings.support)).select("pattern", "confidence"))
         trusted = live.where("seed").select("instance").union(live.join(good, "pattern").select("instance")).distinct()

@@ -54,3 +54,32 @@ def test_contexts_reveal_unseen_identifiers(spark):
     clean = [x.c for x in text.select(pii.redact_personal_data("text", "spans").alias("c")).collect()]
     assert clean == ["Call tel: [phone] now"] * 6 + ["Call tel: [context] now"] * 3
     assert row.select(pii.redact_personal_data("text", "spans").alias("c")).first().c is not None
+
+
+def revealed(spark, texts):
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    return {x.doc_id: [texts[x.doc_id][s.start:s.stop] for s in x.spans if s.kind == "context"] for x in pii.find_personal_data(df).collect()}
+
+
+def test_context_word_with_a_digit(spark):
+    texts = [f"Call tel2: +1 555 0100{i} now" for i in range(6)] + ["Call tel3: 0201-555-77 now", "at 9 tel4:\t0201-555-79", "row 12 0201-555-80"]
+    got = revealed(spark, texts)
+    assert got[6] == ["0201-555-77"] and got[7] == ["0201-555-79"] and got[8] == [] and not any(got[i] for i in range(6))
+
+
+def test_lists_inherit_the_context(spark):
+    texts = [f"Call tel: +1 555 0100{i} now" for i in range(6)]
+    texts += ["tel: 0201-555-77 0201-555-78, 0201-555-79 and 0201-555-80", "tel: +1 555 01009, 0201-555-81", "tel: 12 0201-555-82", "x 0301-555-77 0301-555-78"]
+    got = revealed(spark, texts)
+    assert got[6] == ["0201-555-77", "0201-555-78,", "0201-555-79"] and got[7] == ["0201-555-81"] and got[8] == got[9] == []
+
+
+def test_words_before_are_those_of_the_text(spark):
+    r = random.Random(4)
+    texts = ["".join(r.choices(["a", "b1", " ", "  ", "7", "\n", "\u00e9", "9.9.9.9", "word" * 9], k=r.randint(1, 60))) for _ in range(200)]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    for pattern in (pii.CANDIDATE, pii.IP):
+        for row in df.select("t", pii._with_words_before(pii.match_spans(pii.F.col("t"), pattern)).alias("s")).collect():
+            for s in row.s:
+                want, got = (re.search(pii.LAST_WORD, x[-64:]) for x in (row.t[:s.start], s.before))
+                assert (want and want[1]) == (got and got[1]), (row.t, s)
