@@ -56,10 +56,12 @@ class Block(NamedTuple):
 
 
 class _Open:
-    __slots__ = ("tag", "path", "dropped", "region", "link")
+    """``soft``: number of the innermost element around that a word drops; ``root``: that of the article or main element."""
 
-    def __init__(self, tag: str, path: str, dropped: bool, region: bool, link: bool) -> None:
-        self.tag, self.path, self.dropped, self.region, self.link = tag, path, dropped, region, link
+    __slots__ = ("tag", "path", "dropped", "region", "link", "soft", "root")
+
+    def __init__(self, tag: str, path: str, dropped: bool, region: bool, link: bool, soft: int = 0, root: int = 0) -> None:
+        self.tag, self.path, self.dropped, self.region, self.link, self.soft, self.root = tag, path, dropped, region, link, soft, root
 
 
 def _words(value: str) -> set[str]:
@@ -73,7 +75,39 @@ def _is_dropped(tag: str, words: set[str], attributes: dict[str, str], in_region
         return True
     if tag == "header" or words & HEADER_WORDS:
         return not in_region and not words & ARTICLE_WORDS and tag not in ROOT_TAGS
-    return tag not in ROOT_TAGS and bool(words & DROPPED_WORDS)
+    return False
+
+
+class _Root(NamedTuple):
+    """An article or main element: what words drop around it and with it, and whether its class says article."""
+
+    around: int
+    own: int
+    named: bool
+
+
+def _roles(found: list[tuple[_Open, Block]], roots: list[_Root]) -> list[Block]:
+    """Blocks with their roles once the page is known.
+
+    The main article is the article or main element with the most text, if that is more
+    than all plain text of the page.  Words of layout on it or around it drop neither
+    it nor the articles beside it.
+    """
+    if not any(r.own for r in roots):
+        return [b for _, b in found]
+    sizes = [0] * len(roots)
+    plain = 0
+    for x, b in found:
+        if not x.dropped and x.region and x.root and x.soft == roots[x.root].own:
+            sizes[x.root] += len(b.text)
+        elif b.role == PLAIN:
+            plain += len(b.text)
+    main = max(range(len(roots)), key=sizes.__getitem__)
+    if sizes[main] <= plain:
+        return [b for _, b in found]
+    near = {roots[main].around, roots[main].own}
+    free = [i == main or (r.around in near and (r.own == r.around or r.named)) for i, r in enumerate(roots)]
+    return [b._replace(role=REGION) if x.root and free[x.root] and x.soft == roots[x.root].own and not x.dropped else b for x, b in found]
 
 
 def page_blocks(html: str | None) -> list[Block]:
@@ -82,9 +116,11 @@ def page_blocks(html: str | None) -> list[Block]:
     Unclosed elements end where the next one of their kind starts or where a closed one
     around them ends.
     """
-    blocks: list[Block] = []
+    found: list[tuple[_Open, Block]] = []
     if not html:
-        return blocks
+        return []
+    roots = [_Root(0, 0, False)]
+    n_soft = 0
     stack = [_Open("", "", False, False, False)]
     parts: list[str] = []
     opened: dict[str, int] = {}
@@ -101,7 +137,8 @@ def page_blocks(html: str | None) -> list[Block]:
             text = _BLANKS.sub(" ", unescape("".join(parts))).strip()
             if text:
                 top = stack[-1]
-                blocks.append(Block(DROPPED if top.dropped else REGION if top.region else PLAIN, top.path, text, min(linked, len(text))))
+                role = DROPPED if top.dropped or top.soft else REGION if top.region else PLAIN
+                found.append((top, Block(role, top.path, text, min(linked, len(text)))))
             parts.clear()
         linked = 0
 
@@ -160,6 +197,13 @@ def page_blocks(html: str | None) -> list[Block]:
             if path.count("/") > PATH_TAGS:
                 path = path[path.index("/", 1):]
         opened[tag] = opened.get(tag, 0) + 1
-        stack.append(_Open(tag, path, dropped, region, top.link or tag == "a"))
+        soft, root = top.soft, top.root
+        if tag not in ROOT_TAGS and not (tag == "header" or words & HEADER_WORDS) and words & DROPPED_WORDS:
+            n_soft += 1
+            soft = n_soft
+        if tag in REGION_TAGS or attributes.get("role") == "main" or attributes.get("itemprop") == "articleBody":
+            root = len(roots)
+            roots.append(_Root(top.soft, soft, bool(words & ARTICLE_WORDS)))
+        stack.append(_Open(tag, path, dropped, region, top.link or tag == "a", soft, root))
     flush()
-    return blocks
+    return _roles(found, roots)

@@ -68,3 +68,16 @@ def test_template_of_a_host_is_dropped_but_copies_are_kept(spark):
     assert got[300][0].text == "" and got[None][0].text == "alone" and [x.n_chars for x in got[301]] == [0, 0]
     assert len(extract_articles(df.repartition(60)).collect()) == len(rows)
     assert extract_articles(df.limit(0)).count() == 0
+
+
+def test_layout_words_on_or_around_the_article():
+    article = "<article><h1>Title</h1><p>A long enough text of the page.</p><div class=share>tweet</div></article>"
+    want = "Title\nA long enough text of the page."
+    for name in ("has-sidebar", "no-ads", "page-with-sidebar"):
+        assert plain(f'<body><div class="{name}">{article}<div class=sidebar>x</div></div></body>') == want
+        assert plain(f'<body><div id="{name}"><main>{article}</main></div></body>') == want
+        assert plain(f'<body><main><div id="{name}">{article}</div></main></body>') == want
+    assert plain(article.replace("<article>", '<article class="post comments-open">')) == want
+    comments = "<section class=comments><article class=comment><p>First!</p></article></section>"
+    assert plain(f'<div class="has-sidebar">{article}{article}{comments}</div>') == f"{want}\n{want}"
+    assert plain(f"<p>A page of plain text, longer than its comments.</p>{comments}") == "A page of plain text, longer than its comments."
