@@ -108,4 +108,59 @@ m AS (SELECT doc_id, len(w)::BIGINT AS n_words, length(regexp_replace(t, '[\x20\
 b AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM m)
 SELECT *, NOT base_failed AND NOT (n_removed > 0 AND (2 * n_removed > n_words OR n_words - n_removed < 20)) AS kept FROM b"""
 
-SQL = {"op6_secret_scan": _OP6, "op7_quality_rules": _OP7, "op9_source_mixing": _OP9, "op1_url_filter": _OP1, "op5_decontamination": _OP5}
+def _crc32(text: str) -> str:
+    """CRC-32 of an ASCII text: a byte is mixed in, then eight steps follow (marked by -1)."""
+    steps = f"flatten([list_concat([ascii(c)], [-1, -1, -1, -1, -1, -1, -1, -1]) for c in string_split({text}, '')])"
+    return (
+        f"xor(list_reduce(list_concat([4294967295::BIGINT], {steps}), lambda c, x: CASE WHEN x >= 0 THEN xor(c, x)"
+        " ELSE xor(c >> 1, 3988292384 * (c & 1)) END), 4294967295::BIGINT)")
+
+
+def _leaf(text: str) -> str:
+    parts = [f"coalesce(strlen({v}) || ':' || {v}, '-')" for v in ("doc_id::VARCHAR", "source", "lang", "n_chars::VARCHAR", text)]
+    return f"sha256({' || '.join(parts)})"
+
+
+def _tree(name: str, levels: int, first: str) -> str:
+    """CTEs name0 (given: t, i, n, d) to name{levels}: one row per node; name_g{k}: nodes with the digests of their run."""
+    out = [f"{name}0 AS ({first})"]
+    for k in range(levels):
+        out.append(
+            f"{name}_g{k} AS (SELECT t, i, d, list(d) OVER (PARTITION BY t, i // 16 ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING"
+            f" AND UNBOUNDED FOLLOWING) AS run FROM {name}{k} WHERE n > 1)")
+        out.append(
+            f"{name}{k + 1} AS (SELECT t, i // 16 AS i, (n + 15) // 16 AS n, sha256(string_agg(d, '' ORDER BY i)) AS d FROM {name}{k}"
+            f" WHERE n > 1 GROUP BY t, i // 16, n UNION ALL SELECT t, i, n, d FROM {name}{k} WHERE n = 1)")
+    return ",\n".join(out)
+
+
+def _folded(name: str, levels: int, first: str, tree: str, place: str) -> str:
+    """CTEs that take rows with (proof, folded) through the levels of a tree; name_f{levels} is the result."""
+    out, before = [], first
+    for k in range(levels):
+        at = f"{place} // {16 ** k}"
+        left, right = f"array_to_string(run[:({at}) % 16], '')", f"array_to_string(run[({at}) % 16 + 2:], '')"
+        out.append(
+            f"{name}_f{k + 1} AS (SELECT f.* REPLACE (CASE WHEN g.t IS NULL THEN proof ELSE proof || {left} || {right} END AS proof,"
+            f" CASE WHEN g.t IS NULL THEN folded ELSE sha256({left} || folded || {right}) END AS folded)"
+            f" FROM {before} f LEFT JOIN {name}_g{k} g ON g.t = {tree} AND g.i = {at})")
+        before = f"{name}_f{k + 1}"
+    return ",\n".join(out)
+
+
+# Trees of up to 16^5 leaves and 16^3 sources; a tree that is done passes through the rest.
+_LOWERED = f"CASE WHEN {_crc32('doc_id::VARCHAR')} % 5 = 0 THEN translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') ELSE text END"
+_OP13 = f"""WITH s AS (SELECT source, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS t FROM (SELECT DISTINCT source FROM documents)),
+b AS (SELECT doc_id, source, {_leaf('text')} AS leaf, {_leaf('changed')} AS given FROM (SELECT *, {_LOWERED} AS changed FROM documents)),
+d AS (SELECT doc_id, leaf, given, t, row_number() OVER (PARTITION BY t ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i,
+ count(*) OVER (PARTITION BY t) AS n FROM b JOIN s ON b.source IS NOT DISTINCT FROM s.source),
+{_tree('l', 5, 'SELECT t, i, n, leaf AS d FROM d')},
+{_tree('u', 3, 'SELECT 0 AS t, l5.t AS i, (SELECT count(*) FROM s) AS n, d FROM l5')},
+f AS (SELECT *, '' AS proof, given AS folded FROM d),
+{_folded('l', 5, 'f', 'f.t', 'f.i')},
+{_folded('u', 3, 'l_f5', '0', 'f.t')}
+SELECT doc_id, leaf, l5.d AS subroot, u3.d AS root, sha256(proof) AS proof_sha256, folded AS folded_root, folded = u3.d AS verified
+FROM u_f3 x JOIN l5 ON l5.t = x.t, u3"""
+
+
+SQL = {"op6_secret_scan": _OP6, "op7_quality_rules": _OP7, "op9_source_mixing": _OP9, "op1_url_filter": _OP1, "op5_decontamination": _OP5, "op13_merkle_manifest": _OP13}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexmill.llm import decontaminate, mixing, periodic_runs, pii, quality_rules, secrets, simhash, suffixes, token_counts, url_filter, wrappers
+from lexmill.llm import decontaminate, merkle, mixing, periodic_runs, pii, quality_rules, secrets, simhash, suffixes, token_counts, url_filter, wrappers
 from lexmill.llm import oracles
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -88,3 +88,9 @@ def op11_periodic_runs(spark: SparkSession, sf: str) -> DataFrame:
     docs = _table(spark, sf, "documents").select("doc_id", periodic_runs.planted("doc_id", "text").alias("text"))
     found = periodic_runs.find_runs(docs, out="periodic")
     return found.select("doc_id", *periodic_runs.run_digests("periodic"))
+
+
+@_query
+def op13_merkle_manifest(spark: SparkSession, sf: str) -> DataFrame:
+    docs = _table(spark, sf, "documents")
+    return merkle.prove(docs, given=merkle.lower_case_tampering("doc_id", "text"))
