@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexmill.llm import decontaminate, merkle, mixing, periodic_runs, pii, quality_rules, secrets, simhash, suffixes, token_counts, url_filter, wrappers
+from lexmill.llm import decontaminate, merkle, mixing, periodic_runs, pii, quality_classifier, quality_rules, secrets, simhash, suffixes, token_counts, url_filter, wrappers
 from lexmill.llm import oracles
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -90,6 +90,14 @@ def op11_periodic_runs(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("doc_id", *periodic_runs.run_digests("periodic"))
 
 
+@_query
+def op12_quality_classifier(spark: SparkSession, sf: str) -> DataFrame:
+    docs = _table(spark, sf, "documents").select("doc_id", "text")
+    model = quality_classifier.fit(docs, _table(spark, sf, "labels"))
+    scored = quality_classifier.add_quality(docs, model)
+    return scored.select("doc_id", quality_classifier.held_out("doc_id").alias("held_out"), "score", "predicted")
+
+
 @_query
 def op13_merkle_manifest(spark: SparkSession, sf: str) -> DataFrame:
     docs = _table(spark, sf, "documents")
