@@ -45,14 +45,21 @@ def materialized(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def drop_scratch(spark: SparkSession) -> int:
+def scratch_folders() -> int:
+    """How many folders this process has in the shared folder."""
+    return len(_written)
+
+
+def drop_scratch(spark: SparkSession, since: int = 0, keep: int = 0) -> int:
     """Remove what this process has put in the shared folder; returns the number of folders.
 
-    Call it when no result that was built on them is needed any more.
+    The first ``since`` folders and the last ``keep`` stay.  Call it when no result that
+    was built on the others is needed any more.
     """
     jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
     removed = 0
-    while _written:
-        path = jvm.org.apache.hadoop.fs.Path(_written.pop())
+    for name in _written[since:len(_written) - keep]:
+        path = jvm.org.apache.hadoop.fs.Path(name)
         removed += bool(path.getFileSystem(conf).delete(path, True))
+        _written.remove(name)
     return removed
