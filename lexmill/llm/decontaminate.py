@@ -278,7 +278,10 @@ def decontaminate(
 ) -> DataFrame:
     """Drop contaminated documents; with ``max_run``, cut longer runs out of the others.
 
-    Columns stay as they are.  Options are those of ``find_contamination``.
+    Columns stay as they are, whatever their names.  Options are those of ``find_contamination``.
+    Null and empty texts are kept; texts of any length are read whole; repeated rows are
+    treated alike and null keys are no different; a share that just meets the limit contaminates; an
+    empty document table gives no rows, an empty item table drops none.
     """
     name = "_found"
     while name in docs.columns:
@@ -288,7 +291,7 @@ def decontaminate(
     if max_run is not None:
         long_runs = F.filter(F.col(name)["runs"], lambda r: r["stop"] - r["start"] > max_run)
         kept = kept.withColumn(text, F.when(F.size(long_runs) > 0, remove_runs(text, long_runs)).otherwise(F.col(text)))
-    return kept.select(*docs.columns)
+    return kept.select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def items_digest(items: Column | str) -> Column:

@@ -123,7 +123,7 @@ def mix(
     follows from the source's schedule: the share of the source's demand before it is
     turned into the time at which the integral of the schedule reaches that share.
 
-    Null texts have size 0; null sources are one source, the last; null keys are
+    Null texts have size 0, texts of any length are read whole; null sources are one source, the last; null keys are
     ordered by their hash; repeated rows are documents of their own, indistinguishable;
     an empty table gives no rows.  Columns of ``docs`` named like an output or starting
     with ``_mix`` are replaced.
@@ -160,7 +160,7 @@ def mix(
         value = let(demand, _inverse(schedule))
         position = F.when(at, value) if position is None else position.when(at, value)
     result = joined.select(
-        *[c for c in docs.columns if c not in out],
+        *[F.col(f"`{c}`") for c in docs.columns if c not in out],
         n.alias(out[0]), total.alias(out[1]), target.alias(out[2]), taken.cast("long").alias(out[3]),
         F.when(taken > 0, position).alias(out[4]), F.col("_mix_key"))
     return result.orderBy(F.col(out[4]).asc_nulls_last(), "_mix_key").drop("_mix_key")

@@ -154,7 +154,12 @@ def keep_good(
     docs: DataFrame, key: str = "doc_id", host: str = "source", text: str = "text", limits: Limits = Limits(),
     remove_lines: bool = False,
 ) -> DataFrame:
-    """The documents that pass, columns as they are; with ``remove_lines`` without their boilerplate lines."""
+    """The documents that pass, columns as they are; with ``remove_lines`` without their boilerplate lines.
+
+    Judged as in ``quality_verdicts``: null, empty and blank texts fail, whole texts are
+    read, repeated rows and null keys or hosts are judged like any other, an empty table gives
+    no rows, and other columns may have any names.
+    """
     identity = _row_key(F.col(host), F.col(key), F.col(text))
     names = ["_k1", "_k2"]
     # A predicate on an ordinary column would be pushed down by copying its whole expression.

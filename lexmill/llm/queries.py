@@ -36,7 +36,11 @@ def op2_simhash_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
 
 @_query
 def op3_suffix_dedup(spark: SparkSession, sf: str) -> DataFrame:
-    return suffixes.find_repeats(_table(spark, sf, "documents").select("doc_id", "text")).drop("spans")
+    found = suffixes.find_repeats(_table(spark, sf, "documents").select("doc_id", "text"))
+    places = F.transform("spans", lambda s: F.concat_ws(":", s["start"].cast("string"), s["stop"].cast("string")))
+    return found.select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", F.array_join(places, ",").alias("spans"),
+        (F.col("n_removed") > 0).alias("changed"))
 
 
 @_query

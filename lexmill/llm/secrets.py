@@ -222,18 +222,19 @@ def _count(spans: Column, nth: int) -> Column:
 def redact_secrets(
     docs: DataFrame, text: str = "text", rules: Sequence[SecretRule] = PRODUCTION_RULES, length: str | None = None,
 ) -> DataFrame:
-    """The documents with every secret replaced by ``[kind]``; columns stay as they are.
+    """The documents with every secret replaced by ``[kind]``; columns stay as they are, whatever their names.
 
-    A column ``length`` is set anew where the text changed.
+    A column ``length`` is set anew where the text changed.  Null and empty texts stay as
+    they are, texts of any length are read whole, repeated rows are treated alike, null keys are no
+    different and an empty table gives no rows.  Of secrets that overlap the first by start and rule is replaced.
     """
     name = "_secrets"
     while name in docs.columns:
         name += "_"
     found = find_secrets(docs, text, rules, name)
-    changed = F.size(name) > 0
-    cleaned = redact(F.col(text), F.col(name), lambda kind: F.concat(F.lit("["), kind, F.lit("]")))
-    done = found.withColumn(text, cleaned)
+    body = F.col(f"`{text}`")
+    done = found.withColumn(text, redact(body, F.col(name), lambda kind: F.concat(F.lit("["), kind, F.lit("]"))))
     if length is not None:
         kind = docs.schema[length].dataType
-        done = done.withColumn(length, F.when(changed, F.length(text).cast(kind)).otherwise(F.col(length)))
-    return done.select(*docs.columns)
+        done = done.withColumn(length, F.when(F.size(name) > 0, F.length(body).cast(kind)).otherwise(F.col(f"`{length}`")))
+    return done.select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -301,15 +301,17 @@ def near_duplicates(
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """One row of every group of near-duplicates: the one with the smallest key.
 
-    Rows with a null key stand behind all others and are told apart by their text.
-    Of rows with the same key and group one stays.  Columns stay as they are.
+    Rows with a null key stand behind all others and are told apart by their text, and
+    so are rows that share a key.  Equal rows are one.  Null, empty and blank texts are
+    near-duplicates of each other; whole texts are read, however long; an empty table gives no rows.
+    Columns stay as they are, whatever their names.
     """
-    name = "_identity"
+    name, body = "_identity", F.col(f"`{text}`")
+    # The text tells rows of one key apart, so a group keeps exactly its smallest row.
     identity = F.struct(
-        F.col(key).isNull().alias("unknown"), F.col(key).alias("id"),
-        F.when(F.col(key).isNull(), F.xxhash64(text)).alias("text"))
+        F.col(f"`{key}`").isNull().alias("unknown"), F.col(f"`{key}`").alias("id"), F.xxhash64(body).alias("text"),
+        F.xxhash64(body, F.lit(1)).alias("more"))
     named = whole_rows(docs, F.to_json(identity).alias(name))
-    ordered = docs.select(identity.alias("k"), text)
-    found = near_duplicates(ordered, "k", text, **options)
+    found = near_duplicates(docs.select(identity.alias("k"), body.alias("text")), "k", "text", **options)
     winners = found.where("k = component_id").select(F.to_json("k").alias(name)).distinct()
     return named.join(winners, name).dropDuplicates([name]).select(f"{ROW}.*")

@@ -61,11 +61,15 @@ def _split(text: str) -> tuple[str, str]:
     return host, "/" + path
 
 
+def _ranked(rules: Sequence[Rule]) -> list[Rule]:
+    """The rules, those that win first: longer ones, then those that allow, then by text."""
+    return sorted(set(rules), key=lambda r: (-len(r.text), r.action != ALLOW, r.text))
+
+
 def _inline_rule(host: Column, path: Column, rules: Sequence[Rule]) -> Column:
-    """struct(rule, action) of the longest rule that fits, else null."""
+    """struct(rule, action) of the first rule in rank that fits, else null."""
     chosen = None
-    # Longest first, so the first hit is the answer; the text breaks ties.
-    for rule in sorted(set(rules), key=lambda r: (-len(r.text), r.text)):
+    for rule in _ranked(rules):
         rule_host, rule_path = _split(rule.text)
         fits = ((host == rule_host) | host.endswith("." + rule_host)) & path.startswith(rule_path)
         value = F.struct(F.lit(rule.text).alias("rule"), F.lit(rule.action).alias("action"))
@@ -76,14 +80,14 @@ def _inline_rule(host: Column, path: Column, rules: Sequence[Rule]) -> Column:
 def _joined_rule(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """(host, path, _rule) for each distinct host and path of ``df`` that a rule fits."""
     spark = df.sparkSession
-    rows = [(r.action, r.text, *_split(r.text)) for r in set(rules)]
-    table = spark.createDataFrame(rows, "action string, rule string, _rule_host string, _rule_path string")
+    rows = [(n, r.action, r.text, *_split(r.text)) for n, r in enumerate(_ranked(rules))]
+    table = spark.createDataFrame(rows, "rank int, action string, rule string, _rule_host string, _rule_path string")
     places = df.select("host", "path").distinct()
     parts = F.split("host", r"\.")
     suffixes = F.transform(
         F.sequence(F.lit(1), F.size(parts)), lambda i: F.array_join(F.slice(parts, i, F.size(parts)), "."))
     hits = places.withColumn("_rule_host", F.explode(suffixes)).join(table, "_rule_host")
-    best = F.max(F.struct(F.length("rule").alias("n"), F.col("rule"), F.col("action")))
+    best = F.min(F.struct("rank", "rule", "action"))
     return (
         hits.where(F.col("path").startswith(F.col("_rule_path"))).groupBy("host", "path").agg(best.alias("b"))
         .select("host", "path", F.struct("b.rule", "b.action").alias("_rule")))
@@ -136,7 +140,8 @@ def filter_urls(
 ) -> DataFrame:
     """Judge every address: columns ``keep``, host, path, rule, verdict, decided_by, node.
 
-    The longest rule that fits decides.  Other addresses inherit from their alias
+    The longest rule that fits decides; of equally long ones an allow rule, then the one
+    first in text order, whatever the number and order of rules.  Other addresses inherit from their alias
     component: addresses joined by canonical links and refresh redirects of the
     pages, and by the rows (src, dst: addresses) of ``links``, which redirect logs
     supply.  An allow rule anywhere in the component takes precedence over block
@@ -145,14 +150,18 @@ def filter_urls(
 
     Null addresses and those without ``://`` have an empty host and path, no node,
     and are allowed; repeated rows are judged alike; an empty table gives no rows;
-    pages with null html have no links.  Other columns of ``pages`` are ignored.
+    pages with null html have no links; addresses of any length are read whole.  Other
+    columns of ``pages`` are ignored; a kept column must not be named like one of the results.
     """
+    taken = {"host", "path", "rule", "verdict", "decided_by", "node"} & set(keep)
+    if taken:
+        raise ValueError(f"columns to keep are named like results: {sorted(taken)}")
     parts = [page_links(pages, url, html)] if html else []
     if links is not None:
         parts.append(links.select(url_node(links.src).alias("src"), url_node(links.dst).alias("dst")))
     judged = with_rule(
         pages.select(
-            *[F.col(c).alias(f"_keep_{i}") for i, c in enumerate(keep)],
+            *[F.col(f"`{c}`").alias(f"_keep_{i}") for i, c in enumerate(keep)],
             url_host(url).alias("host"), url_path(url).alias("path"), url_node(url).alias("node")), rules)
     kept = [F.col(f"_keep_{i}").alias(c) for i, c in enumerate(keep)]
     if parts:

@@ -68,7 +68,7 @@ def test_run_matches_plain_stages(spark, words, tmp_path):
 
 def test_stages_on_odd_rows(spark, sf):
     rows = [(None, None, None, None, None), (1, "", "en", None, 0), (1, "", "en", None, 0), (2, "word " * 30_000, "en", "s", 1), (None, "a few words", None, "s", 3)]
-    docs = spark.createDataFrame([(*x, 7, "k1") for x in rows], SCHEMA + ", fingerprint int, _k1 string")
+    docs = spark.createDataFrame([(*x, 7, "k1", 1, 2) for x in rows], SCHEMA + ", fingerprint int, _k1 string, `a.b` int, a int")
     for name, stage in corpus_pipeline.STAGES[:-1]:
         out = stage(spark, docs, sf)
         assert out.columns == docs.columns and out.count() <= len(rows), name

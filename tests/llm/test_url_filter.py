@@ -1,5 +1,7 @@
 """URL rules, aliases and odd rows."""
 
+import pytest
+
 from lexmill.llm.components import connected_components
 from lexmill.llm.url_filter import PRODUCTION_RULES, Rule, filter_urls
 
@@ -72,3 +74,19 @@ def test_components_match_union_find(spark):
             parent[max(find(a), find(b))] = min(find(a), find(b))
     got = {x.node: x.component for x in connected_components(spark.createDataFrame(edges, "p long, q long")).collect()}
     assert got == {x: find(x) for x in list(parent)}
+
+
+@pytest.mark.parametrize("more", [0, 300])
+def test_rules_of_one_length(spark, more):
+    others = [Rule("block", f"h{i}.org/") for i in range(more)]
+    rules = [Rule("block", "a.b.com/"), Rule("allow", "b.com/xx"), Rule("block", "same.net/"), Rule("allow", "same.net/"), *others]
+    pages = spark.createDataFrame([(1, "http://a.b.com/xx/1"), (2, "http://same.net/")], "`page.id` int, url string")
+    for order in (rules, rules[::-1]):
+        got = {x["page.id"]: (x.rule, x.verdict) for x in filter_urls(pages, order, html=None, keep=["page.id"]).collect()}
+        assert got == {1: ("b.com/xx", "allow"), 2: ("same.net/", "allow")}
+
+
+def test_names_of_results_cannot_be_kept(spark):
+    pages = spark.createDataFrame([("h", "http://a.org/")], "host string, url string")
+    with pytest.raises(ValueError):
+        filter_urls(pages, [], html=None, keep=["host"])
