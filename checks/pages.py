@@ -11,11 +11,11 @@ from lexmill.functions.html import html_to_text, is_probably_html, matches_topic
 from lexmill.functions.quality import INDICATORS, with_quality
 from lexmill.operators.extraction import (
     extraction_report,
-    match_topic_table,
     pages_to_documents,
     with_extracted_text,
 )
 from lexmill.operators.scratch import new_folder
+from lexmill.operators.topics import match_topic_table, with_topics
 from lexmill.sources.warc import read_warc
 
 TOPICS, DOMAINS = ["Ereau", "with the"], ["Example.ORG"]
@@ -150,6 +150,36 @@ def topic_table_match_many(spark: SparkSession, sf: str) -> DataFrame:
     return match_topic_table(web, topics).select("page_id", "copy")
 
 
+# All pairs of words of the documents as topics, over 100,000 at sf0.01: a page has one if it has two runs of letters
+# with a blank between them, of which the first ends and the second begins like the topic's words.
+_PAIRS = f"""topics AS (SELECT DISTINCT unnest(regexp_extract_all(lower(text), '[a-z]+ [a-z]+')) AS topic FROM documents),
+x AS (SELECT page_id, string_split(lower({s.html_text('html')}), ' ') AS w FROM pages),
+n AS (SELECT page_id, regexp_extract(p, '[a-z]+$') AS l, regexp_extract(q, '^[a-z]+') AS r FROM (
+ SELECT page_id, unnest(w[:-2]) AS p, unnest(w[2:]) AS q FROM x)),
+hit AS (SELECT DISTINCT page_id, topic FROM (
+ SELECT page_id, right(l, i) || ' ' || left(r, j) AS topic FROM (SELECT DISTINCT * FROM n WHERE l <> '' AND r <> ''), range(1, 40) a(i), range(1, 40) b(j)
+ WHERE i <= length(l) AND j <= length(r)) JOIN topics USING (topic))"""
+
+
+def _word_pairs(spark: SparkSession, sf: str) -> DataFrame:
+    return table(spark, sf, "documents").select(
+        F.explode(F.regexp_extract_all(F.lower("text"), F.lit("[a-z]+ [a-z]+"), F.lit(0))).alias("topic"))
+
+
+@query(f"WITH {_PAIRS} SELECT page_id FROM hit GROUP BY page_id")
+def topic_table_match_large(spark: SparkSession, sf: str) -> DataFrame:
+    web = pages(spark, sf).select("page_id", html_to_text("html").alias("text"))
+    return match_topic_table(web, _word_pairs(spark, sf)).select("page_id")
+
+
+@query(f"""WITH {_PAIRS} SELECT page_id, count(topic) AS n_topics, coalesce(string_agg(topic, ',' ORDER BY topic), '') AS topics
+FROM pages LEFT JOIN hit USING (page_id) GROUP BY page_id""")
+def topics_per_page(spark: SparkSession, sf: str) -> DataFrame:
+    web = pages(spark, sf).select("page_id", html_to_text("html").alias("text"))
+    found = with_topics(web, _word_pairs(spark, sf))
+    return found.select("page_id", F.size("topics").cast("long").alias("n_topics"), F.array_join("topics", ",").alias("topics"))
+
+
 @query(f"""WITH px AS (SELECT page_id, {s.html_text('html')} AS x FROM pages), {s.quality_cte('px', 'page_id', 'x', 'en')}
 SELECT key AS page_id, {", ".join(f"round({c}, 6) AS {c}" for c in [*INDICATORS, "quality_score"])} FROM quality""")
 def page_quality(spark: SparkSession, sf: str) -> DataFrame:

@@ -80,19 +80,3 @@ def observe_extraction(extracted: DataFrame, name: str = "extraction") -> DataFr
         F.count_if(F.col("reject_reason").isNull()).alias("extracted"),
         F.count_if(F.col("reject_reason").isNotNull()).alias("rejected"),
     )
-
-
-def match_topic_table(df: DataFrame, topics: DataFrame, text: str = "text", topic: str = "topic") -> DataFrame:
-    """Rows whose text contains any topic of a table, ignoring case.
-
-    The topics are a query set: their distinct texts reach the tasks as one scalar
-    value when the query runs, and each text is tested where it is.  So rows need no
-    identity, none is moved or repeated, and the answer is the same for few topics
-    and many.  Null and empty topics and null texts match nothing.  The work is texts
-    times topics up to the first hit; the topics must fit in a task's memory.
-    """
-    wanted = topics.select(F.lower(topic).alias("_topic")).where(F.col("_topic") != "")
-    listed = wanted.agg(F.sort_array(F.collect_set("_topic")).alias("t")).scalar()
-    found = rx.bind(
-        {"low": F.lower(text), "topics": F.col("_topics")}, lambda s: F.exists(s["topics"], lambda t: F.contains(s["low"], t)))
-    return df.withColumn("_topics", listed).where(F.coalesce(found, F.lit(False))).drop("_topics")

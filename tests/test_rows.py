@@ -15,7 +15,7 @@ from lexmill.operators import models as m
 from lexmill.operators import ranking, reports
 from lexmill.operators import sampling as sp
 from lexmill.operators import vocabulary as v
-from lexmill.operators.extraction import match_topic_table
+from lexmill.operators.topics import match_topic_table, topic_keys, with_topics
 from lexmill.operators.filters import with_pattern_filter
 
 
@@ -119,8 +119,38 @@ def test_topic_table(spark):
     topics = spark.createDataFrame([("water",), ("x",), ("ÉT",), ("",), (None,), ("x",)], "topic string")
     many = topics.union(spark.range(3000).selectExpr("concat('topic', id)"))
     for table in (topics, many):
-        assert sorted(r["id"] or 0 for r in match_topic_table(docs, table).collect()) == [0, 1, 1, 3]
+        for size in (1 << 20, 50_000, 50):
+            if size == 50 and table is many:
+                continue
+            assert sorted(r["id"] or 0 for r in match_topic_table(docs, table, index_bytes=size).collect()) == [0, 1, 1, 3]
     assert match_topic_table(docs, topics.limit(0)).count() == 0
+    assert match_topic_table(docs.limit(0), topics).count() == 0
+
+
+def test_topics_of_texts_equal_plain_search(spark, monkeypatch):
+    import random
+
+    monkeypatch.setattr("lexmill.operators.topics.PIECE", 16)
+    r = random.Random(3)
+    make = lambda n: "".join(r.choice("abé ") for _ in range(n))
+    topics = sorted({make(r.randrange(1, 14)).lower() for _ in range(300)} | {"aaaaaaaa", "a" * 20, "b", "é"})
+    texts = [make(r.randrange(0, 90)) for _ in range(80)] + ["A" * 30, "B", "", None, "é" * 40]
+    docs = spark.createDataFrame([(i, t, 1) for i, t in enumerate(texts)], "id int, text string, `a.b` int")
+    table = spark.createDataFrame([(t,) for t in topics + topics[:9]] + [(None,), ("",)], "topic string")
+    want = {i: sorted(t for t in topics if t in (text or "").lower()) for i, text in enumerate(texts)}
+    for size in (1 << 20, 4000):
+        got = with_topics(docs, table, index_bytes=size)
+        assert got.columns == ["id", "text", "a.b", "topics"]
+        assert {x.id: x.topics for x in got.collect()} == want
+        kept = match_topic_table(docs, table, index_bytes=size)
+        assert sorted(x.id for x in kept.collect()) == [i for i, found in want.items() if found]
+
+
+def test_topics_are_filed_under_their_rarest_window(spark):
+    table = spark.createDataFrame([("commonwaterfall",), ("commonwaterside",), ("commonwater",), ("xy",)], "topic string")
+    keys = {x.topic: (x.size, x.at) for x in topic_keys(table).collect()}
+    assert keys["xy"] == (2, 0) and keys["commonwater"][0] == 8
+    assert keys["commonwaterfall"][1] >= 4 and keys["commonwaterside"][1] >= 4
 
 
 def test_metrics_and_noise(values):
