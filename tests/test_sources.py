@@ -64,6 +64,61 @@ def test_warc(spark, archives):
         read_warc(spark, archives + "/notes.txt").count()
 
 
+def _warc_rows(df):
+    columns = ["warc_file", "record_no", "url", "content_type", "content", "error"]
+    return sorted((tuple(bytes(r[c]) if c == "content" and r[c] is not None else r[c] for c in columns) for r in df.collect()), key=str)
+
+
+def _many_records(n=60):
+    import random
+
+    r, out = random.Random(6), []
+    for i in range(n):
+        # Bytes that look like the start of a record or member inside of others.
+        trap = b"\nWARC/1.0\r\nContent-Length: 5\r\n\r\nabcde" if i % 9 == 4 else gzip.compress(b"WARC/1.0\r\n\r\n") if i % 9 == 5 else b""
+        body = trap + r.randbytes(r.randrange(0, 900))
+        out.append(response(f"http://a/{i}", body) if i % 5 else record("request", f"http://a/{i}", body))
+    return out
+
+
+def test_large_archives_are_read_in_ranges(spark, tmp_path):
+    records = _many_records()
+    (tmp_path / "plain.warc").write_bytes(b"".join(records))
+    (tmp_path / "members.warc.gz").write_bytes(b"".join(gzip.compress(r) for r in records))
+    (tmp_path / "pairs.warc.gz").write_bytes(b"".join(gzip.compress(a + b) + b"\0" * 3 for a, b in zip(records[::2], records[1::2])))
+    (tmp_path / "one.warc.gz").write_bytes(gzip.compress(b"".join(records)))
+    # A record that goes on in the next members.
+    halves = [x for r in records for x in (r[:40], r[40:])]
+    (tmp_path / "halves.warc.gz").write_bytes(b"".join(gzip.compress(x) for x in halves))
+    (tmp_path / "none.warc").write_bytes(b"")
+    whole = _warc_rows(read_warc(spark, str(tmp_path), errors=True))
+    assert len(whole) == 5 * 48
+    for size in (500, 3000, 20_000):
+        parts = read_warc(spark, str(tmp_path), errors=True, split_bytes=size)
+        assert _warc_rows(parts) == whole
+    used = parts.select("warc_file", F.spark_partition_id().alias("p")).distinct().groupBy("warc_file").count().collect()
+    assert {os.path.basename(r["warc_file"]): r["count"] for r in used}["members.warc.gz"] > 1
+
+
+def test_damaged_archives(spark, tmp_path):
+    records = _many_records(20)
+    zipped = [gzip.compress(r) for r in records]
+    broken = bytearray(zipped[7])
+    broken[len(broken) // 2:] = b"\xff" * (len(broken) - len(broken) // 2)
+    (tmp_path / "a.warc.gz").write_bytes(b"".join(zipped[:7]) + bytes(broken) + b"".join(zipped[8:]))
+    (tmp_path / "b.warc.gz").write_bytes(b"".join(zipped)[:-20])
+    (tmp_path / "c.warc").write_bytes(b"".join(records)[:-40])
+    whole = _warc_rows(read_warc(spark, str(tmp_path), errors=True))
+    wrong = {os.path.basename(r[0]): r[5] for r in whole if r[5] is not None}
+    assert wrong == {"a.warc.gz": "archive is damaged: error", "b.warc.gz": "archive is damaged: EOFError", "c.warc": "record is cut off"}
+    good = {os.path.basename(f): {r[2] for r in whole if r[0] == f and r[5] is None} for f in {r[0] for r in whole}}
+    responses = {f"http://a/{i}" for i in range(20) if i % 5}
+    assert good == {"a.warc.gz": responses - {"http://a/7"}, "b.warc.gz": responses - {"http://a/19"}, "c.warc": responses - {"http://a/19"}}
+    assert _warc_rows(read_warc(spark, str(tmp_path), errors=True, split_bytes=700)) == whole
+    large = spark.read.format("warc").option("maxRecordBytes", "300").load(str(tmp_path / "c.warc"))
+    assert 0 < large.where("error like '%over the limit'").count() < 16
+
+
 def test_archive_job(spark, archives, tmp_path):
     out = str(tmp_path / "out")
     written = jobs.build_dataset_from_archives(spark, archives, out, deep=False)
