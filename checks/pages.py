@@ -16,7 +16,8 @@ from lexmill.operators.extraction import (
 )
 from lexmill.operators.scratch import new_folder
 from lexmill.operators.topics import match_topic_table, with_topics
-from lexmill.sources.warc import read_warc
+from lexmill.sources.warc import read_warc, write_warc
+from lexmill.streaming.incremental import REPLACE, newest_versions, process_new_archives
 
 TOPICS, DOMAINS = ["Ereau", "with the"], ["Example.ORG"]
 
@@ -125,6 +126,52 @@ def warc_errors(spark: SparkSession, sf: str) -> DataFrame:
     return records.where("error is not null").groupBy("error").agg(F.count("*").alias("n"))
 
 
+# One large archive of members, read in ranges by several tasks: the same records and numbers.
+@query("SELECT url, html AS text, true AS several, row_number() OVER (ORDER BY page_id) AS record_no FROM pages")
+def warc_ranges(spark: SparkSession, sf: str) -> DataFrame:
+    folder = new_folder(spark)
+    web = pages(spark, sf)
+    write_warc(web.repartitionByRange(1, "page_id").sortWithinPartitions("page_id"), folder, content="html")
+    records = read_warc(spark, folder, split_bytes=200_000).withColumn("task", F.spark_partition_id())
+    tasks = records.agg((F.count_distinct("task") > 1).alias("b")).select("b").scalar()
+    return records.select("url", F.col("content").cast("string").alias("text"), tasks.alias("several"), "record_no")
+
+
+# Archives arrive in two parts; the stream processes each once.
+@query("SELECT url, html AS text FROM pages")
+def warc_stream(spark: SparkSession, sf: str) -> DataFrame:
+    base = new_folder(spark)
+    for part in range(2):
+        _write_archives(pages(spark, sf).where(F.col("page_id") % 2 == part).select("url", "html"), f"{base}/in/{part}")
+        for _ in range(2):  # The second run of each finds nothing new.
+            process_new_archives(spark, f"{base}/in", f"{base}/out", f"{base}/checkpoint", key=None, recursive=True).awaitTermination()
+    return spark.read.parquet(f"{base}/out").select("url", F.col("content").cast("string").alias("text"))
+
+
+def _resent(spark: SparkSession, sf: str, on_repeat: str) -> DataFrame:
+    """Two thirds of the pages; then all of them, a quarter changed; then half of them again as they were at first."""
+    base, web = new_folder(spark), pages(spark, sf)
+    changed = web.withColumn("html", F.when(F.col("page_id") % 4 == 0, F.concat("html", F.lit(" changed"))).otherwise(F.col("html")))
+    for n, part in enumerate([web.where("page_id % 3 <> 0"), changed, web.where("page_id % 2 = 0")]):
+        _write_archives(part.select("url", "html"), f"{base}/in/{n}")
+        process_new_archives(
+            spark, f"{base}/in", f"{base}/out", f"{base}/checkpoint", on_repeat=on_repeat, recursive=True).awaitTermination()
+    return spark.read.parquet(f"{base}/out")
+
+
+# Sent again, a page is passed over.
+@query("SELECT url, html || CASE WHEN page_id % 3 = 0 AND page_id % 4 = 0 THEN ' changed' ELSE '' END AS text, 1::BIGINT AS version FROM pages")
+def warc_stream_skip(spark: SparkSession, sf: str) -> DataFrame:
+    return _resent(spark, sf, "skip").select("url", F.col("content").cast("string").alias("text"), "version")
+
+
+# Sent again with other content, a page is replaced, also by what it was before.
+@query("""SELECT url, html AS text, CASE WHEN page_id % 4 <> 0 THEN 1 WHEN page_id % 3 <> 0 THEN 3 ELSE 2 END::BIGINT AS version FROM pages""")
+def warc_stream_replace(spark: SparkSession, sf: str) -> DataFrame:
+    kept = newest_versions(_resent(spark, sf, REPLACE))
+    return kept.select("url", F.col("content").cast("string").alias("text"), "version")
+
+
 @query(f"""WITH topics AS (SELECT DISTINCT regexp_extract(lower(text), '[a-z]{{7,}}') AS topic FROM benchmark),
 x AS (SELECT page_id, lower({s.html_text('html')}) AS t FROM pages)
 SELECT page_id FROM x WHERE EXISTS (SELECT 1 FROM topics WHERE topic <> '' AND contains(t, topic))""")

@@ -11,6 +11,7 @@ from lexmill.functions import lexicon as lx
 from lexmill.functions.language import primary_script, script_guess, with_language
 from lexmill.functions.quality import (
     ISSUE_COLUMNS,
+    quality,
     with_issue_flags,
     with_paragraph_metrics,
     with_quality,
@@ -223,3 +224,16 @@ flat AS (SELECT doc_id, CASE WHEN len(ls) >= 3 THEN trim({s.sub("array_to_string
 SELECT d.doc_id, CASE WHEN length(x) >= 50 THEN x END AS clean_text FROM documents d LEFT JOIN flat ON flat.doc_id = d.doc_id""")
 def pattern_filter(spark: SparkSession, sf: str) -> DataFrame:
     return with_pattern_filter(texts(spark, sf)).select("doc_id", "clean_text")
+
+
+# Language and script judged by the beginning of each text, as asked for by name.
+@query(f"""WITH {s.quality_cte("(SELECT doc_id, text[:600] AS head FROM documents)", "doc_id", "head")},
+h AS (SELECT doc_id, {_script_case('text')}[:300] AS h FROM documents)
+SELECT key AS doc_id, language, CASE WHEN {s.hits('h', '[' + chr(92) + 'x{4E00}-' + chr(92) + 'x{9FFF}]')} > 100 THEN 'zh'
+  WHEN {s.hits('h', '[' + chr(92) + 'x{3040}-' + chr(92) + 'x{30FF}]')} > 50 THEN 'ja'
+  WHEN {s.hits('h', '[' + chr(92) + 'x{AC00}-' + chr(92) + 'x{D7A3}]')} > 50 THEN 'ko'
+  WHEN {s.hits('h', '[' + chr(92) + 'x{0400}-' + chr(92) + 'x{04FF}]')} > 50 THEN 'ru' ELSE 'en' END AS script FROM quality JOIN h ON key = doc_id""")
+def language_of_beginning(spark: SparkSession, sf: str) -> DataFrame:
+    by_text = texts(spark, sf).select("doc_id", quality("text", columns=["language"], language_chars=600)["language"].alias("language"))
+    by_script = _in_scripts(texts(spark, sf)).select("doc_id", script_guess("text", chars=300).alias("script"))
+    return by_text.join(by_script, "doc_id")

@@ -12,6 +12,8 @@ from lexmill.operators.scratch import new_folder
 from lexmill.operators.vocabulary import build_vocabulary, read_vocabulary, write_vocabulary
 from lexmill.sources import sinks
 from lexmill.sources import text as tx
+from lexmill.sources.crawl import latest_crawl, read_crawls, read_manifest
+from lexmill.sources.warc import read_warc, write_warc
 
 
 # Cleaned corpus by source, read as whole files: every line of every document comes back.
@@ -81,6 +83,22 @@ def side_label_files(spark: SparkSession, sf: str) -> DataFrame:
         F.count("*").alias("n"), F.sum(F.regexp_extract("text", "[0-9]+", 0).cast("long")).alias("ids"))
 
 
+# The same with three files of texts and two of labels, cut at different places, the last 20 labels missing.
+@query("""SELECT doc_id, CASE WHEN doc_id < (SELECT max(doc_id) - 19 FROM documents) THEN doc_id % 7 END AS label,
+ doc_id < (SELECT max(doc_id) - 19 FROM documents) AS matched FROM documents""")
+def side_label_many(spark: SparkSession, sf: str) -> DataFrame:
+    folder = new_folder(spark)
+    ids = table(spark, sf, "documents").select("doc_id")
+    kept = F.col("doc_id") < ids.agg(F.max("doc_id") - 19).scalar()
+    ids.repartitionByRange(3, "doc_id").sortWithinPartitions("doc_id").select(
+        F.concat(F.lit("text of "), F.col("doc_id").cast("string"))).write.text(f"{folder}/texts")
+    ids.where(kept).repartitionByRange(2, "doc_id").sortWithinPartitions("doc_id").select(
+        (F.col("doc_id") % 7).cast("string")).write.text(f"{folder}/labels")
+    zipped = tx.read_texts_with_label_file(spark, f"{folder}/texts", f"{folder}/labels")
+    return zipped.select(F.regexp_extract("text", "[0-9]+", 0).cast("long").alias("doc_id"), tx.integer_label("label").alias("label"),
+        F.col("label").isNotNull().alias("matched"))
+
+
 # A catalogue of processed names on disk decides what is left to do.
 @query("SELECT doc_id FROM documents WHERE doc_id % 5 >= 2")
 def catalogue_files(spark: SparkSession, sf: str) -> DataFrame:
@@ -112,3 +130,90 @@ def metrics_files(spark: SparkSession, sf: str) -> DataFrame:
     summary = spark.read.schema("total_texts long, languages map<string,long>").json(f"{folder}/summary")
     counted = summary.select("total_texts", F.explode("languages").alias("language", "n"))
     return rows.groupBy("language").agg(F.sum("length").alias("chars")).join(counted, "language").select("language", "n", "total_texts", "chars")
+
+
+# Every output is written twice and a third time by a job that fails: it stays as it was.
+@query("""SELECT 'documents' AS output, count(*) AS n FROM documents UNION ALL SELECT 'dataset', count(*) FROM documents
+UNION ALL SELECT 'samples', count(*) FROM documents UNION ALL SELECT 'metrics', count(*) FROM documents
+UNION ALL SELECT 'archive', count(*) FROM documents UNION ALL SELECT 'names', count(*) FROM documents UNION ALL SELECT 'name lines', count(*) FROM documents""")
+def repeated_outputs(spark: SparkSession, sf: str) -> DataFrame:
+    folder = new_folder(spark)
+    docs = table(spark, sf, "documents").select("source", "doc_id", "text", F.concat(F.lit("doc-"), F.col("doc_id").cast("string")).alias("name"))
+
+    def write(rows: DataFrame) -> None:
+        sinks.write_document_text(rows, f"{folder}/documents", source="source", order="doc_id")
+        sinks.write_dataset(ratio_split(rows, "doc_id"), f"{folder}/dataset", text="name")
+        sinks.write_metrics_csv(rows.select("doc_id", F.length("text").alias("length")), f"{folder}/metrics")
+        sinks.write_catalogue(rows, f"{folder}/names", run="first")
+        write_warc(rows, f"{folder}/archive", url="name", content="text")
+
+    write(docs)
+    write(docs)
+    broken = docs.withColumn("text", F.when(F.col("doc_id") % 97 == 5, F.raise_error(F.lit("broken row"))).otherwise(F.col("text")))
+    for sink in (
+        lambda: sinks.write_document_text(broken, f"{folder}/documents", source="source", order="doc_id"),
+        lambda: sinks.write_dataset(ratio_split(broken, "doc_id"), f"{folder}/dataset", text="name"),
+        lambda: sinks.write_metrics_csv(broken.select("doc_id", F.length("text").alias("length")), f"{folder}/metrics"),
+        lambda: write_warc(broken, f"{folder}/archive", url="name", content="text"),
+    ):
+        try:
+            sink()
+        except Exception:  # noqa: BLE001
+            continue
+        raise AssertionError("a job that had to fail did not")
+    count = lambda name, df: df.agg(F.lit(name).alias("output"), F.count("*").alias("n"))
+    numbered = spark.read.text(f"{folder}/documents").where(F.col("value").rlike("^# Document [0-9]+$"))
+    parts = [
+        count("documents", numbered), count("dataset", tx.read_dataset(spark, f"{folder}/dataset/data")),
+        count("samples", spark.read.text(f"{folder}/dataset/text").where("value = '--- Sample ---'")),
+        count("metrics", spark.read.csv(f"{folder}/metrics", header=True)), count("archive", read_warc(spark, f"{folder}/archive")),
+        count("names", sinks.read_catalogue(spark, f"{folder}/names")),
+        count("name lines", spark.read.text(f"{folder}/names", recursiveFileLookup=True))]
+    out = parts[0]
+    for more in parts[1:]:
+        out = out.union(more)
+    return out
+
+
+# The first records of each archive, responses or not.
+@query("SELECT source, doc_id FROM (SELECT source, doc_id, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS n FROM documents) WHERE n <= 7")
+def warc_first_records(spark: SparkSession, sf: str) -> DataFrame:
+    folder = new_folder(spark)
+    docs = table(spark, sf, "documents").select("source", "doc_id", "text")
+    dealt = docs.repartition("source").sortWithinPartitions("source", "doc_id")
+    numbered = dealt.withColumn("url", F.concat_ws("/", "source", F.col("doc_id").cast("string")))
+    # One archive for each source: a task writes those it holds one after the other.
+    for (source,) in sorted(docs.select("source").distinct().collect()):
+        write_warc(numbered.where(F.col("source") == source).coalesce(1).sortWithinPartitions("doc_id"), folder, content="text", mode="append")
+    first = read_warc(spark, folder, max_records=7)
+    return first.select(F.split("url", "/")[0].alias("source"), F.split("url", "/")[1].cast("long").alias("doc_id"))
+
+
+# A manifest of archives, compressed, and a catalogue of crawls.
+@query("SELECT 'seg/' || doc_id || '.warc.gz' AS archive, 'crawl-' || (SELECT max(doc_id) FROM documents) AS crawl FROM documents WHERE doc_id % 3 <> 0")
+def manifest_files(spark: SparkSession, sf: str) -> DataFrame:
+    folder = new_folder(spark)
+    ids = table(spark, sf, "documents").select("doc_id")
+    ending = F.when(F.col("doc_id") % 3 == 0, F.lit(".warc")).otherwise(F.lit(".warc.gz"))
+    ids.select(F.concat(F.lit("seg/"), F.col("doc_id").cast("string"), ending)).write.option("compression", "gzip").text(f"{folder}/manifest")
+    # Newest first, as one JSON list.
+    entries = F.sort_array(F.collect_list(F.struct("doc_id", F.concat(F.lit("crawl-"), F.col("doc_id").cast("string")).alias("id"))), asc=False)
+    listed = F.transform(entries, lambda e: F.struct(e["id"].alias("id"), e["id"].alias("name")))
+    ids.agg(F.to_json(listed).alias("value")).coalesce(1).write.text(f"{folder}/crawls")
+    newest = latest_crawl(read_crawls(spark, f"{folder}/crawls")).select("id").scalar()
+    return read_manifest(spark, f"{folder}/manifest").withColumn("crawl", newest)
+
+
+# A folder of text files below it, with their labels in the files' names.
+@query("SELECT doc_id, doc_id % 4 AS label FROM documents")
+def labelled_folder(spark: SparkSession, sf: str) -> DataFrame:
+    folder = new_folder(spark)
+    docs = table(spark, sf, "documents").select((F.col("doc_id") % 4).alias("label"), F.col("doc_id").cast("string").alias("value"))
+    docs.repartition("label").write.partitionBy("label").text(folder)
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    fs = path(folder).getFileSystem(spark._jsc.hadoopConfiguration())
+    for label in range(4):
+        for i, status in enumerate(fs.listStatus(path(f"{folder}/label={label}"))):
+            fs.rename(status.getPath(), path(f"{folder}/label={label}/part{i}_class_{label}_.txt"))
+    files = tx.read_labelled_directory(spark, folder)
+    return files.select(F.explode(F.split("text", "\n")).alias("line"), "label").where("line <> ''").select(F.col("line").cast("long").alias("doc_id"), "label")

@@ -1,14 +1,53 @@
-"""Writers: document text, datasets, metadata, metrics, catalogues."""
+"""Writers: document text, datasets, metadata, metrics, catalogues.
+
+Every output is replaced as a whole: it is written beside its place and moved there when all
+tasks have ended.  A repeated run leaves the same rows, and a failed one leaves what was there.
+"""
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexmill.operators.ranking import join_on, with_ordered_rank
+from lexmill.operators.scratch import materialized
 from lexmill.sources.text import DOCUMENT_RULER
 
 
+def replace_output(spark: SparkSession, path: str, write: Callable[[str], None]) -> None:
+    """Let ``write`` fill a folder beside ``path``, and put it there once that has succeeded.
+
+    Readers see the former output until then.  If ``write`` fails, its folder goes.  Moves
+    are made by the file system that holds ``path``.
+    """
+    jvm = spark._jvm
+    folder = jvm.org.apache.hadoop.fs.Path
+    target = folder(path.rstrip("/"))
+    fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    mark = uuid.uuid4().hex
+    # Names that begin with an underscore are passed over by readers of the parent.
+    new, old = (folder(target.getParent(), f"_{kind}-{mark}") for kind in ("writing", "former"))
+    try:
+        write(new.toString())
+    except BaseException:
+        fs.delete(new, True)
+        raise
+    if not fs.exists(new):
+        return
+    had = fs.exists(target)
+    if had and not fs.rename(target, old):
+        raise OSError(f"cannot move the former output of {path}")
+    if not fs.rename(new, target):
+        if had:
+            fs.rename(old, target)
+        raise OSError(f"cannot move the output to {path}")
+    if had:
+        fs.delete(old, True)
+
+
 def document_block(number: Column, text: Column) -> Column:
     """``# Document N``, the text and a ruler, each followed by a blank line."""
     return F.concat(
@@ -44,17 +83,22 @@ def write_document_text(df: DataFrame, path: str, max_records: int | None = None
     """Write numbered documents as text, one folder ``output=<source>`` per source file."""
     docs = numbered_documents(df, max_records=max_records, **columns)
     ordered = docs.repartitionByRange("output", "number").sortWithinPartitions("output", "number")
-    ordered.select("output", F.col("block").alias("value")).write.partitionBy("output").text(path)
+    texts = ordered.select("output", F.col("block").alias("value"))
+    replace_output(df.sparkSession, path, lambda p: texts.write.partitionBy("output").text(p))
 
 
 def write_dataset(df: DataFrame, path: str, text: str | None = None, split: str = "split") -> None:
     """Write a split dataset as Parquet, and its texts as readable blocks."""
-    df.write.partitionBy(split).parquet(f"{path}/data")
-    if text:
-        # Read back what was written, so the plan of the dataset runs once.
-        written = df.sparkSession.read.parquet(f"{path}/data")
-        sample = F.concat(F.lit("--- Sample ---\n"), F.col(text), F.lit("\n"))
-        written.select(split, sample.alias("value")).write.partitionBy(split).text(f"{path}/text")
+
+    def write(folder: str) -> None:
+        df.write.partitionBy(split).parquet(f"{folder}/data")
+        if text:
+            # Read back what was written, so the plan of the dataset runs once.
+            written = df.sparkSession.read.parquet(f"{folder}/data")
+            sample = F.concat(F.lit("--- Sample ---\n"), F.col(text), F.lit("\n"))
+            written.select(split, sample.alias("value")).write.partitionBy(split).text(f"{folder}/text")
+
+    replace_output(df.sparkSession, path, write)
 
 
 def dataset_counts(df: DataFrame, split: str = "split") -> DataFrame:
@@ -69,16 +113,17 @@ def dataset_counts(df: DataFrame, split: str = "split") -> DataFrame:
 def write_metadata(df: DataFrame, path: str, split: str = "split", **parameters: object) -> None:
     """One JSON row: counts, parameters and the time of writing."""
     fixed = [F.lit(v).alias(k) for k, v in parameters.items() if v is not None]
-    dataset_counts(df, split).select("*", *fixed, F.current_timestamp().alias("created_at")).write.json(path)
+    row = dataset_counts(df, split).select("*", *fixed, F.current_timestamp().alias("created_at"))
+    replace_output(df.sparkSession, path, row.write.json)
 
 
 def write_metrics_csv(metrics: DataFrame, path: str) -> None:
-    metrics.write.csv(path, header=True)
+    replace_output(metrics.sparkSession, path, lambda p: metrics.write.csv(p, header=True))
 
 
 def write_summary(metrics: DataFrame, path: str, language: str = "language", length: str = "length") -> None:
     """One JSON row: texts, texts per language and mean length."""
-    summary(metrics, language, length).write.json(path)
+    replace_output(metrics.sparkSession, path, summary(metrics, language, length).write.json)
 
 
 def summary(metrics: DataFrame, language: str = "language", length: str = "length") -> DataFrame:
@@ -91,13 +136,21 @@ def summary(metrics: DataFrame, language: str = "language", length: str = "lengt
     )
 
 
-def write_catalogue(processed: DataFrame, path: str, name: str = "name") -> None:
-    """Names of processed inputs, one per line, for later incremental runs."""
-    processed.select(F.col(name).cast("string").alias("value")).distinct().write.mode("append").text(path)
+def write_catalogue(processed: DataFrame, path: str, name: str = "name", run: str | None = None) -> None:
+    """Add the names of processed inputs, one per line, for later incremental runs.
+
+    Each run has a folder of its own, named ``run`` or else by a digest of its names, so a
+    repeated run replaces what it has written before.
+    """
+    names = materialized(processed.select(F.col(name).cast("string").alias("value")).distinct())
+    if run is None:
+        total = names.agg(F.sum(F.xxhash64("value").cast("decimal(38,0)")), F.count("*")).first()
+        run = f"{total[0] or 0}-{total[1]}"
+    replace_output(names.sparkSession, f"{path.rstrip('/')}/run={run}", names.write.text)
 
 
 def read_catalogue(spark: SparkSession, path: str, name: str = "name") -> DataFrame:
-    return spark.read.text(path).select(F.col("value").alias(name)).distinct()
+    return spark.read.text(path, recursiveFileLookup=True).select(F.col("value").alias(name)).distinct()
 
 
 def not_yet_processed(inputs: DataFrame, done: DataFrame, on: str | list[str], force: bool = False) -> DataFrame:
@@ -113,6 +166,6 @@ def write_clean_corpus(df: DataFrame, path: str, source: str, text: str = "clean
     """
     texts = df.select(F.col(source).alias("source"), F.col(text).alias("value"))
     dealt = texts.repartitionByRange("source", F.xxhash64("value")).sortWithinPartitions("source")
-    dealt.write.partitionBy("source").text(path)
+    replace_output(df.sparkSession, path, lambda p: dealt.write.partitionBy("source").text(p))
 
 

@@ -38,9 +38,10 @@ def read_delimited_documents(spark: SparkSession, path: str, min_length: int = 1
     return docs.where(F.length("text") > min_length)
 
 
-def read_lines(spark: SparkSession, path: str) -> DataFrame:
+def read_lines(spark: SparkSession, path: str, overall: bool = False) -> DataFrame:
     """One item per non-blank stripped line: (filename, line_no, text), numbered from 0 per file.
 
+    With ``overall`` the numbers go on from file to file, in the order of their paths.
     Lines are numbered without a sort: consecutive ids inside a file block,
     plus the number of items in the blocks before it.
     """
@@ -52,7 +53,8 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
     ).where(F.col("text") != "").withColumn("_id", F.monotonically_increasing_id())
     blocks = raw.groupBy("_path", "_block").agg(F.count("*").alias("_n"), F.min("_id").alias("_first"))
     # One row per file block (128 MB by default).
-    upto = Window.partitionBy("_path").orderBy("_block").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    order = Window.partitionBy(F.lit(0)).orderBy("_path", "_block") if overall else Window.partitionBy("_path").orderBy("_block")
+    upto = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     starts = blocks.select("_path", "_block", "_first", (F.sum("_n").over(upto) - F.col("_n")).alias("_before"))
     numbered = raw.join(starts, ["_path", "_block"])
     return numbered.select(
@@ -87,14 +89,18 @@ def read_labelled_lines(spark: SparkSession, path: str) -> DataFrame:
 
 
 def zip_by_position(texts: DataFrame, labels: DataFrame, on: str = "line_no") -> DataFrame:
-    """Texts with the labels of the same position."""
-    return texts.join(labels, on)
+    """Texts with the labels of the same position; where one side has no such position its columns are null."""
+    return texts.join(labels, on, "full")
 
 
 def read_texts_with_label_file(spark: SparkSession, text_path: str, label_path: str) -> DataFrame:
-    """Texts and labels from two files, aligned by item number."""
-    texts = read_lines(spark, text_path).select("line_no", "text")
-    labels = read_lines(spark, label_path).select("line_no", F.col("text").alias("label"))
+    """(line_no, text, label): items and labels in the order of their files, aligned by number.
+
+    Both sides may be several files, cut at different places.  Surplus items have a null
+    label and surplus labels a null text; no item is null otherwise.
+    """
+    texts = read_lines(spark, text_path, overall=True).select("line_no", "text")
+    labels = read_lines(spark, label_path, overall=True).select("line_no", F.col("text").alias("label"))
     return zip_by_position(texts, labels)
 
 

@@ -1,4 +1,4 @@
-"""Web-archive reader as a Spark data source (format ``warc``), for batches and streams.
+"""Web archives as a Spark data source (format ``warc``): read in batches and streams, written with commit.
 
 An archive is a row of records, in ``.warc.gz`` files of gzip members that each hold one
 record or more.  Archives are streamed, never held whole.  Large ones are read by several
@@ -11,14 +11,24 @@ and opened through ``pyarrow.fs``, so local paths and the URI schemes Arrow know
 from __future__ import annotations
 
 import fnmatch
+import gzip
 import io
 import json
+import uuid
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, InputPartition
+from pyspark.sql import functions as F
+from pyspark.sql.datasource import (
+    DataSource,
+    DataSourceArrowWriter,
+    DataSourceReader,
+    DataSourceStreamReader,
+    InputPartition,
+    WriterCommitMessage,
+)
 
 WARC_SCHEMA = "warc_file string, record_no long, url string, content_type string, content binary, error string"
 # Rows and bytes of payload that are passed on together.
@@ -423,6 +433,72 @@ class WarcStreamReader(_Options, DataSourceStreamReader):
                 f.write(json.dumps(end).encode())
 
 
+@dataclass
+class _WrittenArchive(WriterCommitMessage):
+    name: str
+    records: int
+
+
+class WarcWriter(_Options, DataSourceArrowWriter):
+    """Writes rows (url, content_type, content) as response records, one gzip member each, one archive a task.
+
+    Tasks write to a hidden folder; only when all have ended are their archives moved to
+    their places, and the former ones go if the output is overwritten.  After a failure
+    the hidden folder goes and the output is as it was; archives of attempts that were
+    repeated are never moved.  Rows without content are left out.
+    """
+
+    def __init__(self, options: dict[str, str], overwrite: bool):
+        super().__init__(options)
+        self.overwrite, self.run = overwrite, uuid.uuid4().hex
+
+    def _place(self):
+        filesystem, root = _filesystem(self.path)
+        return filesystem, root.rstrip("/"), f"{root.rstrip('/')}/_writing-{self.run}"
+
+    def write(self, iterator: Iterator) -> WriterCommitMessage:
+        filesystem, _, folder = self._place()
+        filesystem.create_dir(folder, recursive=True)
+        name, n = f"{uuid.uuid4().hex}.warc.gz", 0
+        with filesystem.open_output_stream(f"{folder}/{name}", compression=None) as out:
+            for batch in iterator:
+                for row in batch.select(["url", "content_type", "content"]).to_pylist():
+                    if row["content"] is not None:
+                        out.write(gzip.compress(_response_record(**row), 6))
+                        n += 1
+        return _WrittenArchive(name, n)
+
+    def commit(self, messages) -> None:
+        filesystem, root, folder = self._place()
+        from pyarrow import fs
+
+        filesystem.create_dir(root, recursive=True)
+        old = [f.path for f in filesystem.get_file_info(fs.FileSelector(root)) if f.base_name.lower().endswith(EXTENSIONS)]
+        written = [m for m in messages if m is not None and m.records]
+        for i, m in enumerate(written):
+            filesystem.move(f"{folder}/{m.name}", f"{root}/part-{i:05d}-{self.run}.warc.gz")
+        for path in old if self.overwrite else ():
+            filesystem.delete_file(path)
+        self._clear(filesystem, folder)
+
+    def abort(self, messages) -> None:
+        filesystem, _, folder = self._place()
+        self._clear(filesystem, folder)
+
+    @staticmethod
+    def _clear(filesystem, folder: str) -> None:
+        from pyarrow import fs
+
+        if filesystem.get_file_info(folder).type == fs.FileType.Directory:
+            filesystem.delete_dir(folder)
+
+
+def _response_record(url: str | None, content_type: str | None, content: bytes) -> bytes:
+    block = f"HTTP/1.1 200 OK\r\nContent-Type: {content_type or ''}\r\n\r\n".encode() + content
+    head = f"WARC/1.0\r\nWARC-Type: response\r\nWARC-Target-URI: {url or ''}\r\nContent-Length: {len(block)}\r\n\r\n"
+    return head.encode() + block + b"\r\n\r\n"
+
+
 class WarcDataSource(DataSource):
     """Options: path, pathGlobFilter, recursiveFileLookup, maxRecords, maxRecordBytes; for streams also
     maxFilesPerTrigger and positionPath.
@@ -446,6 +522,9 @@ class WarcDataSource(DataSource):
     def streamReader(self, schema) -> WarcStreamReader:
         return WarcStreamReader(self._own_options())
 
+    def writer(self, schema, overwrite: bool) -> WarcWriter:
+        return WarcWriter(self._own_options(), overwrite)
+
 
 def _register(spark: SparkSession) -> None:
     import sys
@@ -556,3 +635,14 @@ def stream_warc(
         reader = reader.option("positionPath", position)
     records = reader.load(path)
     return records if errors else records.where("error is null").drop("error")
+
+
+def write_warc(pages: DataFrame, path: str, url: str = "url", content: str = "content", content_type: str | None = None, mode: str = "overwrite") -> None:
+    """Write pages as archives, one for each partition, see ``WarcWriter``."""
+    _register(pages.sparkSession)
+    kind = F.col(f"`{content_type}`") if content_type else F.lit("text/html; charset=utf-8")
+    rows = pages.select(
+        F.col(f"`{url}`").cast("string").alias("url"), kind.cast("string").alias("content_type"),
+        F.lit(None).cast("string").alias("warc_file"), F.lit(None).cast("long").alias("record_no"),
+        F.col(f"`{content}`").cast("binary").alias("content"), F.lit(None).cast("string").alias("error"))
+    rows.select("warc_file", "record_no", "url", "content_type", "content", "error").write.format("warc").mode(mode).save(path)

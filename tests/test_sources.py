@@ -12,8 +12,8 @@ from lexmill.operators.extraction import extraction_report, observe_extraction,
 from lexmill.plans import jobs
 from lexmill.sources import crawl, sinks
 from lexmill.sources import text as tx
-from lexmill.sources.warc import read_warc
-from lexmill.streaming.incremental import process_new_pages
+from lexmill.sources.warc import read_warc, write_warc
+from lexmill.streaming.incremental import keep_new_pages, newest_versions, process_new_archives, process_new_pages
 
 BODY = (
     "<html><body><p>Walking along the river we saw many different birds and plants today. Nobody had brought "
@@ -119,6 +119,98 @@ def test_damaged_archives(spark, tmp_path):
     assert 0 < large.where("error like '%over the limit'").count() < 16
 
 
+def test_outputs_are_replaced_whole(spark, tmp_path):
+    path = str(tmp_path / "out" / "rows")
+    df = spark.range(20).selectExpr("id", "CAST(id AS string) AS name")
+    for _ in range(2):
+        sinks.replace_output(spark, path, df.write.parquet)
+        assert sorted(os.listdir(tmp_path / "out")) == ["rows"] and spark.read.parquet(path).count() == 20
+    broken = df.selectExpr("IF(id = 17, raise_error('no'), id) AS id")
+    with pytest.raises(Exception, match="no"):
+        sinks.replace_output(spark, path, broken.write.parquet)
+    assert sorted(os.listdir(tmp_path / "out")) == ["rows"] and spark.read.parquet(path).count() == 20
+    # An output may be read while it is replaced.
+    again = spark.read.parquet(path)
+    sinks.replace_output(spark, path, again.where("id < 5").write.parquet)
+    assert spark.read.parquet(path).count() == 5
+
+
+def test_archives_are_written_and_committed(spark, tmp_path):
+    path = str(tmp_path / "made")
+    rows = [("http://a/1", b"<p>one</p>"), ("http://a/2", b""), (None, b"x" * 2000), ("http://a/3", None)]
+    df = spark.createDataFrame(rows, "url string, content binary")
+    for n in (1, 2):
+        write_warc(df.repartition(n), path)
+        back = {r["url"]: bytes(r["content"]) for r in read_warc(spark, path).collect()}
+        assert back == {"http://a/1": b"<p>one</p>", "http://a/2": b"", "": b"x" * 2000}
+    write_warc(df.limit(1), path, mode="append")
+    assert read_warc(spark, path).count() == 4
+    before = sorted(os.listdir(path))
+    broken = df.withColumn("content", F.when(F.col("url") == "http://a/2", F.raise_error(F.lit("no"))).otherwise(F.col("content")))
+    with pytest.raises(Exception):
+        write_warc(broken, path)
+    assert sorted(os.listdir(path)) == before
+    write_warc(df.limit(0), path)
+    assert os.listdir(path) == []
+
+
+def test_pages_that_come_again(spark, tmp_path):
+    src, out, cp = (str(tmp_path / d) for d in ("in", "out", "cp"))
+    schema = "url string, content binary"
+    runs = [
+        [("a", b"1"), ("b", b"1"), (None, b"0"), (None, b"0"), *[("hot", b"1")] * 500],
+        [("a", b"1"), ("b", b"2"), ("c", b"1"), ("hot", b"1")],
+        [("a", b"2"), ("b", b"1"), ("b", b"1")],
+    ]
+    seen = {}
+    for mode in ("skip", "replace"):
+        for n, rows in enumerate(runs):
+            write_warc(spark.createDataFrame(rows, schema).coalesce(1), f"{src}/{mode}/{n}")
+            process_new_archives(spark, f"{src}/{mode}", f"{out}/{mode}", f"{cp}/{mode}", on_repeat=mode, recursive=True).awaitTermination()
+        seen[mode] = sorted((r["url"], bytes(r["content"]), r["version"]) for r in spark.read.parquet(f"{out}/{mode}").collect())
+    # Null addresses are written as empty ones, so they are a key.
+    first = [("", b"0", 1), ("a", b"1", 1), ("b", b"1", 1), ("c", b"1", 1), ("hot", b"1", 1)]
+    assert seen["skip"] == first
+    assert seen["replace"] == sorted([*first, ("a", b"2", 2), ("b", b"2", 2), ("b", b"1", 3)])
+    newest = newest_versions(spark.read.parquet(f"{out}/replace"))
+    assert {r["url"]: bytes(r["content"]) for r in newest.collect()} == {"": b"0", "a": b"2", "b": b"1", "c": b"1", "hot": b"1"}
+    nulls = spark.createDataFrame([(None, 1), (None, 2), ("x", 3), ("x", 4)], "url string, version long")
+    assert newest_versions(nulls).count() == 3
+    with pytest.raises(ValueError):
+        keep_new_pages(nulls, on_repeat="other")
+
+
+def test_stream_keeps_to_its_file_limit(spark, tmp_path):
+    from lexmill.sources.warc import WarcStreamReader
+
+    df = spark.createDataFrame([("a", b"1")], "url string, content binary")
+    for n in range(5):
+        write_warc(df, str(tmp_path / "in"), mode="append")
+    options = {"path": str(tmp_path / "in"), "maxfilespertrigger": "2", "positionpath": str(tmp_path / "position.json")}
+    reader, at, sizes = WarcStreamReader(options), None, []
+    at = reader.initialOffset()
+    for _ in range(2):
+        end = reader.latestOffset()
+        sizes.append(len(reader.partitions(at, end)))
+        reader.commit(end)
+        at = end
+    again = WarcStreamReader(options)
+    for _ in range(2):
+        end = again.latestOffset()
+        sizes.append(len(again.partitions(at, end)))
+        at = end
+    assert sizes == [2, 2, 1, 0]
+
+
+def test_texts_and_labels_of_several_files(spark, tmp_path):
+    for name, parts in (("t", ["a\nb\n\n", "c\n", "d\ne\n"]), ("l", ["0\n1\n2\n3\n", "", "4\n5\n6\n"])):
+        (tmp_path / name).mkdir()
+        for i, part in enumerate(parts):
+            (tmp_path / name / f"{i}.txt").write_text(part)
+    rows = tx.read_texts_with_label_file(spark, str(tmp_path / "t"), str(tmp_path / "l")).orderBy("line_no").collect()
+    assert [(r["text"], r["label"]) for r in rows] == [*[(t, str(i)) for i, t in enumerate("abcde")], (None, "5"), (None, "6")]
+
+
 def test_archive_job(spark, archives, tmp_path):
     out = str(tmp_path / "out")
     written = jobs.build_dataset_from_archives(spark, archives, out, deep=False)
