@@ -98,12 +98,13 @@ def conversation_quality_report(spark: SparkSession, sf: str) -> DataFrame:
 
 
 # A fifth of the labelled documents is held out.
-@query("""SELECT ceil(count(*) * 0.2)::BIGINT AS n, true AS in_range FROM labels JOIN documents USING (doc_id)""")
+@query("""SELECT ceil(count(*) * 0.2)::BIGINT AS n, true AS in_range, true AS better FROM labels JOIN documents USING (doc_id)""")
 def train_on_clean_text(spark: SparkSession, sf: str) -> DataFrame:
     labels = table(spark, sf, "labels").select("doc_id", F.col("quality").alias("label"))
     docs = texts(spark, sf).join(labels, "doc_id")
     trained = jobs.train_on_clean_text(docs, "doc_id", features=256, max_iter=15)
-    return trained.evaluation.select("n", (F.col("accuracy").between(0, 1) & (F.col("loss") >= 0)).alias("in_range"))
+    return trained.evaluation.select(
+        "n", (F.col("accuracy").between(0, 1) & (F.col("loss") >= 0)).alias("in_range"), (F.col("accuracy") > F.col("majority")).alias("better"))
 
 
 # One decision for the whole corpus: clean train and test if the mean score of the train part rises.

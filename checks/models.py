@@ -99,13 +99,27 @@ def _assigned(labelled: DataFrame, k: int) -> DataFrame:
         (F.count_distinct("label") > 1).alias("several"))
 
 
-@query("SELECT count(*) AS n, count(*) AS assigned, true AS several FROM embeddings")
+@query("SELECT count(*) AS n, count(*) AS assigned, true AS several, true AS best_of_all, true AS near_own_centre FROM embeddings")
 def kmeans_profile(spark: SparkSession, sf: str) -> DataFrame:
+    from pyspark.ml.clustering import KMeans
+    from pyspark.ml.evaluation import ClusteringEvaluator
     from pyspark.ml.functions import array_to_vector
 
-    points = vectors(spark, sf).select(
-        "vec_id", array_to_vector(F.transform("embedding", lambda x: x.cast("double"))).alias("features"))
-    return _assigned(m.cluster_labels(points), 5)
+    points = materialized(vectors(spark, sf).select(
+        "vec_id", F.transform("embedding", lambda x: x.cast("double")).alias("x")).withColumn("features", array_to_vector("x")))
+    chosen = materialized(m.cluster_labels(points))
+    # The silhouette of the chosen number of clusters is not below that of any other number.
+    judge = ClusteringEvaluator(featuresCol="features", predictionCol="label", distanceMeasure="squaredEuclidean")
+    others = [KMeans(k=k, seed=42, featuresCol="features", predictionCol="label").fit(points).transform(points) for k in range(2, 6)]
+    best = judge.evaluate(chosen) >= max(judge.evaluate(o) for o in others) - 1e-9
+    # Points are nearer to the mean of their own cluster than to the mean of any other.
+    places = chosen.select("label", F.posexplode("x").alias("i", "v")).groupBy("label", "i").agg(F.avg("v").alias("m"))
+    means = places.groupBy("label").agg(F.transform(F.sort_array(F.collect_list(F.struct("i", "m"))), lambda e: e["m"]).alias("m"))
+    centres = means.agg(F.collect_list(F.struct("label", "m")).alias("c")).scalar()
+    apart = lambda m_: F.aggregate(F.zip_with("x", m_, lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda s_, d: s_ + d)
+    nearest = F.array_min(F.transform("c", lambda c: F.struct(apart(c["m"]).alias("d"), c["label"].alias("label"))))["label"]
+    near = chosen.withColumn("c", centres).agg((F.avg((nearest == F.col("label")).cast("int")) > 0.9).alias("b")).select("b").scalar()
+    return _assigned(chosen, 5).withColumn("best_of_all", F.lit(best)).withColumn("near_own_centre", near)
 
 
 @query("SELECT count(*) AS n, count(*) AS assigned, true AS several FROM documents")
@@ -133,11 +147,14 @@ def _judged(scored: DataFrame, classes: int) -> DataFrame:
     sound = (F.abs(total - 1) < 1e-6) & F.col("class_index").between(0, classes - 1) & (
         F.col("confidence") == F.array_max("probabilities"))
     result = m.evaluate(scored).select(((F.col("accuracy").between(0, 1)) & (F.col("loss") >= 0)).alias("ok"))
-    return scored.agg(F.count("*").alias("n"), F.count_if(sound).alias("sound")).withColumn("in_range", result.scalar())
+    # A constant answer would be right for the share of the commonest label.
+    accuracy = m.evaluate(scored).select("accuracy").scalar()
+    better = _majority(scored).select((accuracy > F.col("majority")).alias("b")).select("b").scalar()
+    return scored.agg(F.count("*").alias("n"), F.count_if(sound).alias("sound")).withColumn("in_range", result.scalar()).withColumn("better", better)
 
 
 _LABELLED = "SELECT quality FROM labels JOIN documents USING (doc_id)"
-_HELD_OUT = f"SELECT ceil(count(*) * 0.2)::BIGINT AS n, ceil(count(*) * 0.2)::BIGINT AS sound, true AS in_range FROM ({_LABELLED})"
+_HELD_OUT = f"SELECT ceil(count(*) * 0.2)::BIGINT AS n, ceil(count(*) * 0.2)::BIGINT AS sound, true AS in_range, true AS better FROM ({_LABELLED})"
 
 
 def _split_by_label(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -175,3 +192,49 @@ def predict_texts(spark: SparkSession, sf: str) -> DataFrame:
     return found.agg(
         F.count("*").alias("n"), F.count_if((F.abs(total - 1) < 1e-6) & (F.col("confidence") >= 0.5)).alias("sound"),
         F.count_if(F.col("class").isin("0", "1")).alias("named"))
+
+
+# Languages told by learned embeddings and dense layers, trained epoch by epoch.  A constant answer would
+# reach the share of the commonest language among the rows held out, and be no better.
+_LANGUAGES = """WITH sp AS (SELECT lang, row_number() OVER (ORDER BY md5('42:' || doc_id), doc_id) > floor(count(*) OVER () * 0.8) AS test FROM documents),
+h AS (SELECT lang, count(*) AS n FROM sp WHERE test GROUP BY lang)
+SELECT sum(n)::BIGINT AS n, round(max(n) / sum(n), 6)::DOUBLE AS majority, true AS better"""
+
+
+def _by_language(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    docs = table(spark, sf, "documents").select("doc_id", "text", F.col("lang").alias("label"))
+    split = materialized(sampling.ratio_split(docs, "doc_id"))
+    train, test = (split.where(F.col("split") == side) for side in ("train", "test"))
+    index = materialized(sampling.label_index(train))
+    return sampling.encode_labels(train, index), sampling.encode_labels(test, index, unseen="skip")
+
+
+def _majority(test: DataFrame) -> DataFrame:
+    """One row: rows and share of the commonest label."""
+    counts = test.groupBy("label_idx").agg(F.count("*").alias("c"))
+    return counts.agg(F.sum("c").alias("n"), (F.max("c") / F.sum("c")).alias("majority"))
+
+
+def _better(test: DataFrame, scored: DataFrame) -> DataFrame:
+    accuracy = m.evaluate(scored).select("accuracy").scalar()
+    return _majority(test).select("n", r6("majority"), (accuracy > F.col("majority")).alias("better"))
+
+
+@query(f"{_LANGUAGES} FROM h")
+def embedding_classifier(spark: SparkSession, sf: str) -> DataFrame:
+    train, test = _by_language(spark, sf)
+    model = m.train_text_classifier(train, 4, embedding=24, max_iter=40)
+    return _better(test, materialized(m.predict(model, test)))
+
+
+# The chosen epoch is the first of those with the best validation accuracy, and the last ones brought nothing.
+@query(f"{_LANGUAGES}, 1::BIGINT AS n_chosen, true AS first_best, true AS in_time FROM h")
+def classifier_epochs(spark: SparkSession, sf: str) -> DataFrame:
+    train, test = _by_language(spark, sf)
+    trained = m.train_in_epochs(train, 4, epochs=8, patience=2, steps=8, embedding=24)
+    best = F.max_by("epoch", F.struct("val_accuracy", (-F.col("epoch")).alias("e")))
+    told = trained.history.agg(F.struct(
+        F.count_if("chosen").alias("n_chosen"), (F.max(F.when(F.col("chosen"), F.col("epoch"))) == best).alias("first_best"),
+        ((F.max("epoch") == 8) | (F.max("epoch") - best == 2)).alias("in_time")).alias("t"))
+    judged = _better(test, materialized(m.predict(trained.model, test)))
+    return judged.withColumn("t", told.scalar()).select("n", "majority", "better", "t.*")

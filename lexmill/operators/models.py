@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, MultilayerPerceptronClassifier
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator, MulticlassClassificationEvaluator
-from pyspark.ml.feature import IDF, PCA, HashingTF, RegexTokenizer
+from pyspark.ml.feature import IDF, PCA, HashingTF, RegexTokenizer, Word2Vec
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.tuning import ParamGridBuilder, TrainValidationSplit, TrainValidationSplitModel
 from pyspark.sql import Column, DataFrame
@@ -22,19 +23,28 @@ from lexmill.operators.vocabulary import tfidf_vectors
 HIDDEN_UNITS = 64
 
 
+def text_features(text: str = "text", features: int = 1024, embedding: int | None = None, min_count: int = 2, seed: int = 42) -> list:
+    """Stages from a text to the column ``features``.
+
+    Words become TF-IDF values of ``features`` hashed places, or with ``embedding`` the mean of
+    vectors of that size that are learned from the training texts (words met less than
+    ``min_count`` times have none).
+    """
+    words = RegexTokenizer(inputCol=text, outputCol="_tokens", pattern=rx.SPACE + "+", toLowercase=True)
+    if embedding:
+        return [words, Word2Vec(inputCol="_tokens", outputCol="features", vectorSize=embedding, minCount=min_count, seed=seed, maxIter=5)]
+    return [words, HashingTF(inputCol="_tokens", outputCol="_tf", numFeatures=features), IDF(inputCol="_tf", outputCol="features")]
+
+
 def text_classifier(
     num_classes: int, text: str = "text", label: str = "label_idx", features: int = 1024, kind: str = "mlp",
-    max_iter: int = 50, seed: int = 42,
+    max_iter: int = 50, seed: int = 42, embedding: int | None = None,
 ) -> Pipeline:
-    """Tokens -> TF-IDF -> classifier; ``kind`` is ``mlp`` or ``logistic``."""
-    stages = [
-        RegexTokenizer(inputCol=text, outputCol="_tokens", pattern=rx.SPACE + "+", toLowercase=True),
-        HashingTF(inputCol="_tokens", outputCol="_tf", numFeatures=features),
-        IDF(inputCol="_tf", outputCol="features"),
-    ]
+    """Tokens -> TF-IDF or learned embeddings -> classifier; ``kind`` is ``mlp`` or ``logistic``."""
+    stages = text_features(text, features, embedding, seed=seed)
     if kind == "mlp":
         stages.append(MultilayerPerceptronClassifier(
-            labelCol=label, layers=[features, HIDDEN_UNITS, max(2, num_classes)], maxIter=max_iter, seed=seed))
+            labelCol=label, layers=[embedding or features, HIDDEN_UNITS, max(2, num_classes)], maxIter=max_iter, seed=seed))
     elif kind == "logistic":
         stages.append(LogisticRegression(labelCol=label, maxIter=max_iter))
     else:
@@ -59,6 +69,55 @@ def select_text_classifier(
     ).fit(train)
 
 
+@dataclass
+class EpochTraining:
+    """The best model, and one row per epoch: epoch, loss, accuracy, val_loss, val_accuracy, chosen."""
+
+    model: PipelineModel
+    history: DataFrame
+
+
+def train_in_epochs(
+    train: DataFrame, num_classes: int, epochs: int = 20, patience: int | None = 3, steps: int = 5, validation_share: float = 0.2,
+    text: str = "text", label: str = "label_idx", features: int = 1024, embedding: int | None = None, hidden: Sequence[int] = (HIDDEN_UNITS,),
+    seed: int = 42,
+) -> EpochTraining:
+    """Dense layers trained epoch by epoch; the epoch with the best validation accuracy is kept.
+
+    Each epoch goes on from the weights of the one before with ``steps`` passes of the solver.
+    Training ends after ``patience`` epochs in a row without a better validation accuracy, or
+    after ``epochs``; of equally good epochs the first is kept.  The validation part is
+    chosen by a hash of the text, so copies of a text are on one side.  Texts become
+    vectors once; only weights and a few figures of each epoch come to the driver.
+    """
+    shaped = Pipeline(stages=text_features(text, features, embedding, seed=seed)).fit(train)
+    held_out = F.pmod(F.xxhash64(text, F.lit(seed)), F.lit(10_000)) < round(validation_share * 10_000)
+    rows = materialized(shaped.transform(train).select(F.col(label).alias("label_idx"), "features", held_out.alias("_held_out")))
+    parts = {name: rows.where(F.col("_held_out") == side) for name, side in (("", False), ("val_", True))}
+    layers, weights, history, best, worse = [embedding or features, *hidden, max(2, num_classes)], None, [], None, 0
+    for epoch in range(1, epochs + 1):
+        solver = MultilayerPerceptronClassifier(labelCol="label_idx", layers=layers, maxIter=steps, seed=seed)
+        if weights is not None:
+            solver = solver.setInitialWeights(weights)
+        model = solver.fit(parts[""])
+        weights, row = model.weights, {"epoch": epoch}
+        for name, part in parts.items():
+            scored = model.transform(part).withColumn("probabilities", vector_to_array("probability"))
+            found = evaluate(scored).first()
+            row |= {f"{name}loss": found["loss"], f"{name}accuracy": found["accuracy"]}
+        history.append(row)
+        if best is None or (row["val_accuracy"] or 0) > (best[0]["val_accuracy"] or 0):
+            best, worse = (row, model), 0
+        else:
+            worse += 1
+        if patience and worse >= patience:
+            break
+    table = train.sparkSession.createDataFrame(
+        [(*r.values(), r is best[0]) for r in history],
+        "epoch int, loss double, accuracy double, val_loss double, val_accuracy double, chosen boolean")
+    return EpochTraining(PipelineModel(stages=[*shaped.stages, best[1]]), table)
+
+
 def save_model(model: PipelineModel, path: str) -> None:
     model.write().save(path)
 

@@ -10,7 +10,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexmill.functions import patterns as rx
@@ -140,6 +140,12 @@ class TrainedClassifier:
     evaluation: DataFrame
 
 
+def majority_share(df: DataFrame, label: str = "label_idx") -> Column:
+    """Share of the commonest label, which a constant answer would reach."""
+    counts = df.groupBy(label).agg(F.count("*").alias("n"))
+    return counts.agg((F.max("n") / F.sum("n")).alias("share")).scalar()
+
+
 def train_on_clean_text(
     df: DataFrame, key: str = "id", text: str = "text", label: str = "label", threshold: float = 0.7,
     test_size: float = 0.2, seed: int = 42, output: str | None = None, **options,
@@ -153,7 +159,7 @@ def train_on_clean_text(
     num_classes = labels.count()
     model = train_text_classifier(encode_labels(train, labels, label), num_classes, text=text, seed=seed, **options)
     scored = predict(model, encode_labels(test, labels, label, unseen="skip"))
-    evaluation = materialized(evaluate(scored))
+    evaluation = materialized(evaluate(scored).withColumn("majority", majority_share(scored)))
     if output:
         save_model(model, f"{output}/model")
         labels.write.parquet(f"{output}/labels")
