@@ -50,6 +50,15 @@ def dense_scores(spark: SparkSession, sf: str) -> DataFrame:
     return scored.select("vec_id", F.col("out_i").cast("long").alias("out_i"), r6("value"))
 
 
+# The same layers in blocks of 8 places.
+@query(f"{_NET} SELECT vec_id, o AS out_i, round(p, 6) AS value FROM p")
+def dense_scores_blocked(spark: SparkSession, sf: str) -> DataFrame:
+    scored = m.dense_scores_blocked(
+        vectors(spark, sf), *_network(spark), ["relu", "softmax"], "embedding", "vec_id", block=8, salts=4)
+    values = scored.select("vec_id", F.posexplode("scores").alias("out_i", "value"))
+    return values.select("vec_id", F.col("out_i").cast("long").alias("out_i"), r6("value"))
+
+
 @query(f"{_NET} SELECT vec_id, class_index, round(confidence, 6) AS confidence FROM best")
 def predict_argmax(spark: SparkSession, sf: str) -> DataFrame:
     return _scored(spark, sf).select("vec_id", *m.argmax_prediction("probabilities")).select(

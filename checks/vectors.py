@@ -64,6 +64,14 @@ def sequences(spark: SparkSession, sf: str) -> DataFrame:
     return out.select("doc_id", F.array_join("sequence", " ").alias("sequence"))
 
 
+# Every word of the corpus in a vocabulary of any size; 500 words travel, the others are joined.
+@query(f"WITH {_vocab('documents', 100_000_000)} SELECT * FROM {_sequences('documents', 100)}")
+def sequences_large_vocabulary(spark: SparkSession, sf: str) -> DataFrame:
+    docs = texts(spark, sf)
+    out = v.texts_to_sequences_joined(docs, v.build_large_vocabulary(docs), "doc_id", heavy_words=500)
+    return out.select("doc_id", F.array_join("sequence", " ").alias("sequence"))
+
+
 @query(f"""WITH sp AS (SELECT *, row_number() OVER (ORDER BY md5('42:' || doc_id), doc_id) <= floor(count(*) OVER () * 0.8) AS train FROM documents),
 tr AS (SELECT * FROM sp WHERE train), {_vocab('tr', 5000)}
 SELECT CASE WHEN train THEN 'train' ELSE 'test' END AS split, doc_id, sequence FROM {_sequences('documents', 50)} JOIN sp USING (doc_id)""")

@@ -12,7 +12,7 @@ from pyspark.ml.evaluation import ClusteringEvaluator, MulticlassClassificationE
 from pyspark.ml.feature import IDF, PCA, HashingTF, RegexTokenizer, Word2Vec
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.tuning import ParamGridBuilder, TrainValidationSplit, TrainValidationSplitModel
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lexmill.functions import patterns as rx
@@ -211,6 +211,73 @@ def dense_scores(
     return df.withColumn(out, rx.bind(start, lambda s: from_layer(0, s))).drop(*models)
 
 
+#: Number of the block that stands for the biases: its only input is 1.
+_BIAS = -1
+
+
+def _vector_blocks(values: Column, block: int) -> Column:
+    """(number, values) of the pieces of ``block`` values of an array, and the input of the biases."""
+    pieces = F.transform(F.sequence(F.lit(0), F.floor((F.size(values) - 1) / block).cast("int")), lambda b: F.struct(
+        b.alias("b"), F.slice(values, b * block + 1, F.lit(block)).alias("x")))
+    one = F.array(F.struct(F.lit(_BIAS).alias("b"), F.array(F.lit(1.0)).alias("x")))
+    return F.when(F.size(values) > 0, F.concat(pieces, one)).otherwise(one)
+
+
+def weight_blocks(weights: DataFrame, biases: DataFrame, layer: int, block: int) -> DataFrame:
+    """(b, out_b, rows): a layer's matrix in square blocks; ``rows`` has the weights of each output, in order.
+
+    The biases are the block of one more input, 0 for outputs that have none.
+    """
+    part = lambda c: F.floor(F.col(c) / block).cast("int")
+    own = weights.where(F.col("layer") == layer)
+    cells = own.select(part("in_i").alias("b"), part("out_i").alias("out_b"), "in_i", "out_i", F.col("w").cast("double").alias("w"))
+    bias = biases.where(F.col("layer") == layer).select("out_i", F.col("b").cast("double").alias("w"))
+    offsets = own.select("out_i").distinct().join(bias, "out_i", "left").select(
+        F.lit(_BIAS).alias("b"), part("out_i").alias("out_b"), F.lit(0).alias("in_i"), "out_i", F.coalesce("w", F.lit(0.0)).alias("w"))
+    rows = cells.unionByName(offsets).groupBy("b", "out_b", "out_i").agg(F.sort_array(F.collect_list(F.struct("in_i", "w"))).alias("r"))
+    blocks = rows.groupBy("b", "out_b").agg(F.sort_array(F.collect_list(F.struct("out_i", "r"))).alias("m"))
+    return blocks.select("b", "out_b", F.transform("m", lambda u: F.transform(u["r"], lambda e: e["w"])).alias("rows"))
+
+
+def dense_scores_blocked(
+    df: DataFrame, weights: DataFrame, biases: DataFrame, activations: Sequence[str], features: str, key: str,
+    out: str = "scores", block: int = 256, salts: int = 16,
+) -> DataFrame:
+    """(key, out): the same as ``dense_scores``, for layers that no task can hold.
+
+    Vectors and matrices are cut into blocks of ``block`` places; a block of a vector meets those of
+    the matrix that it is multiplied with, and the products are added up per vector and
+    block.  So a task holds one block of weights at a time.  There are few blocks and many
+    vectors, so each weight block is repeated for ``salts`` groups of vectors.  Softmax looks at
+    the blocks of a vector together, and the result puts them in a row again.  ``key``
+    identifies the vectors.
+    """
+    add = lambda a, b: F.zip_with(a, b, lambda x, y: x + y)
+    x = F.transform(F.col(features), lambda v: v.cast("double"))
+    parts = df.select(F.col(key).alias("key"), F.explode(_vector_blocks(x, block)).alias("p")).select("key", "p.b", "p.x")
+    each = Window.partitionBy("key")
+    for layer, kind in enumerate(activations):
+        if layer:
+            one = parts.select("key").distinct().select("key", F.lit(_BIAS).alias("b"), F.array(F.lit(1.0)).alias("x"))
+            parts = parts.unionByName(one)
+        matrix = weight_blocks(weights, biases, layer, block).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+        met = parts.withColumn("salt", F.pmod(F.xxhash64("key"), F.lit(salts)).cast("int")).join(matrix, ["b", "salt"])
+        product = F.transform("rows", lambda w: F.aggregate(
+            F.zip_with(w, F.col("x"), lambda u, v: F.coalesce(u * v, F.lit(0.0))), F.lit(0.0), lambda s, v: s + v))
+        # As many products for a vector and block as the layer has blocks of inputs.
+        sums = met.select("key", "out_b", product.alias("z")).groupBy("key", "out_b").agg(F.collect_list("z").alias("zs"))
+        z = sums.select("key", F.col("out_b").alias("b"), F.aggregate(F.slice("zs", 2, F.size("zs")), F.col("zs")[0], add).alias("z"))
+        if kind == "softmax":
+            shifted = z.withColumn("top", F.max(F.array_max("z")).over(each)).withColumn(
+                "e", F.transform("z", lambda v: F.exp(v - F.col("top"))))
+            whole = F.sum(F.aggregate("e", F.lit(0.0), lambda s, v: s + v)).over(each)
+            parts = shifted.withColumn("all", whole).select("key", "b", F.transform("e", lambda v: v / F.col("all")).alias("x"))
+        else:
+            parts = z.select("key", "b", activation(kind, F.col("z")).alias("x"))
+    rows = parts.groupBy("key").agg(F.sort_array(F.collect_list(F.struct("b", "x"))).alias("blocks"))
+    return rows.select(F.col("key").alias(key), F.flatten(F.transform("blocks", lambda e: e["x"])).alias(out))
+
+
 # --- embeddings --------------------------------------------------------------
 
 def embedding_projection(

@@ -11,9 +11,14 @@ from lexmill.functions import lexicon as lx
 from lexmill.functions import patterns as rx
 from lexmill.functions import tokens
 from lexmill.functions.stopwords import STOP_WORDS
+from lexmill.operators.ranking import ordered_ranks
+from lexmill.operators.scratch import materialized
 
 # A vocabulary travels as so many small maps, each searched in a few steps.
 BUCKETS = 1024
+#: A larger vocabulary is joined instead; then only so many of the commonest words travel.
+INLINE_WORDS = 200_000
+HEAVY_WORDS = 20_000
 
 
 def word_counts(df: DataFrame, text: str = "text") -> DataFrame:
@@ -37,6 +42,17 @@ def build_vocabulary(df: DataFrame, text: str = "text", max_size: int = lx.MAX_V
     return reserved.unionByName(ranked)
 
 
+def build_large_vocabulary(df: DataFrame, text: str = "text", max_size: int | None = None) -> DataFrame:
+    """The same as ``build_vocabulary`` for any size, all words by default: ranked by a distributed sort."""
+    counts = materialized(word_counts(df, text).withColumn("order", -F.col("n")))
+    if max_size is not None:
+        counts = materialized(counts.orderBy("order", "word").limit(max_size - 2))
+    ranks = ordered_ranks(counts, ["order", "word"], "rank")
+    ranked = ranks.select("word", (F.col("rank") + 1).cast("long").alias("idx"), (-F.col("order")).alias("n"))
+    reserved = df.sparkSession.createDataFrame([(lx.PAD, 0, None), (lx.UNK, 1, None)], "word string, idx long, n long")
+    return reserved.unionByName(ranked)
+
+
 def write_vocabulary(vocabulary: DataFrame, path: str) -> None:
     vocabulary.write.parquet(path)
 
@@ -65,6 +81,7 @@ def texts_to_sequences(
     ``length=None`` keeps all tokens unpadded; null texts have none.  The vocabulary,
     whose size is a parameter and does not grow with the texts, reaches the tasks as
     one scalar value, so texts are turned into sequences where they are: no shuffle.
+    For more than ``INLINE_WORDS`` words use ``texts_to_sequences_joined``.
     """
     words = tokens.whitespace_tokens(text) if length is None else first_tokens(text, length)
     known = vocabulary.where(F.col("idx") > 1)
@@ -75,6 +92,38 @@ def texts_to_sequences(
     return df.select(key, (sequence if length is None else pad(sequence, length)).alias("sequence"))
 
 
+def texts_to_sequences_joined(
+    df: DataFrame, vocabulary: DataFrame, key: str = "id", text: str = "text", length: int | None = lx.MAX_SEQUENCE,
+    heavy_words: int = HEAVY_WORDS,
+) -> DataFrame:
+    """The same sequences for a vocabulary of any size.
+
+    The ``heavy_words`` commonest words of these texts, known or not, are looked up in place;
+    of the others each text sends its distinct ones to meet the vocabulary, so no task
+    gets the rows of a common word.  What they find comes back to the text as one small list.
+    Rows are matched by a hash of key and text (128 bits): null and repeated keys are safe.
+    """
+    words = F.coalesce(tokens.whitespace_tokens(text) if length is None else first_tokens(text, length), F.array().cast("array<string>"))
+    identity = [F.xxhash64(key, text).alias("_k1"), F.xxhash64(text, F.lit(1), key).alias("_k2")]
+    rows = materialized(df.select(F.col(key).alias("_key"), *identity, words.alias("_words")))
+    known = materialized(vocabulary.where(F.col("idx") > 1).select("word", "idx"))
+    unknown = F.lit(1).cast("long")
+    counts = rows.select(F.explode("_words").alias("word")).groupBy("word").agg(F.count("*").alias("n"))
+    # A bounded table of the commonest words, with their places in the vocabulary if they have one.
+    common = counts.orderBy(F.col("n").desc(), "word").limit(heavy_words).join(known, "word", "left")
+    heavy = bucket_maps(materialized(common.select("word", F.coalesce("idx", unknown).alias("idx"))), "word", "idx").scalar()
+    rows = rows.withColumn("_heavy", heavy)
+    rare = rows.select("_k1", "_k2", F.explode(rx.bind({"w": F.array_distinct("_words"), "h": F.col("_heavy")}, lambda s: F.filter(
+        s["w"], lambda x: look_up(s["h"], x).isNull()))).alias("word"))
+    # A set, since equal rows send their words twice.
+    found = rare.join(known, "word").groupBy("_k1", "_k2").agg(F.collect_set(F.struct("word", "idx")).alias("_found"))
+    joined = rows.join(found, ["_k1", "_k2"], "left")
+    listed = F.map_from_entries(F.coalesce("_found", F.array().cast("array<struct<word:string,idx:bigint>>")))
+    sequence = rx.bind({"w": F.col("_words"), "h": F.col("_heavy"), "f": listed}, lambda s: F.transform(
+        s["w"], lambda x: F.coalesce(look_up(s["h"], x), F.try_element_at(s["f"], x), unknown)))
+    return joined.select(F.col("_key").alias(key), (sequence if length is None else pad(sequence, length)).alias("sequence"))
+
+
 def bucket_maps(table: DataFrame, key: str, value: str) -> DataFrame:
     """One row: an array of BUCKETS maps key -> value, a key in the map of its hash."""
     entries = table.groupBy(F.pmod(F.xxhash64(key), F.lit(BUCKETS)).cast("int").alias("bucket")).agg(

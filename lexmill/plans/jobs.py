@@ -25,7 +25,13 @@ from lexmill.operators.models import evaluate, load_model, predict, save_model,
 from lexmill.operators.reports import quality_report
 from lexmill.operators.sampling import decode_labels, encode_labels, label_index, random_split, ratio_split
 from lexmill.operators.scratch import materialized
-from lexmill.operators.vocabulary import build_vocabulary, texts_to_sequences
+from lexmill.operators.vocabulary import (
+    INLINE_WORDS,
+    build_large_vocabulary,
+    build_vocabulary,
+    texts_to_sequences,
+    texts_to_sequences_joined,
+)
 from lexmill.sources import sinks
 from lexmill.sources.text import read_text_files
 from lexmill.sources.warc import read_warc
@@ -125,12 +131,12 @@ def prepare_sequences(
 ) -> PreparedData:
     """Vocabulary of the train part; index sequences of both parts."""
     train, test = (split.where(F.col("split") == side) for side in ("train", "test"))
-    vocabulary = materialized(build_vocabulary(train, text, max_vocabulary))
+    # The size that may be reached decides the way, so a growing corpus does not change it.
+    large = max_vocabulary > INLINE_WORDS
+    vocabulary = materialized((build_large_vocabulary if large else build_vocabulary)(train, text, max_vocabulary))
+    sequences = texts_to_sequences_joined if large else texts_to_sequences
     return PreparedData(
-        texts_to_sequences(train, vocabulary, key, text, length),
-        texts_to_sequences(test, vocabulary, key, text, length),
-        vocabulary,
-    )
+        sequences(train, vocabulary, key, text, length), sequences(test, vocabulary, key, text, length), vocabulary)
 
 
 @dataclass
