@@ -109,11 +109,14 @@ def big_text_sample(text: Column | str, small: int = 500_000, head: int = 100_00
     return F.when(n < small, F.substring(t, 1, head)).otherwise(windows)
 
 
-def noise_analysis(text: Column | str, full: bool = False, mode: str = "document", sampled: bool = False) -> Column:
+def noise_analysis(
+    text: Column | str, full: bool = False, mode: str = "document", sampled: bool = False,
+    cleaned: tuple[Column | str, Column | str] | None = None,
+) -> Column:
     """Struct of markup and noise ratios, sentence shape and expected cleaning effect.
 
     The quick form estimates the reductions from the ratios; the full form
-    cleans the text both ways.  With ``sampled`` a long text is judged by its
+    cleans the text both ways, unless ``cleaned`` has the results (basic, deep) already.  With ``sampled`` a long text is judged by its
     ``noise_sample``, of which the first 1000 characters are searched for tags and
     the first 2000 for symbols and by cleaning.
     """
@@ -131,9 +134,12 @@ def noise_analysis(text: Column | str, full: bool = False, mode: str = "document
         return F.when(marked, rx.bind(
             {"tags": rx.count_matches(head, r"<[^>]+>"), "opened": count_of(head, "<")}, ratio)).otherwise(F.lit(0.0))
 
+    if cleaned is not None and sampled:
+        raise ValueError("cleaned texts are whole ones, so they fit no sample")
+
     def reduced(head: Column, deep: bool) -> Column:
-        return F.when(F.length(head) > 0, (1 - F.length(clean_text(head, deep, mode)) / F.length(head)) * 100).otherwise(
-            F.lit(0.0))
+        result = clean_text(head, deep, mode) if cleaned is None else rx.as_col(cleaned[deep])
+        return F.when(F.length(head) > 0, (1 - F.length(result) / F.length(head)) * 100).otherwise(F.lit(0.0))
 
     def reductions(s: Column) -> Column:
         if full:

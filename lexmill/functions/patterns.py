@@ -216,32 +216,16 @@ def sum_guarded(text: Column, low: Column, rules: Column, once: bool = False) ->
         F.contains(low, e["guard"]), hits(e)).otherwise(F.lit(0))), F.lit(0))
 
 
-def _line_rules(rules: list[str]) -> str:
-    heads = "|".join(r.removeprefix("^") for r in rules)
-    anchored = all(r.startswith("^") for r in rules)
-    any_rule = f"^(?:{heads})" if anchored else "|".join(f"(?:{r})" for r in rules)
-    return (f"named_struct('any', {sql_text(compiled([any_rule], multiline=True)[0])}, "
-            f"'rules', {sql_array(compiled(rules, multiline=True))})")
-
-
-def line_rules(rules: list[str]) -> Column:
-    """Multi-line rules with one rule that tells whether any of them matches."""
-    return F.expr(_line_rules(rules))
-
-
-def line_rules_of(language: Column, per_language: dict[str, list[str]]) -> Column:
-    entries = [f"{sql_text(code)}, {_line_rules(rs)}" for code, rs in per_language.items()]
-    return F.try_element_at(F.expr(f"map({', '.join(entries)})"), language)
-
+def sum_line_rules(text: Column, rules: list[str]) -> Column:
+    """Sum of the match counts of multi-line rules; 0 for null.
 
-def sum_line_rules(text: Column, rules: Column) -> Column:
-    """Sum of the match counts of line rules; 0 for null."""
-    return F.when(F.rlike(text, rules["any"]), sum_matches(text, rules["rules"])).otherwise(F.lit(0))
-
-
-def sum_matches(text: Column, rules: Column) -> Column:
-    """Sum of the match counts of an array of compiled rules; 0 for null."""
-    return F.coalesce(F.aggregate(rules, F.lit(0), lambda a, r: a + F.regexp_count(text, r)), F.lit(0))
+    Each rule is a literal, compiled once and not per row, and counted only where one
+    rule says that any of them matches; where all begin a line it looks at nothing else.
+    """
+    anchored = all(r.startswith("^") for r in rules)
+    any_of_them = "^(?:" + "|".join(r.removeprefix("^") for r in rules) + ")" if anchored else "|".join(f"(?:{r})" for r in rules)
+    return F.when(
+        text.rlike(compiled([any_of_them], multiline=True)[0]), total([count_matches(text, r, multiline=True) for r in rules])).otherwise(F.lit(0))
 
 
 def rules_found(text: Column, rules: list[str]) -> Column:
@@ -249,10 +233,5 @@ def rules_found(text: Column, rules: list[str]) -> Column:
     return total([text.rlike(r).cast("int") for r in rules])
 
 
-def any_rule(rules: list[str]) -> str:
-    """One compiled multi-line rule that matches where any of the rules does."""
-    return compiled(["|".join(f"(?:{r})" for r in rules)], multiline=True)[0]
-
-
 def total(values: list[Column]) -> Column:
     return reduce(lambda a, b: a + b, values)

@@ -37,10 +37,11 @@ def boilerplate_matches(text: Column, low: Column, language: Column) -> Column:
 
 
 def _structure_matches(text: Column, language: Column, common: list[str], own: dict[str, list[str]]) -> Column:
-    # A literal rule over all languages dismisses most texts before rules are looked up by language.
-    anything = rx.any_rule([*common, *[r for rules in own.values() for r in rules]])
-    return F.when(text.rlike(anything), rx.sum_line_rules(text, rx.line_rules(common)) + rx.sum_line_rules(
-        text, rx.line_rules_of(language, own))).otherwise(F.lit(0))
+    by_language = None
+    for code, rules in own.items():
+        hits = rx.sum_line_rules(text, rules)
+        by_language = F.when(language == code, hits) if by_language is None else by_language.when(language == code, hits)
+    return rx.sum_line_rules(text, common) + F.coalesce(by_language, F.lit(0))
 
 
 def question_matches(text: Column, language: Column) -> Column:

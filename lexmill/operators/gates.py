@@ -50,11 +50,13 @@ def clean_if_better(
     Adds ``out``, ``score_before``, ``score_after`` (null where not cleaned) and
     ``was_cleaned``.
     """
-    df = rx.add_once(df, {"_noise": noise_analysis(text, True, mode)})
+    # Cleaned both ways once: for the analysis and as the result that is tried.
+    df = rx.add_once(df, {"_basic": clean_basic(text, mode), "_deep": clean_text(text, True, mode)})
+    df = rx.add_once(df, {"_noise": noise_analysis(text, True, mode, cleaned=("_basic", "_deep"))})
     df = df.withColumn("score_before", composite_score(F.col("_noise")))
     tried = F.when(F.col("score_before") < threshold, F.when(
-        needs_deep_cleaning(F.col("_noise")), clean_text(text, True, mode)).otherwise(clean_basic(text, mode)))
-    df = rx.add_once(df, {"_cleaned": tried}).drop("_noise")
+        needs_deep_cleaning(F.col("_noise")), F.col("_deep")).otherwise(F.col("_basic")))
+    df = rx.add_once(df, {"_cleaned": tried}).drop("_noise", "_basic", "_deep")
     after = F.when(F.col("_cleaned").isNotNull(), rx.let(noise_analysis("_cleaned", True, mode), composite_score))
     df = rx.add_once(df, {"score_after": after})
     df = df.withColumn("was_cleaned", F.coalesce(F.col("score_after") > F.col("score_before"), F.lit(False)))

@@ -74,6 +74,9 @@ def histogram(df: DataFrame, column: str, bins: int = 30) -> DataFrame:
         F.coalesce("n", F.lit(0)).alias("n"))
 
 
+_LINE, _BLANK, _WORD = 0, 1, 2
+
+
 def line_profile(df: DataFrame, by: list[str] | None = None, text: str = "text") -> DataFrame:
     """Line statistics of a corpus, or per group of the ``by`` columns.
 
@@ -84,42 +87,35 @@ def line_profile(df: DataFrame, by: list[str] | None = None, text: str = "text")
     """
     by = by or []
     count_of = lambda s, ch: F.length(s) - F.length(F.replace(s, F.lit(ch), F.lit("")))
-    line = F.col("_line")
-    full = line != ""
-    malformed = (F.length(line) < 3) | (count_of(line, "[") > count_of(line, "]"))
-    only_full = lambda x: F.when(full, x)
-    per_line = (
-        df.select(*by, F.explode(tokens.lines(text)).alias("_raw")).select(*by, rx.strip("_raw").alias("_line"))
-        .select(
-            *by,
-            # A 128-bit digest stands for the line; lines themselves do not travel.
-            only_full(F.struct(F.xxhash64(line).alias("a"), F.xxhash64(F.lit(1), line).alias("b"))).alias("_digest"),
-            only_full(F.length(line)).alias("_length"),
-            only_full(F.regexp_count(line, F.lit(rx.NON_SPACE + "+"))).alias("_spelled"),
-            only_full(F.regexp_count(line, F.lit(rx.SYMBOL))).alias("_marks"),
-            only_full(malformed.cast("int")).alias("_bad"),
-        )
-    )
-    # The distinct count shuffles by (group, digest); the sums ride along as partial sums.
-    stats = per_line.groupBy(*by).agg(
-        F.count("_length").alias("line_count"),
-        F.sum("_length").alias("_chars"),
-        F.sum("_spelled").alias("_words"),
-        F.sum("_marks").alias("_symbols"),
-        F.sum("_bad").alias("_malformed"),
-        (F.count("*") - F.count("_length")).alias("_empty"),
-        F.count_distinct("_digest").alias("_distinct"),
-    )
+    digest = lambda x: (F.xxhash64(x).alias("a"), F.xxhash64(F.lit(1), x).alias("b"))
+    zero = F.lit(0)
+
+    def of_line(line: Column) -> Column:
+        malformed = (F.length(line) < 3) | (count_of(line, "[") > count_of(line, "]"))
+        # A 128-bit digest stands for the line; lines themselves do not travel.
+        return F.struct(
+            F.when(line != "", F.lit(_LINE)).otherwise(F.lit(_BLANK)).alias("kind"), *digest(line), F.length(line).alias("chars"),
+            F.regexp_count(line, F.lit(rx.NON_SPACE + "+")).alias("words"), F.regexp_count(line, F.lit(rx.SYMBOL)).alias("symbols"),
+            malformed.cast("int").alias("malformed"))
+
+    def of_word(word: Column) -> Column:
+        return F.struct(F.lit(_WORD).alias("kind"), *digest(word), *[zero.alias(c) for c in ("chars", "words", "symbols", "malformed")])
+
     # Words do not cross lines; repeats inside a text go before the shuffle.
     spelled = F.array_distinct(F.array_remove(F.split(text, rx.SPACE + "+"), ""))
-    words = df.select(*by, F.explode(spelled).alias("_word")).distinct()
-    vocabulary = words.groupBy(*by).agg(F.count("*").alias("vocabulary_size"))
+    entries = F.concat(
+        F.transform(tokens.lines(text), lambda x: rx.let(rx.strip(x), of_line)), F.transform(spelled, of_word))
+    sums = ["chars", "words", "symbols", "malformed"]
+    # One row per distinct line or word of a group, combined before the shuffle; equal ones have equal measures.
+    distinct = df.select(*by, F.inline(entries)).groupBy(*by, "kind", "a", "b").agg(
+        F.count("*").alias("n"), *[F.first(c).alias(c) for c in sums])
+    of = lambda kind, x: F.sum(F.when(F.col("kind") == kind, x))
+    stats = distinct.groupBy(*by).agg(
+        of(_LINE, F.col("n")).alias("line_count"), F.coalesce(of(_BLANK, F.col("n")), zero).alias("_empty"),
+        F.count_if(F.col("kind") == _LINE).alias("_distinct"), F.count_if(F.col("kind") == _WORD).alias("vocabulary_size"),
+        *[of(_LINE, F.col("n") * F.col(c)).alias(f"_{c}") for c in sums])
     lines = F.col("line_count")
     stats = stats.where(lines > 0)
-    if by:
-        stats = join_on(stats, vocabulary, by)
-    else:
-        stats = stats.withColumn("vocabulary_size", vocabulary.select("vocabulary_size").scalar())
     return stats.select(
         *by,
         "line_count",
