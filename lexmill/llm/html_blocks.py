@@ -24,6 +24,12 @@ DROPPED_WORDS = frozenset(
     "breadcrumb breadcrumbs sidebar sidebars widget widgets footer masthead topbar toolbar cookie cookies consent gdpr notice notices "
     "alert modal popup overlay newsletter subscribe subscription signup login share sharing social related recommended recommendations "
     "comment comments commentlist disqus replies reply pagination pager copyright disclaimer search searchbox outbrain taboola skip skiplink teaser teasers trending feedback signin".split())
+#: Words that go with those in the name of a part: inside an article only names made of nothing else drop an element.
+PART_WORDS = frozenset(
+    "area bar block box button buttons container content field footer form group icons inner items label link links list module "
+    "panel post posts section slot stories thread tools unit wrap wrapper".split())
+#: Elements that may hold such a part of an article; its headings and paragraphs are text whatever their names.
+PART_TAGS = frozenset("div section ul ol dl table center address details".split())
 #: A header is the page's unless it is part of the article.
 HEADER_WORDS = frozenset("header head".split())
 ARTICLE_WORDS = frozenset("article entry post content main story".split())
@@ -68,6 +74,15 @@ def _words(value: str) -> set[str]:
     return {w.lower() for w in _WORD.findall(value)} | {w for w in re.split(r"[^a-z0-9]+", value.lower()) if w}
 
 
+def _names_part(value: str) -> bool:
+    """Whether a class or id has a whole name, such as ``ad`` or ``related-posts``, that says what is no article."""
+    for name in value.split():
+        parts = {w.lower() for w in _WORD.findall(name)}
+        if name.lower() in DROPPED_WORDS or parts & DROPPED_WORDS and parts <= DROPPED_WORDS | PART_WORDS:
+            return True
+    return False
+
+
 def _is_dropped(tag: str, words: set[str], attributes: dict[str, str], in_region: bool) -> bool:
     if tag in DROPPED_TAGS or attributes.get("role", "").lower() in DROPPED_ROLES:
         return True
@@ -198,7 +213,11 @@ def page_blocks(html: str | None) -> list[Block]:
                 path = path[path.index("/", 1):]
         opened[tag] = opened.get(tag, 0) + 1
         soft, root = top.soft, top.root
-        if tag not in ROOT_TAGS and not (tag == "header" or words & HEADER_WORDS) and words & DROPPED_WORDS:
+        if top.region:
+            named = tag in PART_TAGS and words & DROPPED_WORDS and _names_part(attributes.get("class", "") + " " + attributes.get("id", ""))
+        else:
+            named = tag not in ROOT_TAGS and not (tag == "header" or words & HEADER_WORDS) and words & DROPPED_WORDS
+        if named:
             n_soft += 1
             soft = n_soft
         if tag in REGION_TAGS or attributes.get("role") == "main" or attributes.get("itemprop") == "articleBody":

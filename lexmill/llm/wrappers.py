@@ -21,13 +21,17 @@ from lexmill.operators.scratch import materialized
 GROUP = 6
 #: Hosts whose wrappers a task holds before it passes them on.
 HELD_HOSTS = 500
-#: Pages on which a text outside any article must be the same to be the template's.
-TEMPLATE_PAGES = 3
+#: Different pages on which a text must be the same to be the template's, and their share of the host's: outside any
+#: article, and inside one, where headings are never template.
+TEMPLATE_PAGES, TEMPLATE_SHARE = 3, (1, 2)
+ARTICLE_PAGES, ARTICLE_SHARE = 4, (2, 3)
+#: An optional part that fewer than one in so many pages have is forgotten: it decides nothing, and wrappers stay small.
+RARE = 20
 #: A block with at least this share of its text in links is a menu.
 LINK_SHARE = 0.6
 
 
-_KEYS = re.compile(r"[^\s()]+")
+_HEADING = re.compile(r"/h[1-6](?:\.[^/]*)?$")
 
 
 def _digest(text: str) -> str:
@@ -92,6 +96,14 @@ def page_wrapper(blocks: Sequence[Block]) -> Wrapper:
     return Wrapper(_folded([Item(f"{b.role}{b.path}", _digest(b.text)) for b in blocks]), 1)
 
 
+def token_wrapper(kinds: Sequence[str], texts: Sequence[str], strings: set[str]) -> Wrapper:
+    """The wrapper of one page whose texts are slots, but for those in ``strings``, which are tokens of their own.
+
+    So a string that many pages share is aligned with itself wherever it stands, and ends a repetition.
+    """
+    return Wrapper(_folded([Item(f"{k}={t}", t) if t in strings else Item(k) for k, t in zip(kinds, texts, strict=True)]), 1)
+
+
 def _same(a: Item, b: Item) -> Item:
     constant = a.constant if a.constant == b.constant else None
     return Item(a.key, constant, a.optional or b.optional, a.repeated or b.repeated, a.pages + b.pages)
@@ -130,7 +142,8 @@ def align(a: Wrapper, b: Wrapper) -> Wrapper:
                 out[-n:] = [Item(joined, None, any(i.optional for i in tail), True, max(i.pages for i in tail))]
             else:
                 out += _skipped(extra)
-    return Wrapper(_folded(out), a.pages + b.pages)
+    pages = a.pages + b.pages
+    return Wrapper([i for i in _folded(out) if not i.optional or RARE * i.pages >= pages], pages)
 
 
 def _infer(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -143,8 +156,9 @@ def _infer(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         return frame
 
     for batch in batches:
-        for host, html in zip(batch["host"], batch["html"], strict=True):
-            held[host] = align(held.get(host, Wrapper()), page_wrapper(page_blocks(html)))
+        for host, kinds, texts, strings in zip(batch["host"], batch["kinds"], batch["texts"], batch["strings"], strict=True):
+            known = set() if strings is None else set(strings)
+            held[host] = align(held.get(host, Wrapper()), token_wrapper(kinds, texts, known))
             if len(held) > HELD_HOSTS:
                 yield out()
     if held:
@@ -169,37 +183,86 @@ def _merge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame([(host, wrapper.to_json())], columns=["host", "wrapper"])
 
 
-def infer_wrappers(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
-    """(host, wrapper): a union-free expression per host, over all its pages.
+_PARSED = "key {}, url string, host string, page long, kinds array<string>, lines array<string>, texts array<string>, linked array<int>"
+
+
+def _parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for batch in batches:
+        out = batch[["key", "url", "host", "page"]].copy()
+        parsed = [page_blocks(html) for html in batch["html"]]
+        out["kinds"] = [[f"{b.role}{b.path}" for b in blocks] for blocks in parsed]
+        out["lines"] = [[b.text for b in blocks] for blocks in parsed]
+        out["texts"] = [[_digest(b.text) for b in blocks] for blocks in parsed]
+        out["linked"] = [[b.linked for b in blocks] for blocks in parsed]
+        yield out
+
+
+def parse_pages(pages: DataFrame, key: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
+    """(key, url, host, page, kinds, lines, texts, linked): the blocks of each page, written once.
+
+    ``page`` is a hash of the html, by which copies are known; ``texts`` are hashes of the lines.
+    """
+    named = pages.select(
+        F.col(key).alias("key"), F.col(url).alias("url"), url_host(url).alias("host"), F.xxhash64(html).alias("page"), F.col(html).alias("html"))
+    return materialized(named.mapInPandas(_parse, _PARSED.format(dict(named.dtypes)["key"])))
+
+
+def shared_strings(distinct: DataFrame) -> DataFrame:
+    """(host, strings): texts that enough different pages of a host have to be its template, if the alignment agrees."""
+    sizes = distinct.groupBy("host").agg(F.count("*").alias("pages"))
+    counts = distinct.select("host", F.explode(F.array_distinct("texts")).alias("text")).groupBy("host", "text").agg(F.count("*").alias("n"))
+    part, whole = TEMPLATE_SHARE
+    often = counts.where(F.col("n") >= TEMPLATE_PAGES).join(sizes, "host").where(F.col("n") * whole > F.col("pages") * part)
+    # Over half of the pages have each, so a host has no more than twice the blocks of a page.
+    return often.groupBy("host").agg(F.collect_set("text").alias("strings"))
+
 
-    Tasks align the pages that they read, host by host; the partial wrappers meet in a
+def infer_wrappers(parsed: DataFrame) -> DataFrame:
+    """(host, wrapper): a union-free expression per host, over all its different pages (see ``parse_pages``).
+
+    Tasks align token streams of pages, host by host; the partial wrappers meet in a
     second step, one row per host and task, so a host with most of the pages is no hot
-    task.  Both steps hold expressions, not pages.
+    task.  Both steps hold expressions, not pages, and only hashes of texts move.
     """
-    parts = pages.select(url_host(url).alias("host"), F.col(html).alias("html")).mapInPandas(_infer, "host string, wrapper string")
+    distinct = materialized(parsed.groupBy("host", "page").agg(F.first("kinds").alias("kinds"), F.first("texts").alias("texts")))
+    strings = materialized(shared_strings(distinct))
+    streams = distinct.join(strings, "host", "left").sortWithinPartitions("host", "page")
+    parts = streams.select("host", "kinds", "texts", "strings").mapInPandas(_infer, "host string, wrapper string")
     return parts.repartition("host").sortWithinPartitions("host", "wrapper").mapInPandas(_merge, "host string, wrapper string")
 
 
 class Extractor:
-    """Reads the article of a page by the slots of its host's wrapper."""
+    """What of a host's pages is template, by its wrapper."""
 
     def __init__(self, wrapper: Wrapper) -> None:
-        self.template = {
-            i.constant for i in wrapper.items
-            if i.constant is not None and i.key[0] == PLAIN and i.pages >= TEMPLATE_PAGES and 2 * i.pages > wrapper.pages}
-        self.slots = {k for i in wrapper.items for k in _KEYS.findall(i.key) if k[0] != DROPPED}
-        varying = {i.key for i in wrapper.items if i.constant is None and i.key[0] in PLAIN + "("}
-        # Pages that are copies of each other have no slots; then nothing tells template from text.
-        if not varying:
+        counts: dict[str, int] = {}
+        headings, inside = set(), set()
+        for i in wrapper.items:
+            if i.constant is not None and i.key[0] != DROPPED:
+                counts[i.constant] = counts.get(i.constant, 0) + i.pages
+                path = i.key.partition("=")[0]
+                if path[0] == REGION:
+                    inside.add(i.constant)
+                    if _HEADING.search(path):
+                        headings.add(i.constant)
+
+        def often(text: str, least: int, share: tuple[int, int]) -> bool:
+            return counts[text] >= least and counts[text] * share[1] > wrapper.pages * share[0]
+
+        self.template = {t for t in counts if t not in inside and often(t, TEMPLATE_PAGES, TEMPLATE_SHARE)}
+        self.article_template = {t for t in inside - headings if often(t, ARTICLE_PAGES, ARTICLE_SHARE)}
+        # If every text of the pages is the same, nothing tells template from text.
+        if not any(i.constant is None and i.key[0] in PLAIN + "(" for i in wrapper.items):
             self.template = set()
+        if not any(i.constant is None and i.key[0] in REGION + "(" for i in wrapper.items):
+            self.article_template = set()
 
     def text(self, blocks: Sequence[Block]) -> str:
-        """Texts in slots inside the article; without one, those outside dropped parts that are neither template nor menu."""
-        read = [b for b in blocks if f"{b.role}{b.path}" in self.slots]
-        article = [b.text for b in read if b.role == REGION]
-        if article:
+        """Texts inside the article; without one, those outside dropped parts that are no menu; neither has the template."""
+        article = [b.text for b in blocks if b.role == REGION and not (self.article_template and _digest(b.text) in self.article_template)]
+        if any(b.role == REGION for b in blocks):
             return "\n".join(article)
-        plain = [b for b in read if b.role == PLAIN and b.linked < LINK_SHARE * len(b.text)]
+        plain = [b for b in blocks if b.role == PLAIN and b.linked < LINK_SHARE * len(b.text)]
         return "\n".join(b.text for b in plain if not self.template or _digest(b.text) not in self.template)
 
 
@@ -208,16 +271,15 @@ def _extract(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         if not len(batch):
             continue
-        texts = []
-        for html, wrapper in zip(batch["html"], batch["wrapper"], strict=True):
-            blocks = page_blocks(html)
+        out = []
+        for kinds, lines, linked, wrapper in zip(batch["kinds"], batch["lines"], batch["linked"], batch["wrapper"], strict=True):
             reader = known.get(wrapper)
             if reader is None:
                 if len(known) > HELD_HOSTS:
                     known.clear()
-                reader = known[wrapper] = Extractor(Wrapper.from_json(wrapper) if wrapper else page_wrapper(blocks))
-            texts.append(reader.text(blocks))
-        yield pd.DataFrame({"key": batch["key"], "url": batch["url"], "text": texts, "n_chars": [len(t) for t in texts]})
+                reader = known[wrapper] = Extractor(Wrapper.from_json(wrapper) if wrapper else Wrapper())
+            out.append(reader.text([Block(k[0], k[1:], t, n) for k, t, n in zip(kinds, lines, linked, strict=True)]))
+        yield pd.DataFrame({"key": batch["key"], "url": batch["url"], "text": out, "n_chars": [len(t) for t in out]})
 
 
 def extract_articles(pages: DataFrame, key: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
@@ -226,18 +288,21 @@ def extract_articles(pages: DataFrame, key: str = "page_id", url: str = "url", h
     The text is what the slots of the host's wrapper hold: blocks of the article, in page
     order, one per line, with references decoded and white space collapsed.  Parts
     that never belong to an article (menus, headers, footers, side bars, notices,
-    adverts, forms, scripts, styles, comments) are no slots.  A page without an article
-    element gives its other blocks, but for those that are the template of its host
-    and those that are mostly links.
-
-    Null and empty html give an empty text; null addresses share the empty host; a null
-    key is kept; repeated rows are extracted alike; an empty table gives no rows; other
-    columns are ignored.
+    adverts, forms, scripts, styles, comments) are no slots.  Inside an article such a part is an
+    element of that kind, or a container with a whole name that says so; what the wrapper
+    finds to be the same text on most different pages of the host (no heading) is template
+    there too.  A page without an article element gives its other blocks, but for those that
+    are the template of its host and those that are mostly links.
+
+    Pages are parsed once.  Null and empty html give an empty text; html of any length is read
+    whole; null addresses share the empty host; a null key is kept; copies count as one page for the
+    template; repeated rows are extracted alike; an empty table gives no rows; other columns are
+    ignored.
     """
-    named = pages.select(F.col(key).alias("key"), F.col(url).alias("url"), F.col(html).alias("html"), url_host(url).alias("host"))
+    parsed = parse_pages(pages, key, url, html)
     # Written first: their size is then known, and if it is small the pages need not move to meet them.
-    wrappers = materialized(infer_wrappers(pages, url, html))
-    joined = named.join(wrappers, "host", "left").select("key", "url", "html", "wrapper")
+    wrappers = materialized(infer_wrappers(parsed))
+    joined = parsed.join(wrappers, "host", "left").select("key", "url", "kinds", "lines", "linked", "wrapper")
     kind = dict(joined.dtypes)["key"]
     done = joined.mapInPandas(_extract, f"key {kind}, url string, text string, n_chars long")
     return done.select(F.col("key").alias(key), F.col("url").alias(url), "text", "n_chars")

@@ -81,3 +81,52 @@ def test_layout_words_on_or_around_the_article():
     comments = "<section class=comments><article class=comment><p>First!</p></article></section>"
     assert plain(f'<div class="has-sidebar">{article}{article}{comments}</div>') == f"{want}\n{want}"
     assert plain(f"<p>A page of plain text, longer than its comments.</p>{comments}") == "A page of plain text, longer than its comments."
+
+
+def test_names_inside_an_article_lose_no_text():
+    body = (
+        '<article><h1>A</h1><h2 id="related-work">Related work</h2><p>We read much.</p><p class="teaser">The lead says more.</p>'
+        '<section id="search-methods"><p>How to search.</p></section><div class="related-posts">Other</div><div class="shareButtons">Tweet</div>'
+        '<ul class="social"><li>x</li></ul><div class="ad"><p>Buy</p></div><aside>no</aside></article>')
+    assert plain(body) == "A\nRelated work\nWe read much.\nThe lead says more.\nHow to search."
+
+
+def test_wrapper_drops_a_notice_inside_articles(spark):
+    r = random.Random(5)
+    words = [f"w{i}" for i in range(300)]
+    rows, want = [], {}
+    for i in range(24):
+        paragraphs = [" ".join(r.choices(words, k=12)) for _ in range(r.randrange(2, 6))]
+        at = r.randrange(len(paragraphs) + 1)
+        notice = ["Subscribe to our weekly letter now!"] if i < 20 else []
+        lines = ["Summary", *paragraphs[:at], *notice, *paragraphs[at:]]
+        html = "<article><h2>Summary</h2>" + "".join(f"<p>{x}</p>" for x in lines[1:]) + "</article>"
+        rows.append((i, f"http://a.org/{i}", html))
+        want[i] = "\n".join(["Summary", *paragraphs])
+    # Copies of one page are no proof, and three pages are too few.
+    rows += [(100 + i, "http://b.org/x", "<article><p>one text</p><p>two text</p></article>") for i in range(30)]
+    rows += [(200 + i, f"http://c.org/{i}", f"<article><p>same</p><p>text {i}</p></article>") for i in range(3)]
+    want |= {100 + i: "one text\ntwo text" for i in range(30)} | {200 + i: f"same\ntext {i}" for i in range(3)}
+    for parts in (1, 7):
+        df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(parts)
+        assert {x.page_id: x.text for x in extract_articles(df).collect()} == want
+
+
+def test_wrappers_stay_small():
+    r = random.Random(3)
+    w = Wrapper()
+    for _ in range(300):
+        html = "<article><h1>T</h1>" + "".join(f'<div class="k{r.randrange(10**6)}">t</div>' for _ in range(20)) + "</article>"
+        w = align(w, page_wrapper(page_blocks(html)))
+    assert len(w.items) <= 20 * 21 and w.items[0].key == "R/article/h1" and w.items[0].pages == 300
+
+
+def test_order_of_pages_does_not_matter(spark):
+    r = random.Random(6)
+    rows = [(i, "http://a.org/", f"<div>Top</div><div class=c><p>{r.random()}</p></div>" + "<div>End</div>" * (i % 4 > 0)) for i in range(40)]
+    want = None
+    for seed in range(3):
+        random.Random(seed).shuffle(rows)
+        got = {x.page_id: x.text for x in extract_articles(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)).collect()}
+        want = want or got
+        assert got == want and all("Top" not in t and "End" not in t for t in got.values())
