@@ -22,7 +22,9 @@ CANDIDATE = r"(?<![^\x20\x09-\x0D])(?=[^\x20\x09-\x0D0-9]*+[0-9])[^\x20\x09-\x0D
 LAST_WORD = r"([^\x20\x09-\x0D]+)[\x20\x09-\x0D]*$"
 #: A blank and a whole word at the end of what stands before a match, and what separates identifiers of a list.
 WHOLE_WORD = r"[\x20\x09-\x0D][^\x20\x09-\x0D]++[\x20\x09-\x0D]*+$"
-SEPARATOR = r"[\x20\x09-\x0D,;/|&]+$"
+SEPARATOR = r"[\x20\x09-\x0D,;/|&()\[\]]+$"
+#: Punctuation around a word that is not part of it.
+OPENING, CLOSING = r"^[(\[{<\"']+", r"[,;:.!?)\]}>\"']+$"
 KINDS = ("email", "ip", "card", "phone")
 CONTEXT = "context"
 _LABELLED = "array<struct<start:int,nth:int,stop:int,kind:string>>"
@@ -97,14 +99,30 @@ def _context(span: Column) -> Column:
     return _shape(F.regexp_extract(span["before"], LAST_WORD, 1))
 
 
+def _trimmed(span: Column) -> Column:
+    """The span without the punctuation around its word."""
+    lead = F.length(F.regexp_extract(span["value"], OPENING, 0))
+    inner = F.regexp_replace(F.regexp_replace(span["value"], OPENING, ""), CLOSING, "")
+    return F.struct(
+        (span["start"] + lead).alias("start"), (span["start"] + lead + F.length(inner)).alias("stop"), inner.alias("value"),
+        span["before"].alias("before"))
+
+
+def _alike(a: Column, b: Column) -> Column:
+    """Whether ``b`` can continue a list with ``a``: digits at the same places, or behind a seed as many, and not in one run."""
+    like_seed = a["seed"] & (F.length(_digits(a["instance"])) == F.length(_digits(b["instance"]))) & b["instance"].rlike("[0-9][^0-9]+[0-9]")
+    return (_shape(a["instance"]) == _shape(b["instance"])) | like_seed
+
+
 def _uses(seeds: Column, candidates: Column) -> Column:
-    """Uses of contexts; an identifier that follows another one in a list has the context of the first."""
+    """Uses of contexts; an identifier that follows another one of its shape in a list has the context of the first."""
     use = lambda seed: lambda s: F.struct(
         s["stop"].alias("stop"), s["start"].alias("start"), _context(s).alias("pattern"), F.lower(s["value"]).alias("instance"),
         F.lit(seed).alias("seed"), (s["start"] - F.length(F.regexp_extract(s["before"], SEPARATOR, 0))).alias("apart"))
 
     def inherited(x: Column) -> Column:
-        follows = lambda s, i: (i > 0) & F.coalesce(F.get(x, i - 1)["stop"].between(s["apart"], s["start"]), F.lit(False))
+        follows = lambda s, i: (i > 0) & F.coalesce(
+            F.get(x, i - 1)["stop"].between(s["apart"], s["start"]) & _alike(F.get(x, i - 1), s), F.lit(False))
         first = F.transform(x, lambda s, i: F.when(follows(s, i), 0).otherwise(1))
 
         def named(f: Column) -> Column:
@@ -127,7 +145,7 @@ def _observe(docs: DataFrame, key: str, text: str, settings: Bootstrap) -> DataF
     def unseen(all_seeds: Column) -> Column:
         """Identifier-like words that no seed overlaps."""
         tokens = F.when(F.col("_t").rlike("[0-9]"), _with_words_before(match_spans(F.col("_t"), CANDIDATE))).otherwise(no_spans().cast(SPAN))
-        long_enough = F.filter(tokens, lambda s: F.length(_digits(s["value"])) >= settings.digits)
+        long_enough = F.transform(F.filter(tokens, lambda s: F.length(_digits(s["value"])) >= settings.digits), _trimmed)
         return F.filter(long_enough, lambda s: ~F.exists(
             all_seeds, lambda b: (b["start"] < s["stop"]) & (s["start"] < b["stop"])))
 
@@ -177,7 +195,8 @@ def find_personal_data(
 
     ``base``: e-mail and IP addresses, card and phone numbers by pattern, by kind and
     start.  ``spans`` adds words of kind ``context``: identifiers that no pattern
-    covers but that stand behind a context word which elsewhere precedes the others.
+    covers but that stand behind a context word which elsewhere precedes the others, or go on
+    a list of identifiers of their shape; punctuation around them is not part of them.
 
     Null and empty texts have no spans; a null key is kept; repeated rows get the same
     spans; an empty table gives no rows; other columns are ignored.

@@ -71,7 +71,14 @@ def test_lists_inherit_the_context(spark):
     texts = [f"Call tel: +1 555 0100{i} now" for i in range(6)]
     texts += ["tel: 0201-555-77 0201-555-78, 0201-555-79 and 0201-555-80", "tel: +1 555 01009, 0201-555-81", "tel: 12 0201-555-82", "x 0301-555-77 0301-555-78"]
     got = revealed(spark, texts)
-    assert got[6] == ["0201-555-77", "0201-555-78,", "0201-555-79"] and got[7] == ["0201-555-81"] and got[8] == got[9] == []
+    assert got[6] == ["0201-555-77", "0201-555-78", "0201-555-79"] and got[7] == ["0201-555-81"] and got[8] == got[9] == []
+
+
+def test_a_list_holds_one_shape(spark):
+    texts = [f"Call tel: +1 555 0100{i} now" for i in range(6)]
+    texts += ["tel: 0201-555-77, 12345678 14.03.2024 10000 20000", "tel: (0201-555-78), 0301-444-79; paid 123456789", "tel: +1 555 01009, 555010099 here", "tel: 0201-555-70."]
+    got = revealed(spark, texts)
+    assert got[6] == ["0201-555-77"] and got[7] == ["0201-555-78", "0301-444-79"] and got[8] == [] and got[9] == ["0201-555-70"]
 
 
 def test_words_before_are_those_of_the_text(spark):
