@@ -34,8 +34,8 @@ LINK_SHARE = 0.6
 _HEADING = re.compile(r"/h[1-6](?:\.[^/]*)?$")
 
 
-def _digest(text: str) -> str:
-    return f"{xxhash.xxh3_64_intdigest(text.encode('utf-8', 'surrogatepass')):016x}"
+def _digest(text: str) -> int:
+    return xxhash.xxh3_64_intdigest(text.encode("utf-8", "surrogatepass")) - (1 << 63)
 
 
 @dataclass
@@ -43,7 +43,7 @@ class Item:
     """A part of a wrapper: a block or a repeated group, present or optional, its text constant or a slot."""
 
     key: str
-    constant: str | None = None
+    constant: int | None = None
     optional: bool = False
     repeated: bool = False
     pages: int = 1
@@ -96,7 +96,7 @@ def page_wrapper(blocks: Sequence[Block]) -> Wrapper:
     return Wrapper(_folded([Item(f"{b.role}{b.path}", _digest(b.text)) for b in blocks]), 1)
 
 
-def token_wrapper(kinds: Sequence[str], texts: Sequence[str], strings: set[str]) -> Wrapper:
+def token_wrapper(kinds: Sequence[str], texts: Sequence[int], strings: set[int]) -> Wrapper:
     """The wrapper of one page whose texts are slots, but for those in ``strings``, which are tokens of their own.
 
     So a string that many pages share is aligned with itself wherever it stands, and ends a repetition.
@@ -157,8 +157,8 @@ def _infer(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
     for batch in batches:
         for host, kinds, texts, strings in zip(batch["host"], batch["kinds"], batch["texts"], batch["strings"], strict=True):
-            known = set() if strings is None else set(strings)
-            held[host] = align(held.get(host, Wrapper()), token_wrapper(kinds, texts, known))
+            known = set() if strings is None else set(strings.tolist())
+            held[host] = align(held.get(host, Wrapper()), token_wrapper(kinds.tolist(), texts.tolist(), known))
             if len(held) > HELD_HOSTS:
                 yield out()
     if held:
@@ -183,13 +183,14 @@ def _merge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame([(host, wrapper.to_json())], columns=["host", "wrapper"])
 
 
-_PARSED = "key {}, url string, host string, page long, kinds array<string>, lines array<string>, texts array<string>, linked array<int>"
+_PARSED = "key {}, url string, host string, page long, kinds array<string>, lines array<string>, texts array<long>, linked array<int>"
 
 
 def _parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         out = batch[["key", "url", "host", "page"]].copy()
-        parsed = [page_blocks(html) for html in batch["html"]]
+        # Dropped parts are neither text nor template.
+        parsed = [[b for b in page_blocks(html) if b.role != DROPPED] for html in batch["html"]]
         out["kinds"] = [[f"{b.role}{b.path}" for b in blocks] for blocks in parsed]
         out["lines"] = [[b.text for b in blocks] for blocks in parsed]
         out["texts"] = [[_digest(b.text) for b in blocks] for blocks in parsed]
@@ -198,7 +199,7 @@ def _parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def parse_pages(pages: DataFrame, key: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
-    """(key, url, host, page, kinds, lines, texts, linked): the blocks of each page, written once.
+    """(key, url, host, page, kinds, lines, texts, linked): the blocks of each page outside dropped parts, written once.
 
     ``page`` is a hash of the html, by which copies are known; ``texts`` are hashes of the lines.
     """
@@ -235,7 +236,7 @@ class Extractor:
     """What of a host's pages is template, by its wrapper."""
 
     def __init__(self, wrapper: Wrapper) -> None:
-        counts: dict[str, int] = {}
+        counts: dict[int, int] = {}
         headings, inside = set(), set()
         for i in wrapper.items:
             if i.constant is not None and i.key[0] != DROPPED:
@@ -246,7 +247,7 @@ class Extractor:
                     if _HEADING.search(path):
                         headings.add(i.constant)
 
-        def often(text: str, least: int, share: tuple[int, int]) -> bool:
+        def often(text: int, least: int, share: tuple[int, int]) -> bool:
             return counts[text] >= least and counts[text] * share[1] > wrapper.pages * share[0]
 
         self.template = {t for t in counts if t not in inside and often(t, TEMPLATE_PAGES, TEMPLATE_SHARE)}
