@@ -51,7 +51,7 @@ def clean_special_chars(text: Column | str) -> Column:
     """Drop e-mail addresses, special characters and repeated punctuation."""
     return rx.replace_chain(rx.replace_if(text, "@", _EMAIL), [
         # Everything but words, white space and punctuation; ASCII letters are dismissed first.
-        (r"[[^a-zA-Z ]&&[^\w\s.,!?;:'\"-]]", " "),
+        (r"[[^a-zA-Z]&&[^ ]&&[^\w\s.,!?;:'\"-]]", " "),
         (r"([.,!?;:])\1+", "$1"),
         (r" +", " "),
     ])

@@ -10,7 +10,8 @@ from lexmill.functions import patterns as rx
 
 _LATIN = ["en", "es", "fr", "de"]
 _OTHER = [lang for lang in lx.LANGUAGE_SIGNATURES if lang not in _LATIN]
-_NON_LETTERS = "[[^a-z]&&[" + rx.SPACE_SET + "".join("\\" + c if not c.isalnum() else c for c in lx.NON_LETTERS) + "]]+"
+#: Runs of what counts as a letter: anything but white space and the listed characters.
+_LETTERS = "[a-z[^" + rx.SPACE_SET + "".join("\\" + c if not c.isalnum() else c for c in lx.NON_LETTERS) + "]]++"
 
 
 def _signature_scores(low: Column, n: Column, languages: list[str]) -> Column:
@@ -83,7 +84,7 @@ def detect_language(text: Column | str, min_length: int = 100) -> Column:
     def lettered(t: Column) -> Column:
         return rx.let(F.lower(t), lambda low: rx.bind(
             {"t": t, "low": low, "other": t.rlike(r"[\x{0400}-\x{FFFF}]"),
-             "n": F.length(F.regexp_replace(low, _NON_LETTERS, ""))}, scored))
+             "n": F.length(low) - F.length(F.regexp_replace(low, _LETTERS, ""))}, scored))
 
     return rx.let(
         F.coalesce(rx.as_col(text), F.lit("")),

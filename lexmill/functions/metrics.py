@@ -163,7 +163,7 @@ def noise_analysis(
     def measure(s: Column) -> Column:
         n = F.length(s["sample"])
         head = F.substring(s["sample"], 1, 2000) if sampled else s["sample"]
-        symbols = rx.count_matches(head, rx.SYMBOL)
+        symbols = rx.count_symbols(head)
         return rx.bind({
             "t": s["t"], "sample": s["sample"], "head": head,
             "html": html_ratio(s["sample"], n),

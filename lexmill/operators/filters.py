@@ -38,7 +38,7 @@ def remove_remnants(text: Column | str) -> Column:
     interface = "|".join(f"(?:{rule})" for rule, _ in lx.PATTERN_FILTER_BOILERPLATE)
 
     def keep(line: Column) -> Column:
-        symbols = F.regexp_count(line, F.lit(rx.SYMBOL))
+        symbols = rx.count_symbols(line)
         return (line != "") & (symbols / F.length(line) <= 0.3) & ~rx.matches(line, interface, ignore_case=True)
 
     return F.array_join(F.filter(F.transform(tokens.lines(cleaned), rx.strip), keep), "\n")

@@ -95,7 +95,7 @@ def line_profile(df: DataFrame, by: list[str] | None = None, text: str = "text")
         # A 128-bit digest stands for the line; lines themselves do not travel.
         return F.struct(
             F.when(line != "", F.lit(_LINE)).otherwise(F.lit(_BLANK)).alias("kind"), *digest(line), F.length(line).alias("chars"),
-            F.regexp_count(line, F.lit(rx.NON_SPACE + "+")).alias("words"), F.regexp_count(line, F.lit(rx.SYMBOL)).alias("symbols"),
+            F.regexp_count(line, F.lit(rx.NON_SPACE + "+")).alias("words"), rx.count_symbols(line).alias("symbols"),
             malformed.cast("int").alias("malformed"))
 
     def of_word(word: Column) -> Column:
