@@ -6,9 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks import sqltext as s
+from checks.jobs import _PAGES as PAGES
 from checks.registry import query, table, texts
 from lexmill.operators.sampling import ratio_split
 from lexmill.operators.scratch import new_folder
+from lexmill.plans import jobs
 from lexmill.operators.vocabulary import build_vocabulary, read_vocabulary, write_vocabulary
 from lexmill.sources import sinks
 from lexmill.sources import text as tx
@@ -217,3 +219,41 @@ def labelled_folder(spark: SparkSession, sf: str) -> DataFrame:
             fs.rename(status.getPath(), path(f"{folder}/label={label}/part{i}_class_{label}_.txt"))
     files = tx.read_labelled_directory(spark, folder)
     return files.select(F.explode(F.split("text", "\n")).alias("line"), "label").where("line <> ''").select(F.col("line").cast("long").alias("doc_id"), "label")
+
+
+# The archive job from archives to a dataset on disk: every document once, four fifths in the train part, counts in the metadata.
+@query(f"""WITH {PAGES}, {s.quality_cte('pd', 'page_id', 'x')},
+k AS (SELECT key AS page_id, text AS t FROM (SELECT *, {s.FILTER_REASON} AS r FROM quality) WHERE r IS NULL),
+c AS (SELECT * FROM (SELECT page_id, {s.clean_deep('t')} AS text FROM k) WHERE length(text) > 100)
+SELECT url, text, floor((SELECT count(*) FROM c) * 0.8)::BIGINT AS train, (SELECT count(*) FROM c) AS total, true AS exact FROM c JOIN pages USING (page_id)""")
+def archive_job(spark: SparkSession, sf: str) -> DataFrame:
+    folder = new_folder(spark)
+    write_warc(table(spark, sf, "pages"), f"{folder}/in", content="html")
+    written = jobs.build_dataset_from_archives(spark, f"{folder}/in", f"{folder}/out")
+    meta = spark.read.json(f"{folder}/out/metadata").select(F.struct("train", "total").alias("m")).scalar()
+    exact = written.agg((F.count_if(F.col("split") == "train") == F.floor(F.count("*") * 0.8)).alias("e")).scalar()
+    return written.withColumn("m", meta).select("url", "text", "m.train", "m.total", exact.alias("exact"))
+
+
+# The folder job from text files, one for each document, to metrics, summary and dataset on disk.
+@query("""SELECT doc_id, length(text) + 1 AS length, length(text) + 1 >= 100 AS kept,
+ (SELECT count(*) FROM documents) AS texts, (SELECT count(*) - ceil(count(*) * 0.2) FROM documents WHERE length(text) + 1 >= 100)::BIGINT AS train FROM documents""")
+def folder_job(spark: SparkSession, sf: str) -> DataFrame:
+    folder = new_folder(spark)
+    table(spark, sf, "documents").select("doc_id", F.col("text").alias("value")).repartition("doc_id").write.partitionBy("doc_id").text(f"{folder}/parts")
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    fs = path(folder).getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.mkdirs(path(f"{folder}/in"))
+    for status in fs.listStatus(path(f"{folder}/parts")):
+        name = status.getPath().getName()
+        if name.startswith("doc_id="):
+            part = next(x for x in fs.listStatus(status.getPath()) if x.getPath().getName().startswith("part"))
+            fs.rename(part.getPath(), path(f"{folder}/in/{name.removeprefix('doc_id=')}.txt"))
+    written = jobs.text_folder_dataset(spark, f"{folder}/in", f"{folder}/out")
+    doc = lambda c: F.regexp_extract(c, "([0-9]+)[.]txt", 1).cast("long").alias("doc_id")
+    metrics = spark.read.csv(f"{folder}/out/text_quality_metrics", header=True).select(doc("path"), F.col("length").cast("long").alias("length"))
+    texts_ = spark.read.json(f"{folder}/out/summary").select("total_texts").scalar()
+    train = written.agg(F.count_if(F.col("split") == "train").alias("t")).scalar()
+    kept = written.select(doc("path"), F.lit(True).alias("kept"))
+    return metrics.join(kept, "doc_id", "left").select(
+        "doc_id", "length", F.coalesce("kept", F.lit(False)).alias("kept"), texts_.alias("texts"), train.alias("train"))
