@@ -131,9 +131,22 @@ def kmeans_profile(spark: SparkSession, sf: str) -> DataFrame:
     return _assigned(chosen, 5).withColumn("best_of_all", F.lit(best)).withColumn("near_own_centre", near)
 
 
-@query("SELECT count(*) AS n, count(*) AS assigned, true AS several FROM documents")
+# Texts of one cluster share more words with their own centre than with the centre of all: a label dealt out
+# by chance would not tell them apart.
+@query("SELECT count(*) AS n, count(*) AS assigned, true AS several, true AS apart FROM documents")
 def text_pseudo_labels(spark: SparkSession, sf: str) -> DataFrame:
-    return _assigned(m.pseudo_labels(texts(spark, sf), "doc_id"), 5)
+    from pyspark.ml.functions import vector_to_array
+
+    from lexmill.operators.vocabulary import tfidf_vectors
+
+    docs = texts(spark, sf)
+    labelled = materialized(m.pseudo_labels(docs, "doc_id").select("doc_id", "label"))
+    points = tfidf_vectors(docs, "doc_id").select("doc_id", vector_to_array("features").alias("x")).join(labelled, "doc_id")
+    cells = materialized(points.select("doc_id", "label", F.posexplode("x").alias("i", "v")))
+    # Variance inside the clusters against variance of all, added up over the terms.
+    total = cells.groupBy("i").agg((F.var_pop("v") * F.count("*")).alias("s")).agg(F.sum("s").alias("s")).select("s").scalar()
+    inside = cells.groupBy("label", "i").agg((F.var_pop("v") * F.count("*")).alias("s")).agg(F.sum("s").alias("s")).select("s").scalar()
+    return _assigned(labelled, 5).withColumn("apart", inside < 0.99 * total)
 
 
 # Projected values are centred, and the first component varies most.
@@ -189,18 +202,22 @@ def classifier_selection(spark: SparkSession, sf: str) -> DataFrame:
 
 
 # From saved model, label table and texts to classes with their probabilities.
-@query("SELECT count(*) AS n, count(*) AS sound, count(*) AS named FROM documents")
+@query("SELECT count(*) AS n, count(*) AS sound, count(*) AS named, true AS better FROM documents")
 def predict_texts(spark: SparkSession, sf: str) -> DataFrame:
     train, _, index = _split_by_label(spark, sf)
     folder = new_folder(spark)
     model = m.train_text_classifier(sampling.encode_labels(train, index), 2, features=256, max_iter=8, kind="logistic")
     m.save_model(model, f"{folder}/model")
     index.write.parquet(f"{folder}/labels")
-    found = jobs.predict_texts(texts(spark, sf), f"{folder}/model", f"{folder}/labels")
+    found = materialized(jobs.predict_texts(texts(spark, sf), f"{folder}/model", f"{folder}/labels"))
+    # Classes of the labelled texts are right more often than the commonest label.
+    known = found.join(table(spark, sf, "labels").select("doc_id", F.col("quality").cast("string").alias("q")), "doc_id")
+    right = known.agg(F.avg((F.col("class") == F.col("q")).cast("int")).alias("a")).select("a").scalar()
+    commonest = known.groupBy("q").agg(F.count("*").alias("c")).agg((F.max("c") / F.sum("c")).alias("s")).select("s").scalar()
     total = F.aggregate("probabilities", F.lit(0.0), lambda s, p: s + p)
     return found.agg(
         F.count("*").alias("n"), F.count_if((F.abs(total - 1) < 1e-6) & (F.col("confidence") >= 0.5)).alias("sound"),
-        F.count_if(F.col("class").isin("0", "1")).alias("named"))
+        F.count_if(F.col("class").isin("0", "1")).alias("named")).withColumn("better", right > commonest)
 
 
 # Languages told by learned embeddings and dense layers, trained epoch by epoch.  A constant answer would

@@ -113,7 +113,8 @@ def with_hash_rank(
     """Add the exact 1-based rank in hash-key order, overall or per group.
 
     Rank = rows in earlier buckets + position inside the bucket.  Each window
-    partition is one bucket, an even 1/65,536 of the group.
+    partition is one bucket, an even 1/65,536 of the group.  Whole rows move once, dealt out by
+    group and bucket for the window and the join alike; give it few columns where texts need no rank.
     """
     keyed = df.withColumn("_key", key).withColumn("_bucket", F.substring("_key", 1, BUCKET_DIGITS))
     offsets = _bucket_offsets(keyed.select(*groups, "_bucket"), groups).drop("_n")
@@ -147,5 +148,8 @@ def ordered_ranks(df: DataFrame, order: Sequence[str], out: str = "rank") -> Dat
 
 
 def with_ordered_rank(df: DataFrame, order: Sequence[str], out: str = "rank") -> DataFrame:
-    """Add the exact 1-based rank in the order of the columns, which identify the rows."""
+    """Add the exact 1-based rank in the order of the columns, which identify the rows.
+
+    Only the order columns are sorted; whole rows move once, to meet their rank.
+    """
     return join_on(df, ordered_ranks(df, order, out), order)
