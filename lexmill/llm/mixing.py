@@ -108,9 +108,13 @@ def mix(
     share: float = PRODUCTION_SHARE,
     seed: int = 42,
     out: Sequence[str] = ("size", "source_size", "target", "taken", "position"),
+    readings: str | None = None,
 ) -> DataFrame:
     """The documents in training order, with five more columns named by ``out``.
 
+    ``readings`` names a sixth: the times of all readings of the document, first and second, so that
+    a source that is read twice can be placed twice.
+
     ``size``: words of the text unless a column is given; ``source_size`` and
     ``target``: see ``source_targets``; ``taken``: words that the mix reads from the
     document; ``position``: time of its first reading, from 0 to 1, null if it is not
@@ -153,14 +157,22 @@ def mix(
     goal = F.round(target).cast("long")
     reading = lambda turn: F.greatest(F.lit(0), F.least(n, goal - start - turn * total))
     taken = sum((reading(turn) for turn in range(1, MAX_REPEATS)), reading(0))
-    demand = start / F.nullif(target, F.lit(0.0))
-    position = None
-    for i, schedule in enumerate(schedules):
-        at = F.pmod("_mix_place", F.lit(len(schedules))) == i
-        value = let(demand, _inverse(schedule))
-        position = F.when(at, value) if position is None else position.when(at, value)
+
+    def time_of(turn: int) -> Column:
+        """When a reading begins: the share of the source's demand before it, turned into time."""
+        demand, found = (start + turn * total) / F.nullif(target, F.lit(0.0)), None
+        for i, schedule in enumerate(schedules):
+            at = F.pmod("_mix_place", F.lit(len(schedules))) == i
+            value = let(demand, _inverse(schedule))
+            found = F.when(at, value) if found is None else found.when(at, value)
+        return found
+
+    position, more = time_of(0), []
+    if readings is not None:
+        times = F.array(*[F.when(reading(turn) > 0, time_of(turn)) for turn in range(MAX_REPEATS)])
+        more = [F.array_compact(times).alias(readings)]
     result = joined.select(
-        *[F.col(f"`{c}`") for c in docs.columns if c not in out],
+        *[F.col(f"`{c}`") for c in docs.columns if c not in out and c != readings],
         n.alias(out[0]), total.alias(out[1]), target.alias(out[2]), taken.cast("long").alias(out[3]),
-        F.when(taken > 0, position).alias(out[4]), F.col("_mix_key"))
+        F.when(taken > 0, position).alias(out[4]), *more, F.col("_mix_key"))
     return result.orderBy(F.col(out[4]).asc_nulls_last(), "_mix_key").drop("_mix_key")

@@ -3,6 +3,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from lexmill.llm.mixing import Schedule, mix
 
@@ -75,3 +76,21 @@ def test_empty_tables(spark):
     assert mix(df).count() == 0
     only = spark.createDataFrame([(1, "", None), (2, None, None)], "doc_id long, text string, source string")
     assert [(x.target, x.taken, x.position) for x in mix(only).collect()] == [(0.0, 0, None)] * 2
+
+
+def test_all_readings_have_a_time(spark):
+    rows = rows_of(2)
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, taken int").withColumn("a.b", F.lit(1))
+    got = mix(df, weights=(1.0, 50.0), readings="times").collect()
+    assert got[0].__fields__[-1] == "times" and "a.b" in got[0].__fields__
+    twice = 0
+    for x in got:
+        assert len(x.times) == (x.taken > 0) + (x.taken > x.size)
+        assert x.times == sorted(x.times) and all(0 <= t <= 1 for t in x.times) and x.times[:1] == [x.position] * (x.taken > 0)
+        twice += len(x.times) == 2
+    assert twice
+    # All first readings of a source stand before its second ones.
+    for s in {x.source for x in got}:
+        mine = [x for x in got if x.source == s and x.times]
+        second = [x.times[1] for x in mine if len(x.times) == 2]
+        assert not second or max(x.times[0] for x in mine) <= min(second) + 1e-9
