@@ -71,3 +71,18 @@ def test_documents_blocks_and_odd_rows(spark, words):
     assert decontaminate(docs, bench).where("doc_id = 8").first().text == texts[8]
     assert find_contamination(docs.limit(0), bench).count() == 0
     assert find_contamination(docs, bench.limit(0)).where("contamination.n_hit > 0").count() == 0
+
+
+def test_very_long_document_and_dotted_names(spark, words):
+    item = words(1, 30)
+    body = words(9, 60_000)
+    long = " ".join([*body[:59_000], *item, *body[59_000:]])
+    rows = [(1, long, 1, 2), (2, long + " " + " ".join(item * 200), 1, 2), (None, " ".join(item), 1, 2)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, `a.b` int, a int")
+    bench = spark.createDataFrame([(1, " ".join(item))], "item_id long, text string")
+    found = {x.doc_id: x.contamination for x in find_contamination(docs, bench).collect()}
+    assert (found[1].n_words, found[1].n_hit, found[1].contaminated) == (60_030, 30, False)
+    assert (found[2].n_hit, found[2].contaminated) == (6030, True) and found[None].contaminated
+    kept = decontaminate(docs, bench, max_run=10)
+    assert kept.columns == docs.columns
+    assert [(x.doc_id, len(x.text.split())) for x in kept.collect()] == [(1, 60_000)]

@@ -79,3 +79,32 @@ def test_repeated_rows_and_cut_text(spark):
     assert len(found) == 3 and sum(x.n_removed == x.n_bytes for x in found) == 2
     cut = spark.createDataFrame([("aébc", [(2, 4)]), ("abc", []), (None, [])], "text string, spans array<struct<start:int,stop:int>>")
     assert [x.c for x in cut.select(suffixes.remove_spans("text", "spans").alias("c")).collect()] == ["ac", "abc", None]
+
+
+def test_texts_longer_than_a_part(spark):
+    """Texts are read in parts of half a megabyte; passages inside, across and far from the cuts are found alike."""
+    from lexmill.llm.anchors import PART
+
+    r = random.Random(11)
+    passage = "".join(r.choices("abcdefgh ", k=700))
+    letters = "".join(r.choices("abcdefghijklmnop ", k=2 * PART + 40_000))
+    long = list(letters)
+    for at in (1000, PART - 350, PART + 5000, 2 * PART - 10):
+        long[at:at + 700] = passage
+    texts = ["".join(long), "x" + passage[100:650] + "y", letters[PART - 300:PART + 300], "short"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {x.doc_id: x for x in suffixes.find_repeats(df).collect()}
+    length, where = suffixes.LENGTH, {}
+    raw = [t.encode() for t in texts]
+    for d, x in enumerate(raw):
+        for i in range(len(x) - length + 1):
+            where.setdefault(hash(x[i:i + length]), []).append((d, i))
+    hit = [np.zeros(len(x), bool) for x in raw]
+    for places in where.values():
+        if len(places) > 1:
+            for d, i in places:
+                hit[d][i:i + length] = True
+    for d, (x, h) in enumerate(zip(raw, hit)):
+        kept = bytes(np.frombuffer(x, np.uint8)[~h])
+        assert (got[d].n_removed, got[d].kept_sha256) == (int(h.sum()), hashlib.sha256(kept).hexdigest()), d
+    assert got[0].n_spans >= 4 and got[1].n_removed == 550
