@@ -12,6 +12,8 @@ from lexmill.llm.words import column, let, word_count
 
 #: Hexadecimal digits of the order key that make a bucket: 65,536 buckets in a source.
 BUCKET_DIGITS = 4
+#: Of these, digits that make a block of buckets.
+BLOCK_DIGITS = 2
 #: A document may be read so often.
 MAX_REPEATS = 2
 
@@ -144,9 +146,13 @@ def mix(
     rows = rows.withColumn("_mix_bucket", F.substring("_mix_key", 1, BUCKET_DIGITS)).withColumn("_mix_group", group)
     counted = rows.groupBy(F.col(source).alias("_mix_source"), "_mix_group", "_mix_bucket").agg(F.sum("_mix_size").alias("n"))
     targets = source_targets(counted, "_mix_source", "n", weights, share)
-    # At most 16 ** BUCKET_DIGITS rows per source, however many documents.
-    upto = Window.partitionBy("_mix_group").orderBy("_mix_bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    starts = counted.withColumn("_mix_before", F.sum("n").over(upto) - F.col("n")).drop("n")
+    # In two steps, so that no task adds up more than the buckets of one block or the blocks of one source.
+    upto = lambda *keys: Window.partitionBy(*keys).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    counted = counted.withColumn("_mix_block", F.substring("_mix_bucket", 1, BLOCK_DIGITS))
+    blocks = counted.groupBy("_mix_group", "_mix_block").agg(F.sum("n").alias("_mix_n"))
+    blocks = blocks.withColumn("_mix_ahead", F.sum("_mix_n").over(upto("_mix_group").orderBy("_mix_block")) - F.col("_mix_n")).drop("_mix_n")
+    starts = counted.withColumn("_mix_before", F.sum("n").over(upto("_mix_group", "_mix_block").orderBy("_mix_bucket")) - F.col("n")).drop("n")
+    starts = starts.join(blocks, ["_mix_group", "_mix_block"]).withColumn("_mix_before", F.col("_mix_before") + F.col("_mix_ahead"))
     starts = starts.join(
         targets, F.col("_mix_source").eqNullSafe(F.col("source"))
     ).select("_mix_group", "_mix_bucket", "_mix_before", F.col("source_size").alias("_mix_total"), F.col("target").alias("_mix_target"), F.col("place").alias("_mix_place"))
