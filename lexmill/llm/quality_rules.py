@@ -25,6 +25,8 @@ class Limits:
     #: A line is boilerplate of a host if more than this share of its distinct documents has it, and at least so many.
     line_share: tuple[int, int] = (5, 100)
     line_documents: int = 20
+    #: So many distinct documents are enough on any host, however small their share; none by default.
+    line_documents_enough: int | None = None
     #: A document is depleted if boilerplate lines hold more than this share of its words, or leave under ``min_words``.
     depleted_share: tuple[int, int] = (50, 100)
 
@@ -105,8 +107,10 @@ def frequent_lines(docs: DataFrame, host: str, text: str = "text", limits: Limit
     texts = F.xxhash64(F.coalesce(F.col(text), F.lit("")))
     sizes = docs.groupBy(F.col(host).alias("_in")).agg(F.count_distinct(texts).alias("_all"))
     part, whole = limits.line_share
-    return counts.join(sizes, F.col("_host").eqNullSafe(F.col("_in"))).where(
-        whole * F.col("documents") > part * F.col("_all")).select("_host", "line", "documents")
+    often = whole * F.col("documents") > part * F.col("_all")
+    if limits.line_documents_enough is not None:
+        often = often | (F.col("documents") >= limits.line_documents_enough)
+    return counts.join(sizes, F.col("_host").eqNullSafe(F.col("_in"))).where(often).select("_host", "line", "documents")
 
 
 def boilerplate(docs: DataFrame, key: str, host: str, text: str = "text", limits: Limits = Limits()) -> DataFrame:

@@ -139,7 +139,8 @@ def token_counts(text: Column | str, vocabulary: Vocabulary, limit_bytes: int =
     """struct(n_words, n_tokens, n_chars): words and greedy word pieces of the whole text.
 
     Texts are put in lower case and cut into words by ``WORDS``.  Null and empty
-    texts count zero.  The automaton travels with the task; ``limit_bytes`` bounds
+    texts count zero, texts of any length are read whole, equal texts count alike, and a
+    table without rows gives none; other columns may have any names.  The automaton travels with the task; ``limit_bytes`` bounds
     the pieces of the vocabulary, beyond which it is refused, since a vocabulary is
     fixed while the corpus grows.
     """

@@ -40,7 +40,8 @@ def plain_kept(rows, limits):
         gone = sum(
             len(WORD.findall(x)) for x in (text or "").split("\n") if WORD.search(x)
             and len(holders[host, normal(x)]) >= limits.line_documents
-            and 100 * len(holders[host, normal(x)]) > limits.line_share[0] * len(hosts[host]))
+            and (100 * len(holders[host, normal(x)]) > limits.line_share[0] * len(hosts[host])
+                 or len(holders[host, normal(x)]) >= (limits.line_documents_enough or len(rows) + 1)))
         out.append((gone, not failed and not (gone > 0 and (2 * gone > n or n - gone < 20))))
     return out
 
@@ -62,7 +63,8 @@ def corpus(words):
     return rows
 
 
-@pytest.mark.parametrize("limits", [Limits(), Limits(line_documents=5, line_share=(4, 100))])
+@pytest.mark.parametrize("limits", [
+    Limits(), Limits(line_documents=5, line_share=(4, 100)), Limits(line_documents=5, line_share=(90, 100), line_documents_enough=12)])
 def test_verdicts_match_plain_counts(spark, words, limits):
     rows = corpus(words)
     df = spark.createDataFrame([(*x, "k") for x in rows], "doc_id long, source string, text string, kept string").repartition(3)
