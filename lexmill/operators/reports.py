@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 from lexmill.functions import patterns as rx
 from lexmill.functions import tokens
 from lexmill.functions.metrics import TEXT_METRICS, composite_score, sentence_length_score
-from lexmill.operators.ranking import join_on
 
 
 def quality_report(scored: DataFrame) -> DataFrame:

@@ -112,23 +112,27 @@ def directory_label(filename: Column, parent: Column, root_name: str, position:
     return F.coalesce(from_name, from_folder, F.pmod(position, F.lit(2)))
 
 
+def _text_files_of(spark: SparkSession, root: str) -> tuple[str, bool] | None:
+    """The pattern of the text files of a folder and whether to look below it: the first kind that has any; one listing."""
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(root)
+    qualified = jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(jvm_path).toString()
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root).select("path")
+    kinds = [(ext, deep) for ext in (".txt", ".text", ".md", ".csv", ".json") for deep in (False, True)]
+    top = F.regexp_replace("path", "/[^/]*$", "") == qualified
+    found = listed.agg(*[F.count_if(F.col("path").endswith(ext) & (F.lit(deep) | top)).alias(f"n{i}") for i, (ext, deep) in enumerate(kinds)]).first()
+    return next(((f"*{ext}", deep) for (ext, deep), n in zip(kinds, found, strict=True) if n), None)
+
+
 def read_labelled_directory(spark: SparkSession, path: str) -> DataFrame:
     """(filename, text, label) of the text files of a folder.
 
     Looks for ``*.txt`` in the folder, then below it, then for other text
     extensions; blank files are left out.
     """
-    files = None
-    for pattern, recursive in [
-        ("*.txt", False), ("*.txt", True),
-        *[(f"*{ext}", deep) for ext in (".text", ".md", ".csv", ".json") for deep in (False, True)],
-    ]:
-        files = read_text_files(spark, path, pattern, recursive)
-        if not files.isEmpty():
-            break
-    else:
+    chosen = _text_files_of(spark, path)
+    if chosen is None:
         raise ValueError(f"no text files under {path}")
-    files = files.where(rx.strip(F.col("text")) != "")
+    files = read_text_files(spark, path, *chosen).where(rx.strip(F.col("text")) != "")
     root_name = path.rstrip("/").rsplit("/", 1)[-1]
     parent = F.element_at(F.split("path", "/"), -2)
     ranked = with_ordered_rank(files, ["path"], "_rank")

@@ -304,6 +304,16 @@ def test_labelled_directory(spark, tmp_path):
         (nested / d / "t.txt").write_text(d)
     rows = tx.read_labelled_directory(spark, str(nested)).collect()
     assert len(rows) == 2 and all(r["label"] in (0, 1) for r in rows)
+    other = tmp_path / "other"
+    (other / "sub").mkdir(parents=True)
+    (other / "sub" / "a_class_7_.md").write_text("below")
+    (other / "b.json").write_text("{}")
+    assert [tuple(r) for r in tx.read_labelled_directory(spark, str(other) + "/").collect()] == [("a_class_7_.md", "below", 7)]
+    (other / "c.md").write_text("beside")
+    assert [r["filename"] for r in tx.read_labelled_directory(spark, str(other)).collect()] == ["c.md"]
+    (tmp_path / "empty").mkdir()
+    with pytest.raises(ValueError):
+        tx.read_labelled_directory(spark, str(tmp_path / "empty"))
 
 
 def test_crawl_snapshots(spark, tmp_path):
