@@ -71,7 +71,11 @@ def _filesystem(path: str):
     return fs.LocalFileSystem(), path
 
 
-def _list_archives(path: str, pattern: str, recursive: bool) -> list[str]:
+def _archive_sizes(path: str, pattern: str, recursive: bool) -> list[tuple[str, int, int]]:
+    """(path, bytes, time of change in nanoseconds) of the archives, in the order of their paths; one listing a folder.
+
+    Names below the folder that begin with ``_`` or ``.`` are hidden, such as what a writer has not committed.
+    """
     from pyarrow import fs
 
     path = _plain(path)
@@ -81,28 +85,19 @@ def _list_archives(path: str, pattern: str, recursive: bool) -> list[str]:
     if info.type == fs.FileType.File:
         if not root.lower().endswith(EXTENSIONS):
             raise ValueError(f"not a .warc or .warc.gz file: {path}")
-        return [path]
+        return [(path, info.size, info.mtime_ns)]
     if info.type != fs.FileType.Directory:
         raise ValueError(f"no such file or directory: {path}")
     found = filesystem.get_file_info(fs.FileSelector(root, recursive=recursive))
+    shown = lambda p: not any(part[:1] in ("_", ".") for part in p[len(root):].strip("/").split("/"))
     return sorted(
-        scheme + f.path for f in found
-        if f.type == fs.FileType.File
+        (scheme + f.path, f.size, f.mtime_ns) for f in found
+        if f.type == fs.FileType.File and shown(f.path)
         and f.base_name.lower().endswith(EXTENSIONS)
         and fnmatch.fnmatch(f.base_name, pattern)
     )
 
 
-def _archive_sizes(path: str, pattern: str, recursive: bool) -> list[tuple[str, int, int]]:
-    """(path, bytes, time of change in nanoseconds) of the archives."""
-    found = []
-    for name in _list_archives(path, pattern, recursive):
-        filesystem, inner = _filesystem(name)
-        info = filesystem.get_file_info(inner)
-        found.append((name, info.size, info.mtime_ns))
-    return found
-
-
 class _MemberBytes(io.RawIOBase):
     """The contents of the gzip members from ``start`` on, up to the first at or after ``stop`` that begins with a record."""
 
@@ -381,7 +376,7 @@ class WarcReader(_Options, DataSourceReader):
     def partitions(self) -> list[InputPartition]:
         if self.ranges is not None:
             return [ArchiveRange(path, *r) for path, parts in self.ranges.items() for r in parts]
-        return [ArchiveRange(p) for p in _list_archives(self.path, self.pattern, self.recursive)]
+        return [ArchiveRange(p) for p, _, _ in _archive_sizes(self.path, self.pattern, self.recursive)]
 
 
 class WarcStreamReader(_Options, DataSourceStreamReader):

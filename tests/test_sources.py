@@ -145,6 +145,13 @@ def test_archives_are_written_and_committed(spark, tmp_path):
         assert back == {"http://a/1": b"<p>one</p>", "http://a/2": b"", "": b"x" * 2000}
     write_warc(df.limit(1), path, mode="append")
     assert read_warc(spark, path).count() == 4
+    # What a running job has not committed is not read.
+    os.mkdir(f"{path}/_writing-x")
+    with open(f"{path}/_writing-x/a.warc.gz", "wb") as f:
+        f.write(gzip.compress(response("http://a/9", b"x")))
+    assert read_warc(spark, path, recursive=True).count() == 4
+    os.remove(f"{path}/_writing-x/a.warc.gz")
+    os.rmdir(f"{path}/_writing-x")
     before = sorted(os.listdir(path))
     broken = df.withColumn("content", F.when(F.col("url") == "http://a/2", F.raise_error(F.lit("no"))).otherwise(F.col("content")))
     with pytest.raises(Exception):
