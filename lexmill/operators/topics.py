@@ -2,7 +2,8 @@
 
 A text that contains a topic contains each window of its bytes.  So every topic is filed under
 one window, the one that fewest topics share, and a text looks up only its own windows:
-the work follows the text and its hits, not the number of topics.
+the work follows the text and its hits, not the number of topics.  A small index
+reaches the tasks whole; beyond ``INDEX_BYTES`` topics and windows of texts meet in a join.
 """
 
 from __future__ import annotations
@@ -18,12 +19,19 @@ from lexmill.operators.scratch import materialized
 
 #: Window sizes; a topic is filed under one of the largest size that it holds.
 SIZES = (1, 2, 4, 8)
-#: Bytes of an index that a task holds; topics beyond it are looked for in several passes.
-INDEX_BYTES = 256 << 20
+#: Bytes of an index that the driver and a task hold; more topics are joined with the windows of the texts.
+INDEX_BYTES = 16 << 20
 #: Bytes that a topic takes beside its text.
 _ENTRY_BYTES = 40
 #: Bytes of a text whose windows are looked up at a time.
 PIECE = 1 << 20
+#: Windows are counted in 2 ** so many counters a size.
+COUNTER_BITS = 21
+_BLOCK = 1 << 16
+#: With a join, at most 2 ** so many bits tell which windows topics have; beyond that more windows pass that none has.
+FILTER_BITS = 28
+#: Windows of texts that a task hands on together.
+_WINDOW_ROWS = 1 << 18
 _SPREAD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -36,34 +44,76 @@ def _windows(raw: np.ndarray, size: int) -> np.ndarray:
     return out
 
 
-def _topic_windows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _slots(windows: np.ndarray, bits: int) -> np.ndarray:
+    return windows * _SPREAD >> np.uint64(64 - bits)
+
+
+def _topic_windows(topics: pd.Series) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+    """(size, topic, window, place), arrays but for the size: every window of the topics, by their sizes."""
+    raw = [t.encode("utf-8", "surrogatepass") for t in topics]
+    size = np.array([max(s for s in SIZES if s <= len(r)) for r in raw], np.int64)
+    count = np.array([len(r) for r in raw], np.int64) - size + 1
+    # All topics of one size as one text; windows that reach into the next topic are passed over.
+    for each in np.unique(size).tolist():
+        mine = np.flatnonzero(size == each)
+        joined = np.frombuffer(b"".join(raw[i] for i in mine.tolist()), np.uint8)
+        starts = np.cumsum(count[mine] + each - 1) - (count[mine] + each - 1)
+        at = np.arange(count[mine].sum()) - np.repeat(np.cumsum(count[mine]) - count[mine], count[mine])
+        yield each, np.repeat(mine, count[mine]), _windows(joined, each)[np.repeat(starts, count[mine]) + at], at
+
+
+def _count_windows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The counters of a task, in blocks of ``_BLOCK``."""
+    counts: dict[int, np.ndarray] = {}
     for batch in batches:
-        raw = [t.encode("utf-8", "surrogatepass") for t in batch["topic"]]
-        size = np.array([max(s for s in SIZES if s <= len(r)) for r in raw], np.int64)
-        count = np.array([len(r) for r in raw], np.int64) - size + 1
-        # All topics of one size as one text; windows that reach into the next topic are passed over.
-        for each in np.unique(size).tolist():
-            mine = np.flatnonzero(size == each)
-            joined = np.frombuffer(b"".join(raw[i] for i in mine.tolist()), np.uint8)
-            starts = np.cumsum(count[mine] + each - 1) - (count[mine] + each - 1)
-            at = np.arange(count[mine].sum()) - np.repeat(np.cumsum(count[mine]) - count[mine], count[mine])
-            grams = _windows(joined, each)[np.repeat(starts, count[mine]) + at]
-            yield pd.DataFrame({
-                "topic": batch["topic"].to_numpy()[np.repeat(mine, count[mine])], "size": np.int32(each),
-                "gram": grams.view(np.int64), "at": at.astype(np.int32)})
+        for size, _, grams, _ in _topic_windows(batch["topic"]):
+            total = counts.setdefault(size, np.zeros(1 << COUNTER_BITS, np.int64))
+            total += np.bincount(_slots(grams, COUNTER_BITS).astype(np.int64), minlength=len(total))
+    for size, total in counts.items():
+        blocks = [x.astype(np.int32).tobytes() for x in total.reshape(-1, _BLOCK)]
+        yield pd.DataFrame({"size": np.int32(size), "block": np.arange(len(blocks), dtype=np.int32), "n": blocks})
+
+
+def _add_counts(rows: pd.DataFrame) -> pd.DataFrame:
+    total = np.sum([np.frombuffer(n, np.int32) for n in rows["n"]], axis=0, dtype=np.int64)
+    return rows.head(1)[["size", "block"]].assign(n=np.minimum(total, np.iinfo(np.int32).max).astype(np.int32).tobytes())
+
+
+def _window_counts(topics: DataFrame) -> dict[int, np.ndarray]:
+    """By size: how many windows of topics fall to each of 2 ** ``COUNTER_BITS`` counters; no window has more than its counter."""
+    schema = "size int, block int, n binary"
+    rows = topics.mapInPandas(_count_windows, schema).groupBy("size", "block").applyInPandas(_add_counts, schema)
+    counts: dict[int, np.ndarray] = {}
+    for size, block, n in rows.collect():
+        counts.setdefault(size, np.zeros(1 << COUNTER_BITS, np.int32))[block * _BLOCK:(block + 1) * _BLOCK] = np.frombuffer(n, np.int32)
+    return counts
+
+
+def _rarest(counts):
+    """File each topic under the first of its windows with the least counter."""
+
+    def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for size, topic, grams, at in _topic_windows(batch["topic"]):
+                order = np.lexsort((at, counts.value[size][_slots(grams, COUNTER_BITS)], topic))
+                first = order[np.flatnonzero(np.diff(topic[order], prepend=-1))]
+                yield pd.DataFrame({
+                    "topic": batch["topic"].to_numpy()[topic[first]], "size": np.int32(size),
+                    "gram": grams[first].view(np.int64), "at": at[first].astype(np.int32)})
+
+    return rows
 
 
 def topic_keys(topics: DataFrame, topic: str = "topic") -> DataFrame:
     """(topic, size, gram, at): each distinct topic in lower case with its rarest window and where that starts, in bytes.
 
-    Null and empty topics are left out; of equally rare windows the first is taken.
+    Null and empty topics are left out; of equally rare windows the first is taken.  Windows
+    are counted by hash, in counters whose number is bounded, so topics move once and
+    windows never; where windows share a counter, another than the rarest may be taken.
     """
-    distinct = topics.select(F.lower(topic).alias("topic")).where(F.col("topic") != "").distinct()
-    grams = materialized(distinct.mapInPandas(_topic_windows, "topic string, size int, gram long, at int"))
-    # Counted before the shuffle, so a window that most topics have is no hot task.
-    counts = grams.groupBy("size", "gram").agg(F.count("*").alias("n"))
-    rarest = F.min(F.struct("n", "at", "gram", "size")).alias("k")
-    return grams.join(counts, ["size", "gram"]).groupBy("topic").agg(rarest).select("topic", "k.size", "k.gram", "k.at")
+    distinct = materialized(topics.select(F.lower(topic).alias("topic")).where(F.col("topic") != "").distinct())
+    counts = distinct.sparkSession.sparkContext.broadcast(_window_counts(distinct))
+    return distinct.mapInPandas(_rarest(counts), "topic string, size int, gram long, at int")
 
 
 class TopicIndex:
@@ -80,13 +130,9 @@ class TopicIndex:
             keys, starts = np.unique(grams[order], return_index=True)
             bits = max(10, int(np.ceil(np.log2(8 * len(keys)))))
             known = np.zeros(1 << bits, bool)
-            known[self._slots(keys, bits)] = True
+            known[_slots(keys, bits)] = True
             self.parts[int(size)] = keys, np.append(starts, len(grams)), rows.index.to_numpy()[order], bits, known
 
-    @staticmethod
-    def _slots(windows: np.ndarray, bits: int) -> np.ndarray:
-        return windows * _SPREAD >> np.uint64(64 - bits)
-
     def _candidates(self, raw: bytes) -> Iterator[tuple[int, int]]:
         """(topic, start): where a text has a topic's window."""
         for base in range(0, len(raw), PIECE):
@@ -95,7 +141,7 @@ class TopicIndex:
                 if len(piece) < size:
                     continue
                 windows = _windows(piece, size)[:PIECE]
-                places = np.flatnonzero(known[self._slots(windows, bits)])
+                places = np.flatnonzero(known[_slots(windows, bits)])
                 group = np.searchsorted(keys, windows[places])
                 group[group == len(keys)] = 0
                 hit = keys[group] == windows[places]
@@ -111,15 +157,84 @@ class TopicIndex:
                 yield t
 
 
-def topic_indexes(topics: DataFrame, topic: str = "topic", index_bytes: int = INDEX_BYTES) -> list:
-    """Shared indexes of the topics, none above ``index_bytes`` by its count and size of topics."""
-    keyed = materialized(topic_keys(topics, topic))
-    total = keyed.agg(F.sum(F.octet_length("topic") + _ENTRY_BYTES)).first()[0] or 0
-    blocks = -(-total // index_bytes)
-    part = F.pmod(F.xxhash64("topic"), F.lit(blocks))
-    share = keyed.sparkSession.sparkContext.broadcast
-    # Each part is bounded by the size just measured.
-    return [share(TopicIndex(keyed.where(part == i).toPandas())) for i in range(blocks)]
+def _index_bytes(keyed: DataFrame) -> int:
+    return keyed.agg(F.sum(F.octet_length("topic") + _ENTRY_BYTES)).first()[0] or 0
+
+
+def _shared_index(keyed: DataFrame):
+    """The index of topics whose size has been measured, for all tasks."""
+    return keyed.sparkSession.sparkContext.broadcast(TopicIndex(keyed.toPandas()))
+
+
+def _slot_number(gram: Column, bits: int) -> Column:
+    @F.pandas_udf("long")
+    def number(grams: pd.Series) -> pd.Series:
+        return pd.Series(_slots(grams.to_numpy(np.int64).view(np.uint64), bits).astype(np.int64) + 1)
+
+    return number(gram)
+
+
+def _known_windows(keyed: DataFrame) -> dict[int, tuple[int, np.ndarray]]:
+    """By size: a bit for each window that topics are filed under, 2 ** ``FILTER_BITS`` at most."""
+    known = {}
+    for size, n in keyed.groupBy("size").agg(F.count("*").alias("n")).collect():
+        bits = min(FILTER_BITS, max(15, (8 * n).bit_length()))
+        slots = keyed.where(F.col("size") == size).select(_slot_number(F.col("gram"), bits).alias("s"))
+        maps = slots.groupBy(F.bitmap_bucket_number("s").alias("b")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("s")).alias("m"))
+        bitmap = np.zeros(1 << bits - 3, np.uint8)
+        for b, m in maps.collect():
+            bitmap[(b - 1) * len(m):b * len(m)] = np.frombuffer(m, np.uint8)
+        known[size] = bits, bitmap
+    return known
+
+
+def _text_windows(known):
+    """(row, size, gram, place) of the windows of texts that topics may be filed under."""
+
+    def frame(parts: list[tuple]) -> pd.DataFrame:
+        count = [len(p[2]) for p in parts]
+        return pd.DataFrame({
+            "_row": np.repeat(np.array([p[0] for p in parts], np.int64), count), "size": np.repeat(np.array([p[1] for p in parts], np.int32), count),
+            "gram": np.concatenate([p[2] for p in parts]).view(np.int64), "place": np.concatenate([p[3] for p in parts])})
+
+    def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        parts, held = [], 0
+        for batch in batches:
+            for row, raw in zip(batch["_row"].tolist(), batch["_raw"], strict=True):
+                for base in range(0, len(raw), PIECE):
+                    piece = np.frombuffer(raw, np.uint8, min(len(raw) - base, PIECE + SIZES[-1] - 1), base)
+                    for size, (bits, bitmap) in known.value.items():
+                        if len(piece) < size:
+                            continue
+                        windows = _windows(piece, size)[:PIECE]
+                        slots = _slots(windows, bits)
+                        places = np.flatnonzero(bitmap[slots >> np.uint64(3)] >> (slots & np.uint64(7)).astype(np.uint8) & 1)
+                        parts.append((row, size, windows[places], places + base))
+                        held += len(places)
+                    if held > _WINDOW_ROWS:
+                        yield frame(parts)
+                        parts, held = [], 0
+        if held:
+            yield frame(parts)
+
+    return rows
+
+
+def _numbered_rows(df: DataFrame, text: str) -> DataFrame:
+    """The rows, written once, with a number ``_row`` and the bytes ``_raw`` of the text in lower case."""
+    raw = F.lower(F.col(f"`{text}`")).cast("binary")
+    return materialized(df.withColumn("_row", F.monotonically_increasing_id()).withColumn("_raw", raw))
+
+
+def _joined_topics(rows: DataFrame, keyed: DataFrame) -> DataFrame:
+    """(_row, topic) as often as met: windows of texts meet those of topics, and the text tells whether the whole topic is there."""
+    known = keyed.sparkSession.sparkContext.broadcast(_known_windows(keyed))
+    texts = rows.select("_row", "_raw").where("_raw is not null")
+    windows = texts.mapInPandas(_text_windows(known), "_row long, size int, gram long, place long")
+    begun = windows.join(keyed, ["size", "gram"]).select(F.col("_row").alias("r"), "topic", (F.col("place") - F.col("at")).cast("int").alias("start"))
+    whole = F.col("topic").cast("binary")
+    there = F.substring(F.col("_raw"), F.col("start") + 1, F.octet_length("topic")) == whole
+    return texts.join(begun.where("start >= 0"), (F.col("_row") == F.col("r")) & there).select("_row", "topic")
 
 
 def _has_topic(text: Column, index) -> Column:
@@ -144,35 +259,32 @@ def match_topic_table(
     """Rows whose text contains any topic of a table, ignoring case.
 
     Null and empty topics and null texts match nothing; repeated topics count once.  Rows
-    need no identity, and none is moved or repeated.  Topics whose index would exceed
-    ``index_bytes`` are looked for in several passes over the rows not matched yet,
-    which are written in between; the answer is the same.
+    need no identity, and none is repeated.  Topics whose index would exceed
+    ``index_bytes`` are joined with the windows of the texts, and the rows are
+    written once before; the answer is the same.
     """
-    flag, parts = "_has_topic", []
-    indexes = topic_indexes(topics, topic, index_bytes)
-    for index in indexes:
-        seen = df.withColumn(flag, _has_topic(F.col(f"`{text}`"), index))
-        seen = seen if len(indexes) == 1 else materialized(seen)
-        parts.append(seen.where(flag).drop(flag))
-        df = seen.where(f"not {flag}").drop(flag)
-    if not parts:
+    keyed = materialized(topic_keys(topics, topic))
+    total = _index_bytes(keyed)
+    if not total:
         return df.limit(0)
-    out = parts[0]
-    for more in parts[1:]:
-        out = out.union(more)
-    return out
+    if total <= index_bytes:
+        return df.where(_has_topic(F.col(f"`{text}`"), _shared_index(keyed)))
+    rows = _numbered_rows(df, text)
+    found = _joined_topics(rows, keyed).select("_row").distinct()
+    return rows.drop("_raw").join(found, "_row", "left_semi").drop("_row")
 
 
 def with_topics(
     df: DataFrame, topics: DataFrame, text: str = "text", topic: str = "topic", out: str = "topics", index_bytes: int = INDEX_BYTES,
 ) -> DataFrame:
     """Add the sorted array ``out`` of the topics, in lower case, that each text contains; empty where none is."""
-    indexes, names = topic_indexes(topics, topic, index_bytes), []
-    for i, index in enumerate(indexes):
-        names.append(f"_topics_{i}")
-        df = df.withColumn(names[-1], _topics_of(F.col(f"`{text}`"), index))
-        if len(indexes) > 1:
-            # A task holds one index at a time.
-            df = materialized(df)
-    none = F.array().cast("array<string>")
-    return df.withColumn(out, F.array_sort(F.concat(none, *names))).drop(*[n for n in names if n != out])
+    keyed, none = materialized(topic_keys(topics, topic)), F.array().cast("array<string>")
+    total = _index_bytes(keyed)
+    if not total:
+        return df.withColumn(out, none)
+    if total <= index_bytes:
+        return df.withColumn(out, F.array_sort(_topics_of(F.col(f"`{text}`"), _shared_index(keyed))))
+    rows = _numbered_rows(df, text)
+    found = _joined_topics(rows, keyed).groupBy("_row").agg(F.collect_set("topic").alias("_topics"))
+    joined = rows.drop("_raw").join(found, "_row", "left").drop("_row")
+    return joined.withColumn(out, F.array_sort(F.coalesce("_topics", none))).drop("_topics")

@@ -146,6 +146,21 @@ def test_topics_of_texts_equal_plain_search(spark, monkeypatch):
         assert sorted(x.id for x in kept.collect()) == [i for i, found in want.items() if found]
 
 
+def test_topics_beyond_an_index_never_reach_the_driver(spark, monkeypatch):
+    def refused(*_):
+        raise AssertionError("the topics came to the driver")
+
+    monkeypatch.setattr("lexmill.operators.topics.TopicIndex", refused)
+    monkeypatch.setattr("lexmill.operators.topics.FILTER_BITS", 15)
+    topics = spark.range(20_000).selectExpr("concat('topic ', id) AS topic")
+    rows = [(1, "No TOPIC 7 and topic 12345 topic 7"), (1, "No TOPIC 7 and topic 12345 topic 7"), (None, "topic"), (3, None), (4, "x" * 9 + "Topic 19999")]
+    docs = spark.createDataFrame(rows, "id int, text string")
+    got = sorted((x.id or 0, x.topics) for x in with_topics(docs, topics, index_bytes=1000).collect())
+    both = sorted(f"topic {n}" for n in (7, 1, 12, 123, 1234, 12345))
+    assert got == [(0, []), (1, both), (1, both), (3, []), (4, sorted(f"topic {n}" for n in (1, 19, 199, 1999, 19999)))]
+    assert sorted(x.id for x in match_topic_table(docs, topics, index_bytes=1000).collect()) == [1, 1, 4]
+
+
 def test_topics_are_filed_under_their_rarest_window(spark):
     table = spark.createDataFrame([("commonwaterfall",), ("commonwaterside",), ("commonwater",), ("xy",)], "topic string")
     keys = {x.topic: (x.size, x.at) for x in topic_keys(table).collect()}
