@@ -96,9 +96,14 @@ def text_quality(df: DataFrame, text: str = "text", key: str = "id") -> DataFram
 
 def text_folder_dataset(
     spark: SparkSession, folder: str, output: str, test_size: float = 0.2, min_chars: int = 100, seed: int = 42,
+    recursive: bool = False,
 ) -> DataFrame:
-    """Folder of text files -> quality metrics, split dataset, metadata and summary on disk."""
-    files = read_text_files(spark, folder).select("path", "filename", "text")
+    """Folder of text files -> quality metrics, split dataset, metadata and summary on disk.
+
+    The files, which may be small and many, are opened once.
+    """
+    found = read_text_files(spark, folder, recursive=recursive).select("path", "filename", "text")
+    files = materialized(found.repartition("path"))
     metrics = materialized(text_quality(files, key="path"))
     sinks.write_metrics_csv(metrics, f"{output}/text_quality_metrics")
     sinks.write_summary(metrics, f"{output}/summary")

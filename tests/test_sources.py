@@ -352,6 +352,26 @@ def test_text_folder_job(spark, tmp_path):
     assert summary["total_texts"] == 10
 
 
+def test_text_folder_job_looks_below_and_opens_files_once(spark, tmp_path, monkeypatch):
+    for i in range(10):
+        (tmp_path / f"in/doc={i}").mkdir(parents=True)
+        (tmp_path / f"in/doc={i}/part.txt").write_text(f"Document number {i} says that the weather is fine. " * (1 if i == 0 else 5))
+    whole = jobs.read_text_files
+
+    def emptied(*args, **options):
+        """Files that are gone once they have been read."""
+        files = whole(*args, **options)
+        kept = files.localCheckpoint()
+        for i in range(10):
+            (tmp_path / f"in/doc={i}/part.txt").unlink()
+        return kept
+
+    monkeypatch.setattr(jobs, "read_text_files", emptied)
+    written = jobs.text_folder_dataset(spark, str(tmp_path / "in"), str(tmp_path / "out"), recursive=True)
+    assert written.groupBy("split").count().orderBy("split").collect() == [("test", 2), ("train", 7)]
+    assert written.select("path").distinct().count() == 9
+
+
 def test_catalogue_and_incremental(spark, tmp_path):
     path = str(tmp_path / "cat")
     names = spark.createDataFrame([("a",), ("b",)], "name string")
