@@ -101,11 +101,10 @@ def texts_to_sequences_joined(
     The ``heavy_words`` commonest words of these texts, known or not, are looked up in place;
     of the others each text sends its distinct ones to meet the vocabulary, so no task
     gets the rows of a common word.  What they find comes back to the text as one small list.
-    Rows are matched by a hash of key and text (128 bits): null and repeated keys are safe.
+    Rows are written once with a number and matched by it: null and repeated keys are safe.
     """
     words = F.coalesce(tokens.whitespace_tokens(text) if length is None else first_tokens(text, length), F.array().cast("array<string>"))
-    identity = [F.xxhash64(key, text).alias("_k1"), F.xxhash64(text, F.lit(1), key).alias("_k2")]
-    rows = materialized(df.select(F.col(key).alias("_key"), *identity, words.alias("_words")))
+    rows = materialized(df.select(F.col(key).alias("_key"), F.monotonically_increasing_id().alias("_row"), words.alias("_words")))
     known = materialized(vocabulary.where(F.col("idx") > 1).select("word", "idx"))
     unknown = F.lit(1).cast("long")
     counts = rows.select(F.explode("_words").alias("word")).groupBy("word").agg(F.count("*").alias("n"))
@@ -113,11 +112,10 @@ def texts_to_sequences_joined(
     common = counts.orderBy(F.col("n").desc(), "word").limit(heavy_words).join(known, "word", "left")
     heavy = bucket_maps(materialized(common.select("word", F.coalesce("idx", unknown).alias("idx"))), "word", "idx").scalar()
     rows = rows.withColumn("_heavy", heavy)
-    rare = rows.select("_k1", "_k2", F.explode(rx.bind({"w": F.array_distinct("_words"), "h": F.col("_heavy")}, lambda s: F.filter(
+    rare = rows.select("_row", F.explode(rx.bind({"w": F.array_distinct("_words"), "h": F.col("_heavy")}, lambda s: F.filter(
         s["w"], lambda x: look_up(s["h"], x).isNull()))).alias("word"))
-    # A set, since equal rows send their words twice.
-    found = rare.join(known, "word").groupBy("_k1", "_k2").agg(F.collect_set(F.struct("word", "idx")).alias("_found"))
-    joined = rows.join(found, ["_k1", "_k2"], "left")
+    found = rare.join(known, "word").groupBy("_row").agg(F.collect_list(F.struct("word", "idx")).alias("_found"))
+    joined = rows.join(found, "_row", "left")
     listed = F.map_from_entries(F.coalesce("_found", F.array().cast("array<struct<word:string,idx:bigint>>")))
     sequence = rx.bind({"w": F.col("_words"), "h": F.col("_heavy"), "f": listed}, lambda s: F.transform(
         s["w"], lambda x: F.coalesce(look_up(s["h"], x), F.try_element_at(s["f"], x), unknown)))
