@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from checks import sqltext as s
@@ -14,7 +14,7 @@ from lexmill.operators.extraction import (
     pages_to_documents,
     with_extracted_text,
 )
-from lexmill.operators.scratch import new_folder
+from lexmill.operators.scratch import materialized, new_folder
 from lexmill.operators.topics import match_topic_table, with_topics
 from lexmill.sources.warc import read_warc, write_warc
 from lexmill.streaming.incremental import REPLACE, newest_versions, process_new_archives
@@ -126,15 +126,21 @@ def warc_errors(spark: SparkSession, sf: str) -> DataFrame:
     return records.where("error is not null").groupBy("error").agg(F.count("*").alias("n"))
 
 
-# One large archive of members, read in ranges by several tasks: the same records and numbers.
+# Archives of members, each with a range of the pages, read in ranges by several tasks: the same records, numbered on from archive to archive.
 @query("SELECT url, html AS text, true AS several, row_number() OVER (ORDER BY page_id) AS record_no FROM pages")
 def warc_ranges(spark: SparkSession, sf: str) -> DataFrame:
     folder = new_folder(spark)
     web = pages(spark, sf)
-    write_warc(web.repartitionByRange(1, "page_id").sortWithinPartitions("page_id"), folder, content="html")
+    write_warc(web.repartitionByRange("page_id").sortWithinPartitions("page_id"), folder, content="html")
     records = read_warc(spark, folder, split_bytes=200_000).withColumn("task", F.spark_partition_id())
-    tasks = records.agg((F.count_distinct("task") > 1).alias("b")).select("b").scalar()
-    return records.select("url", F.col("content").cast("string").alias("text"), tasks.alias("several"), "record_no")
+    counted = materialized(records.groupBy("warc_file", "task").agg(F.count("*").alias("n")))
+    tasks = counted.agg((F.count_distinct("task") > 1).alias("b")).select("b").scalar()
+    # One row for each archive from here on; their names are in the order of the ranges.
+    sizes = counted.groupBy("warc_file").agg(F.sum("n").alias("n"))
+    upto = Window.partitionBy(F.lit(0)).orderBy("warc_file").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select("warc_file", F.coalesce(F.sum("n").over(upto), F.lit(0)).alias("before"))
+    numbered = records.join(F.broadcast(starts), "warc_file")
+    return numbered.select("url", F.col("content").cast("string").alias("text"), tasks.alias("several"), (F.col("before") + F.col("record_no")).alias("record_no"))
 
 
 # Archives arrive in two parts; the stream processes each once.
