@@ -136,16 +136,21 @@ def kmeans_profile(spark: SparkSession, sf: str) -> DataFrame:
 @query("SELECT count(*) AS n, count(*) AS assigned, true AS several, true AS apart FROM documents")
 def text_pseudo_labels(spark: SparkSession, sf: str) -> DataFrame:
     from pyspark.ml.functions import vector_to_array
+    from pyspark.ml.stat import Summarizer
 
     from lexmill.operators.vocabulary import tfidf_vectors
 
     docs = texts(spark, sf)
     labelled = materialized(m.pseudo_labels(docs, "doc_id").select("doc_id", "label"))
-    points = tfidf_vectors(docs, "doc_id").select("doc_id", vector_to_array("features").alias("x")).join(labelled, "doc_id")
-    cells = materialized(points.select("doc_id", "label", F.posexplode("x").alias("i", "v")))
-    # Variance inside the clusters against variance of all, added up over the terms.
-    total = cells.groupBy("i").agg((F.var_pop("v") * F.count("*")).alias("s")).agg(F.sum("s").alias("s")).select("s").scalar()
-    inside = cells.groupBy("label", "i").agg((F.var_pop("v") * F.count("*")).alias("s")).agg(F.sum("s").alias("s")).select("s").scalar()
+    points = tfidf_vectors(docs, "doc_id").join(labelled, "doc_id")
+    # Variance inside the clusters against variance of all, added up over the terms; vectors stay sparse.
+    sums = materialized(points.groupBy("label").agg(F.count("*").alias("n"), Summarizer.metrics("sum", "normL2").summary(F.col("features")).alias("s")).select(
+        "label", "n", vector_to_array("s.sum").alias("s"), vector_to_array("s.normL2").alias("q")))
+    cells = sums.select("n", F.posexplode(F.arrays_zip("s", "q")).alias("i", "c")).select("i", "n", "c.s", (F.col("c.q") * F.col("c.q")).alias("q"))
+    around = lambda s_, n: F.sum("q") - F.sum(s_ * s_ / n)
+    inside = cells.agg(around(F.col("s"), F.col("n")).alias("v")).select("v").scalar()
+    whole = cells.groupBy("i").agg(F.sum("s").alias("s"), F.sum("q").alias("q"), F.sum("n").alias("n"))
+    total = whole.agg(around(F.col("s"), F.col("n")).alias("v")).select("v").scalar()
     return _assigned(labelled, 5).withColumn("apart", inside < 0.99 * total)
 
 
