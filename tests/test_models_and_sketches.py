@@ -50,6 +50,30 @@ def test_epochs_keep_the_best_and_stop(spark):
     assert constant.history.count() <= 3
 
 
+def test_embeddings_are_learned_by_several_tasks_and_bounded(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(m, "EMBEDDING_CHARS", 4000)
+    monkeypatch.setattr(m, "EMBEDDED_WORDS", 8)
+    docs = _talk(spark)
+    assert m.embedding_partitions(docs) > 1 and m.embedding_partitions(docs.limit(0)) == 1
+    model = m.train_text_classifier(docs, 2, embedding=8, max_iter=20)
+    assert model.stages[2].getNumPartitions() == m.embedding_partitions(docs)
+    assert model.stages[2].getVectors().count() <= 8
+    monkeypatch.setattr(m, "EMBEDDED_WORDS", 1 << 17)
+    model = m.train_text_classifier(docs, 2, embedding=8, max_iter=20)
+    m.save_model(model, str(tmp_path / "m"))
+    for each in (model, m.load_model(str(tmp_path / "m"))):
+        assert m.evaluate(m.predict(each, docs)).first()["accuracy"] > 0.9
+
+
+def test_selection_tokenizes_once(spark, monkeypatch):
+    seen = []
+    whole = m.materialized
+    monkeypatch.setattr(m, "materialized", lambda df: seen.append(df.columns) or whole(df))
+    best = m.select_text_classifier(_talk(spark), 2, iterations=(1, 8), features=64, kind="logistic")
+    assert seen == [["label_idx", "_tf"]] and len(best.validationMetrics) == 2
+    assert m.evaluate(m.predict(best.bestModel, _talk(spark))).first()["accuracy"] > 0.9
+
+
 def test_sketches_add_up(spark):
     r = random.Random(1)
     rows = [(i, r.choice(["a", "b", None]), "\n".join(r.choice(["x y", "y z", f"line {i}", ""]) for _ in range(r.randrange(1, 9)))) for i in range(300)]
