@@ -49,12 +49,11 @@ def clean_basic(text: Column | str, mode: str = "document") -> Column:
 
 def clean_special_chars(text: Column | str) -> Column:
     """Drop e-mail addresses, special characters and repeated punctuation."""
-    return rx.replace_chain(rx.replace_if(text, "@", _EMAIL), [
-        # Everything but words, white space and punctuation; ASCII letters are dismissed first.
-        (r"[[^a-zA-Z]&&[^ ]&&[^\w\s.,!?;:'\"-]]", " "),
+    return rx.single_blanks(rx.replace_chain(rx.replace_if(text, "@", _EMAIL), [
+        # Everything but words, white space and punctuation; letters, blanks and punctuation are dismissed first.
+        (rf"[[^{rx.LISTED} .,!?;:'\"\-]&&[^\w\s.,!?;:'\"-]]", " "),
         (r"([.,!?;:])\1+", "$1"),
-        (r" +", " "),
-    ])
+    ]))
 
 
 def _is_content_line(line: Column) -> Column:
@@ -127,6 +126,13 @@ def clean_cjk(text: Column | str, language: Column | str) -> Column:
     return rx.collapse_spaces(cleaned)
 
 
+def cjk_language(text: Column | str) -> Column:
+    """The language, null where the text has no signature character of zh, ja or ko and so is none of them."""
+    chars = "".join(ch for code in lx.CJK_LANGUAGES for ch in lx.LANGUAGE_SIGNATURES[code])
+    # The range dismisses other scripts at once.
+    return F.when(rx.as_col(text).rlike(rf"[\x{{3040}}-\x{{D7A3}}&&[{chars}]]"), detect_language(text)["language"])
+
+
 def clean_structure(text: Column | str) -> Column:
     """Drop document headers, rulers, a leading welcome and a trailing notice line.
 
@@ -168,13 +174,9 @@ def clean_text(
     t = rx.as_col(text)
     cleaned = clean_special_chars(clean_basic(t, mode))
     cleaned = drop_boilerplate_lines(drop_noise_lines(cleaned, mode), mode)
-    signature_chars = "".join(ch for code in lx.CJK_LANGUAGES for ch in lx.LANGUAGE_SIGNATURES[code])
 
     def finish(s: Column) -> Column:
-        # Only a text with a signature character of zh, ja or ko can be one of them.
-        # The range dismisses other scripts at once.
-        code = F.when(s["head"].rlike(rf"[\x{{3040}}-\x{{D7A3}}&&[{signature_chars}]]"), detect_language(s["head"])["language"])
-        body = rx.bind({"code": code, "x": s["x"]}, lambda b: F.when(
+        body = rx.bind({"code": cjk_language(s["head"]), "x": s["x"]}, lambda b: F.when(
             b["code"].isin(lx.CJK_LANGUAGES), clean_cjk(b["x"], b["code"])).otherwise(b["x"]))
         # In document mode no line feed and no '#' is left, so structure rules cannot apply.
         return clean_structure(body) if mode == "lines" else body

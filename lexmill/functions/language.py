@@ -8,8 +8,10 @@ from pyspark.sql import functions as F
 from lexmill.functions import lexicon as lx
 from lexmill.functions import patterns as rx
 
-_LATIN = ["en", "es", "fr", "de"]
-_OTHER = [lang for lang in lx.LANGUAGE_SIGNATURES if lang not in _LATIN]
+LATIN = ["en", "es", "fr", "de"]
+_OTHER = [lang for lang in lx.LANGUAGE_SIGNATURES if lang not in LATIN]
+#: Only a text with such a character can be of one of the others.
+BEYOND_LATIN = r"[\x{0400}-\x{FFFF}]"
 #: Runs of what counts as a letter: anything but white space and the listed characters.
 _LETTERS = "[a-z[^" + rx.SPACE_SET + "".join("\\" + c if not c.isalnum() else c for c in lx.NON_LETTERS) + "]]++"
 
@@ -46,7 +48,7 @@ def detect_language(text: Column | str, min_length: int = 100) -> Column:
     Texts under ``min_length`` characters, or without letters, are ``unknown``.
     Pass ``substring(text, 1, n)`` to identify by a prefix.
     """
-    codes = _LATIN + _OTHER
+    codes = LATIN + _OTHER
     scripts = list(lx.SCRIPT_OVERRIDES)
 
     def result(language: Column, confidence: Column, scores: Column | None) -> Column:
@@ -78,12 +80,12 @@ def detect_language(text: Column | str, min_length: int = 100) -> Column:
             s["other"],
             F.array(*[F.regexp_count(s["t"], F.lit(r)) for r in lx.SCRIPT_OVERRIDES.values()]),
         ).otherwise(F.array_repeat(F.lit(0), len(scripts)))
-        values = {"scores": F.concat(_signature_scores(s["low"], s["n"], _LATIN), others), "hits": hits}
+        values = {"scores": F.concat(_signature_scores(s["low"], s["n"], LATIN), others), "hits": hits}
         return F.when(s["n"] > 0, rx.bind(values, decide)).otherwise(unknown)
 
     def lettered(t: Column) -> Column:
         return rx.let(F.lower(t), lambda low: rx.bind(
-            {"t": t, "low": low, "other": t.rlike(r"[\x{0400}-\x{FFFF}]"),
+            {"t": t, "low": low, "other": t.rlike(BEYOND_LATIN),
              "n": F.length(low) - F.length(F.regexp_replace(low, _LETTERS, ""))}, scored))
 
     return rx.let(

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from lexmill.functions import lexicon as lx
 from lexmill.functions import patterns as rx
 from lexmill.functions import tokens
-from lexmill.functions.language import detect_language
+from lexmill.functions.language import BEYOND_LATIN, LATIN, detect_language
 
 INDICATORS = list(lx.QUALITY_WEIGHTS)
 QUALITY_COLUMNS = [
@@ -78,6 +78,24 @@ def quality_category(score: Column | str) -> Column:
     )
 
 
+def rules_may_differ(text: Column, low: Column) -> Column:
+    """False where no language has a rule of its own that the text meets, so that its language decides nothing.
+
+    Other than Latin scripts may do; the rules of languages in Latin script are tried.
+    """
+    found = [text.rlike(BEYOND_LATIN)]
+    for code in LATIN:
+        if code in lx.BOILERPLATE_BY_LANGUAGE:
+            found.append(rx.sum_guarded(text, low, rx.guarded_rules(lx.BOILERPLATE_BY_LANGUAGE[code]), once=True) > 0)
+        found += [rx.matches(text, r, multiline=True) for t in (lx.QUESTION_BY_LANGUAGE, lx.CHOICE_BY_LANGUAGE) for r in t.get(code, [])]
+    return rx.any_of(found)
+
+
+def word_stats(text: Column | str) -> Column:
+    """What :func:`quality` counts of the words of a text, to be passed to it; null for texts that it does not score."""
+    return rx.let(rx.as_col(text), lambda t: F.when(F.length(t) >= 10, _word_stats(t, F.lower(t))))
+
+
 def _word_stats(text: Column, low: Column) -> Column:
     """struct(n, distinct, top5, spelled): word count, distinct words, top-5 sum, words as spelled."""
     # lower() splits a word only at the dotted capital I; elsewhere both counts agree.
@@ -100,12 +118,14 @@ def _line_stats(text: Column) -> Column:
 
 def quality(
     text: Column | str, language: Column | str | None = None, columns: Sequence[str] = QUALITY_COLUMNS,
-    language_chars: int | None = None,
+    language_chars: int | None = None, words: Column | None = None,
 ) -> Column:
     """Struct of quality columns of a text; only what they need is computed.
 
     ``language`` is a column; without it a text is identified, by its first
-    ``language_chars`` characters only if that is given.  Texts under 10 characters get score 0 and nulls.
+    ``language_chars`` characters only if that is given, and only where its language is
+    asked for or decides about a rule.  ``words`` are the :func:`word_stats` of the text, if
+    known.  Texts under 10 characters get score 0 and nulls.
     """
     columns = list(columns)
     needs = set().union(*(_NEEDS[c] for c in columns))
@@ -161,7 +181,7 @@ def quality(
         t, low, lang = s["t"], s["low"], s["language"]
         b: dict[str, Column] = {"t": t, "language": lang}
         if "words" in needs:
-            b["words"] = _word_stats(t, low)
+            b["words"] = _word_stats(t, low) if words is None else s["counted"]
         if "lines" in needs:
             b["lines"] = _line_stats(t)
         if "boilerplate" in needs:
@@ -175,22 +195,28 @@ def quality(
         return rx.bind(b, finish)
 
     def start(s: Column) -> Column:
+        t = s["t"]
+        low = F.lower(t) if needs & {"words", "boilerplate"} else F.lit(None).cast("string")
+        return rx.bind({"t": t, "low": low, "given": s["given"], "counted": s["counted"]}, identified)
+
+    def identified(s: Column) -> Column:
         t = s["t"]
         if "language" not in needs:
             lang = F.lit(None).cast("string")
         elif language is None:
             lang = detect_language(t if language_chars is None else F.substring(t, 1, language_chars))["language"]
+            if "language" not in columns and "boilerplate" in needs:
+                lang = F.when(rules_may_differ(t, s["low"]), lang)
         else:
             lang = s["given"]
-        low = F.lower(t) if needs & {"words", "boilerplate"} else F.lit(None).cast("string")
-        return rx.bind({"t": t, "low": low, "language": lang}, blocks)
+        return rx.bind({"t": t, "low": s["low"], "language": lang, "counted": s["counted"]}, blocks)
 
     empty = F.struct(*[
         (F.lit(0.0) if c == "quality_score" else F.lit(None).cast(types.get(c, "double"))).alias(c) for c in columns
     ])
     given = F.lit(None).cast("string") if language is None else rx.as_col(language)
     return rx.bind(
-        {"t": rx.as_col(text), "given": given}, lambda s: F.when(F.length(s["t"]) >= 10, start(s)).otherwise(empty))
+        {"t": rx.as_col(text), "given": given, "counted": F.lit(None) if words is None else words}, lambda s: F.when(F.length(s["t"]) >= 10, start(s)).otherwise(empty))
 
 
 def with_quality(

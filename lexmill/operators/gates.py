@@ -7,9 +7,12 @@ from pyspark.sql import functions as F
 
 from lexmill.functions import lexicon as lx
 from lexmill.functions import patterns as rx
-from lexmill.functions.cleaning import clean_basic, clean_cjk, clean_text
+from lexmill.functions.cleaning import cjk_language, clean_basic, clean_cjk, clean_text
 from lexmill.functions.metrics import composite_score, needs_deep_cleaning, noise_analysis, with_noise_analysis
-from lexmill.functions.quality import quality
+from lexmill.functions.quality import quality, word_stats
+
+#: What clean_text cuts out of words, by a mark in each, and the letter whose lower case depends on its neighbours.
+_WORDS_MAY_CHANGE = ["http", "www.", "&", "@", "\u03a3"]
 
 
 def clean_by_quality(df: DataFrame, text: str = "text", out: str = "clean_text", mode: str = "document") -> DataFrame:
@@ -18,18 +21,23 @@ def clean_by_quality(df: DataFrame, text: str = "text", out: str = "clean_text",
     Adds the cleaned text, ``cleaning_applied``, ``quality_before``,
     ``quality_after`` and ``quality_improvement``.
     """
-    before = rx.add_once(df, {"_before": quality(text, columns=["language", "quality_score"])})
-    language, score = F.col("_before.language"), F.col("_before.quality_score")
+    marked = rx.any_of([F.col(text).contains(m) for m in _WORDS_MAY_CHANGE])
+    before = rx.add_once(df, {"_words": word_stats(text), "_cjk": cjk_language(text), "_marked": marked})
+    before = rx.add_once(before, {"_before": quality(text, columns=["quality_score"], words=F.col("_words"))})
+    language, score = F.col("_cjk"), F.col("_before.quality_score")
     high = score >= lx.QUALITY_THRESHOLDS["high"]
     deep = rx.bind({"x": clean_text(text, True, mode), "lang": language}, lambda s: F.when(
         s["lang"].isin(lx.CJK_LANGUAGES), clean_cjk(s["x"], s["lang"])).otherwise(s["x"]))
     cleaned = rx.add_once(before, {out: F.when(high, clean_basic(text, mode)).otherwise(deep)})
-    after = rx.add_once(cleaned, {"quality_after": quality(out, columns=["quality_score"])["quality_score"]})
+    # A document that is kept as one line loses white space and symbols: its words stay, and with them what is counted of them.
+    changed = F.col("_marked") | F.col("_cjk").isNotNull() | (F.col(out) == "")
+    words = word_stats(out) if mode != "document" else F.when(changed, word_stats(out)).otherwise(F.col("_words"))
+    after = rx.add_once(cleaned, {"quality_after": quality(out, columns=["quality_score"], words=words)["quality_score"]})
     return after.withColumns({
         "cleaning_applied": F.when(high, "minimal").otherwise("deep"),
         "quality_before": score,
         "quality_improvement": F.col("quality_after") - score,
-    }).drop("_before")
+    }).drop("_before", "_words", "_cjk", "_marked")
 
 
 def clean_from_analysis(df: DataFrame, text: str = "text", out: str = "clean_text", mode: str = "document") -> DataFrame:

@@ -311,3 +311,39 @@ def test_saved_parts_come_back(spark, tmp_path):
 
 def test_tfidf_without_terms(spark):
     assert v.tfidf(spark.createDataFrame([(1, "a b the")], "id int, text string")).count() == 0
+
+
+def _gated(spark, texts, **kw):
+    from lexmill.operators.gates import clean_by_quality
+
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, text string")
+    return clean_by_quality(df, **kw).orderBy("id").collect()
+
+
+def test_language_is_only_identified_where_it_decides(spark, monkeypatch):
+    """Identifying fails here; plain Latin texts do not need it, those that meet a rule of one language do."""
+    from lexmill.functions import cleaning, quality
+
+    def never(*_):
+        return F.struct(F.raise_error(F.lit("identified")).cast("string").alias("language"))
+
+    plain = "Only an ordinary line of words, é and ß included, that goes on and on for over a hundred characters; all of it is text. "
+    monkeypatch.setattr(quality, "detect_language", never)
+    monkeypatch.setattr(cleaning, "detect_language", never)
+    assert [x.cleaning_applied for x in _gated(spark, [plain, plain * 3, plain + "Share this *** newsletter", "short"])] == ["deep"] * 4
+    for text in (plain + "contraseña", plain + "пароль", plain + "的", plain + "\nPregunta 5"):
+        with pytest.raises(Exception, match="identified"):
+            _gated(spark, [text])
+
+
+@pytest.mark.parametrize("mode", ["document", "lines"])
+def test_gate_scores_what_it_returns(spark, values, mode):
+    """The score after cleaning is that of the cleaned text, whether its words are counted again or not."""
+    plain = "The words of this line come again, and the words of that line  come\tagain ***  too!!! "
+    marks = ["", "a.b@c.de x@y", "http://the.words/of", "www.words.of of", "the&amp;the", "ΑΣ·Β ΑΣ Β ας", "İ ı ſhare this pAſſword", "share*this",
+             "的一是不了在" * 40, "的", "contraseña acerca de", "пароль " * 30, "\n5. words\n"]
+    texts = [plain * 3 + m + " " + plain for m in marks] + [plain * 2 + m + m for m in marks] + [m * 3 for m in marks] + ["WORDS IN CAPITALS", None]
+    got = _gated(spark, texts, mode=mode)
+    after = values(lambda t: quality(t)["quality_score"], [x.clean_text for x in got])
+    before = values(lambda t: quality(t)["quality_score"], texts)
+    assert [(x.quality_before, x.quality_after) for x in got] == list(zip(before, after))
