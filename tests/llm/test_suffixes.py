@@ -72,6 +72,19 @@ def test_documents_match_brute_force(spark, monkeypatch, seed, length, gram, lim
     assert suffixes.find_repeats(df.limit(0)).count() == 0
 
 
+def test_runs_of_a_short_period_are_a_few_rows(spark):
+    """Thousands of equal windows in one text meet other texts as one row each, and all of them go."""
+    import pandas as pd
+
+    texts = ["q" * 3000, "x" + "ab" * 900, "abc" * 20 + "z" + "q" * 55 + "yy" + "q" * 500, "w" + "q" * 60, "ab" * 26, "qqq"]
+    rows = pd.concat(suffixes._anchor_rows(50, 8)(iter([pd.DataFrame({"k1": range(6), "k2": range(6), "text": texts})])))
+    assert len(rows) < 100
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {x.doc_id: x for x in suffixes.find_repeats(df, length=50, gram=8).collect()}
+    for i, want in enumerate(plain(texts, 50)):
+        assert (got[i].n_bytes, got[i].n_removed, got[i].n_spans, got[i].kept_sha256) == want, i
+
+
 def test_repeated_rows_and_cut_text(spark):
     t = "é" * 30 + "".join(random.Random(1).choices("abc", k=80))
     df = spark.createDataFrame([(1, t), (1, t), (2, "z" + t[:40])], "doc_id long, text string")
