@@ -161,6 +161,31 @@ def test_topics_beyond_an_index_never_reach_the_driver(spark, monkeypatch):
     assert sorted(x.id for x in match_topic_table(docs, topics, index_bytes=1000).collect()) == [1, 1, 4]
 
 
+def test_texts_do_not_meet_every_topic_that_shares_a_window(spark):
+    """A text has each of these topics at hundreds of places, and all begin alike there."""
+    topics = spark.range(1, 600).selectExpr("repeat('ab', cast(id AS int)) AS topic")
+    rows = [(1, "AB" * 500), (2, "ab" * 9 + "é" + "b" * 40), (3, "é" * 700), (4, None)]
+    docs = spark.createDataFrame(rows, "id int, text string")
+    got = with_topics(docs, topics, index_bytes=1000)
+    assert {x.id: [len(t) for t in x.topics] for x in got.collect()} == {1: [*range(2, 1001, 2)], 2: [*range(2, 19, 2)], 3: [], 4: []}
+    assert sorted(x.id for x in match_topic_table(docs, topics, index_bytes=1000).collect()) == [1, 2]
+    # Neither places nor texts are joined.
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "place" not in plan and "_raw" not in plan and "gram" not in plan
+
+
+def test_strings_with_the_bits_of_topics_are_told_apart(spark, monkeypatch):
+    """With few bits nearly all strings of a text have those of a topic."""
+    monkeypatch.setattr("lexmill.operators.topics.FILTER_BITS", 15)
+    topics = spark.range(60_000).selectExpr("concat(char(97 + id % 26), hex(id * 7919), 'é') AS topic")
+    texts = [(i, " ".join(f"{chr(97 + n % 26)}{n * 7919 + (n % 3 == 0):X}é" for n in range(i, i + 60))) for i in range(0, 60_000, 6_000)]
+    docs = spark.createDataFrame(texts, "id int, text string")
+    known = {r.topic.lower() for r in topics.collect()}
+    want = {i: sorted({t[a:b] for a in range(len(t)) for b in range(a + 2, a + 12) if t[a:b] in known}) for i, t in ((i, t.lower()) for i, t in texts)}
+    got = {x.id: x.topics for x in with_topics(docs, topics, index_bytes=1000).collect()}
+    assert got == want and all(len(t) >= 40 for t in got.values())
+
+
 def test_topics_are_filed_under_their_rarest_window(spark):
     table = spark.createDataFrame([("commonwaterfall",), ("commonwaterside",), ("commonwater",), ("xy",)], "topic string")
     keys = {x.topic: (x.size, x.at) for x in topic_keys(table).collect()}
