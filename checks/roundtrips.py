@@ -240,11 +240,10 @@ def archive_job(spark: SparkSession, sf: str) -> DataFrame:
  (SELECT count(*) FROM documents) AS texts, (SELECT count(*) - ceil(count(*) * 0.2) FROM documents WHERE length(text) + 1 >= 100)::BIGINT AS train FROM documents""")
 def folder_job(spark: SparkSession, sf: str) -> DataFrame:
     folder = new_folder(spark)
-    docs = table(spark, sf, "documents").select("doc_id", F.col("text").alias("value")).repartition("doc_id")
-    # Tasks put their files in place themselves; one driver would move them one after the other.
-    docs.write.option("mapreduce.fileoutputcommitter.algorithm.version", "2").partitionBy("doc_id").text(f"{folder}/in")
+    docs = table(spark, sf, "documents").select(F.concat(F.lit("doc_id="), "doc_id").alias("name"), "text")
+    sinks.write_text_files(docs, f"{folder}/in", "name", "text")
     written = jobs.text_folder_dataset(spark, f"{folder}/in", f"{folder}/out", recursive=True)
-    doc = lambda c: F.regexp_extract(c, "doc_id=([0-9]+)/", 1).cast("long").alias("doc_id")
+    doc = lambda c: F.regexp_extract(c, r"doc_id=([0-9]+)\.txt", 1).cast("long").alias("doc_id")
     metrics = spark.read.csv(f"{folder}/out/text_quality_metrics", header=True).select(doc("path"), F.col("length").cast("long").alias("length"))
     texts_ = spark.read.json(f"{folder}/out/summary").select("total_texts").scalar()
     train = written.agg(F.count_if(F.col("split") == "train").alias("t")).scalar()

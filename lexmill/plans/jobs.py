@@ -24,7 +24,7 @@ from lexmill.operators.gates import clean_if_better, mean_analysis
 from lexmill.operators.models import evaluate, load_model, predict, save_model, train_text_classifier
 from lexmill.operators.reports import quality_report
 from lexmill.operators.sampling import decode_labels, encode_labels, label_index, random_split, ratio_split
-from lexmill.operators.scratch import materialized
+from lexmill.operators.scratch import materialized, settings
 from lexmill.operators.vocabulary import (
     INLINE_WORDS,
     build_large_vocabulary,
@@ -94,16 +94,21 @@ def text_quality(df: DataFrame, text: str = "text", key: str = "id") -> DataFram
     return with_text_metrics(tagged, text, "language").drop(text)
 
 
+#: Bytes that could be read while a file is opened; Spark's 4 MB would make a task of every few small files.
+_OPEN_COST = str(32 << 10)
+
+
 def text_folder_dataset(
     spark: SparkSession, folder: str, output: str, test_size: float = 0.2, min_chars: int = 100, seed: int = 42,
     recursive: bool = False,
 ) -> DataFrame:
     """Folder of text files -> quality metrics, split dataset, metadata and summary on disk.
 
-    The files, which may be small and many, are opened once.
+    The files, which may be small and many, are opened once, hundreds of small ones by a task.
     """
-    found = read_text_files(spark, folder, recursive=recursive).select("path", "filename", "text")
-    files = materialized(found.repartition("path"))
+    with settings(spark, open_cost=_OPEN_COST, drop_shuffles="true"):
+        found = read_text_files(spark, folder, recursive=recursive).select("path", "filename", "text")
+        files = materialized(found.repartition("path"))
     metrics = materialized(text_quality(files, key="path"))
     sinks.write_metrics_csv(metrics, f"{output}/text_quality_metrics")
     sinks.write_summary(metrics, f"{output}/summary")

@@ -6,8 +6,9 @@ tasks have ended.  A repeated run leaves the same rows, and a failed one leaves
 
 from __future__ import annotations
 
+import urllib.parse
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,6 +16,7 @@ from pyspark.sql import functions as F
 from lexmill.operators.ranking import join_on, with_ordered_rank
 from lexmill.operators.scratch import materialized
 from lexmill.sources.text import DOCUMENT_RULER
+from lexmill.sources.warc import _filesystem
 
 
 def replace_output(spark: SparkSession, path: str, write: Callable[[str], None]) -> None:
@@ -87,6 +89,46 @@ def write_document_text(df: DataFrame, path: str, max_records: int | None = None
     replace_output(df.sparkSession, path, lambda p: texts.write.partitionBy("output").text(p))
 
 
+#: Folders over which the files of ``write_text_files`` are dealt.
+TEXT_FOLDERS = 1024
+
+
+def _write_files(path: str):
+    def files(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        filesystem, root = _filesystem(path)
+        made, out, name, n = set(), None, None, 0
+        for batch in batches:
+            for folder, this, line in zip(*(batch.column(c).to_pylist() for c in ("folder", "name", "line")), strict=True):
+                if folder not in made:
+                    filesystem.create_dir(f"{root}/{folder:04d}", recursive=True)
+                    made.add(folder)
+                if out is None or this != name:
+                    if out is not None:
+                        out.close()
+                    name, n = this, n + 1
+                    out = filesystem.open_output_stream(f"{root}/{folder:04d}/{urllib.parse.quote(str(name), safe='=')}.txt")
+                out.write((line or "").encode() + b"\n")
+        if out is not None:
+            out.close()
+        yield pa.RecordBatch.from_pydict({"n": pa.array([n], pa.int64())})
+
+    return files
+
+
+def write_text_files(df: DataFrame, path: str, name: str, text: str) -> None:
+    """One file ``<folder>/<name>.txt`` for each name, whose lines are the texts of its rows.
+
+    Names are dealt over ``TEXT_FOLDERS`` folders, so no folder has all files.  Tasks write the
+    files themselves, one after the other: many small files cost little more than their bytes.
+    """
+    rows = df.select(F.col(name).cast("string").alias("name"), F.col(text).alias("line"))
+    dealt = rows.withColumn("folder", F.pmod(F.xxhash64("name"), F.lit(TEXT_FOLDERS)).cast("int")).repartition("folder")
+    ordered = dealt.sortWithinPartitions("folder", "name")
+    replace_output(df.sparkSession, path, lambda p: ordered.mapInArrow(_write_files(p), "n long").agg(F.sum("n")).collect())
+
+
 def write_dataset(df: DataFrame, path: str, text: str | None = None, split: str = "split") -> None:
     """Write a split dataset as Parquet, and its texts as readable blocks."""
 

@@ -372,6 +372,32 @@ def test_text_folder_job_looks_below_and_opens_files_once(spark, tmp_path, monke
     assert written.select("path").distinct().count() == 9
 
 
+def test_small_files_are_read_many_by_a_task(spark, tmp_path, monkeypatch):
+    rows = [(f"doc_id={i}", f"Document number {i} says that the weather is fine. " * 5) for i in range(40)]
+    docs = spark.createDataFrame([*rows, ("doc_id=7", None), ("a/b c", "line")], "name string, text string")
+    sinks.write_text_files(docs, str(tmp_path / "in"), "name", "text")
+    found = {f.name: f.read_text() for f in (tmp_path / "in").rglob("*.txt")}
+    assert len(found) == 41 and found["doc_id=3.txt"] == rows[3][1] + "\n" and found["a%2Fb%20c.txt"] == "line\n"
+    assert sorted(found["doc_id=7.txt"].split("\n")) == ["", "", rows[7][1]]
+    tasks, whole = [], jobs.read_text_files
+
+    def counted(*args, **options):
+        files = whole(*args, **options)
+        tasks.append(files.rdd.getNumPartitions())
+        return files
+
+    monkeypatch.setattr(jobs, "read_text_files", counted)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "16m")
+    try:
+        written = jobs.text_folder_dataset(spark, str(tmp_path / "in"), str(tmp_path / "out"), recursive=True)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert tasks[0] <= 6 and written.count() == 40
+    sinks.write_text_files(docs.where("name = 'a/b c'"), str(tmp_path / "in"), "name", "text")
+    assert len([*(tmp_path / "in").rglob("*.txt")]) == 1
+
+
 def test_catalogue_and_incremental(spark, tmp_path):
     path = str(tmp_path / "cat")
     names = spark.createDataFrame([("a",), ("b",)], "name string")
